@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or a folder of our own where it is unset."""
@@ -42,6 +44,12 @@ def parts(spark: SparkSession, total: int, unit: int) -> int:
     return max(1, math.ceil(total / unit))
 
 
+def carried(df: DataFrame) -> DataFrame:
+    """df, once its session's Python workers have this package."""
+    ship(df.sparkSession)
+    return df
+
+
 def without(df: DataFrame, *names: str) -> DataFrame:
     """df without columns whose names (in any case) the operator is about to produce."""
     low = {n.lower() for n in names}

@@ -30,7 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op2_substring_dedup": r"""
         WITH words AS (
-            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') AS w
+            SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
             FROM documents),
         starts AS (
             SELECT doc_id, unnest(range(1, len(w) - 33)) AS s, w FROM words WHERE len(w) >= 35),
@@ -40,6 +40,6 @@ ORACLE_SQL: dict[str, str] = {
         lost AS (SELECT doc_id, list(p) AS ps, count(*) AS n FROM gone GROUP BY doc_id)
         SELECT words.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
             sha256(array_to_string(CASE WHEN n IS NULL THEN w
-                ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), z -> NOT list_contains(ps, z[2])), z -> z[1]) END, ' ')) AS kept_sha256
+                ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda z: NOT list_contains(ps, z[2])), lambda z: z[1]) END, ' ')) AS kept_sha256
         FROM words LEFT JOIN lost USING (doc_id)""",
 }

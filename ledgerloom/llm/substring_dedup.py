@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .cluster import parts, text_bytes, without
+from .cluster import carried, parts, text_bytes, without
 from .textblocks import TextBlock, U, span_hash, windows
 
 BLOCK_BYTES = 6 << 20
@@ -61,7 +61,7 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
     copies of each other. Other columns pass through; an input column named like an added one is replaced. An empty
     table gives an empty result.
     """
-    base = without(docs, "n_words", "n_removed", "removed", "kept_text", "__block")
+    base = without(carried(docs), "n_words", "n_removed", "removed", "kept_text", "__block")
     total = text_bytes(docs, text)
     n_blocks, n_buckets = parts(docs.sparkSession, total, BLOCK_BYTES), parts(docs.sparkSession, total, BUCKET_BYTES)
     whole = F.xxhash64(*[F.col(f"`{c}`") for c, kind in base.dtypes if not kind.startswith(("map", "variant"))])
