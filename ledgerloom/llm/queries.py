@@ -20,6 +20,18 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op4_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All ids written to Arrow sequence files in the shared folder, and every document read back from them."""
+    import public_tokenizers
+
+    from .cluster import new_folder
+    from .token_store import read_documents, write_sequences
+
+    folder = new_folder(spark, "token-files")
+    write_sequences(table(spark, sf_dir, "documents"), folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1, drops_space=True)
+    return read_documents(spark, folder)
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     from .simhash import near_duplicates
@@ -27,11 +39,22 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its sequence and place."""
+    import public_tokenizers
+
+    from .packing import pack_documents
+
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_substring_dedup,
+        op4_token_id_files,
         op6_simhash_near_dedup,
+        op9_best_fit_packing,
     )
 }
 
