@@ -32,6 +32,15 @@ def op4_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(spark, folder)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and decision for every document; labels of fold 2 of 4 are never learned from."""
+    from .toxicity import held_out, toxicity, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"), where=~held_out())
+    return toxicity(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     from .simhash import near_duplicates
@@ -48,13 +57,24 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and its probability for every document; fold 1 of 3 is never learned from."""
+    from .langid import held_out, language, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    net = train(docs, where=~held_out())
+    return language(docs.select("doc_id", "text"), net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_substring_dedup,
         op4_token_id_files,
+        op5_toxicity,
         op6_simhash_near_dedup,
         op9_best_fit_packing,
+        op10_language_id,
     )
 }
 
