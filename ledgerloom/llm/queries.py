@@ -20,6 +20,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text"), 256).alias("kept_sha256"))
 
 
+def op3_min_cost_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From one shard for each source to 40 shards of near equal bytes, moving the fewest bytes."""
+    from .reshard import reshard
+
+    docs = table(spark, sf_dir, "documents")
+    old = F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(40))
+    out = reshard(docs, old)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")
+
+
 def op4_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ids written to Arrow sequence files in the shared folder, and every document read back from them."""
     import public_tokenizers
@@ -48,6 +58,16 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document, by a decision list learned from the labels."""
+    from .cluster import cut
+    from .quality_rules import apply_rules, learn_from, statistics
+
+    stats = cut(statistics(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    out = apply_rules(stats, learn_from(stats, table(spark, sf_dir, "labels")))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and place."""
     import public_tokenizers
@@ -70,9 +90,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_substring_dedup,
+        op3_min_cost_flow_resharding,
         op4_token_id_files,
         op5_toxicity,
         op6_simhash_near_dedup,
+        op7_quality_rules,
         op9_best_fit_packing,
         op10_language_id,
     )
