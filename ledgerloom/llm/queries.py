@@ -68,6 +68,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op8_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth one."""
+    from .multi_index import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its sequence and place."""
     import public_tokenizers
@@ -95,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op5_toxicity,
         op6_simhash_near_dedup,
         op7_quality_rules,
+        op8_multi_index_hashing,
         op9_best_fit_packing,
         op10_language_id,
     )
