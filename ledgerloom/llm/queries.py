@@ -12,6 +12,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again: count and checksum of its ids, digest of the decoded text."""
+    import public_tokenizers
+
+    from .sentencepieces import decode, encode
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+    out = decode(encode(docs, model), model)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_ids"),
+        F.crc32(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary")).alias("ids_crc32"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
+        (F.sha2(F.col("decoded"), 256) == F.col("text_sha256")).alias("round_trip"),
+    )
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated windows of 35 words removed; per document the counts and a digest of the kept text."""
     from .substring_dedup import dedup_substrings
@@ -96,6 +114,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_sentencepiece,
         op2_substring_dedup,
         op3_min_cost_flow_resharding,
         op4_token_id_files,
