@@ -52,8 +52,7 @@ def learn(x: np.ndarray, k: int, recall: float = 0.97, rounds: int = 30) -> Code
     bits = -(-dim // SUBSTRING) * SUBSTRING
     mean = x.mean(axis=0)
     rng = np.random.default_rng(5)
-    _, _, axes = np.linalg.svd(x - mean, full_matrices=True)
-    axes = axes.T
+    axes = np.linalg.eigh(np.cov(x - mean, rowvar=False).reshape(dim, dim) if n > 1 else np.eye(dim))[1]
     if bits > dim:
         axes = np.concatenate([axes, rng.normal(size=(dim, bits - dim))], axis=1)
     v = (x - mean) @ axes
