@@ -6,5 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import events, records, web
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {**events.QUERIES, **records.QUERIES, **web.QUERIES}
+ORACLE_SQL: dict[str, str] = {**events.ORACLE_SQL, **records.ORACLE_SQL, **web.ORACLE_SQL}
