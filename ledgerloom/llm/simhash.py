@@ -10,6 +10,9 @@ parts, and so in all coordinates of those parts: rows that agree in all coordina
 parts are the candidates. A pair is discarded if, part by part, its largest coordinate differences add up to more than
 `bits`; what survives is verified bit by bit. No link is lost, and equal fingerprints are one row from the start.
 
+Texts that share most of their words but not their fingerprints are grouped by similar_groups(), which takes its
+candidates from the least shingle hashes and verifies them through the same table at a wider radius.
+
 Buckets with more than PAIRED rows (near copies in thousands) do not pair up. Two fingerprints are within two bits of
 each other exactly if they share a neighbour within one bit; rows of such a bucket link to the least row that shares a
 neighbour, one star for each neighbour, which keeps the links linear in the bucket and loses no connection.
@@ -27,13 +30,15 @@ from pyspark.sql import functions as F
 
 from .cluster import carried, cut
 from .components import connected_components
-from .textblocks import TextBlock, U, mix, ragged, small_batches
+from .textblocks import BASE, TextBlock, U, mix, ragged, small_batches, span_hash, windows
 from .xxh64 import hash_spans
 
 SEED = 42
 BLOCKS = 5
 PIVOTS_PER_BLOCK = 12
 PAIRED = 48
+#: 64-bit words of the longer fingerprints of similar_groups().
+SKETCH_WORDS = 4
 #: Bits of each part, in order.
 WIDTHS = [64 * (i + 1) // BLOCKS - 64 * i // BLOCKS for i in range(BLOCKS)]
 MASKS = [U(((1 << w) - 1) << sum(WIDTHS[:i])) for i, w in enumerate(WIDTHS)]
@@ -82,8 +87,9 @@ def simhash(docs: DataFrame, words_per_shingle: int = 3, id_col: str = "doc_id",
 
 
 def pivot_table(fp: np.ndarray) -> np.ndarray:
-    """(rows, BLOCKS, PIVOTS_PER_BLOCK) distances of fingerprints to the pivots, each within its part."""
-    return np.stack([np.bitwise_count((fp[:, None] & m) ^ p[None, :]) for m, p in zip(MASKS, PIVOTS)], axis=1).astype(np.int8)
+    """(rows, parts, PIVOTS_PER_BLOCK) distances of fingerprints (rows, 64-bit words) to the pivots, each within its part."""
+    columns = [np.bitwise_count((word[:, None] & m) ^ p[None, :]) for word in fp.T for m, p in zip(MASKS, PIVOTS)]
+    return np.stack(columns, axis=1).astype(np.int8)
 
 
 def _pairs(fp: np.ndarray, coords: np.ndarray, starts: np.ndarray, sizes: np.ndarray, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -96,7 +102,7 @@ def _pairs(fp: np.ndarray, coords: np.ndarray, starts: np.ndarray, sizes: np.nda
             a, b = i[lo : lo + (1 << 16)], j[lo : lo + (1 << 16)]
             far = np.abs(coords[a] - coords[b]).max(axis=2).sum(axis=1)
             a, b = a[far <= bits], b[far <= bits]
-            near = np.bitwise_count(fp[a] ^ fp[b]) <= bits
+            near = np.bitwise_count(fp[a] ^ fp[b]).sum(axis=1) <= bits
             yield a[near], b[near]
 
 
@@ -129,7 +135,7 @@ def links(prints: DataFrame, bits: int = 2) -> DataFrame:
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy().view(U)
-            coords = pivot_table(fp)
+            coords = pivot_table(fp[:, None])
             for k, c in enumerate(choices):
                 row = np.zeros(len(fp), U)
                 for b in c:  # all coordinates of the chosen parts, folded into one key
@@ -147,7 +153,7 @@ def links(prints: DataFrame, bits: int = 2) -> DataFrame:
             at = ragged(head[few], sizes[few])
             own = fp[at]
             starts = np.cumsum(sizes[few]) - sizes[few]
-            for a, b in _pairs(own, pivot_table(own), starts, sizes[few], bits):
+            for a, b in _pairs(own[:, None], pivot_table(own[:, None]), starts, sizes[few], bits):
                 yield own[a], own[b]
             for s, n in zip(head[sizes > PAIRED].tolist(), sizes[sizes > PAIRED].tolist()):
                 run, k = fp[s : s + n], choice[s]
@@ -180,6 +186,139 @@ def links(prints: DataFrame, bits: int = 2) -> DataFrame:
     return keyed.repartition(n, "choice", "bucket").sortWithinPartitions("choice", "bucket", "fp").mapInArrow(match, "a long, b long").distinct()
 
 
+def shingle_sketches(text: pa.Array, words_per_shingle: int, anchors: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(SKETCH_WORDS fingerprints of the distinct shingles, anchors end to end, anchors of each text).
+
+    Shingles are hashed by rolling over word hashes; a text's anchors are its least distinct shingle hashes. Texts of
+    fewer words have their whole sequence as one shingle.
+    """
+    block, starts, ends, first = TextBlock.of(text).joined(lower=True)
+    n_words = np.diff(first)
+    words = span_hash(block.data, starts, ends)
+    at, h = windows(words, first, words_per_shingle)
+    doc = np.repeat(np.arange(block.n), np.maximum(n_words - words_per_shingle + 1, 0))
+    few = np.flatnonzero((n_words > 0) & (n_words < words_per_shingle))
+    if len(few):
+        whole = span_hash(block.data, starts[first[few]], ends[first[few + 1] - 1])
+        doc, h = np.concatenate([doc, few]), np.concatenate([h, whole])
+    order = np.lexsort((h, doc))
+    doc, h = doc[order], h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
+    doc, h = doc[new], h[new]
+    n = np.bincount(doc, minlength=block.n)
+    out, start = np.zeros((block.n, SKETCH_WORDS), U), np.cumsum(n) - n
+    for word in range(SKETCH_WORDS):
+        hw = h if not word else mix(h + U(word * int(BASE) % (1 << 64)))
+        for lo in range(0, block.n, 256):  # 64 bytes for each shingle of some documents
+            own = np.arange(lo, min(lo + 256, block.n))
+            own = own[n[own] > 0]
+            if len(own):
+                a, b = start[own[0]], start[own[-1]] + n[own[-1]]
+                counts = np.zeros((len(own), 64), np.int64)
+                for c in range(a, b, 1 << 18):
+                    d = min(c + (1 << 18), b)
+                    bits = np.unpackbits(hw[c:d].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+                    begin = np.maximum(start[own], c)
+                    here = np.flatnonzero((begin < d) & (start[own] + n[own] > c))
+                    counts[here] += np.add.reduceat(bits, begin[here] - c, axis=0, dtype=np.int32)
+                out[own, word] = np.packbits((2 * counts > n[own][:, None]).astype(np.uint8), axis=1, bitorder="little").view("<u8").ravel()
+    k = np.minimum(n, anchors)
+    return out, h[ragged(start, k)], k
+
+
+def _forest(fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row numbers) that connect all fingerprints of one bucket within `bits`: each row is compared with all
+    later ones at once, and only one link for each two components that it joins comes back."""
+    root = np.arange(len(fp))
+    a, b = [], []
+    for i in range(len(fp) - 1):
+        near = np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]).sum(axis=1) <= bits) + i + 1
+        near = near[root[near] != root[i]]
+        for r in np.unique(root[near]).tolist():
+            a.append(i)
+            b.append(int(near[root[near] == r][0]))
+            root[root == r] = root[i]
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def widest_distance(similarity: float) -> int:
+    """Bits of a long fingerprint in which sets of shingles of that Jaccard similarity differ, one deviation included."""
+    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    n = 64 * SKETCH_WORDS
+    return int(round(n * share + np.sqrt(n * share * (1 - share))))
+
+
+def similar_groups(docs: DataFrame, words_per_shingle: int = 5, similarity: float = 0.8, anchors: int = 6, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id_col, component_id): groups of texts whose sets of shingles have a Jaccard similarity of about `similarity`.
+
+    It is estimated from the distance of SKETCH_WORDS * 64 bits, with one standard deviation in favour of a link.
+    Candidates share one of the least `anchors` shingle hashes; texts of that Jaccard similarity share none with a
+    chance of (1 - similarity) ** anchors. Pairs in a bucket are discarded by their pivot coordinates and verified bit
+    by bit; a bucket beyond PAIRED rows gives back a spanning forest instead of its pairs. Wordless texts have no
+    anchors and stay alone here. A null id is never the least one of a group that has others.
+    """
+    bits = widest_distance(similarity)
+    words = [f"w{i}" for i in range(SKETCH_WORDS)]
+    kind = docs.schema[id_col].dataType.simpleString()
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            fp, least, n = shingle_sketches(batch.column(1), words_per_shingle, anchors)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(least.view(np.int64)))
+            key = np.zeros(len(fp), U)
+            for word in fp.T:
+                key = mix(key * U(31) + word)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key.view(np.int64)), lists, *(pa.array(w.view(np.int64)) for w in np.ascontiguousarray(fp.T))], names=["id", "fp", "anchors", *words])
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(anchor, key, *long):
+            if len(key) < 2:
+                return
+            fp = np.stack(long, axis=1).view(U)
+            head = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+            sizes = np.diff(np.append(head, len(key)))
+            few = (sizes > 1) & (sizes <= PAIRED)
+            rows = ragged(head[few], sizes[few])
+            for a, b in _pairs(fp[rows], pivot_table(fp[rows]), np.cumsum(sizes[few]) - sizes[few], sizes[few], bits) if len(rows) else ():
+                yield key[rows[a]], key[rows[b]]
+            for s, n in zip(head[sizes > PAIRED].tolist(), sizes[sizes > PAIRED].tolist()):
+                a, b = _forest(fp[s : s + n], bits)
+                yield key[s + a], key[s + b]
+
+        rest = None
+        for batch in batches:
+            new = [c.to_numpy() for c in batch.columns]
+            new = [np.concatenate(x) for x in zip(rest, new)] if rest else new
+            if not len(new[0]):
+                continue
+            same = np.flatnonzero(new[0] != new[0][-1])
+            stop = same[-1] + 1 if len(same) else 0
+            for a, b in done(*(x[:stop] for x in new)):
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+            rest = [x[stop:] for x in new]
+        for a, b in done(*rest) if rest else ():
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    own = carried(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+    prints = cut(own.mapInArrow(sketch, f"id {kind}, fp long, anchors array<long>, " + ", ".join(f"{w} long" for w in words)).where("size(anchors) > 0"))
+    keyed = prints.select(F.explode("anchors").alias("anchor"), "fp", *words).distinct()
+    n = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    edges = keyed.repartition(n, "anchor").sortWithinPartitions("anchor", "fp").mapInArrow(match, "a long, b long").distinct()
+    roots = connected_components(edges)
+    distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
+    member = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
+    labels = member.select("fp", "root").join(least, "root").select("fp", "component_id")
+    return prints.select("id", "fp").join(labels, "fp").select(F.col("id").alias(id_col), "component_id")
+
+
+def merged(first: DataFrame, second: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """(id_col, component_id) of the rows that two groupings together put into a component of a smaller id."""
+    links_ = [g.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("a"), F.col("component_id").alias("b")) for g in (first, second)]
+    return connected_components(links_[0].unionByName(links_[1])).select(F.col("node").alias(id_col), F.col("root").alias("component_id"))
+
+
 def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, bits: int = 2, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_col, fingerprint, component_id) of every row; component_id is the least id that links reach, itself included.
 

@@ -10,7 +10,7 @@ import xxhash
 
 from ledgerloom.llm.cluster import carried
 from ledgerloom.llm.components import connected_components
-from ledgerloom.llm.simhash import keep_one, links, near_duplicates
+from ledgerloom.llm.simhash import keep_one, links, merged, near_duplicates, similar_groups
 from ledgerloom.llm.substring_dedup import dedup_substrings
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -127,3 +127,50 @@ def test_components_of_a_long_chain(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, None)], "a long, b long")
     got = dict(map(tuple, connected_components(df).collect()))
     assert all(got[i] == 0 for i in range(1, 301)) and got[1001] == 1000 and connected_components(df.limit(0)).count() == 0
+
+
+def shingle_set(text):
+    w = WORD.findall((text or "").lower())
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
+def test_similar_groups_on_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    of = dict(map(tuple, similar_groups(docs).collect()))
+    sets = {r.doc_id: shingle_set(r.text) for r in docs.collect()}
+    where = collections.defaultdict(list)
+    for i, s in sets.items():
+        for g in s:
+            where[g].append(i)
+    shared = collections.Counter((a, b) for ids in where.values() for k, b in enumerate(ids) for a in ids[:k])
+    close = {p: n / len(sets[p[0]] | sets[p[1]]) for p, n in shared.items()}
+    alike = [p for p, j in close.items() if j >= 0.8]
+    assert len(alike) > 50 and sum(of[a] == of[b] for a, b in alike) >= 0.97 * len(alike)
+    best = collections.defaultdict(float)
+    for (a, b), j in close.items():
+        best[a], best[b] = max(best[a], j), max(best[b], j)
+    gone = [i for i, c in of.items() if i != c]
+    assert all(best[i] > 0.6 for i in gone) and sum(best[i] >= 0.7 for i in gone) >= 0.95 * len(gone)
+
+
+def test_similar_groups_of_a_large_bucket(spark):
+    rnd = random.Random(9)
+    base = [f"w{i}" for i in range(400)]
+    rows = []
+    for i in range(120):  # one base with one word changed: more rows than a bucket pairs up
+        w = list(base)
+        w[rnd.randrange(400)] = f"x{i}"
+        rows.append((i, " ".join(w)))
+    rows += [(1000 + i, " ".join(f"y{i}_{k}" for k in range(50))) for i in range(5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    of = dict(map(tuple, similar_groups(docs).collect()))
+    assert all(of[i] == 0 for i in range(120)) and all(of[1000 + i] == 1000 + i for i in range(5))
+
+
+def test_similar_groups_edges(spark):
+    docs = spark.createDataFrame(EDGE, "doc_id long, text string, anchors string")
+    out = similar_groups(docs)
+    assert sorted((r.doc_id or 0, r.component_id) for r in out.collect()) == [(0, None), (0, None), (4, 4)]
+    assert similar_groups(docs.limit(0)).count() == 0
+    both = merged(near_duplicates(docs), out)
+    assert {tuple(r) for r in both.collect()} == {(2, 1), (3, 1)} and keep_one(docs, both).count() == 4
