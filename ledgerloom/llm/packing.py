@@ -28,8 +28,8 @@ STEP = 0.5
 CANDIDATES = 80
 COVERED = 0.85
 FULL = 0.999
-#: Pieces that one ranking task of a length sees on average.
-RANKED = 50_000
+#: Pieces of one length that are ranked together on average; a frequent length is spread over many buckets.
+RANKED = 500
 
 
 def best_configuration(prices: np.ndarray, lengths: np.ndarray, supply: np.ndarray, capacity: int) -> np.ndarray:
@@ -217,9 +217,10 @@ def pack(table: DataFrame, capacity: int = 2048) -> DataFrame:
     if len(lengths) and (lengths[0] < 1 or lengths[-1] > capacity):
         raise ValueError("lengths must be between 1 and the capacity")
     places = spark.createDataFrame(slots(plan(lengths, counts, capacity)) if len(lengths) else [], "slot_length long, first_rank long, end_rank long, copies long, first_sequence long, first_offset long")
-    buckets = parts(spark, int(counts.max(initial=1)), RANKED)
+    spread = spark.createDataFrame([(n, parts(spark, k, RANKED)) for n, k in histogram.items()], "length long, __buckets int")
     names = [c for c in table.columns if c.lower() not in ("sequence_id", "offset")]
-    dealt = table.select(*[F.col(f"`{c}`") for c in names]).withColumn("__bucket", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in names]), F.lit(buckets)).cast("int"))
+    own = table.select(*[F.col(f"`{c}`") for c in names]).join(F.broadcast(spread), "length")
+    dealt = own.withColumn("__bucket", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in names]), F.col("__buckets")).cast("int")).drop("__buckets")
     before = Window.partitionBy("length").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = dealt.groupBy("length", "__bucket").count().select("length", "__bucket", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__base"))
     within = F.row_number().over(Window.partitionBy("length", "__bucket").orderBy(*[F.col(f"`{c}`") for c in names]))
