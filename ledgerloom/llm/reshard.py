@@ -18,10 +18,11 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .cluster import cut, new_folder, parts, without
+from .cluster import cut, new_folder, without
 
 OVERHEAD = 16
-BUCKET_ROWS = 20_000
+#: Rows of one old shard that are summed together on average; a large shard is spread over many buckets.
+BUCKET_ROWS = 500
 #: Share of the capacity that small documents hold back to even out sizes, where an old shard has that many.
 FINE = 0.5
 
@@ -104,12 +105,10 @@ def assign(rows: DataFrame, n_shards: int = 40, order: tuple[str, ...] = ("doc_i
     the order columns are broken by size. Nulls sort first. Empty tables give an empty result.
     """
     spark = rows.sparkSession
-    total_rows = rows.count()
-    n_buckets = parts(spark, total_rows, BUCKET_ROWS)
     by = [F.col(c).asc_nulls_first() for c in order] + [F.col("size")]
-    dealt = rows.withColumn("__bucket", F.pmod(F.xxhash64(*order, "size"), F.lit(n_buckets)).cast("int"))
-    median = dealt.groupBy("old_shard").agg(F.percentile_approx("size", FINE, 1000).alias("__small"))
-    dealt = cut(dealt.join(F.broadcast(median), "old_shard").withColumn("__fine", F.col("size") <= F.col("__small")).drop("__small"))
+    shards = rows.groupBy("old_shard").agg(F.percentile_approx("size", FINE, 1000).alias("__small"), F.ceil(F.count("*") / BUCKET_ROWS).alias("__buckets"))
+    dealt = rows.join(F.broadcast(shards), "old_shard").withColumn("__fine", F.col("size") <= F.col("__small"))
+    dealt = cut(dealt.withColumn("__bucket", F.pmod(F.xxhash64(*order, "size"), F.col("__buckets")).cast("int")).drop("__small", "__buckets"))
     sizes = {(r[0], r[1]): r[2] for r in dealt.groupBy("old_shard", "__fine").agg(F.sum("size")).collect()}
     total = sum(sizes.values())
     target = [total * (j + 1) // n_shards - total * j // n_shards for j in range(n_shards)]
