@@ -41,3 +41,27 @@ def reachability(status: Column, html: Column, challenge: Sequence[str] = ("capt
 def workflow_branch(value: Column, default: str = "structured_archive", valid: Sequence[str] = ("structured_archive", "mint")) -> Column:
     """Absent means the default; a value outside the list is null, for the caller to quarantine."""
     return F.when(value.isNull(), F.lit(default)).when(value.isin(*valid), value)
+
+
+#: Fixed values: (code, pattern) of submission errors, the more specific ones first.
+SUBMIT_ERRORS = [
+    ("60401", "already known"),
+    ("60402", "nonce too low"),
+    ("60403", "insufficient funds"),
+    ("60411", "contract creation code storage out of gas"),
+    ("60404", "gas required exceeds|out of gas"),
+    ("60405", "transaction underpriced|replacement transaction"),
+    ("60406", "execution reverted|revert"),
+    ("60407", "invalid transaction|invalid sender"),
+    ("60408", "ECONNREFUSED|ETIMEDOUT|network error"),
+    ("60409", "timeout|ESOCKETTIMEDOUT"),
+    ("60410", "invalid argument|invalid params"),
+]
+UNKNOWN_ERROR = "60999"
+
+
+def submit_error(message: Column) -> Column:
+    """Code of a submission error; the message inside a JSON reply counts, where there is one. Blank or null: unknown."""
+    inner = [F.get_json_object(message, p) for p in ("$.error.message", "$.message", "$.error")]
+    shown = F.when(message.rlike(r"^[\[{]"), F.coalesce(*[F.nullif(i, F.lit("")) for i in inner], message)).otherwise(message)
+    return by_pattern(F.coalesce(shown, F.lit("")), SUBMIT_ERRORS, UNKNOWN_ERROR)

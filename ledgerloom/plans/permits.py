@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import geo, permits
+from ..functions import geo, owners, permits, rules
 from .tables import table
 
 
@@ -60,7 +60,23 @@ def parcel_polygons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("s_suppkey", geo.split_id(F.col("s_suppkey").cast("string"), F.col("i"), F.col("n")).alias("identifier"), F.size(points).alias("points"), points[0]["latitude"].alias("latitude"), points[0]["longitude"].alias("longitude"))
 
 
-QUERIES = {f.__name__: f for f in (permit_contractors, permit_fees, permit_inspections, parcel_polygons)}
+def owner_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Owner lines of every customer: couples that share a name, a company, a placeholder."""
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+    line = F.when(k % 4 == 0, F.concat(F.lit("SMITH"), k.cast("string"), F.lit(" JOHN A  &  MARY"))).when(k % 4 == 1, "Acme Holdings LLC / DOE, JANE").when(k % 4 == 2, "LEE ANN ET AL and X").otherwise(F.lit(None))
+    return owners.owners(c.select("c_custkey", line.alias("line")), "line", ["c_custkey"])
+
+
+def submit_error_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of messages made of error events: plain, inside JSON, and unknown ones."""
+    e = table(spark, sf_dir, "events").where("event_type = 'error'")
+    k = F.col("event_id") % 5
+    message = F.when(k == 0, '{"error": {"message": "Nonce too low"}}').when(k == 1, "contract creation code storage OUT OF GAS").when(k == 2, "out of gas").when(k == 3, '{"message": "socket timeout"}').otherwise(F.lit(None))
+    return e.groupBy(rules.submit_error(message).alias("code")).agg(F.count("*").alias("n"), F.min("event_id").alias("first_event"))
+
+
+QUERIES = {f.__name__: f for f in (permit_contractors, permit_fees, permit_inspections, parcel_polygons, owner_names, submit_error_codes)}
 ORACLE_SQL = {
     "permit_contractors": """SELECT c_custkey, 'General Contractor' AS licence_kind, 'CGC' || lpad(CAST(c_custkey AS VARCHAR), 6, '0') AS licence_number, (c_custkey + 1) || ' HARBOR DR, ESTERO, FL, 33928' AS address,
         CASE c_custkey % 3 WHEN 0 THEN 'ACME BUILDERS INC' WHEN 1 THEN 'SUNSHINE ROOFING' END AS company, CASE c_custkey % 3 WHEN 1 THEN 'JOHN' WHEN 2 THEN 'MARY' END AS first_name,
@@ -70,6 +86,14 @@ ORACLE_SQL = {
         UNION ALL SELECT o_orderkey, '2020-12-25', 'P' || o_orderkey, 1050.25, 'PAID_OR_DISCOUNTED' FROM orders""",
     "permit_inspections": """SELECT o_orderkey, 'Issued' AS status, 1 AS ordinal, 'Pass' AS result, '101' AS code, 'Final Roof' AS type, CAST(o_orderkey AS VARCHAR) AS identifier, 'Ann Lee' AS inspector, '01/02/2021' AS day FROM orders
         UNION ALL SELECT o_orderkey, 'Issued', 2, 'Fail', 'B7', 'Slab', CAST(o_orderkey + 1 AS VARCHAR), 'Bo', '03/04/2021' FROM orders""",
+    "owner_names": """SELECT c_custkey, 1 AS ordinal, 'SMITH' || c_custkey || ' JOHN A' AS part, 'person' AS kind, 'JOHN' AS first_name, 'A' AS middle_name, 'SMITH' || c_custkey AS last_name, NULL AS company FROM customer WHERE c_custkey % 4 = 0
+        UNION ALL SELECT c_custkey, 2, 'MARY', 'person', 'MARY', NULL, 'SMITH' || c_custkey, NULL FROM customer WHERE c_custkey % 4 = 0
+        UNION ALL SELECT c_custkey, 1, 'Acme Holdings LLC', 'company', NULL, NULL, NULL, 'Acme Holdings LLC' FROM customer WHERE c_custkey % 4 = 1
+        UNION ALL SELECT c_custkey, 2, 'DOE, JANE', 'person', 'JANE', NULL, 'DOE', NULL FROM customer WHERE c_custkey % 4 = 1
+        UNION ALL SELECT c_custkey, 1, 'LEE ANN ET AL', 'rejected', NULL, NULL, NULL, NULL FROM customer WHERE c_custkey % 4 = 2
+        UNION ALL SELECT c_custkey, 2, 'X', 'rejected', NULL, NULL, NULL, NULL FROM customer WHERE c_custkey % 4 = 2""",
+    "submit_error_codes": """SELECT CASE event_id % 5 WHEN 0 THEN '60402' WHEN 1 THEN '60411' WHEN 2 THEN '60404' WHEN 3 THEN '60409' ELSE '60999' END AS code, count(*) AS n, min(event_id) AS first_event
+        FROM events WHERE event_type = 'error' GROUP BY 1""",
     "parcel_polygons": """SELECT s_suppkey, s_suppkey || CASE WHEN s_suppkey % 4 = 2 THEN '#1' ELSE '' END AS identifier, 4 AS points, s_suppkey + 0.25 AS latitude, -81.5 AS longitude FROM supplier WHERE s_suppkey % 4 <> 3
         UNION ALL SELECT s_suppkey, s_suppkey || '#2', 3, 2.0, 1.0 FROM supplier WHERE s_suppkey % 4 = 2""",
 }
