@@ -11,7 +11,8 @@ parts are the candidates. A pair is discarded if, part by part, its largest coor
 `bits`; what survives is verified bit by bit. No link is lost, and equal fingerprints are one row from the start.
 
 Texts that share most of their words but not their fingerprints are grouped by similar_groups(), which takes its
-candidates from the least shingle hashes and verifies them through the same table at a wider radius.
+candidates from the least shingle hashes, discards by a wide distance of longer fingerprints, and verifies what is left
+by the shingle sets themselves.
 
 Buckets with more than PAIRED rows (near copies in thousands) do not pair up. Two fingerprints are within two bits of
 each other exactly if they share a neighbour within one bit; rows of such a bucket link to the least row that shares a
@@ -186,11 +187,10 @@ def links(prints: DataFrame, bits: int = 2) -> DataFrame:
     return keyed.repartition(n, "choice", "bucket").sortWithinPartitions("choice", "bucket", "fp").mapInArrow(match, "a long, b long").distinct()
 
 
-def shingle_sketches(text: pa.Array, words_per_shingle: int, anchors: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(SKETCH_WORDS fingerprints of the distinct shingles, anchors end to end, anchors of each text).
+def shingle_sets(text: pa.Array, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct shingle hashes of each text, ascending and end to end; how many each text has; a digest of each set).
 
-    Shingles are hashed by rolling over word hashes; a text's anchors are its least distinct shingle hashes. Texts of
-    fewer words have their whole sequence as one shingle.
+    Shingles are hashed by rolling over word hashes. Texts of fewer words have their whole sequence as one shingle.
     """
     block, starts, ends, first = TextBlock.of(text).joined(lower=True)
     n_words = np.diff(first)
@@ -207,11 +207,20 @@ def shingle_sketches(text: pa.Array, words_per_shingle: int, anchors: int) -> tu
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     doc, h = doc[new], h[new]
     n = np.bincount(doc, minlength=block.n)
-    out, start = np.zeros((block.n, SKETCH_WORDS), U), np.cumsum(n) - n
+    total = np.concatenate([np.zeros(1, U), np.cumsum(mix(h + BASE), dtype=U)])
+    stop = np.cumsum(n)
+    return h, n, mix(total[stop] - total[stop - n] + n.astype(U))
+
+
+def shingle_sketches(text: pa.Array, words_per_shingle: int, anchors: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(SKETCH_WORDS fingerprints of the distinct shingles, anchors end to end, anchors of each text, shingles of each
+    text, digest of each set); a text's anchors are its least shingle hashes."""
+    h, n, digest = shingle_sets(text, words_per_shingle)
+    out, start = np.zeros((len(n), SKETCH_WORDS), U), np.cumsum(n) - n
     for word in range(SKETCH_WORDS):
         hw = h if not word else mix(h + U(word * int(BASE) % (1 << 64)))
-        for lo in range(0, block.n, 256):  # 64 bytes for each shingle of some documents
-            own = np.arange(lo, min(lo + 256, block.n))
+        for lo in range(0, len(n), 256):  # 64 bytes for each shingle of some documents
+            own = np.arange(lo, min(lo + 256, len(n)))
             own = own[n[own] > 0]
             if len(own):
                 a, b = start[own[0]], start[own[-1]] + n[own[-1]]
@@ -224,16 +233,22 @@ def shingle_sketches(text: pa.Array, words_per_shingle: int, anchors: int) -> tu
                     counts[here] += np.add.reduceat(bits, begin[here] - c, axis=0, dtype=np.int32)
                 out[own, word] = np.packbits((2 * counts > n[own][:, None]).astype(np.uint8), axis=1, bitorder="little").view("<u8").ravel()
     k = np.minimum(n, anchors)
-    return out, h[ragged(start, k)], k
+    return out, h[ragged(start, k)], k, n, digest
+
 
+def _close(fp: np.ndarray, n: np.ndarray, a, b, bits: int, similarity: float) -> np.ndarray:
+    """Which pairs of rows a and b (numbers or slices) may be that similar, by the sizes of their sets and their sketches."""
+    fits = np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9
+    return fits & (np.bitwise_count(fp[a] ^ fp[b]).sum(axis=-1) <= bits)
 
-def _forest(fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links (row numbers) that connect all fingerprints of one bucket within `bits`: each row is compared with all
-    later ones at once, and only one link for each two components that it joins comes back."""
+
+def _forest(fp: np.ndarray, n: np.ndarray, bits: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row numbers) that connect all close rows of one bucket: each row is compared with all later ones at once,
+    and only one link for each two components that it joins comes back."""
     root = np.arange(len(fp))
     a, b = [], []
     for i in range(len(fp) - 1):
-        near = np.flatnonzero(np.bitwise_count(fp[i + 1 :] ^ fp[i]).sum(axis=1) <= bits) + i + 1
+        near = np.flatnonzero(_close(fp, n, i, slice(i + 1, None), bits, similarity)) + i + 1
         near = near[root[near] != root[i]]
         for r in np.unique(root[near]).tolist():
             a.append(i)
@@ -242,70 +257,113 @@ def _forest(fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return np.array(a, np.int64), np.array(b, np.int64)
 
 
-def widest_distance(similarity: float) -> int:
-    """Bits of a long fingerprint in which sets of shingles of that Jaccard similarity differ, one deviation included."""
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+def widest_distance(similarity: float, slack: float = 4, small: float = 1.25) -> int:
+    """Bits of a long fingerprint in which sets of shingles of that Jaccard similarity differ, `slack` deviations included.
+
+    Two large sets differ in arccos(2 s / (1 + s)) / pi of the bits; small ones, by ties, in up to a quarter more (4 of
+    5 shingles at 0.8: 0.1875 for 0.1515).
+    """
+    share = small * np.arccos(2 * similarity / (1 + similarity)) / np.pi
     n = 64 * SKETCH_WORDS
-    return int(round(n * share + np.sqrt(n * share * (1 - share))))
+    return int(round(n * share + slack * np.sqrt(n * share * (1 - share))))
 
 
 def similar_groups(docs: DataFrame, words_per_shingle: int = 5, similarity: float = 0.8, anchors: int = 6, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id_col, component_id): groups of texts whose sets of shingles have a Jaccard similarity of about `similarity`.
-
-    It is estimated from the distance of SKETCH_WORDS * 64 bits, with one standard deviation in favour of a link.
-    Candidates share one of the least `anchors` shingle hashes; texts of that Jaccard similarity share none with a
-    chance of (1 - similarity) ** anchors. Pairs in a bucket are discarded by their pivot coordinates and verified bit
-    by bit; a bucket beyond PAIRED rows gives back a spanning forest instead of its pairs. Wordless texts have no
-    anchors and stay alone here. A null id is never the least one of a group that has others.
+    """(id_col, component_id): groups of texts that links of a Jaccard similarity of `similarity` or more connect.
+
+    The similarity is that of the sets of shingles, and every link is verified by the sets. Candidates share one of the
+    least `anchors` shingle hashes; texts of that similarity share none with a chance of (1 - similarity) ** anchors.
+    They are discarded by the sizes of their sets and by sketches of SKETCH_WORDS * 64 bits, four deviations wide. A
+    bucket of up to PAIRED rows gives all its pairs. A larger one first gives a forest of close links; when those are
+    verified, it gives all its pairs that are not yet connected. Equal sets are one row from the start. Wordless texts
+    have no anchors and stay alone here. A null id is never the least one of a group that has others.
     """
-    bits = widest_distance(similarity)
+    wide, tight = widest_distance(similarity), widest_distance(similarity, 0, 1)
     words = [f"w{i}" for i in range(SKETCH_WORDS)]
     kind = docs.schema[id_col].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
-            fp, least, n = shingle_sketches(batch.column(1), words_per_shingle, anchors)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(least.view(np.int64)))
-            key = np.zeros(len(fp), U)
-            for word in fp.T:
-                key = mix(key * U(31) + word)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(key.view(np.int64)), lists, *(pa.array(w.view(np.int64)) for w in np.ascontiguousarray(fp.T))], names=["id", "fp", "anchors", *words])
+            fp, least, k, n, digest = shingle_sketches(batch.column(1), words_per_shingle, anchors)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(k)]).astype(np.int32)), pa.array(least.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest.view(np.int64)), pa.array(n.astype(np.int32)), lists, *(pa.array(w.view(np.int64)) for w in np.ascontiguousarray(fp.T))], names=["id", "fp", "n", "anchors", *words])
 
-    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(anchor, key, *long):
+    def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "text"):
+            h, n, digest = shingle_sets(batch.column(1), words_per_shingle)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(h.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), lists], names=["fp", "shingles"])
+
+    def matcher(first: bool):
+        def done(anchor, key, n, part, *long):
             if len(key) < 2:
                 return
             fp = np.stack(long, axis=1).view(U)
             head = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
             sizes = np.diff(np.append(head, len(key)))
-            few = (sizes > 1) & (sizes <= PAIRED)
-            rows = ragged(head[few], sizes[few])
-            for a, b in _pairs(fp[rows], pivot_table(fp[rows]), np.cumsum(sizes[few]) - sizes[few], sizes[few], bits) if len(rows) else ():
-                yield key[rows[a]], key[rows[b]]
-            for s, n in zip(head[sizes > PAIRED].tolist(), sizes[sizes > PAIRED].tolist()):
-                a, b = _forest(fp[s : s + n], bits)
-                yield key[s + a], key[s + b]
-
-        rest = None
-        for batch in batches:
-            new = [c.to_numpy() for c in batch.columns]
-            new = [np.concatenate(x) for x in zip(rest, new)] if rest else new
-            if not len(new[0]):
-                continue
-            same = np.flatnonzero(new[0] != new[0][-1])
-            stop = same[-1] + 1 if len(same) else 0
-            for a, b in done(*(x[:stop] for x in new)):
+            few = sizes <= PAIRED
+            for step in range(1, int(sizes[few].max(initial=1))) if first else ():
+                a = ragged(head[few & (sizes > step)], sizes[few & (sizes > step)] - step)
+                for lo in range(0, len(a), 1 << 18):
+                    i = a[lo : lo + (1 << 18)]
+                    i = i[_close(fp, n, i, i + step, wide, similarity)]
+                    yield key[i], key[i + step]
+            for s, size in zip(head[~few].tolist(), sizes[~few].tolist()):
+                own = slice(s, s + size)
+                if first:
+                    a, b = _forest(fp[own], n[own], tight, similarity)
+                    yield key[own][a], key[own][b]
+                    continue
+                for i in range(s, s + size - 1):
+                    later = slice(i + 1, s + size)
+                    b = np.flatnonzero((part[later] != part[i]) & _close(fp, n, i, later, wide, similarity)) + i + 1
+                    if len(b):
+                        yield np.full(len(b), key[i]), key[b]
+
+        def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            rest = None
+            for batch in batches:
+                new = [c.to_numpy() for c in batch.columns]
+                new = [np.concatenate(x) for x in zip(rest, new)] if rest else new
+                if not len(new[0]):
+                    continue
+                same = np.flatnonzero(new[0] != new[0][-1])
+                stop = same[-1] + 1 if len(same) else 0
+                for a, b in done(*(x[:stop] for x in new)):
+                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+                rest = [x[stop:] for x in new]
+            for a, b in done(*rest) if rest else ():
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-            rest = [x[stop:] for x in new]
-        for a, b in done(*rest) if rest else ():
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        return match
 
     own = carried(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
-    prints = cut(own.mapInArrow(sketch, f"id {kind}, fp long, anchors array<long>, " + ", ".join(f"{w} long" for w in words)).where("size(anchors) > 0"))
-    keyed = prints.select(F.explode("anchors").alias("anchor"), "fp", *words).distinct()
-    n = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    edges = keyed.repartition(n, "anchor").sortWithinPartitions("anchor", "fp").mapInArrow(match, "a long, b long").distinct()
-    roots = connected_components(edges)
+    prints = cut(own.mapInArrow(sketch, f"id {kind}, fp long, n int, anchors array<long>, " + ", ".join(f"{w} long" for w in words)).where("size(anchors) > 0"))
+    keyed = prints.select(F.explode("anchors").alias("anchor"), "fp", "n", *words).distinct()
+    n_parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+    def pairs(rows: DataFrame, first: bool) -> DataFrame:
+        dealt = rows.select("anchor", "fp", "n", "part", *words).repartition(n_parts, "anchor").sortWithinPartitions("anchor", "fp")
+        return dealt.mapInArrow(matcher(first), "a long, b long").distinct()
+
+    def verified(some: DataFrame) -> DataFrame:
+        """The pairs whose sets are that similar; texts are read again for the rows that pairs name, once for each set."""
+        need = cut(some.select(F.col("a").alias("fp")).union(some.select("b")).distinct())
+        named = prints.join(need, "fp").groupBy("fp").agg(F.min("id").alias("named")).select("named").distinct()
+        again = own.join(named, F.col("id").eqNullSafe(F.col("named")), "left_semi").mapInArrow(whole_sets, "fp long, shingles array<long>")
+        sets = cut(again.join(need, "fp", "left_semi").dropDuplicates(["fp"]))
+        both = some.join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
+        shared = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("total"))
+        return cut(shared.where(F.col("shared") >= similarity * (F.col("total") - F.col("shared")) - 1e-9).select("a", "b"))
+
+    tried = cut(pairs(keyed.withColumn("part", F.col("fp")), True))
+    roots = connected_components(verified(tried))
+    hot = cut(keyed.groupBy("anchor").count().where(F.col("count") > PAIRED).select("anchor"))
+    if not hot.isEmpty():
+        parted = keyed.join(hot, "anchor", "left_semi").join(roots, F.col("fp") == F.col("node"), "left").withColumn("part", F.coalesce("root", "fp"))
+        more = cut(pairs(parted, False).join(tried, ["a", "b"], "left_anti"))
+        if not more.isEmpty():
+            roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verified(more)))
     distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
     member = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = member.groupBy("root").agg(F.min("least").alias("component_id"))

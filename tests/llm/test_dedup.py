@@ -174,3 +174,29 @@ def test_similar_groups_edges(spark):
     assert similar_groups(docs.limit(0)).count() == 0
     both = merged(near_duplicates(docs), out)
     assert {tuple(r) for r in both.collect()} == {(2, 1), (3, 1)} and keep_one(docs, both).count() == 4
+
+
+def edited(rnd, words, n):
+    w = list(words)
+    for i in rnd.sample(range(len(w)), n):
+        w[i] = f"z{rnd.getrandbits(40)}"
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("size, edits, copies", [(104, (1, 2, 3, 4), 60), (12, (0, 1), 60), (300, (4, 7, 10, 14), 150)])
+def test_similar_groups_are_those_of_exact_similarity(spark, size, edits, copies):
+    rnd = random.Random(size)
+    texts = []
+    for g in range(6 if copies < 100 else 1):  # around the threshold, in small and in large buckets
+        base = [f"b{g}_{i}" for i in range(size)]
+        texts += [edited(rnd, base, rnd.choice(edits)) for _ in range(copies if g % 2 == 0 else 5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    got = dict(map(tuple, similar_groups(docs).collect()))
+    assert len(set(root)) > 6 and got == dict(enumerate(root))
