@@ -1,8 +1,9 @@
 """Ids of whole texts by the tokenizers library, at the cost of its distinct units.
 
 A text whose bytes are plain (ASCII, white space and the letters U+00C0 to U+00FF) is cut at places that no token of the
-tokenizer crosses; each distinct unit is encoded once by the library and remembered by its worker. Any other text goes
-to the library whole. Both ways give the ids of encode(text, add_special_tokens=False).
+tokenizer crosses; each distinct unit is encoded once by the library and remembered by its worker. Any other text, and
+any with the content of an added token such as <|endoftext|> in any case, goes to the library whole. Both ways give the
+ids of encode(text, add_special_tokens=False) by the tokenizer as it is loaded.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = sorted({t.content.strip().encode().lower() for t in self.tokenizer.get_added_tokens_decoder().values()} - {b""})
         self.drops_space = drops_space
         self.forget()
 
@@ -55,6 +56,21 @@ class Encoder:
                 sizes.append(len(e.ids))
         return np.array(ids, np.uint32), np.array(sizes, np.int64)
 
+    def has_added(self, block: TextBlock) -> np.ndarray:
+        """Which texts hold the content of an added token, whatever its case."""
+        out = np.zeros(block.n, bool)
+        data = LOWER[block.data].tobytes()
+        for content in self.added:
+            at = data.find(content)
+            while at >= 0:
+                doc = int(np.searchsorted(block.off, at, side="right")) - 1
+                if at + len(content) <= block.off[doc + 1]:
+                    out[doc] = True
+                    at = data.find(content, int(block.off[doc + 1]))
+                else:
+                    at = data.find(content, at + 1)
+        return out
+
     def units(self, block: TextBlock) -> tuple[np.ndarray, np.ndarray]:
         """Starts and ends of the units of plain texts."""
         d, n = block.data, len(block.data)
@@ -112,7 +128,7 @@ class Encoder:
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids end to end, count of each text); null texts count as empty."""
         block = TextBlock.of(text)
-        plain = plain_texts(block)
+        plain = plain_texts(block) & ~self.has_added(block)
         sizes = np.diff(block.off)
         counts = np.zeros(block.n, np.int64)
         own = TextBlock(block.data[ragged(block.off[:-1][plain], sizes[plain])] if not plain.all() else block.data, np.concatenate([[0], np.cumsum(sizes[plain])]))

@@ -159,3 +159,32 @@ def test_encode_and_decode_tables(spark):
     out = sentencepieces.decode(sentencepieces.encode(docs, MODEL), MODEL)
     assert {r.doc_id: r.decoded for r in out.collect()} == {i: t or "" for i, t in enumerate(EDGE + ["é" * 5000])}
     assert sentencepieces.encode(docs.limit(0), MODEL).count() == 0
+
+
+@pytest.mark.parametrize("name, drops", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_added_tokens_are_those_of_the_tokenizer_as_loaded(name, drops):
+    path = public_tokenizers.path(name)
+    untouched = Tokenizer.from_file(path)
+    added = [t.content for t in untouched.get_added_tokens_decoder().values()]
+    texts = EDGE + random_texts(200, 50) + ["<|startoftext|>", "a<|endof", "text|>b", "<|ENDOFTEXT|> x", "é <|endoftext|>\n", "€<|endoftext|><|endoftext|>"]
+    texts += [f"{a}{t}{b}" for t in added for a in ("", "no ", "x") for b in ("", " yes", "y\n")]
+    ids, counts = Encoder(path, drops).encode(pa.array(texts))
+    at = np.cumsum(counts) - counts
+    for t, a, n in zip(texts, at, counts):
+        assert ids[a : a + n].tolist() == untouched.encode(t or "", add_special_tokens=False).ids, t
+
+
+def test_token_files_and_packing_use_the_tokenizer_as_loaded(spark, tmp_path):
+    texts = EDGE + random_texts(40, 200) + ["one <|endoftext|> two", "<|startoftext|>é<|ENDOFTEXT|>"]
+    docs = docs_of(spark, texts)
+    words, pieces = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
+    token_store.write_sequences(docs, str(tmp_path), words, 1, True, length=64)
+    want, start, rows = set(), 0, sorted((r.doc_id, r.text) for r in docs.collect())
+    for doc_id, text in rows:
+        ids = Tokenizer.from_file(words).encode(text or "", add_special_tokens=False).ids + [1]
+        want.add((doc_id, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert {tuple(r) for r in token_store.read_documents(spark, str(tmp_path)).collect()} == want
+    packed = packing.pack_documents(docs, pieces).select("doc_id", "length", "ids_crc32")
+    own = {i: Tokenizer.from_file(pieces).encode(t or "", add_special_tokens=False).ids + [0] for i, t in rows}
+    assert {tuple(r) for r in packed.collect()} == {(i, len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in own.items()}
