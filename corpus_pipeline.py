@@ -33,9 +33,9 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of least doc_id of each near-duplicate group: fingerprints within two bits, or texts whose five-word
-    shingles are similar to 0.8 or more."""
-    return simhash.keep_one(docs, simhash.merged(simhash.near_duplicates(docs), simhash.similar_groups(docs)))
+    """The document of least doc_id (nulls last) of each near-duplicate group: fingerprints within two bits, or texts
+    whose five-word shingles are similar to 0.8 or more. Repeated rows are one."""
+    return simhash.one_of_each(docs)
 
 
 def remove_repeated_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -399,3 +399,25 @@ def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> Data
     """docs without the rows that `groups` assigns to a component of a smaller id; rows of a null id stay."""
     extra = groups.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col)).distinct()
     return docs.join(extra, id_col, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """docs with exactly one row of each group that near_duplicates() and similar_groups() together connect.
+
+    Groups go by texts, so null ids and ids of several rows are rows like others. The row of least id stays, null ids
+    last, then that of the least digest of its columns; of rows that agree in all columns one stays. An empty table
+    gives an empty result.
+    """
+    whole = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))])
+    keyed = docs.withColumn("__text", F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))).withColumn("__row", F.concat("__text", F.hex(whole)))
+    groups = merged(near_duplicates(keyed, id_col="__text", text=text), similar_groups(keyed, id_col="__text", text=text), "__text")
+    rows = keyed.groupBy("__text", "__row").agg(F.min(F.col(f"`{id_col}`")).alias("id"), F.count("*").alias("copies"))
+    member = cut(rows.join(groups, "__text", "left").withColumn("group", F.coalesce("component_id", "__text")).select("group", "__row", "id", "copies"))
+    best = member.groupBy("group").agg(F.min(F.struct(F.isnull("id").alias("without"), "id", "__row")).alias("best")).select(F.col("best.__row").alias("__row"))
+    stays = member.join(best.withColumn("best", F.lit(True)), "__row", "left").select("__row", F.coalesce("best", F.lit(False)).alias("best"), "copies")
+    apart = cut(stays.where("not best or copies > 1").select("__row", "best"))
+    out = keyed.join(apart.select("__row"), "__row", "left_anti")
+    again = apart.where("best").select("__row")
+    if not again.isEmpty():
+        out = out.unionByName(keyed.join(again, "__row", "left_semi").dropDuplicates(["__row"]))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -50,3 +50,21 @@ def test_registry():
     names = set(__spark_entry__.queries())
     assert {f"op{n}_" for n in range(1, 11)} == {n[: n.index("_") + 1] for n in names if n.startswith("op")} and "pipeline" in names
     assert set(__spark_entry__.oracle_sql()) <= names
+
+
+def test_repeated_rows_and_null_ids_leave_one_document(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    body = " ".join(f"the house number {i} stands beside the river and people of the town walk there" for i in range(12))
+    near = body.replace("number 7 ", "number seventy ")
+    other = " ".join(f"in summer the garden of family {i} is full of roses that grow over the old wall" for i in range(12))
+    rows = [(10**9 + 3, body), (10**9 + 3, body), (None, body), (None, body), (10**9 + 9, near), (None, other), (None, other), (10**9 + 3, other + " at last"), (10**9 + 3, "12 34")]
+    odd = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], docs.schema)
+    alone = corpus_pipeline.remove_near_duplicates(spark, odd, SF).collect()
+    assert sorted((r.doc_id, r.text) for r in alone) == sorted([(10**9 + 3, body), (10**9 + 3, other + " at last"), (10**9 + 3, "12 34")])
+    now = docs.limit(300).unionByName(odd.where("text <> '12 34'"))
+    for _, stage in corpus_pipeline.STAGES[:-2]:
+        now = stage(spark, now, SF)
+    assert sorted((r.doc_id, r.text) for r in now.where("doc_id >= 1000000000 or doc_id is null").collect()) == sorted([(10**9 + 3, body), (10**9 + 3, other + " at last")])
+    now = corpus_pipeline.remove_repeated_substrings(spark, now, SF)
+    assert sorted(r.text for r in now.where("doc_id >= 1000000000").collect()) == sorted([body, other + " at last"])
+    assert corpus_pipeline.pack_sequences(spark, now, SF).where("doc_id >= 1000000000 and length < 100").count() == 0
