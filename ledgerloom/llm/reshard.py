@@ -147,25 +147,45 @@ def assign(rows: DataFrame, n_shards: int = 40, order: tuple[str, ...] = ("doc_i
     return out.withColumn("moved", F.col("shard") != F.col("old_shard")).drop("__bucket", "__fine")
 
 
+def _row_hash(docs: DataFrame) -> Column:
+    """Hash of all columns of a row; rows that agree in it, their size and their text's CRC count as copies."""
+    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if kind.startswith(("map", "variant")) else F.col(f"`{c}`") for c, kind in docs.dtypes])
+
+
+def _body(text: str) -> Column:
+    return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
+
+
 def reshard(docs: DataFrame, old_shard: Column, n_shards: int = 40, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id_col, size, text_crc32, old_shard, shard, slot, moved) of every document.
+    """(id_col, size, text_crc32, row_hash, old_shard, shard, slot, moved) of every document.
 
     size is the UTF-8 bytes of the text (null: none) plus OVERHEAD; old_shard gives the present shard of a row (null: 0).
     """
-    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), (F.octet_length(body) + OVERHEAD).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.coalesce(old_shard, F.lit(0)).cast("int").alias("old_shard")
-    )
-    return assign(cut(rows), n_shards).withColumnRenamed("doc_id", id_col)
+        F.col(f"`{id_col}`").alias("doc_id"), (F.octet_length(_body(text)) + OVERHEAD).cast("long").alias("size"), F.crc32(_body(text)).alias("text_crc32"), _row_hash(docs).alias("row_hash"),
+        F.coalesce(old_shard, F.lit(0)).cast("int").alias("old_shard"),
+    )
+    return assign(cut(rows), n_shards, ("doc_id", "text_crc32", "row_hash")).withColumnRenamed("doc_id", id_col)
+
+
+def affected(placed: DataFrame) -> DataFrame:
+    """(shard) of the shards that gain or lose a row."""
+    return placed.where("moved").select(F.col("old_shard").alias("shard")).union(placed.where("moved").select("shard")).distinct()
 
 
-def rewrite(docs: DataFrame, placed: DataFrame, folder: str | None = None, id_col: str = "doc_id") -> str:
+def rewrite(docs: DataFrame, placed: DataFrame, folder: str | None = None, id_col: str = "doc_id", text: str = "text") -> str:
     """Write docs below `folder`, one directory for each shard that gains or loses a row, and return the folder.
 
-    Rows keep all their columns; shard and slot are added. Needs unique ids.
+    Rows keep all their columns; shard and slot are added. Rows find their places by their content, whatever their id:
+    of rows that agree in all columns one is joined to all their places.
     """
     folder = folder or new_folder(docs.sparkSession, "shards")
-    gone = placed.where("moved").select(F.col("old_shard").alias("shard")).union(placed.where("moved").select("shard")).distinct()
-    touched = placed.join(F.broadcast(gone), "shard", "left_semi").select(F.col(f"`{id_col}`"), "shard", "slot")
-    without(docs, "shard", "slot").join(touched, id_col).repartition("shard", F.expr("slot div 50000")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
+    key = ["__hash", "__crc", "__size"]
+    touched = placed.join(F.broadcast(affected(placed)), "shard", "left_semi").select(F.col("row_hash").alias("__hash"), F.col("text_crc32").alias("__crc"), F.col("size").alias("__size"), "shard", "slot")
+    copies = cut(placed.groupBy("row_hash", "text_crc32", "size").count().where("count > 1").toDF(*key, "__copies").select(key))
+    keyed = docs.withColumns({"__hash": _row_hash(docs), "__crc": F.crc32(_body(text)), "__size": (F.octet_length(_body(text)) + OVERHEAD).cast("long")})
+    keyed = without(keyed, "shard", "slot")
+    if not copies.isEmpty():
+        keyed = keyed.join(copies, key, "left_anti").unionByName(keyed.join(copies, key, "left_semi").dropDuplicates(key))
+    keyed.join(touched, key).drop(*key).repartition("shard", F.expr("slot div 50000")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
     return folder
