@@ -63,3 +63,11 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() == 10
     assert set(catalog.ORACLE_SQL) <= set(catalog.QUERIES)
+
+
+def test_token_subsequence_looks_at_whole_items(spark, tmp_path):
+    head = "a1 b2 c3 d4 e5 f6 g7 h8"
+    spark.createDataFrame([(1, head + " i9"), (2, head + " j10"), (3, head)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([(1, head), (2, f"x {head} y i9 z"), (3, f"j10 {head}"), (4, f"{head} j10 i9")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {tuple(r) for r in catalog.QUERIES["token_subsequence"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 2), (1, 4), (2, 4), (3, 1), (3, 2), (3, 3), (3, 4)}
