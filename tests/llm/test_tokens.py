@@ -175,7 +175,7 @@ def test_added_tokens_are_those_of_the_tokenizer_as_loaded(name, drops):
 
 
 def test_token_files_and_packing_use_the_tokenizer_as_loaded(spark, tmp_path):
-    texts = EDGE + random_texts(40, 200) + ["one <|endoftext|> two", "<|startoftext|>é<|ENDOFTEXT|>"]
+    texts = EDGE + random_texts(41, 200) + ["one <|endoftext|> two", "<|startoftext|>é<|ENDOFTEXT|>"]
     docs = docs_of(spark, texts)
     words, pieces = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("byte_bpe_50k.json")
     token_store.write_sequences(docs, str(tmp_path), words, 1, True, length=64)
