@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .cluster import carried, without
-from .textblocks import NEWLINE, SPACE, TextBlock, U, mix, powers, small_batches, span_hash, windows
+from .textblocks import NEWLINE, SPACE, TextBlock, U, mix, small_batches, span_hash, windows
 
 #: The characters that count as symbols.
 SYMBOLS = np.zeros(256, bool)
@@ -90,7 +90,11 @@ def text_counts(text: pa.Array) -> dict[str, np.ndarray]:
 
 
 def statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs' other columns with COUNTS (long) added; input columns of those names are replaced."""
+    """docs' other columns with COUNTS (long) added; input columns of those names are replaced.
+
+    Null and empty texts count zero of everything; very long ones are one block of their own. Repeated rows are counted
+    each on its own. An empty table gives an empty result.
+    """
     base = without(carried(docs), *COUNTS)
     keep = [c for c in base.columns if c != text]
     at = base.columns.index(text)
@@ -212,11 +216,13 @@ def verdict(rules: list[Rule]) -> Column:
 def learn_from(stats: DataFrame, labels: DataFrame, most: int = 20_000, id_col: str = "doc_id", label: str = "quality") -> list[Rule]:
     """Rules from the statistics of at most `most` labelled rows (least id hash); label 0 is bad.
 
-    Texts that the base rules reject teach nothing: the list decides only on the others.
+    Texts that the base rules reject teach nothing: the list decides only on the others. An id with several labels has
+    the largest; of several texts with one id that of the least statistics teaches.
     """
-    few = labels.where(F.col(label).isNotNull()).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label}`").alias("__label")).dropDuplicates(["__id"]).orderBy(F.xxhash64("__id"), "__id").limit(most)
+    few = labels.where(F.col(label).isNotNull()).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label}`").alias("__label")).groupBy("__id").agg(F.max("__label").alias("__label")).orderBy(F.xxhash64("__id"), "__id").limit(most)
     own = stats.join(F.broadcast(few), F.col(f"`{id_col}`") == F.col("__id")).where(~base_failed())
-    pdf: pd.DataFrame = own.orderBy(F.xxhash64("__id"), "__id").select("__label", *[measure(m).alias(m) for m in MEASURES]).toPandas()
+    one = own.groupBy("__id").agg(F.min("__label").alias("__label"), F.min(F.struct(*[measure(m).alias(m) for m in MEASURES])).alias("m")).orderBy(F.xxhash64("__id"), "__id")
+    pdf: pd.DataFrame = one.select("__label", "m.*").toPandas()
     return learn({m: pdf[m].to_numpy(float) for m in MEASURES}, (pdf["__label"].to_numpy() == 0)) if len(pdf) else []
 
 

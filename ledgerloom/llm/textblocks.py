@@ -1,20 +1,26 @@
 """Vectorised views of text columns inside Arrow tasks.
 
 A TextBlock lays a few megabytes of texts end to end as bytes and finds words, lines and their 64-bit hashes with
-numpy, so that per-word work costs nanoseconds. Hashes are polynomial prefix sums modulo 2^64 over random byte values,
-finished by a bit mixer; equal spans always hash alike, different spans collide with a chance of about 2^-64.
+numpy, so that per-word work costs nanoseconds. A span's hash is its XXH64. Windows of words are hashed by a rolling
+polynomial over the prime field of 2^61 - 1 with fixed bases drawn at random, so that no pattern of words cancels out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
-U = np.uint64
-CHUNK = 1 << 18
-BASE = U(0x9E3779B97F4A7C15 | 1)
+from .xxh64 import U, hash_spans
+
+SPAN_SEED = 0x1F3D5B79
+PRIME = (1 << 61) - 1
+#: Fixed values, drawn once at random: bases of the rolling window hashes.
+WINDOW_BASES = (0x15F0A3C6E49B7D21, 0x0B7E62D94F1C8A53)
+#: Words whose windows are rolled at once; longer runs of words go in pieces that overlap.
+ROLLED = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,20 +34,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64."""
-    out = np.full(n, base, dtype=U)
-    if n:
-        out[0] = 1
-        np.multiply.accumulate(out, out=out)
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo PRIME, for any 64-bit x."""
+    x = (x & U(PRIME)) + (x >> U(61))
+    return np.where(x >= U(PRIME), x - U(PRIME), x)
+
+
+def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a * b modulo PRIME, for values below it."""
+    low, shift = U((1 << 31) - 1), U(31)
+    a0, a1, b0, b1 = a & low, a >> shift, b & low, b >> shift
+    mid = a1 * b0
+    mid += a0 * b1
+    out = a0 * b0  # each term stays below 2^62, their sum below 2^64
+    out += (a1 * b1) << U(1)
+    out += mid >> U(30)
+    out += (mid & U((1 << 30) - 1)) << shift
+    return _reduced(out)
+
+
+@cache
+def field_powers(base: int, n: int) -> np.ndarray:
+    """base^0 .. base^(n-1) modulo PRIME."""
+    out = np.ones(n, U)
+    have = 1
+    while have < n:
+        more = min(have, n - have)
+        out[have : have + more] = times(out[:more], np.array(pow(base, have, PRIME), U))
+        have += more
     return out
 
 
-INVERSE = pow(int(BASE), -1, 1 << 64)
-BYTE_VALUE = mix(np.arange(1, 257, dtype=U) * U(0xD1342543DE82EF95)) | U(1)
-POW, INV = powers(int(BASE), CHUNK), powers(INVERSE, CHUNK)
-POW_CHUNK, INV_CHUNK = pow(int(BASE), CHUNK, 1 << 64), pow(INVERSE, CHUNK, 1 << 64)
-
 #: The separators of words in every contract here, \x20 and \x09-\x0D.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -55,30 +78,8 @@ NOT_TERM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] =
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of data[start:end] for spans whose starts and ends both ascend; any length of data, bounded extra memory."""
-    at_start, at_end = np.zeros(len(starts), U), np.zeros(len(starts), U)
-    carry, scale = U(0), 1
-    prefix, v, p = np.zeros(CHUNK + 1, U), np.empty(CHUNK, U), np.empty(CHUNK + 1, U)
-    bounds = np.arange(0, len(data) + CHUNK, CHUNK)
-    s_cut, e_cut = np.searchsorted(starts, bounds), np.searchsorted(ends, bounds + 1)
-    e_cut[0] = 0
-    for k in range(len(bounds) - 1):
-        part = data[bounds[k] : bounds[k] + CHUNK]
-        n = len(part)
-        np.take(BYTE_VALUE, part, out=v[:n], mode="clip")
-        np.multiply(v[:n], POW[:n], out=v[:n])
-        np.cumsum(v[:n], out=prefix[1 : n + 1])
-        np.multiply(prefix[: n + 1], U(scale), out=p[: n + 1])
-        p[: n + 1] += carry
-        s, e = slice(s_cut[k], s_cut[k + 1]), slice(e_cut[k], e_cut[k + 1])
-        at_start[s] = p[starts[s] - bounds[k]]
-        at_end[e] = p[ends[e] - bounds[k]]
-        carry, scale = p[n], scale * POW_CHUNK % (1 << 64)
-    h = at_end - at_start
-    h *= INV[starts % CHUNK]
-    if len(data) > CHUNK:
-        h *= powers(INV_CHUNK, len(bounds))[starts // CHUNK]
-    return mix(h + (ends - starts).astype(U) * U(0xA24BAED4963EE407))
+    """64-bit hash of data[start:end] for each span."""
+    return hash_spans(data, starts, ends, SPAN_SEED)
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -166,17 +167,35 @@ class TextBlock:
         return pa.LargeStringArray.from_buffers(self.n, pa.py_buffer(self.off), pa.py_buffer(np.ascontiguousarray(self.data)))
 
 
-def windows(hashes: np.ndarray, first: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rolling hash of every `width` consecutive words of one text: (index of the first word, hash)."""
+def _rolled(values: np.ndarray, width: int, base: int) -> np.ndarray:
+    """Polynomial hash of every `width` consecutive values (below PRIME, at most ROLLED + width of them)."""
+    n = len(values)
+    size = 1 << max(10, (n - 1).bit_length())
+    terms = times(values, field_powers(base, size)[:n])
+    low, high = np.zeros(n + 1, U), np.zeros(n + 1, U)
+    np.cumsum(terms & U(0xFFFFFFFF), out=low[1:])
+    np.cumsum(terms >> U(32), out=high[1:])
+    total = _reduced((high >> U(29)) + ((high & U((1 << 29) - 1)) << U(32)) + _reduced(low))
+    part = total[width:] + (U(PRIME) - total[:-width])
+    return times(_reduced(part), field_powers(pow(base, -1, PRIME), size)[: n - width + 1])
+
+
+def windows(hashes: np.ndarray, first: np.ndarray, width: int, base: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Rolling hash of every `width` consecutive words of one text: (index of the first word, hash below 2^61).
+
+    `base` names one of WINDOW_BASES; hashes by different bases are independent.
+    """
     n = len(hashes) - width + 1
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, U)
-    inv = powers(INVERSE, len(hashes))
-    total = np.zeros(len(hashes) + 1, U)
-    np.cumsum(hashes * powers(int(BASE), len(hashes)), out=total[1:])
+    values = _reduced(hashes)
+    h = np.empty(n, U)
+    for lo in range(0, n, ROLLED):
+        hi = min(lo + ROLLED, n)
+        h[lo:hi] = _rolled(values[lo : hi + width - 1], width, WINDOW_BASES[base])
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     at = np.flatnonzero(doc[:n] == doc[width - 1 :])
-    return at, mix((total[at + width] - total[at]) * inv[at])
+    return at, h[at]
 
 
 def small_batches(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -17,6 +17,7 @@ from .textblocks import LOWER, SPACE, TextBlock, U, ragged, span_hash
 
 #: Units that one worker remembers; beyond it the memory starts anew, which costs time only.
 REMEMBERED = 1_500_000
+REMEMBERED_BYTES = 32 << 20
 PLAIN = np.zeros(256, bool)
 PLAIN[[*range(9, 14), *range(32, 127), *range(0x80, 0xC0), 0xC3]] = True
 LETTER = np.zeros(256, bool)
@@ -46,6 +47,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.keys, self.at, self.size, self.flat = np.zeros(0, U), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self.begin, self.length, self.bytes = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint8)
 
     def library(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids end to end, count of each text)."""
@@ -104,9 +106,9 @@ class Encoder:
         return at, np.append(at[1:], n)
 
     def remembered(self, d: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Per unit its place and count in self.flat."""
+        """Per unit its place and count in self.flat. Units are found by hash and compared by their bytes."""
         keys, index, inverse = np.unique(span_hash(d, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) + len(keys) > REMEMBERED:
+        if len(self.keys) + len(keys) > REMEMBERED or len(self.bytes) > REMEMBERED_BYTES:
             self.forget()
         near = np.searchsorted(self.keys, keys)
         known = np.zeros(len(keys), bool)
@@ -114,16 +116,40 @@ class Encoder:
             known = self.keys[np.minimum(near, len(self.keys) - 1)] == keys
         new = np.flatnonzero(~known)
         if len(new):
-            view = memoryview(np.ascontiguousarray(d))
-            ids, sizes = self.library([str(view[a:b], "utf-8") for a, b in zip(starts[index[new]].tolist(), ends[index[new]].tolist())])
-            at = np.cumsum(sizes) - sizes + len(self.flat)
+            a, b = starts[index[new]], ends[index[new]]
+            at, sizes = self._taken(d, a, b)
             order = np.argsort(np.concatenate([self.keys, keys[new]]), kind="stable")
             self.keys = np.concatenate([self.keys, keys[new]])[order]
             self.at = np.concatenate([self.at, at])[order]
             self.size = np.concatenate([self.size, sizes.astype(np.int32)])[order]
-            self.flat = np.concatenate([self.flat, ids])
+            self.begin = np.concatenate([self.begin, np.cumsum(b - a) - (b - a) + len(self.bytes)])[order]
+            self.length = np.concatenate([self.length, b - a])[order]
+            self.bytes = np.concatenate([self.bytes, d[ragged(a, b - a)]])
         place = np.searchsorted(self.keys, keys)[inverse]
-        return self.at[place], self.size[place].astype(np.int64)
+        at, size = self.at[place], self.size[place].astype(np.int64)
+        other = self._others(d, starts, ends, place)
+        if len(other):  # two units of one hash: this one isn't the remembered one
+            at[other], size[other] = self._taken(d, starts[other], ends[other])
+        return at, size
+
+    def _taken(self, d: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Units encoded by the library: their places and counts in self.flat, to which their ids are added."""
+        view = memoryview(np.ascontiguousarray(d))
+        ids, sizes = self.library([str(view[a:b], "utf-8") for a, b in zip(starts.tolist(), ends.tolist())])
+        at = np.cumsum(sizes) - sizes + len(self.flat)
+        self.flat = np.concatenate([self.flat, ids])
+        return at, sizes
+
+    def _others(self, d: np.ndarray, starts: np.ndarray, ends: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Units whose bytes aren't those remembered at their place."""
+        size = ends - starts
+        differs = size != self.length[place]
+        for lo in range(0, len(starts), 1 << 17):
+            own = np.flatnonzero(~differs[lo : lo + (1 << 17)]) + lo
+            unlike = d[ragged(starts[own], size[own])] != self.bytes[ragged(self.begin[place[own]], size[own])]
+            if unlike.any():
+                differs[own[np.searchsorted(np.cumsum(size[own]), np.flatnonzero(unlike), side="right")]] = True
+        return np.flatnonzero(differs)
 
     def encode(self, text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids end to end, count of each text); null texts count as empty."""

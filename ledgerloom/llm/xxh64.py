@@ -5,8 +5,7 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
-from .textblocks import U
-
+U = np.uint64
 #: Fixed values of the XXH64 specification.
 PRIME_1 = U(11400714785074694791)
 PRIME_2 = U(14029467366897019727)
