@@ -6,17 +6,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .cluster import cut
+
 
 def fold(id_col: str, n: int) -> Column:
     """crc32 of the id as text, modulo n; null for a null id."""
     return F.crc32(F.col(f"`{id_col}`").cast("string").cast("binary")) % n
 
 
-def sample(docs: DataFrame, rows: DataFrame, label: str, most: int, id_col: str = "doc_id", text: str = "text") -> pa.Table:
-    """Texts and labels of at most `most` labelled ids (those of least id hash): columns text, label.
+def sample(docs: DataFrame, rows: DataFrame, label: str, most: int, id_col: str = "doc_id", text: str = "text", most_bytes: int = 128 << 20) -> pa.Table:
+    """Texts and labels of at most `most` labelled ids and `most_bytes` bytes of text: columns text, label.
 
-    rows has id_col and label. Only ids are ranked; the `most` chosen ones are a broadcast of bounded size.
+    rows has id_col and label. Ids are taken by ascending hash as long as their texts fit. An id with several labels has
+    the largest; of several texts with one id that of the least hash is taken. Ids without a label or text take no part.
     """
-    few = rows.where(F.col(label).isNotNull()).select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{label}`").alias("label")).dropDuplicates(["__id"]).orderBy(F.xxhash64("__id"), "__id").limit(most)
-    own = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null")
-    return own.join(F.broadcast(few), "__id").orderBy("__id").select("text", "label").toArrow()
+    few = rows.where(F.col(label).isNotNull()).groupBy(F.col(f"`{id_col}`").alias("__id")).agg(F.max(F.col(f"`{label}`")).alias("label")).orderBy(F.xxhash64("__id"), "__id").limit(most)
+    own = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null").join(F.broadcast(few), "__id")
+    one = own.groupBy("__id", "label").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))
+    one = cut(one.select(F.xxhash64("__id").alias("rank"), "__id", F.octet_length("t.text").cast("long").alias("size"), "t.text", "label"))
+    sizes = one.select("rank", "size").toPandas().sort_values(["rank", "size"])
+    fits = sizes[sizes["size"].cumsum() <= most_bytes]
+    if len(fits) < len(sizes):
+        one = one.where(F.col("rank") <= int(fits["rank"].max()) if len(fits) else F.lit(False))
+    table = one.select("rank", "__id", "text", "label").toArrow()
+    return table.sort_by([("rank", "ascending"), ("__id", "ascending")]).select(["text", "label"])

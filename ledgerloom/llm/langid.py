@@ -25,18 +25,16 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12
 UNKNOWN = "und"
-#: Classes of bytes: 0 padding and control, 1 white space, 2 digits, 3 punctuation, 4-29 letters without case, 30 other
-#: lead bytes, 31 the lead byte of U+00C0 to U+00FF, 32-95 continuation bytes.
-CLASSES = 96
+#: Classes of bytes: 0 padding and control, 1 white space, 2 digits, 3 punctuation, 4-29 letters without case; each byte
+#: beyond ASCII is a class of its own.
+CLASSES = 158
 CLASS = np.zeros(256, np.uint8)
 CLASS[[9, 10, 11, 12, 13, 32]] = 1
 CLASS[33:127] = 3
 CLASS[48:58] = 2
 CLASS[65:91] = np.arange(4, 30)
 CLASS[97:123] = np.arange(4, 30)
-CLASS[0x80:0xC0] = np.arange(32, 96)
-CLASS[0xC0:] = 30
-CLASS[0xC3] = 31
+CLASS[0x80:] = np.arange(30, 158)
 
 
 @dataclass
@@ -109,8 +107,8 @@ def probabilities(net: Network, c: np.ndarray, tables, step: int = 128) -> np.nd
     return out
 
 
-def fit(labelled: pa.Table, windows_per_text: int = 2, epochs: int = 5, batch: int = 64, rate: float = 0.01) -> Network:
-    """Train on windows spread evenly over each labelled text, by Adam; one language or none gives a constant."""
+def fit(labelled: pa.Table, epochs: int = 3, batch: int = 64, rate: float = 0.01) -> Network:
+    """Train on all windows of each labelled text, by Adam; one language or none gives a constant."""
     languages = sorted(set(labelled.column("label").to_pylist()))
     rng = np.random.default_rng(11)
     n_out = len(WIDTHS) * FILTERS
@@ -124,10 +122,6 @@ def fit(labelled: pa.Table, windows_per_text: int = 2, epochs: int = 5, batch: i
         return net()
     block = TextBlock.of(labelled.column("text"))
     starts, sizes, doc = windows_of(block)
-    count = np.bincount(doc, minlength=block.n)[doc]
-    k = np.arange(len(doc)) - np.searchsorted(doc, doc)
-    picked = (k * windows_per_text) // np.maximum(count, 1) != ((k - 1) * windows_per_text) // np.maximum(count, 1)
-    starts, sizes, doc = starts[picked], sizes[picked], doc[picked]
     index = {v: i for i, v in enumerate(languages)}
     y = np.array([index[v] for v in labelled.column("label").to_pylist()])[doc]
     state = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
@@ -186,10 +180,10 @@ def predict(net: Network, text: pa.Array, tables) -> tuple[list[str], np.ndarray
     return [net.languages[b] if h else UNKNOWN for b, h in zip(best.tolist(), has.tolist())], score
 
 
-def train(docs: DataFrame, most: int = 4000, where: Column | None = None, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> Network:
-    """Fit on at most `most` texts of a known language; `where` restricts them."""
+def train(docs: DataFrame, most: int = 4000, most_bytes: int = 4 << 20, where: Column | None = None, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> Network:
+    """Fit on at most `most` whole texts of a known language, `most_bytes` bytes in all; `where` restricts them."""
     rows = docs if where is None else docs.where(where)
-    return fit(sample(docs, rows, lang, most, id_col, text))
+    return fit(sample(docs, rows, lang, most, id_col, text, most_bytes))
 
 
 def language(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
