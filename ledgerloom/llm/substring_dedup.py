@@ -1,20 +1,21 @@
 """Substring dedup: Rabin-Karp hashes of every window of words, counted in Spark, merged into removal intervals.
 
-1. Texts are dealt into blocks of a few megabytes by a hash of their content. Each block rolls a 64-bit Rabin-Karp
-   hash over every window of `width` words, and sends its distinct hashes, sorted and cut into buckets of equal hash
-   ranges, as packed bytes with one bit for "twice or more in this block". That is the partial count: however often
-   one window occurs, a block sends it once.
-2. Each bucket meets all blocks' hashes of its range, counts them, and answers every block with a bitmap in the order
-   in which the block sent them.
-3. Each block rolls its hashes again, looks the answers up, and merges the repeated windows of each text into maximal
-   intervals of words, which it removes.
-
-Memory: a block, or a bucket's hashes, at a time; both have a fixed expected size, and their number grows with the
-input. Two different windows share a hash with a chance of 2^-64: n windows lose about n / 2^64 of theirs wrongly.
+1. Texts are dealt into blocks of a few megabytes. Each block rolls the hash of every window of `width` words and sends
+   its distinct hashes, one row each, with a bit for "twice or more in this block". That is the partial count: however
+   often one window occurs, a block sends it once, so no hash has more rows than there are blocks.
+2. Rows of one hash lie together after one shuffle and one sort, and are read as a stream: a hash with two rows, or a
+   set bit, is repeated and goes back to the blocks that sent it.
+3. Each block rolls its hashes again and merges the repeated windows of each text into maximal intervals of words, which
+   it removes.
+
+Messages grow with the number of windows, memory with a block. Windows are equal if 88 bits of two independent rolling
+hashes over a prime field agree; 10^13 windows have about one chance in five of a single wrong pair among them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,32 +23,22 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .cluster import carried, parts, text_bytes, without
-from .textblocks import TextBlock, U, span_hash, windows
+from .textblocks import TextBlock, U, mix, span_hash, windows
 
 BLOCK_BYTES = 6 << 20
-BUCKET_BYTES = 24 << 20
+#: Bits of the second hash in a message; the block's number and the bit for "twice" follow them.
+CHECK_BITS = 24
+BLOCK_BITS = 64 - CHECK_BITS - 1
 
 
 def _hashed(text: pa.ChunkedArray, width: int):
+    """(block, words, first word of each window, 64 bits of hash, CHECK_BITS bits of the second hash)."""
     block = TextBlock.of(text)
     words = block.spans()
-    at, h = windows(span_hash(block.data, words[0], words[1]), words[2], width)
-    return block, words, at, h
-
-
-def _distinct(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct values, and whether each came twice or more."""
-    h = np.sort(h)
-    new = np.ones(len(h), bool)
-    new[1:] = h[1:] != h[:-1]
-    at = np.flatnonzero(new)
-    return h[at], np.diff(np.append(at, len(h))) > 1
-
-
-def _cuts(values: np.ndarray, buckets: int) -> np.ndarray:
-    """Where sorted 64-bit values cross the bounds of `buckets` equal ranges."""
-    step = (1 << 64) // buckets
-    return np.concatenate([[0], np.searchsorted(values, np.array([step * i for i in range(1, buckets)], U)), [len(values)]]).astype(np.int64)
+    hashes = span_hash(block.data, words[0], words[1])
+    at, h = windows(hashes, words[2], width)
+    second = mix(windows(hashes, words[2], width, 1)[1])
+    return block, words, at, mix(h | (second >> U(61)) << U(61)), second & U((1 << CHECK_BITS) - 1)
 
 
 def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> DataFrame:
@@ -57,68 +48,56 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
     word sequence also starts anywhere else, in the same text included, is removed from all places; windows are judged
     on the input. kept_text holds the rest, joined by one space.
 
-    Null and empty texts have no words and an empty kept_text. Texts below `width` words keep all. Repeated rows are
-    copies of each other. Other columns pass through; an input column named like an added one is replaced. An empty
-    table gives an empty result.
+    Null and empty texts have no words and an empty kept_text. Texts below `width` words keep all; a very long text is
+    part of one block. Repeated rows are copies of each other; the rows of one input partition that agree in all columns
+    share a block. Other columns pass through; an input column named like an added one is replaced. An empty table gives
+    an empty result. docs must come from stored rows or a shuffle, whose partitions are the same when a task is retried.
     """
     base = without(carried(docs), "n_words", "n_removed", "removed", "kept_text", "__block")
-    total = text_bytes(docs, text)
-    n_blocks, n_buckets = parts(docs.sparkSession, total, BLOCK_BYTES), parts(docs.sparkSession, total, BUCKET_BYTES)
-    whole = F.xxhash64(*[F.col(f"`{c}`") for c, kind in base.dtypes if not kind.startswith(("map", "variant"))])
-    dealt = base.withColumn("__block", F.pmod(whole, F.lit(n_blocks)).cast("int")).repartition(
-        max(n_blocks, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "__block"
-    )
+    spark = docs.sparkSession
+    n_blocks, n_parts = parts(spark, text_bytes(docs, text), BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c, kind in base.dtypes if not kind.startswith(("map", "variant"))])
+    dealt = base.withColumn("__block", F.pmod(whole, F.lit(n_blocks)).cast("int")).repartition(max(n_blocks, n_parts), "__block")
 
     def send(key, table):
-        h, twice = _distinct(_hashed(table.column(text), width)[3])
-        cuts = _cuts(h, n_buckets)
-        some = [i for i in range(n_buckets) if cuts[i] < cuts[i + 1]]
-        return pa.table(
-            {
-                "bucket": pa.array(some, pa.int32()),
-                "block": pa.array([key[0].as_py()] * len(some), pa.int32()),
-                "hashes": pa.array([h[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary()),
-                "twice": pa.array([np.packbits(twice[cuts[i] : cuts[i + 1]]).tobytes() for i in some], pa.binary()),
-            }
-        )
-
-    def count(table):
-        slices = [np.frombuffer(x.as_buffer(), U) for x in table.column("hashes")]
-        local = [np.unpackbits(np.frombuffer(x.as_buffer(), np.uint8), count=len(s)).view(bool) for x, s in zip(table.column("twice"), slices)]
-        h = np.concatenate([*slices, *(s[t] for s, t in zip(slices, local))])
-        h.sort()
-        again = h[1:][h[1:] == h[:-1]]
-        repeated = again[np.concatenate([[True], again[1:] != again[:-1]])] if len(again) else again
-        blocks, bits = [], []
-        for block, s in zip(table.column("block").to_pylist(), slices):
-            at = np.searchsorted(s, repeated)
-            at = at[np.append(s, U(0))[at] == repeated] if len(s) else at[:0]
-            at = at[at < len(s)]
-            if len(at):
-                flags = np.zeros(len(s), bool)
-                flags[at] = True
-                blocks.append(block)
-                bits.append(np.packbits(flags).tobytes())
-        return pa.table({"__block": pa.array(blocks, pa.int32()), "bucket": pa.array([table.column("bucket")[0].as_py()] * len(blocks), pa.int32()), "bits": pa.array(bits, pa.binary())})
+        _, _, _, h, check = _hashed(table.column(text), width)
+        order = np.lexsort((check, h))
+        h, check = h[order], check[order]
+        new = np.ones(len(h), bool)
+        new[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
+        first = np.flatnonzero(new)
+        twice = np.diff(np.append(first, len(h))) > 1
+        note = check[first] << U(64 - CHECK_BITS) | U(key[0].as_py() << 1) | twice
+        return pa.table({"h": pa.array(h[first].view(np.int64)), "note": pa.array(note.view(np.int64))})
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last_h, last_note, told = None, None, True  # the latest row, and whether its block has been told
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            h, note = batch.column(0).to_numpy().view(U), batch.column(1).to_numpy().view(U)
+            if last_h is not None:
+                h, note = np.append(last_h, h), np.append(last_note, note)
+            same = (h[1:] == h[:-1]) & (note[1:] >> U(64 - CHECK_BITS) == note[:-1] >> U(64 - CHECK_BITS))
+            repeated = (note & U(1)).astype(bool)
+            repeated[1:] |= same
+            repeated[:-1] |= same
+            send_ = repeated.copy()
+            send_[0] &= last_h is None or not told
+            last_h, last_note, told = h[-1:], note[-1:], bool(repeated[-1])
+            block = ((note[send_] & U((1 << (BLOCK_BITS + 1)) - 1)) >> U(1)).astype(np.int32)
+            yield from _packed(block, h[send_])
 
     added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("removed", T.ArrayType(T.ArrayType(T.LongType()))), ("kept_text", T.StringType())]
     schema = T.StructType([*base.schema.fields, *(T.StructField(n, t) for n, t in added)])
     names = base.columns
 
     def remove(table, answers):
-        block, words, at, h = _hashed(table.column(text), width)
+        block, words, at, h, _ = _hashed(table.column(text), width)
         first = words[2]
-        repeated = np.zeros(0, U)
-        if answers.num_rows:
-            own, _ = _distinct(h)
-            cuts = _cuts(own, n_buckets)
-            flags = np.zeros(len(own), bool)
-            for bucket, bits in zip(answers.column("bucket").to_pylist(), answers.column("bits")):
-                n = cuts[bucket + 1] - cuts[bucket]
-                flags[cuts[bucket] : cuts[bucket + 1]] = np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), count=n).view(bool)
-            repeated = own[flags]
         cover = np.zeros(len(words[0]) + 1, np.int32)
-        if len(repeated):
+        if answers.num_rows:
+            repeated = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), U) for x in answers.column("hashes")]))
             near = np.minimum(np.searchsorted(repeated, h), len(repeated) - 1)
             hit = at[repeated[near] == h]
             cover[hit] += 1
@@ -138,10 +117,16 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
         out = [table.column(c) for c in names] + [pa.array(np.diff(first), pa.int64()), pa.array(np.diff(total_gone), pa.int64()), pa.array(removed, pa.list_(pa.list_(pa.int64()))), kept.strings()]
         return pa.Table.from_arrays(out, names=[*names, *(n for n, _ in added)])
 
-    answers = (
-        dealt.groupBy("__block")  # with all columns, so that both readers share one shuffle of the texts
-        .applyInArrow(send, "bucket int, block int, hashes binary, twice binary")
-        .groupBy("bucket")
-        .applyInArrow(count, "__block int, bucket int, bits binary")
-    )
+    sent = dealt.groupBy("__block").applyInArrow(send, "h long, note long")  # with all columns, so that both readers share one shuffle of the texts
+    answers = sent.repartition(max(n_blocks, n_parts), "h").sortWithinPartitions("h", "note").mapInArrow(count, "__block int, hashes binary")
     return dealt.groupBy("__block").cogroup(answers.groupBy("__block")).applyInArrow(remove, schema)
+
+
+def _packed(block: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The hashes of each block in one row."""
+    if len(block):
+        order = np.argsort(block, kind="stable")
+        block, h = block[order], h[order]
+        head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
+        runs = zip(head.tolist(), np.append(head[1:], len(h)).tolist())
+        yield pa.RecordBatch.from_arrays([pa.array(block[head]), pa.array([h[a:b].tobytes() for a, b in runs], pa.binary())], names=["__block", "hashes"])
