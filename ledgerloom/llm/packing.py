@@ -2,9 +2,11 @@
 
 1. Documents become pieces of at most `capacity` ids; the piece table holds no ids and is checkpointed.
 2. The histogram of piece lengths has at most `capacity` rows whatever the input, so the driver solves its
-   configuration program: multiplicative weights price the lengths, a knapsack by dynamic programming finds the best
-   configuration for the prices, and prices of lengths that it covers fall.
-3. The fractional solution is rounded down to whole sequences; what is left over is packed best-fit, longest first.
+   configuration program: multiplicative weights price the lengths by the share of them that is still uncovered, a
+   knapsack by dynamic programming over all lengths finds configurations of the greatest price, and prices of lengths
+   that these cover fall. The prices also bound from below how many sequences any packing needs.
+3. Steps are whole multiples of a configuration, so the solution is rounded as it grows. Where best-fit, longest
+   first, needs fewer sequences for what no full configuration holds in the end, it packs that.
 4. The plan (configuration, how many times) becomes a table of rank ranges for each length, bounded by the number of
    configurations, and each piece finds its sequence and place by its rank among the pieces of its length.
 """
@@ -23,74 +25,83 @@ from .cluster import carried, cut, parts
 from .textblocks import small_batches
 from .tokens import encoder
 
-ROUNDS = 1500
-STEP = 0.5
-CANDIDATES = 80
-COVERED = 0.85
-FULL = 0.999
+#: How fast prices fall with coverage, how much long pieces are worth beyond their length, configurations read from one
+#: knapsack table, and the share of a step that the scarcest length allows.
+STEP = 0.1
+LONG = (0.1, 0.2, 0.05)
+COLUMNS = 16
+SHARE = 8
+#: The most ids that a configuration may leave empty grows by this much, at first less, whenever none is fuller.
+RELAXED = 4
+#: Share of the capacity beyond which best-fit is tried for what is left.
+MISSING = 0.01
 #: Pieces of one length that are ranked together on average; a frequent length is spread over many buckets.
 RANKED = 500
 
+Configuration = tuple[tuple[int, int], ...]
 
-def best_configuration(prices: np.ndarray, lengths: np.ndarray, supply: np.ndarray, capacity: int) -> np.ndarray:
-    """Knapsack by dynamic programming: how many of each length to take, at most `supply`, for the greatest price."""
-    copies = np.minimum(supply, capacity // lengths)
-    value = np.zeros(capacity + 1)
-    taken = []
-    order = np.argsort(-prices / lengths)
-    for k in np.concatenate([order[:CANDIDATES], np.setdiff1d(order[-CANDIDATES // 4 :], order[:CANDIDATES])]):  # by price for each id
-        left, size = int(copies[k]), 1
-        while left > 0:  # copies in powers of two
-            size = min(size, left)
-            width = size * int(lengths[k])
-            gain = value[: capacity + 1 - width] + size * prices[k] if width <= capacity else value[:0]
-            better = np.zeros(capacity + 1, bool)
-            better[width:] = gain > value[width:] + 1e-15
-            value[better] = gain[better[width:]]
-            taken.append((k, size, width, better))
-            left, size = left - size, size * 2
-    out = np.zeros(len(lengths), np.int64)
-    room = int(np.argmax(value))
-    for k, size, width, better in reversed(taken):
-        if better[room]:
-            out[k] += size
-            room -= width
-    return out
 
+def knapsack(prices: np.ndarray) -> np.ndarray:
+    """Greatest total price for every capacity, by dynamic programming over all lengths (prices by length, index 0 unused)."""
+    value = np.zeros(len(prices))
+    for room in range(1, len(prices)):
+        value[room] = max(value[room - 1], (value[:room][::-1] + prices[1 : room + 1]).max())
+    return value
 
-def fractional(lengths: np.ndarray, counts: np.ndarray, capacity: int, rounds: int = ROUNDS) -> dict[tuple[tuple[int, int], ...], float]:
-    """Configurations ((length, copies), ..) and how often to use each, by multiplicative weights.
 
-    A length's price for each id grows with the share of it that is still uncovered, so coverage stays even and what
-    rounding leaves over is spread over lengths like the input. Ends when COVERED of the ids are, or when the best
-    configuration no longer fills a sequence.
-    """
-    covered = np.zeros(len(lengths))
-    need = counts.astype(float)
-    used: dict[tuple[tuple[int, int], ...], float] = {}
-    total = float((lengths * counts).sum())
-    fair = np.maximum(1, np.ceil(2 * need * capacity / total)).astype(np.int64)  # copies in one sequence
-    noise = np.random.default_rng(7)  # breaks the tie that all prices start with
-    for _ in range(rounds):
-        left = need - covered
-        if (lengths * left).sum() <= (1 - COVERED) * total:
-            break
-        open_ = left / need
-        prices = lengths / capacity * np.exp(STEP * (open_ - open_.max())) * (1 + 1e-3 * noise.random(len(lengths)))
-        take = best_configuration(prices, lengths, np.minimum(np.floor(left), fair).astype(np.int64), capacity)
-        some = take > 0
-        if not some.any() or (take * lengths).sum() < FULL * capacity:
+def read_off(value: np.ndarray, prices: np.ndarray, left: np.ndarray) -> Configuration:
+    """A configuration from a knapsack table: at each step the length whose price and remaining value are greatest,
+    among those of which pieces are left."""
+    room, prices, take = len(prices) - 1, prices.copy(), {}
+    while room:
+        worth = value[:room][::-1] + prices[1 : room + 1]
+        length = int(worth.argmax()) + 1
+        if worth[length - 1] == -np.inf:
             break
-        times = float(np.minimum(np.maximum(need[some] / take[some] / 2, 1), left[some] / take[some]).min())
-        key = tuple(zip(lengths[some].tolist(), take[some].tolist()))
-        used[key] = used.get(key, 0.0) + times
-        covered[some] += times * take[some]
-    return used
-
-
-def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> dict[tuple[tuple[int, int], ...], int]:
+        take[length] = take.get(length, 0) + 1
+        if take[length] >= left[length]:
+            prices[length] = -np.inf
+        room -= length
+    return tuple(sorted(take.items()))
+
+
+def program(lengths: np.ndarray, counts: np.ndarray, capacity: int, long: float = LONG[0]) -> tuple[dict[Configuration, int], dict[Configuration, int], float]:
+    """(configurations and how often to use each, those of them that lack at most MISSING of the capacity, and a lower
+    bound on the sequences of any packing). The first cover everything."""
+    size = np.arange(capacity + 1)
+    need = np.zeros(capacity + 1, np.int64)
+    need[lengths] = counts
+    left, used, full, missing = need.copy(), {}, {}, 0
+    bound = float((size * need).sum()) / capacity
+    rng = np.random.default_rng(7)
+    while left.any():
+        open_ = left / np.maximum(need, 1)
+        weight = np.exp(STEP * (open_ - open_.max()) + long * (size / capacity - 1))
+        weight *= 1 + 1e-4 * rng.random(capacity + 1)  # breaks the tie that all prices start with
+        prices = np.where(left > 0, size / capacity * weight, -np.inf)
+        value = knapsack(prices)
+        bound = max(bound, float((need * np.where(left > 0, prices, 0.0)).sum() / value[capacity]))
+        before = left.sum()
+        for _ in range(COLUMNS):
+            config = read_off(value, prices, left)
+            if not config or sum(length * copies for length, copies in config) < capacity - missing:
+                break
+            times = max(1, min(int(left[length]) // copies for length, copies in config) // SHARE)
+            used[config] = used.get(config, 0) + times
+            for length, copies in config:
+                left[length] -= times * copies
+                if not left[length]:
+                    prices[length] = -np.inf
+        if before == left.sum():
+            if missing < MISSING * capacity <= missing + RELAXED:
+                full = dict(used)
+            missing += min(max(missing, 1), RELAXED) if missing < MISSING * capacity else missing
+    return used, full or used, bound
+
+
+def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> dict[Configuration, int]:
     """Best-fit, longest first, on a histogram: open sequences of equal room and content are one entry."""
-    by_room: dict[int, dict[tuple[tuple[int, int], ...], int]] = {}
+    by_room: dict[int, dict[Configuration, int]] = {}
     for length, left in sorted(zip(lengths.tolist(), counts.tolist()), reverse=True):
         while left:
             room = min((r for r in by_room if r >= length), default=None)
@@ -124,36 +135,49 @@ def best_fit(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> dict[tup
             if back:
                 by_room.setdefault(room, {})
                 by_room[room][content] = by_room[room].get(content, 0) + back
-    out: dict[tuple[tuple[int, int], ...], int] = {}
+    out: dict[Configuration, int] = {}
     for group in by_room.values():
         for key, n in group.items():
             out[key] = out.get(key, 0) + n
     return out
 
 
-def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> list[tuple[tuple[tuple[int, int], ...], int]]:
-    """(configuration, times) that hold every piece exactly once."""
-    left = counts.astype(np.int64).copy()
-    out: list[tuple[tuple[tuple[int, int], ...], int]] = []
+def plan(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[list[tuple[Configuration, int]], dict[str, float]]:
+    """((configuration, times) that hold every piece exactly once; how many sequences come from the program, from the
+    best-fit remainder and from full pieces, and the lower bound).
+
+    The program is solved for each preference in LONG until it needs no more sequences than best-fit alone; of packings
+    that all need more, that of the fewest sequences is taken, best-fit alone included.
+    """
+    counts = counts.astype(np.int64)
     whole = lengths == capacity
-    if whole.any():
-        out.append((((capacity, 1),), int(left[whole][0])))
-        left[whole] = 0
-    part = np.flatnonzero(left)
-    if len(part):
-        index = {int(n): i for i, n in enumerate(lengths.tolist())}
-        for config, times in sorted(fractional(lengths[part], left[part], capacity).items(), key=lambda x: -x[1]):
-            n = min([int(times + 1e-9), *(int(left[index[size]] // copies) for size, copies in config)])
-            if n:
-                out.append((config, n))
-                for size, copies in config:
-                    left[index[size]] -= n * copies
-        rest = np.flatnonzero(left)
-        out += best_fit(lengths[rest], left[rest], capacity).items()
-    return out
+    full = int(counts[whole].sum())
+    out: list[tuple[Configuration, int]] = [(((capacity, 1),), full)] if full else []
+    lengths, counts = lengths[~whole & (counts > 0)], counts[~whole & (counts > 0)]
+    info = {"full": full, "program": 0, "best_fit": 0, "bound": float(full)}
+    if not len(lengths):
+        return out, info
+    alone = best_fit(lengths, counts, capacity)
+    tried = []
+    for long in LONG:
+        covering, fullest, bound = program(lengths, counts, capacity, long)
+        info["bound"] = max(info["bound"], full + bound)
+        for used in (covering, fullest):
+            left = dict(zip(lengths.tolist(), counts.tolist()))
+            for config, times in used.items():
+                for length, copies in config:
+                    left[length] -= times * copies
+            rest = np.array([n for n in left if left[n]], np.int64)
+            tail = best_fit(rest, np.array([left[n] for n in rest.tolist()], np.int64), capacity)
+            tried.append((sum(used.values()) + sum(tail.values()), used, tail))
+        if min(t[0] for t in tried) <= sum(alone.values()):
+            break
+    total, used, tail = min([*tried, (sum(alone.values()), {}, alone)], key=lambda x: x[0])
+    info |= {"program": sum(used.values()), "best_fit": sum(tail.values())}
+    return [*out, *used.items(), *tail.items()], info
 
 
-def slots(plan_: list[tuple[tuple[tuple[int, int], ...], int]]) -> list[tuple[int, int, int, int, int, int]]:
+def slots(plan_: list[tuple[Configuration, int]]) -> list[tuple[int, int, int, int, int, int]]:
     """(length, first rank, end rank, copies, first sequence, offset): ranks of a length that one configuration takes."""
     ranks: dict[int, int] = {}
     out, sequence = [], 0
@@ -216,7 +240,7 @@ def pack(table: DataFrame, capacity: int = 2048) -> DataFrame:
     counts = np.array([histogram[n] for n in lengths.tolist()], np.int64)
     if len(lengths) and (lengths[0] < 1 or lengths[-1] > capacity):
         raise ValueError("lengths must be between 1 and the capacity")
-    places = spark.createDataFrame(slots(plan(lengths, counts, capacity)) if len(lengths) else [], "slot_length long, first_rank long, end_rank long, copies long, first_sequence long, first_offset long")
+    places = spark.createDataFrame(slots(plan(lengths, counts, capacity)[0]) if len(lengths) else [], "slot_length long, first_rank long, end_rank long, copies long, first_sequence long, first_offset long")
     spread = spark.createDataFrame([(n, parts(spark, k, RANKED)) for n, k in histogram.items()], "length long, __buckets int")
     names = [c for c in table.columns if c.lower() not in ("sequence_id", "offset")]
     own = table.select(*[F.col(f"`{c}`") for c in names]).join(F.broadcast(spread), "length")
@@ -237,7 +261,8 @@ def pack(table: DataFrame, capacity: int = 2048) -> DataFrame:
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int = 2048, drops_space: bool = False, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) of every piece of every document.
 
-    Null and empty texts are the end id alone. Other columns are not read; repeated rows are packed each on its own.
+    Null and empty texts are the end id alone; very long ones are cut into pieces. Other columns are not read; repeated
+    rows, null ids and ids of several rows are packed each on its own. An empty table gives an empty result.
     """
     return pack(cut(pieces(docs, tokenizer, end_id, capacity, drops_space, id_col, text)), capacity)
 
