@@ -10,13 +10,13 @@ parts, and so in all coordinates of those parts: rows that agree in all coordina
 parts are the candidates. A pair is discarded if, part by part, its largest coordinate differences add up to more than
 `bits`; what survives is verified bit by bit. No link is lost, and equal fingerprints are one row from the start.
 
-Texts that share most of their words but not their fingerprints are grouped by similar_groups(), which takes its
-candidates from the least shingle hashes, discards by a wide distance of longer fingerprints, and verifies what is left
-by the shingle sets themselves.
-
-Buckets with more than PAIRED rows (near copies in thousands) do not pair up. Two fingerprints are within two bits of
+Buckets with more than `paired` rows (near copies in thousands) do not pair up. Two fingerprints are within two bits of
 each other exactly if they share a neighbour within one bit; rows of such a bucket link to the least row that shares a
 neighbour, one star for each neighbour, which keeps the links linear in the bucket and loses no connection.
+
+Texts that share most of their words but not their fingerprints are grouped by similar_groups(): candidates share one
+of the least shingle hashes, a wide distance of longer fingerprints connects them into coarse groups, and within a
+coarse group the shingle sets themselves decide. Both steps hand on a spanning forest, never all pairs.
 """
 
 from __future__ import annotations
@@ -26,12 +26,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .cluster import carried, cut
+from .cluster import attach, carried, celled, cut
 from .components import connected_components
-from .textblocks import BASE, TextBlock, U, mix, ragged, small_batches, span_hash, windows
+from .textblocks import TextBlock, U, mix, ragged, small_batches, span_hash, windows
 from .xxh64 import hash_spans
 
 SEED = 42
@@ -40,6 +40,11 @@ PIVOTS_PER_BLOCK = 12
 PAIRED = 48
 #: 64-bit words of the longer fingerprints of similar_groups().
 SKETCH_WORDS = 4
+#: Rows of one shingle that are compared in one task, and sets of one coarse group; larger ones are dealt into cells.
+BUCKET_ROWS = 2048
+GROUP_ROWS = 1024
+#: Fixed odd value that keeps the longer fingerprints' words apart.
+GOLDEN = 0x9E3779B97F4A7C15
 #: Bits of each part, in order.
 WIDTHS = [64 * (i + 1) // BLOCKS - 64 * i // BLOCKS for i in range(BLOCKS)]
 MASKS = [U(((1 << w) - 1) << sum(WIDTHS[:i])) for i, w in enumerate(WIDTHS)]
@@ -107,31 +112,40 @@ def _pairs(fp: np.ndarray, coords: np.ndarray, starts: np.ndarray, sizes: np.nda
             yield a[near], b[near]
 
 
-def _stars(fp: np.ndarray, free: U, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """For one large bucket whose rows differ only in the bits of `free`: links to the least row of each shared neighbour."""
+def _stars(fp: np.ndarray, free: U, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For one large bucket whose rows differ only in the bits of `free`: links (row numbers) to the least row of each
+    shared neighbour; some of the neighbours at a time."""
     flips = [U(0), *(U(1 << b) for b in range(64) if int(free) >> b & 1)] if bits == 2 else [U(0)]
-    variants = np.concatenate([fp ^ f for f in flips])
-    owner = np.tile(fp, len(flips))
-    order = np.lexsort((owner, variants))
-    variants, owner = variants[order], owner[order]
-    head = np.concatenate([[True], variants[1:] != variants[:-1]])
-    least = owner[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
-    other = least != owner
-    return owner[other], least[other]
-
-
-def links(prints: DataFrame, bits: int = 2) -> DataFrame:
-    """(a, b): links between distinct fingerprints (column fp) that connect all pairs within `bits` (0 to 2) bits.
-
-    Each bucket's rows lie together after one shuffle by bucket and one sort, and are read as a stream: a bucket of up
-    to PAIRED rows is paired and verified, a larger one is linked by stars.
+    turns = -(-len(fp) * len(flips) // (1 << 22))
+    for turn in range(turns):
+        variants, owner = [], []
+        for f in flips:
+            v = fp ^ f
+            own = np.flatnonzero(mix(v) % U(turns) == turn) if turns > 1 else np.arange(len(fp))
+            variants.append(v[own])
+            owner.append(own)
+        variants, owner = np.concatenate(variants), np.concatenate(owner)
+        order = np.lexsort((owner, variants))
+        variants, owner = variants[order], owner[order]
+        head = np.concatenate([[True], variants[1:] != variants[:-1]])
+        least = owner[np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))]
+        other = least != owner
+        yield owner[other], least[other]
+
+
+def links(prints: DataFrame, bits: int = 2, paired: int = PAIRED) -> DataFrame:
+    """(a, b): links between distinct fingerprints that connect all pairs within `bits` (0 to 2) bits.
+
+    prints has fp and least, one row for each fingerprint; a and b are structs (none, id, fp) in whose order least ids
+    come first and null ones last. Each bucket's rows lie together after one shuffle by bucket and one sort, and are
+    read as a stream: a bucket of up to `paired` rows is paired and verified, a larger one is linked by stars. Both
+    connect the same rows; `paired` is a matter of time only.
     """
     if not 0 <= bits <= 2:
         raise ValueError("bits must be 0, 1 or 2")
-    if bits == 0:
-        return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     choices = list(combinations(range(BLOCKS), BLOCKS - bits))
     shared = [U(sum(int(MASKS[b]) for b in c)) for c in choices]
+    kind = prints.schema["least"].dataType.simpleString()
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,49 +156,68 @@ def links(prints: DataFrame, bits: int = 2) -> DataFrame:
                 for b in c:  # all coordinates of the chosen parts, folded into one key
                     for x in range(PIVOTS_PER_BLOCK):
                         row = mix(row * U(31) + coords[:, b, x].astype(U) + U(1 + k))
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), k, np.int32)), pa.array(row.view(np.int64)), batch.column(0)], names=["choice", "bucket", "fp"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fp), k, np.int32)), pa.array(row.view(np.int64)), *batch.columns], names=["choice", "bucket", "fp", "least"])
+
+    def done(choice, bucket, fp):
+        """Links, as row numbers, of whole buckets."""
+        if len(fp) < 2:
+            return
+        head = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (choice[1:] != choice[:-1])]))
+        sizes = np.diff(np.append(head, len(fp)))
+        few = (sizes > 1) & (sizes <= paired)
+        at = ragged(head[few], sizes[few])
+        starts = np.cumsum(sizes[few]) - sizes[few]
+        for a, b in _pairs(fp[at][:, None], pivot_table(fp[at][:, None]), starts, sizes[few], bits):
+            yield at[a], at[b]
+        for s, n in zip(head[sizes > paired].tolist(), sizes[sizes > paired].tolist()):
+            run, k = fp[s : s + n], choice[s]
+            part = run & shared[k]  # a bucket may hold rows of other parts with the same coordinates: go by their bits
+            for value in np.unique(part):
+                own = np.flatnonzero(part == value) + s
+                for a, b in _stars(fp[own], ~shared[k], bits):
+                    yield own[a], own[b]
+                if bits == 1:
+                    for f in (U(1 << b) for b in range(64) if not int(shared[k]) >> b & 1):
+                        order = np.argsort(fp[own])
+                        near = order[np.minimum(np.searchsorted(fp[own], fp[own] ^ f, sorter=order), len(own) - 1)]
+                        hit = np.flatnonzero(fp[own][near] == fp[own] ^ f)
+                        yield own[hit], own[near[hit]]
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(choice, bucket, fp):
-            if len(fp) < 2:
-                return
-            head = np.flatnonzero(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (choice[1:] != choice[:-1])]))
-            sizes = np.diff(np.append(head, len(fp)))
-            few = (sizes > 1) & (sizes <= PAIRED)
-            at = ragged(head[few], sizes[few])
-            own = fp[at]
-            starts = np.cumsum(sizes[few]) - sizes[few]
-            for a, b in _pairs(own[:, None], pivot_table(own[:, None]), starts, sizes[few], bits):
-                yield own[a], own[b]
-            for s, n in zip(head[sizes > PAIRED].tolist(), sizes[sizes > PAIRED].tolist()):
-                run, k = fp[s : s + n], choice[s]
-                # a bucket may hold rows of other parts with the same coordinates: go by their bits
-                for part in np.unique(run & shared[k]):
-                    yield _stars(run[run & shared[k] == part], ~shared[k], bits)
-                    if bits == 1:
-                        for f in (U(1 << b) for b in range(64) if not int(shared[k]) >> b & 1):
-                            own = run[run & shared[k] == part]
-                            hit = own[np.isin(own ^ f, own)]
-                            yield hit, hit ^ f
-
-        rest = None
-        for batch in batches:
-            new = [batch.column(0).to_numpy(), batch.column(1).to_numpy(), batch.column(2).to_numpy().view(U)]
-            new = [np.concatenate(x) for x in zip(rest, new)] if rest else new
-            if not len(new[0]):
-                continue
-            same = np.flatnonzero((new[1] != new[1][-1]) | (new[0] != new[0][-1]))
-            stop = same[-1] + 1 if len(same) else 0
-            for a, b in done(*(x[:stop] for x in new)):
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-            rest = [x[stop:] for x in new]
-        if rest:
-            for a, b in done(*rest):
-                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
-
-    keyed = prints.select("fp").mapInArrow(expand, "choice int, bucket long, fp long")
+        for table in whole_runs(batches, 2):
+            fp = table.column("fp").to_numpy()
+            for a, b in done(table.column("choice").to_numpy(), table.column("bucket").to_numpy(), fp.view(U)):
+                ids = [table.column("least").take(pa.array(x)).combine_chunks() for x in (a, b)]
+                yield pa.RecordBatch.from_arrays([*(x.chunk(0) if isinstance(x, pa.ChunkedArray) else x for x in ids), pa.array(fp[a]), pa.array(fp[b])], names=["a_id", "b_id", "a_fp", "b_fp"])
+
+    keyed = prints.select("fp", "least").mapInArrow(expand, f"choice int, bucket long, fp long, least {kind}")
     n = max(2, int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return keyed.repartition(n, "choice", "bucket").sortWithinPartitions("choice", "bucket", "fp").mapInArrow(match, "a long, b long").distinct()
+    found = keyed.repartition(n, "choice", "bucket").sortWithinPartitions("choice", "bucket", "fp").mapInArrow(match, f"a_id {kind}, b_id {kind}, a_fp long, b_fp long")
+    return found.select(node("a_id", "a_fp").alias("a"), node("b_id", "b_fp").alias("b")).distinct()
+
+
+def node(id_: str, fp: str) -> Column:
+    """A fingerprint's place in the order of least ids, null ones last."""
+    return F.struct(F.col(id_).isNull().alias("none"), F.col(id_).alias("id"), F.col(fp).alias("fp"))
+
+
+def whole_runs(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[pa.Table]:
+    """The rows of a sorted stream in tables that hold whole runs of equal values in the first `n_keys` columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        last = [batch.column(k)[batch.num_rows - 1].as_py() for k in range(n_keys)]
+        same = np.ones(batch.num_rows, bool)
+        for k in range(n_keys):
+            same &= batch.column(k).to_numpy() == last[k]
+        stop = int(np.flatnonzero(~same)[-1]) + 1 if not same.all() else 0
+        if stop or (held and any(held[-1].column(k)[held[-1].num_rows - 1].as_py() != last[k] for k in range(n_keys))):
+            yield pa.Table.from_batches([*held, batch.slice(0, stop)])
+            held = []
+        held.append(batch.slice(stop))
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 def shingle_sets(text: pa.Array, words_per_shingle: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,6 +229,7 @@ def shingle_sets(text: pa.Array, words_per_shingle: int) -> tuple[np.ndarray, np
     n_words = np.diff(first)
     words = span_hash(block.data, starts, ends)
     at, h = windows(words, first, words_per_shingle)
+    h = mix(h)
     doc = np.repeat(np.arange(block.n), np.maximum(n_words - words_per_shingle + 1, 0))
     few = np.flatnonzero((n_words > 0) & (n_words < words_per_shingle))
     if len(few):
@@ -207,7 +241,7 @@ def shingle_sets(text: pa.Array, words_per_shingle: int) -> tuple[np.ndarray, np
     new[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
     doc, h = doc[new], h[new]
     n = np.bincount(doc, minlength=block.n)
-    total = np.concatenate([np.zeros(1, U), np.cumsum(mix(h + BASE), dtype=U)])
+    total = np.concatenate([np.zeros(1, U), np.cumsum(mix(h + U(GOLDEN)), dtype=U)])
     stop = np.cumsum(n)
     return h, n, mix(total[stop] - total[stop - n] + n.astype(U))
 
@@ -218,7 +252,7 @@ def shingle_sketches(text: pa.Array, words_per_shingle: int, anchors: int) -> tu
     h, n, digest = shingle_sets(text, words_per_shingle)
     out, start = np.zeros((len(n), SKETCH_WORDS), U), np.cumsum(n) - n
     for word in range(SKETCH_WORDS):
-        hw = h if not word else mix(h + U(word * int(BASE) % (1 << 64)))
+        hw = h if not word else mix(h + U(word * GOLDEN % (1 << 64)))
         for lo in range(0, len(n), 256):  # 64 bytes for each shingle of some documents
             own = np.arange(lo, min(lo + 256, len(n)))
             own = own[n[own] > 0]
@@ -236,25 +270,72 @@ def shingle_sketches(text: pa.Array, words_per_shingle: int, anchors: int) -> tu
     return out, h[ragged(start, k)], k, n, digest
 
 
-def _close(fp: np.ndarray, n: np.ndarray, a, b, bits: int, similarity: float) -> np.ndarray:
-    """Which pairs of rows a and b (numbers or slices) may be that similar, by the sizes of their sets and their sketches."""
+def _chunks(head: np.ndarray, n: int, most: int = 1 << 17) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """All pairs of rows (numbers) within runs that start at `head`, about `most` at a time."""
+    later = np.repeat(np.append(head[1:], n), np.diff(np.append(head, n))) - np.arange(n) - 1
+    upto = np.cumsum(later)
+    lo = 0
+    while lo < n:
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + most, side="right")))
+        yield np.repeat(np.arange(lo, hi), later[lo:hi]), ragged(np.arange(lo, hi) + 1, later[lo:hi])
+        lo = hi
+
+
+def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Merge the components (least row of each row's) that links a - b connect."""
+    while True:
+        x, y = label[a], label[b]
+        apart = x != y
+        if not apart.any():
+            return
+        a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            root = label[label]
+            if (root == label).all():
+                break
+            label[:] = root
+
+
+def _close(fp: np.ndarray, n: np.ndarray, a: np.ndarray, b: np.ndarray, bits: int, similarity: float) -> np.ndarray:
+    """Which pairs of rows a and b may be that similar, by the sizes of their sets and their sketches."""
     fits = np.minimum(n[a], n[b]) >= similarity * np.maximum(n[a], n[b]) - 1e-9
-    return fits & (np.bitwise_count(fp[a] ^ fp[b]).sum(axis=-1) <= bits)
-
-
-def _forest(fp: np.ndarray, n: np.ndarray, bits: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Links (row numbers) that connect all close rows of one bucket: each row is compared with all later ones at once,
-    and only one link for each two components that it joins comes back."""
-    root = np.arange(len(fp))
-    a, b = [], []
-    for i in range(len(fp) - 1):
-        near = np.flatnonzero(_close(fp, n, i, slice(i + 1, None), bits, similarity)) + i + 1
-        near = near[root[near] != root[i]]
-        for r in np.unique(root[near]).tolist():
-            a.append(i)
-            b.append(int(near[root[near] == r][0]))
-            root[root == r] = root[i]
-    return np.array(a, np.int64), np.array(b, np.int64)
+    at = np.flatnonzero(fits)
+    far = np.zeros(len(at), np.int64)
+    for word in range(fp.shape[1]):
+        far += np.bitwise_count(fp[a[at], word] ^ fp[b[at], word])
+    fits[at] = far <= bits
+    return fits
+
+
+class ShingleSets:
+    """Sets of one task's rows, for counting what pairs share: bit rows over the shingles that several rows hold, or
+    sorted arrays where those would take more than BITS_BYTES."""
+
+    BITS_BYTES = 64 << 20
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray):
+        self.flat, self.n, self.at, self.bits = flat, sizes, np.cumsum(sizes) - sizes, None
+        values, inverse, counts = np.unique(flat, return_inverse=True, return_counts=True)
+        place = np.cumsum(counts > 1) - 1
+        width = -(-int((counts > 1).sum()) // 64)
+        if width * 8 * len(sizes) <= self.BITS_BYTES:
+            self.bits = np.zeros((len(sizes), width), U)
+            several = counts[inverse] > 1
+            row, column = np.repeat(np.arange(len(sizes)), sizes)[several], place[inverse[several]]
+            np.bitwise_or.at(self.bits, (row, column >> 6), U(1) << (column & 63).astype(U))
+
+    def similar(self, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+        shared = np.zeros(len(a), np.int64)
+        if self.bits is not None:
+            step = max(1, (1 << 20) // max(1, self.bits.shape[1]))
+            for lo in range(0, len(a), step):
+                s = slice(lo, lo + step)
+                shared[s] = np.bitwise_count(self.bits[a[s]] & self.bits[b[s]]).sum(axis=1, dtype=np.int64)
+        else:
+            own = [self.flat[i : i + n] for i, n in zip(self.at.tolist(), self.n.tolist())]
+            shared[:] = [len(np.intersect1d(own[i], own[j], assume_unique=True)) for i, j in zip(a.tolist(), b.tolist())]
+        return shared >= similarity * (self.n[a] + self.n[b] - shared) - 1e-9
 
 
 def widest_distance(similarity: float, slack: float = 4, small: float = 1.25) -> int:
@@ -271,14 +352,16 @@ def widest_distance(similarity: float, slack: float = 4, small: float = 1.25) ->
 def similar_groups(docs: DataFrame, words_per_shingle: int = 5, similarity: float = 0.8, anchors: int = 6, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(id_col, component_id): groups of texts that links of a Jaccard similarity of `similarity` or more connect.
 
-    The similarity is that of the sets of shingles, and every link is verified by the sets. Candidates share one of the
-    least `anchors` shingle hashes; texts of that similarity share none with a chance of (1 - similarity) ** anchors.
-    They are discarded by the sizes of their sets and by sketches of SKETCH_WORDS * 64 bits, four deviations wide. A
-    bucket of up to PAIRED rows gives all its pairs. A larger one first gives a forest of close links; when those are
-    verified, it gives all its pairs that are not yet connected. Equal sets are one row from the start. Wordless texts
-    have no anchors and stay alone here. A null id is never the least one of a group that has others.
+    The similarity is that of the sets of shingles, and every link is one of the sets themselves. Candidates share one
+    of the least `anchors` shingle hashes; texts of that similarity share none with a chance of (1 - similarity) **
+    anchors. Rows of one anchor whose set sizes and sketches (SKETCH_WORDS * 64 bits, four deviations wide) allow the
+    similarity are one coarse group; the sets of each coarse group meet in tasks that compare them. An anchor or coarse
+    group of many rows is dealt into cells for many tasks. Equal sets are one row from the start. Null, empty and
+    wordless texts have no anchors and stay alone here; a very long text is one row like others. A null id is never the
+    least one of a group that has others. Other columns are not read; repeated rows all come back. An empty table gives
+    an empty result.
     """
-    wide, tight = widest_distance(similarity), widest_distance(similarity, 0, 1)
+    wide = widest_distance(similarity)
     words = [f"w{i}" for i in range(SKETCH_WORDS)]
     kind = docs.schema[id_col].dataType.simpleString()
 
@@ -288,91 +371,75 @@ def similar_groups(docs: DataFrame, words_per_shingle: int = 5, similarity: floa
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(k)]).astype(np.int32)), pa.array(least.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest.view(np.int64)), pa.array(n.astype(np.int32)), lists, *(pa.array(w.view(np.int64)) for w in np.ascontiguousarray(fp.T))], names=["id", "fp", "n", "anchors", *words])
 
-    def whole_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "text"):
             h, n, digest = shingle_sets(batch.column(1), words_per_shingle)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(h.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), lists], names=["fp", "shingles"])
 
-    def matcher(first: bool):
-        def done(anchor, key, n, part, *long):
-            if len(key) < 2:
-                return
-            fp = np.stack(long, axis=1).view(U)
-            head = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-            sizes = np.diff(np.append(head, len(key)))
-            few = sizes <= PAIRED
-            for step in range(1, int(sizes[few].max(initial=1))) if first else ():
-                a = ragged(head[few & (sizes > step)], sizes[few & (sizes > step)] - step)
-                for lo in range(0, len(a), 1 << 18):
-                    i = a[lo : lo + (1 << 18)]
-                    i = i[_close(fp, n, i, i + step, wide, similarity)]
-                    yield key[i], key[i + step]
-            for s, size in zip(head[~few].tolist(), sizes[~few].tolist()):
-                own = slice(s, s + size)
-                if first:
-                    a, b = _forest(fp[own], n[own], tight, similarity)
-                    yield key[own][a], key[own][b]
-                    continue
-                for i in range(s, s + size - 1):
-                    later = slice(i + 1, s + size)
-                    b = np.flatnonzero((part[later] != part[i]) & _close(fp, n, i, later, wide, similarity)) + i + 1
-                    if len(b):
-                        yield np.full(len(b), key[i]), key[b]
-
-        def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            rest = None
-            for batch in batches:
-                new = [c.to_numpy() for c in batch.columns]
-                new = [np.concatenate(x) for x in zip(rest, new)] if rest else new
-                if not len(new[0]):
-                    continue
-                same = np.flatnonzero(new[0] != new[0][-1])
-                stop = same[-1] + 1 if len(same) else 0
-                for a, b in done(*(x[:stop] for x in new)):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-                rest = [x[stop:] for x in new]
-            for a, b in done(*rest) if rest else ():
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-        return match
+    def runs(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Where runs of key and cell begin; fingerprints, set sizes and sketches."""
+        key, cell = table.column(0).to_numpy(), table.column(1).to_numpy()
+        head = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
+        return head, table.column("fp").to_numpy(), table.column("n").to_numpy(), np.stack([table.column(w).to_numpy() for w in words], axis=1).view(U)
+
+    def coarse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches, 2):
+            head, fp, n, long = runs(table)
+            label = np.arange(len(fp))
+            for a, b in _chunks(head, len(fp)):
+                near = _close(long, n, a, b, wide, similarity)
+                _join(label, a[near], b[near])
+            linked = np.flatnonzero(label != np.arange(len(fp)))
+            yield pa.RecordBatch.from_arrays([pa.array(fp[linked]), pa.array(fp[label[linked]])], names=["a", "b"])
+
+    def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_runs(batches, 2):
+            head, fp, n, long = runs(table)
+            lists = table.column("shingles").combine_chunks()
+            lists = lists if isinstance(lists, pa.ListArray) else pa.concat_arrays(lists.chunks)
+            own = ShingleSets(lists.flatten().to_numpy().view(U), lists.value_lengths().to_numpy().astype(np.int64))
+            label = np.arange(len(fp))
+            for a, b in _chunks(head, len(fp), 1 << 14):
+                near = np.flatnonzero((label[a] != label[b]) & _close(long, n, a, b, wide, similarity))
+                near = near[own.similar(a[near], b[near], similarity)]
+                _join(label, a[near], b[near])
+            linked = np.flatnonzero(label != np.arange(len(fp)))
+            ids = [table.column("least").take(pa.array(x)).combine_chunks() for x in (linked, label[linked])]
+            yield pa.RecordBatch.from_arrays([*(pa.concat_arrays(x.chunks) if isinstance(x, pa.ChunkedArray) else x for x in ids), pa.array(fp[linked]), pa.array(fp[label[linked]])], names=["a_id", "b_id", "a_fp", "b_fp"])
 
+    n_parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     own = carried(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
     prints = cut(own.mapInArrow(sketch, f"id {kind}, fp long, n int, anchors array<long>, " + ", ".join(f"{w} long" for w in words)).where("size(anchors) > 0"))
-    keyed = prints.select(F.explode("anchors").alias("anchor"), "fp", "n", *words).distinct()
-    n_parts = max(2, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-    def pairs(rows: DataFrame, first: bool) -> DataFrame:
-        dealt = rows.select("anchor", "fp", "n", "part", *words).repartition(n_parts, "anchor").sortWithinPartitions("anchor", "fp")
-        return dealt.mapInArrow(matcher(first), "a long, b long").distinct()
-
-    def verified(some: DataFrame) -> DataFrame:
-        """The pairs whose sets are that similar; texts are read again for the rows that pairs name, once for each set."""
-        need = cut(some.select(F.col("a").alias("fp")).union(some.select("b")).distinct())
-        named = prints.join(need, "fp").groupBy("fp").agg(F.min("id").alias("named")).select("named").distinct()
-        again = own.join(named, F.col("id").eqNullSafe(F.col("named")), "left_semi").mapInArrow(whole_sets, "fp long, shingles array<long>")
-        sets = cut(again.join(need, "fp", "left_semi").dropDuplicates(["fp"]))
-        both = some.join(sets.select(F.col("fp").alias("b"), F.col("shingles").alias("y")), "b").join(sets.select(F.col("fp").alias("a"), F.col("shingles").alias("x")), "a")
-        shared = both.select("a", "b", F.size(F.array_intersect("x", "y")).alias("shared"), (F.size("x") + F.size("y")).alias("total"))
-        return cut(shared.where(F.col("shared") >= similarity * (F.col("total") - F.col("shared")) - 1e-9).select("a", "b"))
-
-    tried = cut(pairs(keyed.withColumn("part", F.col("fp")), True))
-    roots = connected_components(verified(tried))
-    hot = cut(keyed.groupBy("anchor").count().where(F.col("count") > PAIRED).select("anchor"))
-    if not hot.isEmpty():
-        parted = keyed.join(hot, "anchor", "left_semi").join(roots, F.col("fp") == F.col("node"), "left").withColumn("part", F.coalesce("root", "fp"))
-        more = cut(pairs(parted, False).join(tried, ["a", "b"], "left_anti"))
-        if not more.isEmpty():
-            roots = connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(verified(more)))
-    distinct = prints.groupBy("fp").agg(F.min("id").alias("least"))
-    member = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = member.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.select("id", "fp").join(labels, "fp").select(F.col("id").alias(id_col), "component_id")
+    columns = ["n", *words]
+    distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("copies"), F.first("anchors").alias("anchors"), *[F.first(c).alias(c) for c in columns]))
+    keyed = celled(distinct.select(F.explode("anchors").alias("anchor"), "fp", *columns), "anchor", "fp", BUCKET_ROWS)
+    near = keyed.select("anchor", "cell", "fp", *columns).repartition(n_parts, "anchor", "cell").sortWithinPartitions("anchor", "cell", "fp").mapInArrow(coarse, "a long, b long")
+    member = connected_components(near).withColumnRenamed("node", "fp")
+    member = cut(member.unionByName(member.select(F.col("root").alias("fp"), "root").distinct()))
+    # texts are read again for the rows of coarse groups, once for each set
+    named = distinct.join(member, "fp").select("least").distinct()
+    again = own.join(named, F.col("id").eqNullSafe(F.col("least")), "left_semi").mapInArrow(sets, "fp long, shingles array<long>")
+    groups = celled(member.join(distinct.select("fp", "least", *columns), "fp"), "root", "fp", GROUP_ROWS)
+    rows = groups.join(again.dropDuplicates(["fp"]), "fp").select("root", "cell", "fp", "least", *columns, "shingles")
+    found = rows.repartition(n_parts, "root", "cell").sortWithinPartitions("root", "cell", "fp").mapInArrow(exact, f"a_id {kind}, b_id {kind}, a_fp long, b_fp long")
+    return _labelled(prints, distinct, found.select(node("a_id", "a_fp").alias("a"), node("b_id", "b_fp").alias("b"))).select(F.col("id").alias(id_col), "component_id")
+
+
+def _labelled(prints: DataFrame, distinct: DataFrame, links_: DataFrame) -> DataFrame:
+    """prints with the least id that links between fingerprints reach."""
+    roots = connected_components(links_).select(F.col("node.fp").alias("fp"), "root")
+    component = F.when(F.col("root").isNotNull(), F.col("root.id")).otherwise(F.col("least"))
+    labels = cut(distinct.select("fp", "least", "copies").join(roots, "fp", "left").select("fp", component.alias("component_id"), "copies"))
+    return attach(prints, labels, "fp", "copies")
 
 
 def merged(first: DataFrame, second: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """(id_col, component_id) of the rows that two groupings together put into a component of a smaller id."""
+    """(id_col, component_id) of the rows that two groupings together put into a component of a smaller id.
+
+    Rows that stay alone or are the least of theirs don't come back; null ids link nothing; repeated rows come back once.
+    Two empty groupings give an empty result.
+    """
     links_ = [g.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("a"), F.col("component_id").alias("b")) for g in (first, second)]
     return connected_components(links_[0].unionByName(links_[1])).select(F.col("node").alias(id_col), F.col("root").alias("component_id"))
 
@@ -381,18 +448,12 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, bits: int = 2,
     """(id_col, fingerprint, component_id) of every row; component_id is the least id that links reach, itself included.
 
     Fingerprints link at `bits` or fewer differing bits; equal ones always do. Null, empty and wordless texts share
-    fingerprint 0. A null id never is the least id of a component that has others. Repeated rows all come back. Other
+    fingerprint 0; a very long text is hashed piece by piece. A null id never is the least id of a component that has others. Repeated rows all come back. Other
     columns are not read. An empty table gives an empty result.
     """
     prints = cut(simhash(docs, words_per_shingle, id_col, text))
-    distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("least")))
-    roots = connected_components(links(distinct, bits))
-    member = distinct.join(roots, distinct.fp == roots.node, "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = member.groupBy("root").agg(F.min("least").alias("component_id"))
-    labels = member.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return prints.join(labels, "fp").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("copies")))
+    return _labelled(prints, distinct, links(distinct, bits)).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:

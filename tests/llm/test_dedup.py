@@ -94,8 +94,8 @@ def test_near_duplicates_edges(spark):
     assert near_duplicates(docs.limit(0)).count() == 0
 
 
-@pytest.mark.parametrize("bits", [0, 1, 2])
-def test_links_connect_all_within_the_radius(spark, bits):
+@pytest.mark.parametrize("bits, paired", [(0, 48), (1, 48), (2, 48), (1, 1), (2, 1), (2, 1000)])
+def test_links_connect_all_within_the_radius(spark, bits, paired):
     rnd = random.Random(bits)
     values = set()
     for _ in range(40):
@@ -112,10 +112,10 @@ def test_links_connect_all_within_the_radius(spark, bits):
         values.add(y)
     values = sorted(values)
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    df = carried(spark.createDataFrame(pd.DataFrame({"fp": signed})))
-    edges = links(df, bits).collect()
-    assert all(((a ^ b) & (2**64 - 1)).bit_count() <= bits for a, b in edges)
-    root = dict(map(tuple, connected_components(links(df, bits)).collect()))
+    df = carried(spark.createDataFrame(pd.DataFrame({"fp": signed, "least": signed})))
+    edges = links(df, bits, paired).collect()
+    assert all(((e.a.fp ^ e.b.fp) & (2**64 - 1)).bit_count() <= bits for e in edges)
+    root = {r.node.fp: r.root.fp for r in connected_components(links(df, bits, paired)).collect()}
     got, want = collections.defaultdict(set), collections.defaultdict(set)
     for v, s, g in zip(values, signed, groups(values, bits)):
         got[root.get(s, s)].add(v)
