@@ -41,19 +41,10 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_min_cost_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """From one shard for each source to 40 shards of near equal bytes, moving the fewest bytes: the affected shards are
     written to the shared folder, and their rows read back from them."""
-    from .cluster import cut, without
-    from .reshard import OVERHEAD, affected, reshard, rewrite
+    from .reshard import reshard
 
-    docs = table(spark, sf_dir, "documents")
     old = F.coalesce(F.pmod(F.crc32(F.col("source").cast("binary")), F.lit(40)), F.lit(0)).cast("int")
-    placed = cut(reshard(docs, old))
-    folder = rewrite(docs, placed)
-    kinds = ", ".join(f"`{c}` {kind}" for c, kind in without(docs, "shard", "slot").dtypes)
-    body = F.coalesce("text", F.lit("")).cast("binary")
-    back = spark.read.schema(f"{kinds}, slot long, shard int").parquet(folder)
-    back = back.select("doc_id", (F.octet_length(body) + OVERHEAD).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), "shard", "slot", old.alias("old_shard"))
-    still = placed.join(F.broadcast(affected(placed)), "shard", "left_anti").select(back.columns)
-    out = back.unionByName(still).withColumn("moved", F.col("shard") != F.col("old_shard"))
+    out = reshard(table(spark, sf_dir, "documents"), old)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard", "moved")
 
 

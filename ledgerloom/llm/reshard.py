@@ -1,18 +1,21 @@
 """Minimum-cost-flow resharding: move the fewest bytes from an old layout to new shard capacities.
 
-The flow network has old shards as sources, new shards as sinks and a cost for each byte that changes shards; its
-solution says how many bytes each old shard hands to each new one. A document's place in its old shard's running sum of
-bytes decides which transfer takes it. Running sums and slots are computed in two levels (a bucket of an old shard, then
-the old shard), so that a shard with a third of all rows is spread over many tasks.
-
-Whole documents can't be cut where a transfer ends, so it is solved in two passes: all but the smallest documents first,
-then the small ones (at least FINE of each old shard's rows) against what room is left, which evens sizes out.
+1. One flow over the whole sizes of the old shards, with new shards as sinks and a cost for each byte that changes
+   shards, says how many bytes each old shard hands to each new one.
+2. A histogram of (old shard, size class) turns these amounts into numbers of documents: large classes first, each to
+   the transfers with the most room, so that small documents even out what large ones leave. Old shards that keep
+   everything move nothing. Classes are as wide as the PRECISION-th part of a size, so the histogram is bounded by the
+   number of shards and classes.
+3. A document's rank by a hash within its class decides which transfer takes it. Ranks are needed at the transfers'
+   bounds only: the hashes there make a table of bounded size, against which every document finds its shard where it is
+   read, and one shuffle takes it to its new file.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -21,10 +24,12 @@ from pyspark.sql import functions as F
 from .cluster import cut, new_folder, without
 
 OVERHEAD = 16
-#: Rows of one old shard that are summed together on average; a large shard is spread over many buckets.
+#: Rows of one size class that are ranked together on average; a frequent class is spread over many buckets.
 BUCKET_ROWS = 500
-#: Share of the capacity that small documents hold back to even out sizes, where an old shard has that many.
-FINE = 0.5
+#: Sizes up to twice this are classes of their own; larger ones share a class if their leading bits agree.
+PRECISION = 256
+#: Files of a new shard hold about this many bytes of text.
+FILE_BYTES = 128 << 20
 
 
 def min_cost_flow(supply: list[int], room: list[int], cost: Callable[[int, int], int]) -> dict[tuple[int, int], int]:
@@ -89,103 +94,138 @@ def transfers(supply: dict[int, int], room: list[int]) -> list[tuple[int, int, i
     return sorted((old[i], j, b) for (i, j), b in flow.items())
 
 
-def _running(df: DataFrame, keys: list[str], value: Column, order: list[Column], name: str) -> DataFrame:
-    """df with the sum of `value` over all earlier rows of the same keys[:-1], in order of bucket keys[-1], then order."""
-    upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    before = Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
-    bases = df.groupBy(*keys).agg(F.sum(value).alias("__sum")).select(*keys, F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
-    inner = df.withColumn("__own", F.coalesce(F.sum(value).over(upto), F.lit(0)))
-    return inner.join(bases, keys).withColumn(name, F.col("__base") + F.col("__own")).drop("__base", "__own")
-
-
-def assign(rows: DataFrame, n_shards: int = 40, order: tuple[str, ...] = ("doc_id", "text_crc32")) -> DataFrame:
-    """rows (old_shard int, size long, and the order columns) with shard, slot and moved added.
-
-    Sizes of the new shards differ by about one small document. slot counts a shard's rows from 0 without gaps. Ties in
-    the order columns are broken by size. Nulls sort first. Empty tables give an empty result.
+def deal(flow: list[tuple[int, int, int]], classes: dict[int, list[tuple[int, int, int]]]) -> list[tuple[int, int, int, int]]:
+    """(old, class, new, how many documents) from the flow's (old, new, bytes) and each old shard's (class, documents,
+    bytes). Within an old shard and class, rows are in the order in which ranks are handed out."""
+    out, owed = [], {}
+    for old in sorted(classes):
+        need = {new: amount for o, new, amount in flow if o == old}
+        need = {new: amount + owed.pop(new, 0.0) for new, amount in need.items()}
+        for kind, n, total in sorted(classes[old], key=lambda c: -c[2] / c[1]):
+            size, room = total / n, sum(max(v, 0.0) for v in need.values())
+            took = {new: int(n * max(v, 0.0) / room) if room else n // len(need) for new, v in need.items()}
+            for new, k in took.items():
+                need[new] -= k * size
+            for _ in range(n - sum(took.values())):
+                new = max(need, key=lambda j: need[j])
+                took[new] += 1
+                need[new] -= size
+            out += [(old, kind, new, k) for new, k in took.items() if k]
+        for new, left in need.items():  # later old shards even out what is left over
+            owed[new] = owed.get(new, 0.0) + left
+    return out
+
+
+def size_class(size: Column) -> Column:
+    """Sizes below 2 * PRECISION as they are, of larger ones the leading bits."""
+    low = F.greatest(F.floor(F.log2(size.cast("double"))) - int(np.log2(PRECISION)), F.lit(0)).cast("int")
+    return F.call_function("shiftleft", F.call_function("shiftright", size, low), low)
+
+
+@dataclass
+class Placement:
+    """Where documents go: bounds of hashes for each (old shard, class), the shards that gain or lose a row, and the
+    number of parts of a shard."""
+
+    bounds: DataFrame
+    affected: list[int]
+    n_parts: int
+
+
+def _keyed(docs: DataFrame, old_shard: Column, text: str) -> DataFrame:
+    """docs with size, text_crc32, old_shard, class__ and hash__ (63 bits); equal rows differ in hash__."""
+    body = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
+    base = docs.withColumns({"old__": F.coalesce(old_shard, F.lit(0)).cast("int"), "size__": (F.octet_length(body) + OVERHEAD).cast("long"), "crc__": F.crc32(body)})
+    base = without(base, "size", "text_crc32", "old_shard", "shard", "slot", "moved").withColumnsRenamed({"old__": "old_shard", "size__": "size", "crc__": "text_crc32"})
+    return base.withColumn("class__", size_class(F.col("size"))).withColumn("hash__", F.shiftrightunsigned(F.xxhash64(F.monotonically_increasing_id(), "size", "text_crc32"), 1))
+
+
+def place(docs: DataFrame, old_shard: Column, n_shards: int = 40, text: str = "text") -> Placement:
+    """Solve the flow for new shards of equal capacities and find the bounds of its transfers.
+
+    The driver sees one row for each old shard and size class.
     """
-    spark = rows.sparkSession
-    by = [F.col(c).asc_nulls_first() for c in order] + [F.col("size")]
-    shards = rows.groupBy("old_shard").agg(F.percentile_approx("size", FINE, 1000).alias("__small"), F.ceil(F.count("*") / BUCKET_ROWS).alias("__buckets"))
-    dealt = rows.join(F.broadcast(shards), "old_shard").withColumn("__fine", F.col("size") <= F.col("__small"))
-    dealt = cut(dealt.withColumn("__bucket", F.pmod(F.xxhash64(*order, "size"), F.col("__buckets")).cast("int")).drop("__small", "__buckets"))
-    sizes = {(r[0], r[1]): r[2] for r in dealt.groupBy("old_shard", "__fine").agg(F.sum("size")).collect()}
-    total = sum(sizes.values())
-    target = [total * (j + 1) // n_shards - total * j // n_shards for j in range(n_shards)]
-
-    def placed(some: DataFrame, supply: dict[int, int], room: list[int]) -> DataFrame:
-        cuts, at = [], {}
-        for old, new, amount in transfers(supply, room):
-            a = at.get(old, 0)
-            cuts.append((old, a, a + amount, new))
-            at[old] = a + amount
-        table = spark.createDataFrame(cuts, "cut_old int, cut_from long, cut_to long, shard int")
-        run = _running(some, ["old_shard", "__bucket"], F.col("size"), by, "__at").withColumn("__mid", F.col("__at") + F.expr("size div 2"))
-        hit = (F.col("old_shard") == F.col("cut_old")) & (F.col("__mid") >= F.col("cut_from")) & (F.col("__mid") < F.col("cut_to"))
-        return run.join(F.broadcast(table), hit).drop("cut_old", "cut_from", "cut_to", "__at", "__mid")
-
-    coarse = {k[0]: v for k, v in sizes.items() if not k[1]}
-    fine = {k[0]: v for k, v in sizes.items() if k[1]}
-    coarse_total = sum(coarse.values())
-    room = [coarse_total * (j + 1) // n_shards - coarse_total * j // n_shards for j in range(n_shards)]
-    first = cut(placed(dealt.where(~F.col("__fine")), coarse, room)) if coarse_total else None
-    have = {r[0]: r[1] for r in first.groupBy("shard").agg(F.sum("size")).collect()} if first is not None else {}
-    left = [max(0, target[j] - have.get(j, 0)) for j in range(n_shards)]
-    need = sum(fine.values())
-    scale = need - sum(left)
-    for j in sorted(range(n_shards), key=lambda j: -left[j]):  # over-full shards take nothing; the others share their excess
-        take = min(left[j], -scale) if scale < 0 else 0
-        left[j] -= take
-        scale += take
-    if scale > 0:
-        left[0] += scale
-    second = placed(dealt.where("__fine"), fine, left) if need else None
-    both = first.unionByName(second) if first is not None and second is not None else first if second is None else second
-    if both is None:
-        both = dealt.withColumn("shard", F.lit(0)).limit(0)
-    out = _running(both, ["shard", "__bucket"], F.lit(1).cast("long"), by, "slot")
-    return out.withColumn("moved", F.col("shard") != F.col("old_shard")).drop("__bucket", "__fine")
-
-
-def _row_hash(docs: DataFrame) -> Column:
-    """Hash of all columns of a row; rows that agree in it, their size and their text's CRC count as copies."""
-    return F.xxhash64(*[F.to_json(F.struct(F.col(f"`{c}`"))) if kind.startswith(("map", "variant")) else F.col(f"`{c}`") for c, kind in docs.dtypes])
-
-
-def _body(text: str) -> Column:
-    return F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
-
-
-def reshard(docs: DataFrame, old_shard: Column, n_shards: int = 40, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id_col, size, text_crc32, row_hash, old_shard, shard, slot, moved) of every document.
-
-    size is the UTF-8 bytes of the text (null: none) plus OVERHEAD; old_shard gives the present shard of a row (null: 0).
+    spark = docs.sparkSession
+    rows = _keyed(docs, old_shard, text).select("old_shard", "class__", "size", "hash__")
+    classes: dict[int, list[tuple[int, int, int]]] = {}
+    for old, kind, n, total in rows.groupBy("old_shard", "class__").agg(F.count("*"), F.sum("size")).collect():
+        classes.setdefault(old, []).append((kind, n, total))
+    supply = {old: sum(c[2] for c in own) for old, own in classes.items()}
+    whole = sum(supply.values())
+    room = [whole * (j + 1) // n_shards - whole * j // n_shards for j in range(n_shards)]
+    ends: dict[tuple[int, int], int] = {}
+    ranges: list[tuple[int, int, int, int]] = []
+    for old, kind, new, n in deal(transfers(supply, room), classes):
+        ranges.append((old, kind, new, ends.get((old, kind), 0)))
+        ends[old, kind] = ranges[-1][3] + n
+    table = spark.createDataFrame(ranges, "b_old int, b_class long, shard int, first_rank long")
+    shared = {(old, kind) for old, kind, _, first in ranges if first}
+    buckets = spark.createDataFrame([(old, kind, -(-n // BUCKET_ROWS)) for old, kind in shared for n in (ends[old, kind],)], "old_shard int, class__ long, buckets__ int")
+    # ranks are in the order of hashes: a bucket is a range of them
+    share = (F.shiftright("hash__", 31) * F.col("buckets__") / float(1 << 32)).cast("int")
+    own = rows.drop("size").join(F.broadcast(buckets), ["old_shard", "class__"]).withColumn("bucket__", share).drop("buckets__")
+    keys = ["old_shard", "class__", "bucket__"]
+    before = Window.partitionBy(*keys[:2]).orderBy("bucket__").rowsBetween(Window.unboundedPreceding, -1)
+    bases = own.groupBy(*keys).count().select(*keys, F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base__"))
+    ranked = own.withColumn("n__", F.row_number().over(Window.partitionBy(*keys).orderBy("hash__"))).join(bases, keys)
+    ranked = ranked.select("old_shard", "class__", "hash__", (F.col("base__") + F.col("n__") - 1).alias("rank__"))
+    on = (F.col("old_shard") == F.col("b_old")) & (F.col("class__") == F.col("b_class")) & (F.col("rank__") == F.col("first_rank"))
+    found = ranked.join(F.broadcast(table.where("first_rank > 0").drop("shard")), on).select("b_old", "b_class", "first_rank", F.col("hash__").alias("from"))
+    bounds = table.join(found, ["b_old", "b_class", "first_rank"], "left").withColumn("from", F.coalesce("from", F.lit(0).cast("long")))
+    upto = F.lead("from").over(Window.partitionBy("b_old", "b_class").orderBy("first_rank"))
+    bounds = cut(bounds.withColumn("upto", F.coalesce(upto, F.lit((1 << 63) - 1))).select("b_old", "b_class", "shard", "from", "upto"))
+    affected = sorted({x for old, _, new, _ in ranges if old != new for x in (old, new)})
+    return Placement(bounds, affected, max(1, round(whole / n_shards / FILE_BYTES)))
+
+
+def placed(docs: DataFrame, old_shard: Column, placement: Placement, text: str = "text") -> DataFrame:
+    """docs with size, text_crc32, old_shard, shard, part and place added (input columns of those names are replaced).
+
+    Every row finds its shard where it is read, against the placement's bounds: a broadcast of at most one row for each
+    old shard, size class and new shard. Rows of a part stand in the order of place.
     """
-    rows = docs.select(
-        F.col(f"`{id_col}`").alias("doc_id"), (F.octet_length(_body(text)) + OVERHEAD).cast("long").alias("size"), F.crc32(_body(text)).alias("text_crc32"), _row_hash(docs).alias("row_hash"),
-        F.coalesce(old_shard, F.lit(0)).cast("int").alias("old_shard"),
-    )
-    return assign(cut(rows), n_shards, ("doc_id", "text_crc32", "row_hash")).withColumnRenamed("doc_id", id_col)
-
+    rows = _keyed(without(docs, "part", "place"), old_shard, text)
+    hit = (F.col("old_shard") == F.col("b_old")) & (F.col("class__") == F.col("b_class")) & (F.col("hash__") >= F.col("from")) & (F.col("hash__") < F.col("upto"))
+    out = rows.join(F.broadcast(placement.bounds), hit).drop("b_old", "b_class", "from", "upto", "class__")
+    return out.withColumn("part", F.pmod("hash__", F.lit(placement.n_parts)).cast("int")).withColumnRenamed("hash__", "place")
 
-def affected(placed: DataFrame) -> DataFrame:
-    """(shard) of the shards that gain or lose a row."""
-    return placed.where("moved").select(F.col("old_shard").alias("shard")).union(placed.where("moved").select("shard")).distinct()
 
-
-def rewrite(docs: DataFrame, placed: DataFrame, folder: str | None = None, id_col: str = "doc_id", text: str = "text") -> str:
+def rewrite(docs: DataFrame, old_shard: Column, placement: Placement, folder: str | None = None, text: str = "text") -> str:
     """Write docs below `folder`, one directory for each shard that gains or loses a row, and return the folder.
 
-    Rows keep all their columns; shard and slot are added. Rows find their places by their content, whatever their id:
-    of rows that agree in all columns one is joined to all their places.
+    Rows keep all their columns but those that are replaced; old_shard, part and place are added. One shuffle takes a row from where it is read to its file;
+    a file holds about FILE_BYTES.
     """
-    folder = folder or new_folder(docs.sparkSession, "shards")
-    key = ["__hash", "__crc", "__size"]
-    touched = placed.join(F.broadcast(affected(placed)), "shard", "left_semi").select(F.col("row_hash").alias("__hash"), F.col("text_crc32").alias("__crc"), F.col("size").alias("__size"), "shard", "slot")
-    copies = cut(placed.groupBy("row_hash", "text_crc32", "size").count().where("count > 1").toDF(*key, "__copies").select(key))
-    keyed = docs.withColumns({"__hash": _row_hash(docs), "__crc": F.crc32(_body(text)), "__size": (F.octet_length(_body(text)) + OVERHEAD).cast("long")})
-    keyed = without(keyed, "shard", "slot")
-    if not copies.isEmpty():
-        keyed = keyed.join(copies, key, "left_anti").unionByName(keyed.join(copies, key, "left_semi").dropDuplicates(key))
-    keyed.join(touched, key).drop(*key).repartition("shard", F.expr("slot div 50000")).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(folder)
+    spark = docs.sparkSession
+    folder = folder or new_folder(spark, "shards")
+    rows = placed(docs, old_shard, placement, text).where(F.col("shard").isin(placement.affected)).drop("size", "text_crc32")
+    n_tasks = max(placement.n_parts * len(placement.affected), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    dealt = rows.repartition(n_tasks, "shard", "part").sortWithinPartitions("shard", "part", "place")
+    dealt.write.partitionBy("shard").option("compression", "zstd").parquet(folder)
     return folder
+
+
+def reshard(docs: DataFrame, old_shard: Column, n_shards: int = 40, id_col: str = "doc_id", text: str = "text", folder: str | None = None) -> DataFrame:
+    """(id_col, size, text_crc32, old_shard, shard, slot, moved) of every document, after the affected shards are written.
+
+    size is the UTF-8 bytes of the text (null: none) plus OVERHEAD; old_shard gives the present shard of a row by its
+    columns (null: 0). Shards that gain or lose a row are written below `folder` (see rewrite()) and their rows are read
+    back from there; all others stay where they are. slot counts a shard's rows from 0 without gaps. Repeated rows and
+    null ids are rows like others; a text larger than a shard stays whole. docs must come from stored rows: a row's place
+    in its file tells equal rows apart. An empty table gives an empty result.
+    """
+    spark = docs.sparkSession
+    placement = place(docs, old_shard, n_shards, text)
+    columns = ["size", "text_crc32", "old_shard", "shard", "part", "place"]
+    rows = placed(docs, old_shard, placement, text).where(~F.col("shard").isin(placement.affected)).select(F.col(f"`{id_col}`").alias("id__"), *columns)
+    if placement.affected:
+        folder = rewrite(docs, old_shard, placement, folder, text)
+        kept = without(docs, "part", "place", "size", "text_crc32", "old_shard", "shard", "slot", "moved")
+        written = spark.read.schema(", ".join(f"`{c}` {kind}" for c, kind in kept.dtypes) + ", old_shard int, place long, part int, shard int").parquet(folder)
+        back = _keyed(written.withColumn("shard__", F.col("shard")), F.col("old_shard"), text).withColumnRenamed("shard__", "shard")
+        rows = rows.unionByName(back.select(F.col(f"`{id_col}`").alias("id__"), *columns))
+    own = rows.withColumn("n__", F.row_number().over(Window.partitionBy("shard", "part").orderBy("place")))
+    before = Window.partitionBy("shard").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    bases = rows.groupBy("shard", "part").count().select("shard", "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("base__"))
+    out = own.join(bases, ["shard", "part"]).withColumn("slot", F.col("base__") + F.col("n__") - 1)
+    return out.select(F.col("id__").alias(id_col), "size", "text_crc32", "old_shard", "shard", "slot", (F.col("shard") != F.col("old_shard")).alias("moved"))
