@@ -1,115 +1,137 @@
 """Token-ID output: Arrow files of fixed-size-list batches, for zero-copy random access to equal-length sequences.
 
-The ids of all documents, each followed by an end id, form one stream in ascending document order. A file holds a
-range of documents; its part of the stream is cut into sequences of `length` ids. Columns of a file, one row for each
-sequence: ids (fixed-size list of uint16, or uint32 for vocabularies beyond 65,536), mask (fixed-size list of booleans,
-false on the padding of a file's last sequence), doc_id and doc_end (the documents that end in the sequence, and the
-places after their last ids). Every batch but a file's last has ROWS sequences, so sequence i is row i % ROWS of batch
-i // ROWS, and a memory-mapped reader reaches it without decoding or copying.
+The ids of all documents, each followed by an end id, form one stream in ascending document order. Documents are dealt
+into ranges of ids; each task writes its range as a stream of batches into one file after another, so that neither long
+texts nor neighbouring ids need memory. A file's part of the stream is cut into sequences of `length` ids. Columns of a
+file, one row for each sequence: ids (fixed-size list of uint16, or uint32 for tokenizers of more than 65,536 ids), mask
+(fixed-size list of uint8, 0 on the padding of a file's last sequence), doc_id and doc_end (the documents that end in
+the sequence, and the places after their last ids). Every batch but a file's last has ROWS sequences, so sequence i is
+row i % ROWS of batch i // ROWS, and a memory-mapped reader reaches its ids and mask without decoding or copying.
 """
 
 from __future__ import annotations
 
 import posixpath
+import uuid
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .cluster import carried, parts, text_bytes
+from .cluster import carried
 from .textblocks import small_batches
 from .tokens import encoder
 
 ROWS = 256
-FILE_TEXT_BYTES = 24 << 20
+#: A file ends with the document that brings it to so many ids.
+FILE_IDS = 16 << 20
 
 
 def _filesystem(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
-def _list_array(values: np.ndarray, kind: pa.DataType, length: int) -> pa.Array:
-    return pa.FixedSizeListArray.from_arrays(pa.array(values, kind), length)
-
-
-def sequence_batches(ids: np.ndarray, ends: np.ndarray, doc_ids: pa.Array, length: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    """The batches of one file: its ids, the place after each document's last id, and the documents' ids."""
-    n = -(-len(ids) // length)
-    padded = np.zeros(n * length, ids.dtype)
-    padded[: len(ids)] = ids
-    for row in range(0, n, ROWS):
-        stop = min(row + ROWS, n)
-        mask = np.arange(row * length, stop * length) < len(ids)
-        at = np.searchsorted(ends, np.arange(row, stop + 1) * length, side="right")
-        at[0] = np.searchsorted(ends, row * length, side="right") if row else 0
-        offsets = pa.array((at - at[0]).astype(np.int32))
-        own = slice(at[0], at[-1])
-        seq = np.repeat(np.arange(row, stop), np.diff(at))
-        yield pa.RecordBatch.from_arrays(
-            [
-                _list_array(padded[row * length : stop * length], kind, length),
-                _list_array(mask, pa.bool_(), length),
-                pa.ListArray.from_arrays(offsets, doc_ids[own]),
-                pa.ListArray.from_arrays(offsets, pa.array((ends[own] - seq * length).astype(np.int32))),
-            ],
-            names=["ids", "mask", "doc_id", "doc_end"],
-        )
-
-
-def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end_id: int, drops_space: bool, length: int = 2048, vocabulary: int = 65536, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+class SequenceFile:
+    """One file that grows batch by batch; it takes its final name when it is closed."""
+
+    def __init__(self, folder: str, name: str, length: int, kind: pa.DataType, id_kind: pa.DataType):
+        self.store, root = _filesystem(folder)
+        self.store.create_dir(root, recursive=True)
+        self.name, self.path = name, posixpath.join(root, name)
+        self.mine = f"{self.path}.{uuid.uuid4().hex}"
+        self.length, self.kind = length, kind
+        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length)), ("doc_id", pa.list_(id_kind)), ("doc_end", pa.list_(pa.int32()))])
+        self.out = self.store.open_output_stream(self.mine)
+        self.writer = pa.ipc.new_file(self.out, self.schema)
+        self.ids = np.zeros(0, kind.to_pandas_dtype())
+        self.ends, self.doc_ids = np.zeros(0, np.int64), pa.array([], id_kind)  # of documents that end in self.ids
+        self.n_docs = self.n_tokens = self.n_sequences = 0
+
+    def add(self, ids: np.ndarray, ends: np.ndarray, doc_ids: pa.Array) -> None:
+        """Whole documents: their ids, the place in these after each document's last id, and the documents' ids."""
+        self.ends = np.concatenate([self.ends, ends + len(self.ids)])
+        self.doc_ids = pa.concat_arrays([self.doc_ids, doc_ids])
+        self.ids = np.concatenate([self.ids, ids])
+        self.n_docs, self.n_tokens = self.n_docs + len(ends), self.n_tokens + len(ids)
+        whole = len(self.ids) // (ROWS * self.length)
+        for _ in range(whole):
+            self._batch(ROWS)
+
+    def _batch(self, n: int) -> None:
+        """Write the next n sequences, the last one padded."""
+        size = n * self.length
+        own, real = self.ids[:size], min(size, len(self.ids))
+        if real < size:
+            own = np.concatenate([own, np.zeros(size - real, own.dtype)])
+        mask = np.zeros(size, np.uint8)
+        mask[:real] = 1
+        upto = int(np.searchsorted(self.ends, real, side="right"))
+        ends = self.ends[:upto]
+        row = (ends - 1) // self.length
+        offsets = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32))
+        columns = [
+            pa.FixedSizeListArray.from_arrays(pa.array(own, self.kind), self.length),
+            pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length),
+            pa.ListArray.from_arrays(offsets, self.doc_ids[:upto]),
+            pa.ListArray.from_arrays(offsets, pa.array((ends - row * self.length).astype(np.int32))),
+        ]
+        self.writer.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
+        self.ids, self.ends, self.doc_ids = self.ids[real:], self.ends[upto:] - real, self.doc_ids[upto:]
+        self.n_sequences += n
+
+    def close(self) -> None:
+        if len(self.ids):
+            self._batch(-(-len(self.ids) // self.length))
+        self.writer.close()
+        self.out.close()
+        self.store.move(self.mine, self.path)
+
+
+def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end_id: int, drops_space: bool, length: int = 2048, id_col: str = "doc_id", text: str = "text", file_ids: int = FILE_IDS) -> DataFrame:
     """Write docs' ids below `folder` and return the manifest (file_no, path, n_docs, n_sequences, n_tokens).
 
-    `folder` must be shared by driver and executors. Files cover ranges of ascending ids, cut at quantiles of the id
-    column; null ids come first, rows of one id in no set order but each whole. Null and empty texts give the end id
-    alone. A retried task writes its file anew under another name before it takes the final one. Other columns are not
-    read. An empty table gives no file and an empty manifest.
+    `folder` must be shared by driver and executors. Files cover ranges of ascending ids, as many ranges as
+    spark.sql.shuffle.partitions says; null ids come first, rows of one id in no set order but each whole. Null and empty
+    texts give the end id alone; a very long text is one document of one file. A retried task writes its files anew under
+    other names before they take the final ones. Other columns are not read. An empty table gives no file and an empty
+    manifest.
     """
     spark = carried(docs).sparkSession
-    n_files = parts(spark, text_bytes(docs, text), FILE_TEXT_BYTES)
-    bounds = np.unique(docs.approxQuantile(id_col, [i / n_files for i in range(1, n_files)], 0.2 / n_files)) if n_files > 1 else np.zeros(0)
-    kind = pa.uint16() if vocabulary <= 65536 else pa.uint32()
-    dtype = kind.to_pandas_dtype()
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer, drops_space)
+        kind = pa.uint16() if max(own.tokenizer.get_vocab_size(with_added_tokens=True) - 1, end_id) < 1 << 16 else pa.uint32()
+        part, n, file = TaskContext.get().partitionId(), 0, None
+        fields = [pa.field("file_no", pa.int64()), pa.field("path", pa.string()), pa.field("n_docs", pa.int64()), pa.field("n_sequences", pa.int64()), pa.field("n_tokens", pa.int64())]
+
+        def line() -> pa.RecordBatch:
+            return pa.RecordBatch.from_pylist([{"file_no": (part << 24) + n, "path": file.name, "n_docs": file.n_docs, "n_sequences": file.n_sequences, "n_tokens": file.n_tokens}], schema=pa.schema(fields))
+
         for batch in small_batches(batches, "text"):
             ids, counts = own.encode(batch.column(1))
-            at = np.concatenate([[0], np.cumsum(counts)])
-            ids = ids.astype(dtype)
-            key = batch.column(0).cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.searchsorted(bounds, key, side="right").astype(np.int32)), batch.column(0), pa.array([ids[a:b].tobytes() for a, b in zip(at[:-1], at[1:])], pa.binary())],
-                names=["file_no", "doc_id", "ids"],
-            )
-
-    def write(key, table):
-        table = table.sort_by([("doc_id", "ascending")]) if not table.column("doc_id").null_count else table.take(pa.compute.sort_indices(table, sort_keys=[("doc_id", "ascending")], null_placement="at_start"))
-        own = [np.frombuffer(x.as_buffer(), dtype) for x in table.column("ids")]
-        ends = np.cumsum([len(x) + 1 for x in own])
-        end = np.array([end_id], dtype)
-        ids = np.concatenate([y for x in own for y in (x, end)])
-        file_no = key[0].as_py()
-        store, root = _filesystem(folder)
-        store.create_dir(root, recursive=True)
-        path = posixpath.join(root, f"part-{file_no:06d}.arrow")
-        mine = f"{path}.{np.random.default_rng().integers(1 << 62):x}"
-        doc_ids = pa.concat_arrays(table.column("doc_id").chunks)
-        with store.open_output_stream(mine) as out:
-            writer = None
-            for batch in sequence_batches(ids, ends, doc_ids, length, kind):
-                writer = writer or pa.ipc.new_file(out, batch.schema)
-                writer.write_batch(batch)
-            writer.close()
-        store.move(mine, path)
-        return pa.table({"file_no": [file_no], "path": [posixpath.basename(path)], "n_docs": [len(own)], "n_sequences": [-(-len(ids) // length)], "n_tokens": [len(ids)]}, schema=pa.schema([("file_no", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_sequences", pa.int64()), ("n_tokens", pa.int64())]))
-
-    id_kind = docs.schema[id_col].dataType.simpleString()
-    coded = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(encode, f"file_no int, doc_id {id_kind}, ids binary")
-    manifest = coded.groupBy("file_no").applyInArrow(write, "file_no int, path string, n_docs long, n_sequences long, n_tokens long")
+            stop = np.cumsum(counts + 1)
+            flat = np.full(int(stop[-1]), end_id, kind.to_pandas_dtype())
+            inside = np.ones(len(flat), bool)
+            inside[stop - 1] = False
+            flat[inside] = ids
+            file = file or SequenceFile(folder, f"part-{part:06d}-{n:06d}.arrow", length, kind, batch.column(0).type)
+            file.add(flat, stop, batch.column(0))
+            if file.n_tokens >= file_ids:
+                file.close()
+                yield line()
+                file, n = None, n + 1
+        if file:
+            file.close()
+            yield line()
+
+    own = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    dealt = own.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    manifest = dealt.mapInArrow(write, "file_no long, path string, n_docs long, n_sequences long, n_tokens long")
     manifest.write.parquet(f"{folder}/manifest")
     return spark.read.parquet(f"{folder}/manifest")
 
@@ -123,11 +145,11 @@ def open_file(folder: str, path: str) -> tuple[pa.ipc.RecordBatchFileReader, obj
 
 
 def sequence(reader: pa.ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, mask) of sequence i of a file; ids are a view of the file's bytes."""
+    """(ids, mask) of sequence i of a file, both views of the file's bytes."""
     batch = reader.get_batch(i // ROWS)
     length = batch.schema.field("ids").type.list_size
     at = (i % ROWS) * length
-    return batch.column(0).values.to_numpy()[at : at + length], batch.column(1).values.slice(at, length).to_numpy(zero_copy_only=False)
+    return batch.column(0).values.to_numpy()[at : at + length], batch.column(1).values.to_numpy()[at : at + length]
 
 
 def read_documents(spark: SparkSession, folder: str, id_kind: str = "bigint") -> DataFrame:
@@ -145,7 +167,7 @@ def read_documents(spark: SparkSession, folder: str, id_kind: str = "bigint") ->
                 for i in range(reader.num_record_batches):
                     rows = reader.get_batch(i)
                     length = rows.schema.field("ids").type.list_size
-                    real = rows.column(1).values.to_numpy(zero_copy_only=False)
+                    real = rows.column(1).values.to_numpy().view(bool)
                     ids = np.concatenate([head, rows.column(0).values.to_numpy()[real].astype("<u4")])
                     seq = np.repeat(np.arange(rows.num_rows), rows.column(3).value_lengths().to_numpy())
                     ends = rows.column(3).values.to_numpy() + seq * length + len(head)
