@@ -38,6 +38,8 @@ SEED = 42
 BLOCKS = 5
 PIVOTS_PER_BLOCK = 12
 PAIRED = 48
+#: Text that is hashed at once; its shingles take some forty times as much memory.
+SLICE_BYTES = 1 << 20
 #: 64-bit words of the longer fingerprints of similar_groups().
 SKETCH_WORDS = 4
 #: Rows of one shingle that are compared in one task, and sets of one coarse group; larger ones are dealt into cells.
@@ -84,7 +86,7 @@ def simhash(docs: DataFrame, words_per_shingle: int = 3, id_col: str = "doc_id",
     """(id, fp long) of every row. Null, empty and wordless texts have fingerprint 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", SLICE_BYTES):
             fp = fingerprints(batch.column(1), words_per_shingle)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp.view(np.int64))], names=["id", "fp"])
 
@@ -366,13 +368,13 @@ def similar_groups(docs: DataFrame, words_per_shingle: int = 5, similarity: floa
     kind = docs.schema[id_col].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", SLICE_BYTES):
             fp, least, k, n, digest = shingle_sketches(batch.column(1), words_per_shingle, anchors)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(k)]).astype(np.int32)), pa.array(least.view(np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest.view(np.int64)), pa.array(n.astype(np.int32)), lists, *(pa.array(w.view(np.int64)) for w in np.ascontiguousarray(fp.T))], names=["id", "fp", "n", "anchors", *words])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", SLICE_BYTES):
             h, n, digest = shingle_sets(batch.column(1), words_per_shingle)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(h.view(np.int64)))
             yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), lists], names=["fp", "shingles"])

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from .cluster import carried, parts, text_bytes, without
 from .textblocks import TextBlock, U, mix, span_hash, windows
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 4 << 20
 #: Bits of the second hash in a message; the block's number and the bit for "twice" follow them.
 CHECK_BITS = 24
 BLOCK_BITS = 64 - CHECK_BITS - 1
