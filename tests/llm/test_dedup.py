@@ -7,6 +7,7 @@ import re
 import pandas as pd
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from ledgerloom.llm.cluster import carried
 from ledgerloom.llm.components import connected_components
@@ -37,6 +38,26 @@ def test_substring_dedup_on_documents(spark, sf):
     assert got == dict(zip(pdf.doc_id, brute_removed(pdf.text, 35)))
 
 
+def test_thue_morse_words_and_windows_are_told_apart(spark):
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    word = {(n, f): "".join("ab"[b ^ f] for b in bits[:n]) for n in (1024, 4096) for f in (0, 1)}
+    shared = [f"w{i}" for i in range(34)]
+    rows = [" ".join([w, *shared]) for w in word.values()] + [" ".join("xy"[b ^ f] for b in bits[:64]) for f in (0, 1)]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in dedup_substrings(docs).collect()}
+    assert got == dict(enumerate(brute_removed(rows, 35))) and all(got[i][1] == 0 for i in range(4))
+    from ledgerloom.llm import quality_rules
+
+    five = " ".join([word[1024, 0], *shared[:4], word[1024, 1], *shared[:4]])
+    assert quality_rules.statistics(docs.limit(1).withColumn("text", F.lit(five))).first().n_repeat_words == 0
+
+
+def test_substring_dedup_of_many_equal_rows(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(40)))] * 500 + [(2, "a b")], "doc_id long, text string").repartition(7)
+    out = dedup_substrings(docs).groupBy("doc_id", "n_removed", "kept_text").count().collect()
+    assert sorted(map(tuple, out)) == [(1, 40, "", 500), (2, 0, "a b", 1)]
+
+
 @pytest.mark.parametrize("width", [1, 2, 5])
 def test_substring_dedup_edges(spark, width):
     docs = spark.createDataFrame(EDGE, "doc_id long, text string, n_words string")
