@@ -38,11 +38,10 @@ def docs_of(spark, texts):
     return spark.createDataFrame([(i * 3 % len(texts), t, "x") for i, t in enumerate(texts)], "doc_id long, text string, ids string")
 
 
-def test_token_files_round_trip(spark, tmp_path, monkeypatch):
+def test_token_files_round_trip(spark, tmp_path):
     texts = EDGE + random_texts(91, 400)
     docs = docs_of(spark, texts)
     path = public_tokenizers.path("word_bpe_49k.json")
-    monkeypatch.setattr(token_store, "ROWS", 4)  # several batches in the driver; workers keep their own
     manifest = token_store.write_sequences(docs, str(tmp_path), path, 1, True, length=64, file_ids=1000)
     assert manifest.count() >= 4
     t = Tokenizer.from_file(path)
