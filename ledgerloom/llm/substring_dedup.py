@@ -1,10 +1,10 @@
 """Substring dedup: Rabin-Karp hashes of every window of words, counted in Spark, merged into removal intervals.
 
 1. Texts are dealt into blocks of a few megabytes. Each block rolls the hash of every window of `width` words and sends
-   its distinct hashes, one row each, with a bit for "twice or more in this block". That is the partial count: however
-   often one window occurs, a block sends it once, so no hash has more rows than there are blocks.
-2. Rows of one hash lie together after one shuffle and one sort, and are read as a stream: a hash with two rows, or a
-   set bit, is repeated and goes back to the blocks that sent it.
+   its distinct hashes, packed by ranges of hashes, with a bit for "twice or more in this block". That is the partial
+   count: however often one window occurs, a block sends it once, so no hash comes more often than there are blocks.
+2. A range's hashes lie in one partition, are unpacked and sorted there, and are read as a stream: a hash that comes
+   twice, or with a set bit, is repeated and goes back to the blocks that sent it.
 3. Each block rolls its hashes again and merges the repeated windows of each text into maximal intervals of words, which
    it removes.
 
@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .cluster import carried, parts, text_bytes, without
-from .textblocks import TextBlock, U, mix, span_hash, windows
+from .textblocks import TextBlock, U, mix, release, span_hash, windows
 
 BLOCK_BYTES = 4 << 20
 #: Bits of the second hash in a message; the block's number and the bit for "twice" follow them.
 CHECK_BITS = 24
 BLOCK_BITS = 64 - CHECK_BITS - 1
+#: Ranges of hashes, at least: a block's message for one of them holds about 150 hashes.
+RANGES = 4096
 
 
 def _hashed(text: pa.ChunkedArray, width: int):
@@ -56,6 +58,7 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
     base = without(carried(docs), "n_words", "n_removed", "removed", "kept_text", "__block")
     spark = docs.sparkSession
     n_blocks, n_parts = parts(spark, text_bytes(docs, text), BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_ranges = max(RANGES, 4 * n_parts)
     whole = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c, kind in base.dtypes if not kind.startswith(("map", "variant"))])
     dealt = base.withColumn("__block", F.pmod(whole, F.lit(n_blocks)).cast("int")).repartition(max(n_blocks, n_parts), "__block")
 
@@ -67,8 +70,34 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
         new[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
         first = np.flatnonzero(new)
         twice = np.diff(np.append(first, len(h))) > 1
-        note = check[first] << U(64 - CHECK_BITS) | U(key[0].as_py() << 1) | twice
-        return pa.table({"h": pa.array(h[first].view(np.int64)), "note": pa.array(note.view(np.int64))})
+        h, check = h[first], check[first]
+        part = ((h >> U(32)) * U(n_ranges) >> U(32)).astype(np.int32)
+        head = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(h) else np.zeros(0, np.int64)
+        runs = list(zip(head.tolist(), np.append(head[1:], len(h)).tolist()))
+        three = np.ascontiguousarray(check.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+        return pa.table(
+            {
+                "range": pa.array(part[head]),
+                "block": pa.array([key[0].as_py()] * len(runs), pa.int32()),
+                "hashes": pa.array([h[a:b].tobytes() for a, b in runs], pa.binary()),
+                "checks": pa.array([three[a:b].tobytes() for a, b in runs], pa.binary()),
+                "twice": pa.array([np.packbits(twice[a:b]).tobytes() for a, b in runs], pa.binary()),
+            }
+        )
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for big in batches:
+            for lo in range(0, big.num_rows, 256):
+                batch = big.slice(lo, 256)
+                hashes, checks, twice = ([x.as_buffer() for x in batch.column(i)] for i in (2, 3, 4))
+                sizes = np.array([len(x) // 8 for x in hashes])
+                h = np.frombuffer(b"".join(hashes), U)
+                check = np.zeros((len(h), 4), np.uint8)
+                check[:, :3] = np.frombuffer(b"".join(checks), np.uint8).reshape(-1, 3)
+                again = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(twice, sizes.tolist())])
+                block = np.repeat(batch.column(1).to_numpy(), sizes)
+                note = check.view("<u4").ravel().astype(U) << U(64 - CHECK_BITS) | block.astype(U) << U(1) | again
+                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(note.view(np.int64))], names=["h", "note"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last_h, last_note, told = None, None, True  # the latest row, and whether its block has been told
@@ -114,11 +143,14 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
         removed: list[list[list[int]]] = [[] for _ in range(block.n)]
         for (a, b), d in zip(runs, doc.tolist()):
             removed[d].append([a - int(first[d]), b - int(first[d])])
+        release()
         out = [table.column(c) for c in names] + [pa.array(np.diff(first), pa.int64()), pa.array(np.diff(total_gone), pa.int64()), pa.array(removed, pa.list_(pa.list_(pa.int64()))), kept.strings()]
         return pa.Table.from_arrays(out, names=[*names, *(n for n, _ in added)])
 
-    sent = dealt.groupBy("__block").applyInArrow(send, "h long, note long")  # with all columns, so that both readers share one shuffle of the texts
-    answers = sent.repartition(max(n_blocks, n_parts), "h").sortWithinPartitions("h", "note").mapInArrow(count, "__block int, hashes binary")
+    # with all columns, so that both readers share one shuffle of the texts
+    sent = dealt.groupBy("__block").applyInArrow(send, "range int, block int, hashes binary, checks binary, twice binary")
+    rows = sent.repartition(max(n_blocks, n_parts), "range").mapInArrow(unpack, "h long, note long")
+    answers = rows.sortWithinPartitions("h", "note").mapInArrow(count, "__block int, hashes binary")
     return dealt.groupBy("__block").cogroup(answers.groupBy("__block")).applyInArrow(remove, schema)
 
 

@@ -7,6 +7,7 @@ polynomial over the prime field of 2^61 - 1 with fixed bases drawn at random, so
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from functools import cache
 
@@ -198,6 +199,15 @@ def windows(hashes: np.ndarray, first: np.ndarray, width: int, base: int = 0) ->
     return at, h[at]
 
 
+def release() -> None:
+    """Give freed memory back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def small_batches(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about `most` text bytes, one row at least."""
     for batch in batches:
@@ -211,3 +221,4 @@ def small_batches(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 <<
             stop = min(stop, batch.num_rows)
             yield batch.slice(start, stop - start)
             start = stop
+    release()
