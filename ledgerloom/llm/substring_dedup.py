@@ -8,8 +8,9 @@
 3. Each block rolls its hashes again and merges the repeated windows of each text into maximal intervals of words, which
    it removes.
 
-Messages grow with the number of windows, memory with a block. Windows are equal if 88 bits of two independent rolling
-hashes over a prime field agree; 10^13 windows have about one chance in five of a single wrong pair among them.
+Messages grow with the number of windows, memory with a block. Windows are equal if two independent rolling hashes over
+a prime field agree, the second in 16 of its bits: n windows lose about n / 2^77 of theirs wrongly, which is less than one
+window in 10^11 for 10^12 windows.
 """
 
 from __future__ import annotations
@@ -27,20 +28,20 @@ from .textblocks import TextBlock, U, mix, release, span_hash, windows
 
 BLOCK_BYTES = 4 << 20
 #: Bits of the second hash in a message; the block's number and the bit for "twice" follow them.
-CHECK_BITS = 24
+CHECK_BITS = 16
 BLOCK_BITS = 64 - CHECK_BITS - 1
-#: Ranges of hashes, at least: a block's message for one of them holds about 150 hashes.
-RANGES = 4096
+#: Leading bits of a hash that make its range, at least; a block's message for one range holds about 150 hashes.
+RANGE_BITS = 12
 
 
-def _hashed(text: pa.ChunkedArray, width: int):
-    """(block, words, first word of each window, 64 bits of hash, CHECK_BITS bits of the second hash)."""
+def _hashed(text: pa.ChunkedArray, width: int, check: bool = False):
+    """(block, words, first word of each window, its hash, CHECK_BITS bits of its second hash if asked for)."""
     block = TextBlock.of(text)
     words = block.spans()
     hashes = span_hash(block.data, words[0], words[1])
     at, h = windows(hashes, words[2], width)
-    second = mix(windows(hashes, words[2], width, 1)[1])
-    return block, words, at, mix(h | (second >> U(61)) << U(61)), second & U((1 << CHECK_BITS) - 1)
+    second = mix(windows(hashes, words[2], width, 1)[1]) & U((1 << CHECK_BITS) - 1) if check else None
+    return block, words, at, mix(h), second
 
 
 def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> DataFrame:
@@ -58,12 +59,12 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
     base = without(carried(docs), "n_words", "n_removed", "removed", "kept_text", "__block")
     spark = docs.sparkSession
     n_blocks, n_parts = parts(spark, text_bytes(docs, text), BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_ranges = max(RANGES, 4 * n_parts)
+    bits = max(RANGE_BITS, (4 * n_parts - 1).bit_length())
     whole = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c, kind in base.dtypes if not kind.startswith(("map", "variant"))])
     dealt = base.withColumn("__block", F.pmod(whole, F.lit(n_blocks)).cast("int")).repartition(max(n_blocks, n_parts), "__block")
 
     def send(key, table):
-        _, _, _, h, check = _hashed(table.column(text), width)
+        _, _, _, h, check = _hashed(table.column(text), width, True)
         order = np.lexsort((check, h))
         h, check = h[order], check[order]
         new = np.ones(len(h), bool)
@@ -71,16 +72,18 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
         first = np.flatnonzero(new)
         twice = np.diff(np.append(first, len(h))) > 1
         h, check = h[first], check[first]
-        part = ((h >> U(32)) * U(n_ranges) >> U(32)).astype(np.int32)
+        part = (h >> U(64 - bits)).astype(np.int32)
         head = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(h) else np.zeros(0, np.int64)
         runs = list(zip(head.tolist(), np.append(head[1:], len(h)).tolist()))
-        three = np.ascontiguousarray(check.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+        # seven bytes of the hash, the first one is the range's, and two of the second hash
+        nine = np.empty((len(h), 9), np.uint8)
+        nine[:, :7] = h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]
+        nine[:, 7:] = check.astype("<u2").view(np.uint8).reshape(-1, 2)
         return pa.table(
             {
                 "range": pa.array(part[head]),
                 "block": pa.array([key[0].as_py()] * len(runs), pa.int32()),
-                "hashes": pa.array([h[a:b].tobytes() for a, b in runs], pa.binary()),
-                "checks": pa.array([three[a:b].tobytes() for a, b in runs], pa.binary()),
+                "hashes": pa.array([nine[a:b].tobytes() for a, b in runs], pa.binary()),
                 "twice": pa.array([np.packbits(twice[a:b]).tobytes() for a, b in runs], pa.binary()),
             }
         )
@@ -89,14 +92,16 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
         for big in batches:
             for lo in range(0, big.num_rows, 256):
                 batch = big.slice(lo, 256)
-                hashes, checks, twice = ([x.as_buffer() for x in batch.column(i)] for i in (2, 3, 4))
-                sizes = np.array([len(x) // 8 for x in hashes])
-                h = np.frombuffer(b"".join(hashes), U)
-                check = np.zeros((len(h), 4), np.uint8)
-                check[:, :3] = np.frombuffer(b"".join(checks), np.uint8).reshape(-1, 3)
+                hashes, twice = ([x.as_buffer() for x in batch.column(i)] for i in (2, 3))
+                sizes = np.array([len(x) // 9 for x in hashes])
+                nine = np.frombuffer(b"".join(hashes), np.uint8).reshape(-1, 9)
+                eight = np.empty((len(nine), 8), np.uint8)
+                eight[:, :7] = nine[:, :7]
+                eight[:, 7] = np.repeat(batch.column(0).to_numpy() >> (bits - 8), sizes)
+                h, check = eight.view("<u8").ravel(), np.ascontiguousarray(nine[:, 7:]).view("<u2").ravel()
                 again = np.concatenate([np.unpackbits(np.frombuffer(x, np.uint8), count=n) for x, n in zip(twice, sizes.tolist())])
                 block = np.repeat(batch.column(1).to_numpy(), sizes)
-                note = check.view("<u4").ravel().astype(U) << U(64 - CHECK_BITS) | block.astype(U) << U(1) | again
+                note = check.astype(U) << U(64 - CHECK_BITS) | block.astype(U) << U(1) | again
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(note.view(np.int64))], names=["h", "note"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +120,7 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
             send_[0] &= last_h is None or not told
             last_h, last_note, told = h[-1:], note[-1:], bool(repeated[-1])
             block = ((note[send_] & U((1 << (BLOCK_BITS + 1)) - 1)) >> U(1)).astype(np.int32)
-            yield from _packed(block, h[send_])
+            yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(h[send_].view(np.int64))], names=["__block", "h"])
 
     added = [("n_words", T.LongType()), ("n_removed", T.LongType()), ("removed", T.ArrayType(T.ArrayType(T.LongType()))), ("kept_text", T.StringType())]
     schema = T.StructType([*base.schema.fields, *(T.StructField(n, t) for n, t in added)])
@@ -126,7 +131,7 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
         first = words[2]
         cover = np.zeros(len(words[0]) + 1, np.int32)
         if answers.num_rows:
-            repeated = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), U) for x in answers.column("hashes")]))
+            repeated = np.sort(answers.column("h").to_numpy().view(U))
             near = np.minimum(np.searchsorted(repeated, h), len(repeated) - 1)
             hit = at[repeated[near] == h]
             cover[hit] += 1
@@ -148,17 +153,7 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
         return pa.Table.from_arrays(out, names=[*names, *(n for n, _ in added)])
 
     # with all columns, so that both readers share one shuffle of the texts
-    sent = dealt.groupBy("__block").applyInArrow(send, "range int, block int, hashes binary, checks binary, twice binary")
+    sent = dealt.groupBy("__block").applyInArrow(send, "range int, block int, hashes binary, twice binary")
     rows = sent.repartition(max(n_blocks, n_parts), "range").mapInArrow(unpack, "h long, note long")
-    answers = rows.sortWithinPartitions("h", "note").mapInArrow(count, "__block int, hashes binary")
+    answers = rows.sortWithinPartitions("h", "note").mapInArrow(count, "__block int, h long")
     return dealt.groupBy("__block").cogroup(answers.groupBy("__block")).applyInArrow(remove, schema)
-
-
-def _packed(block: np.ndarray, h: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """The hashes of each block in one row."""
-    if len(block):
-        order = np.argsort(block, kind="stable")
-        block, h = block[order], h[order]
-        head = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]]))
-        runs = zip(head.tolist(), np.append(head[1:], len(h)).tolist())
-        yield pa.RecordBatch.from_arrays([pa.array(block[head]), pa.array([h[a:b].tobytes() for a, b in runs], pa.binary())], names=["__block", "hashes"])
