@@ -81,9 +81,18 @@ def celled(rows: DataFrame, key: str, row: str, size: int) -> DataFrame:
     return dealt.withColumn("cell", F.explode(cells)).drop("__slots", "__slot")
 
 
+#: Arrow batches of at most this many bytes for Python workers, where the session has Spark's own default of 64 MB: rows
+#: here hold whole texts.
+BATCH_BYTES = ("spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 4 << 20)
+
+
 def carried(df: DataFrame) -> DataFrame:
-    """df, once its session's Python workers have this package."""
-    ship(df.sparkSession)
+    """df, once its session's Python workers have this package and take batches of moderate size."""
+    spark = df.sparkSession
+    ship(spark)
+    key, default, ours = BATCH_BYTES
+    if spark.conf.get(key).rstrip("b") == str(default):
+        spark.conf.set(key, str(ours))
     return df
 
 

@@ -27,7 +27,7 @@ OVERHEAD = 16
 #: Rows of one size class that are ranked together on average; a frequent class is spread over many buckets.
 BUCKET_ROWS = 500
 #: Sizes up to twice this are classes of their own; larger ones share a class if their leading bits agree.
-PRECISION = 256
+PRECISION = 64
 #: Files of a new shard hold about this many bytes of text.
 FILE_BYTES = 128 << 20
 

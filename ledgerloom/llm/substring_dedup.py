@@ -26,11 +26,11 @@ from pyspark.sql import types as T
 from .cluster import carried, parts, text_bytes, without
 from .textblocks import TextBlock, U, mix, release, span_hash, windows
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Bits of the second hash in a message; the block's number and the bit for "twice" follow them.
 CHECK_BITS = 16
 BLOCK_BITS = 64 - CHECK_BITS - 1
-#: Leading bits of a hash that make its range, at least; a block's message for one range holds about 150 hashes.
+#: Leading bits of a hash that make its range, at least; a block's message for one range holds about 75 hashes.
 RANGE_BITS = 12
 
 

@@ -208,7 +208,7 @@ def release() -> None:
         pass
 
 
-def small_batches(batches: Iterator[pa.RecordBatch], text: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def small_batches(batches: Iterator[pa.RecordBatch], text: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about `most` text bytes, one row at least."""
     for batch in batches:
         if not batch.num_rows:
