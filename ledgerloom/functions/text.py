@@ -116,10 +116,10 @@ def address_key(c: Column) -> Column:
 
 def registry_address(c: Column) -> Column:
     """Key for matching registry addresses; null counts as empty. Words are replaced before punctuation goes."""
-    out = F.upper(F.coalesce(c, F.lit("")))
-    for word, short in REGISTRY_WORDS.items():
-        out = F.regexp_replace(out, rf"\b{word}\b", short)
-    return F.trim(F.regexp_replace(out, r"[^A-Z0-9]+", " "))
+    short = F.create_map(*[F.lit(x) for pair in REGISTRY_WORDS.items() for x in pair])
+    words = F.transform(F.split(F.upper(F.coalesce(c, F.lit(""))), "[^A-Z0-9_]+"), lambda w: F.coalesce(F.try_element_at(short, w), w))
+    joined = F.trim(F.array_join(words, " "))
+    return F.when(F.contains(joined, F.lit("_")), F.trim(F.regexp_replace(joined, "[_ ]+", " "))).otherwise(joined)
 
 
 def city_name(c: Column) -> Column:
@@ -178,3 +178,36 @@ def tokens_in_order(query: Column, candidate: Column) -> Column:
     """Whether all query tokens occur in the candidate's tokens, in order; always for an empty query."""
     step = F.aggregate(candidate, F.lit(0), lambda i, t: i + F.when(t.eqNullSafe(F.get(query, i)) & (i < F.size(query)), 1).otherwise(0))
     return step == F.size(query)
+
+
+def address_base(c: Column) -> Column:
+    """An address up to its unit: UNIT, STE, SUITE, APT, or a # between word characters."""
+    return F.nullif(F.trim(F.regexp_replace(F.upper(c), r"\b(?:UNIT|STE|SUITE|APT|#)\b.*$", "")), F.lit(""))
+
+
+def county_key(c: Column) -> Column:
+    """Lower case, white space as dashes."""
+    return F.regexp_replace(F.lower(trim(c)), r"\s+", "-")
+
+
+def store_key(c: Column) -> Column:
+    """A text as part of an object's key: letters, digits, dot, dash and underscore stay, runs of others are one underscore."""
+    return F.regexp_replace(c, "[^A-Za-z0-9._-]+", "_")
+
+
+def store_uri(c: Column) -> Column:
+    """struct(bucket, key) of s3://bucket/key; null for other texts."""
+    shape = "^s3://([^/]+)/(.+)$"
+    return F.when(c.rlike(shape), F.struct(F.regexp_extract(c, shape, 1).alias("bucket"), F.regexp_extract(c, shape, 2).alias("key")))
+
+
+def unescape_html(c: Column) -> Column:
+    """The five entities that escape_html makes, and the non-breaking space, as characters; &amp; last."""
+    for a, b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        c = F.replace(c, F.lit(a), F.lit(b))
+    return c
+
+
+def csv_line(*columns: Column) -> Column:
+    """One CSV line of the columns in their order; quotes only where needed."""
+    return F.to_csv(F.struct(*[c.cast("string").alias(f"c{i}") for i, c in enumerate(columns)]), {"emptyValue": "", "escape": '"'})

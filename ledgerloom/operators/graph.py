@@ -1,4 +1,4 @@
-"""Registry entities -> vertices and edges of a property graph."""
+"""Registry entities -> vertices and edges of a property graph: five kinds of each."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import city_name, short_hash, zip_parts
 
+REGISTRATION_ROLES = {"principal": "PRINCIPAL", "mailing": "MAILING"}
+
 
 def address_id(address: Column) -> Column:
     """Stable identifier from the normalised text, state, zip and country."""
@@ -15,12 +17,52 @@ def address_id(address: Column) -> Column:
     return F.concat(F.lit("registry:address:"), short_hash(*parts))
 
 
+def _id(*parts: Column | str) -> Column:
+    return F.concat_ws(":", F.lit("registry"), *[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
 def companies(entities: DataFrame) -> DataFrame:
-    return entities.select(F.concat(F.lit("registry:"), "document_number", F.lit(":company")).alias("request_identifier"), F.coalesce("entity_name", "document_number").alias("name"))
+    return entities.select(_id(F.col("document_number"), "company").alias("request_identifier"), F.coalesce("entity_name", "document_number").alias("name"))
+
+
+def registrations(entities: DataFrame) -> DataFrame:
+    """One vertex for each entity, with its dates and yearly reports side by side."""
+    report = lambda i, f: F.get("annual_reports", F.lit(i - 1))[f].alias(f"annual_report_{i}_{f}")
+    return entities.select(
+        _id(F.col("document_number"), "business_registration").alias("request_identifier"), "document_number", "entity_name", "status", "filing_type_code", "filed_date", "fei_number", "last_transaction_date", "state_country",
+        *[report(i, f) for i in (1, 2, 3) for f in ("year", "date")], "more_than_six_officers", "raw_record_length",
+    )
+
+
+def _named(address: Column) -> Column:
+    return address["single_line"].isNotNull()
+
+
+def registration_addresses(entities: DataFrame) -> DataFrame:
+    """The principal and the mailing address of each registration, as vertices between it and the address itself."""
+    rows = F.array(*[F.struct(F.lit(role).alias("role"), F.col(f"{name}_address").alias("address")) for name, role in REGISTRATION_ROLES.items()])
+    each = entities.select("document_number", F.explode(F.filter(rows, lambda r: _named(r["address"]))).alias("r"))
+    doc = F.col("document_number")
+    return each.select(_id(doc, "business_registration_address", F.lower("r.role")).alias("request_identifier"), "document_number", F.col("r.role").alias("address_role"), F.col("r.address").alias("address"))
+
+
+def parties(entities: DataFrame) -> DataFrame:
+    """The registered agent and the officers that have a name; identifiers hash what tells equal roles apart."""
+    doc, blank = F.col("document_number"), F.lit("")
+    agent = F.col("registered_agent")
+    fields = lambda role, name, kind, title, ordinal, address: F.struct(F.lit(role).alias("party_role"), name.alias("name"), kind.alias("party_type_code"), title.alias("title"), ordinal.cast("int").alias("officer_ordinal"), address.alias("address"))
+    none = F.lit(None).cast("string")
+    own = F.array(fields("REGISTERED_AGENT", agent["name"], agent["type"], none, F.lit(None), agent["address"]))
+    officers = F.transform("officers", lambda o: fields("OFFICER", o["name"], o["type"], o["title"], o["ordinal"], o["address"]))
+    each = entities.select("document_number", F.explode(F.filter(F.concat(own, officers), lambda p: p["name"].isNotNull())).alias("p")).select("document_number", "p.*")
+    kind = F.coalesce("party_type_code", blank)
+    agent_id = _id(doc, "party", "registered_agent", short_hash(F.col("name"), kind))
+    officer_id = _id(doc, "party", "officer", F.col("officer_ordinal").cast("string"), short_hash(F.col("name"), F.coalesce("title", blank), kind))
+    return each.select(F.when(F.col("party_role") == "OFFICER", officer_id).otherwise(agent_id).alias("request_identifier"), *each.columns)
 
 
 def addresses(placed: DataFrame) -> DataFrame:
-    """Distinct addresses of (document_number, role, ordinal, address); equal identifiers are one vertex."""
+    """Distinct addresses of rows with an address; equal identifiers are one vertex."""
     a = F.col("address")
     zp = zip_parts(a["zip"])
     out = placed.select(
@@ -29,10 +71,25 @@ def addresses(placed: DataFrame) -> DataFrame:
     return out.groupBy("request_identifier").agg(*[F.min(c).alias(c) for c in out.columns if c != "request_identifier"])
 
 
-def edges(entities: DataFrame, placed: DataFrame) -> DataFrame:
-    """(relationship_type, from_id, to_id): company to registration, registration to each address."""
+def vertices(entities: DataFrame) -> dict[str, DataFrame]:
+    """All five kinds; only addresses are equal across entities and come once."""
+    ra, p = registration_addresses(entities), parties(entities)
+    placed = ra.select("address").unionByName(p.where(_named(F.col("address"))).select("address"))
+    return {"company": companies(entities), "business_registration": registrations(entities), "business_registration_address": ra.drop("address"), "business_registration_party": p.drop("address"), "address": addresses(placed)}
+
+
+def edges(entities: DataFrame) -> DataFrame:
+    """(relationship_type, from_id, to_id): company to registration, on to its addresses and parties, and to their places."""
     doc = F.col("document_number")
-    registration = F.concat(F.lit("registry:"), doc, F.lit(":business_registration"))
-    own = entities.select(F.lit("company_has_business_registration").alias("relationship_type"), F.concat(F.lit("registry:"), doc, F.lit(":company")).alias("from_id"), registration.alias("to_id"))
-    at = placed.select(F.concat(F.lit("business_registration_has_"), "role", F.lit("_address")).alias("relationship_type"), registration.alias("from_id"), address_id(F.col("address")).alias("to_id"))
-    return own.unionByName(at)
+    registration = _id(doc, "business_registration")
+    ra, p = registration_addresses(entities), parties(entities)
+    edge = lambda df, kind, a, b: df.select(F.lit(kind).alias("relationship_type"), a.alias("from_id"), b.alias("to_id"))
+    own, place = F.col("request_identifier"), address_id(F.col("address"))
+    parts = [
+        edge(entities, "company_has_business_registration", _id(doc, "company"), registration), edge(ra, "business_registration_has_address", registration, own), edge(ra, "business_registration_address_has_address", own, place),
+        edge(p, "business_registration_has_party", registration, own), edge(p.where(_named(F.col("address"))), "business_registration_party_has_address", own, place),
+    ]
+    out = parts[0]
+    for e in parts[1:]:
+        out = out.unionByName(e)
+    return out

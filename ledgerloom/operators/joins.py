@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,7 +22,10 @@ def any_key_join(left: DataFrame, right: DataFrame, keys: Sequence[tuple[Column,
         pairs = F.array(*[F.struct(F.lit(i + 1).alias("key_no"), k[side].cast("string").alias("key")) for i, k in enumerate(keys)])
         return df.withColumn("__key", F.explode(F.filter(pairs, lambda p: p["key"].isNotNull()))).select("*", "__key.key_no", "__key.key").drop("__key")
 
-    both = tagged(left, 0).join(tagged(right, 1), ["key_no", "key"])
+    # the best right row of each key is all that a left row can take from it: the join stays linear
+    first = Window.partitionBy("key_no", "key").orderBy(*(recency or [F.lit(0)]))
+    right_best = tagged(right, 1).withColumn("__n", F.row_number().over(first)).where("__n = 1").drop("__n")
+    both = tagged(left, 0).join(right_best, ["key_no", "key"])
     best = Window.partitionBy(*left_id).orderBy("key_no", *recency)
     return both.withColumn("__n", F.row_number().over(best)).where("__n = 1").drop("__n", "key")
 
@@ -62,20 +66,84 @@ def prefix_join(rows: DataFrame, text: Column, prefixes: DataFrame, prefix: str)
     return tagged.join(own, "__cut").drop("__cut")
 
 
-def token_block_join(queries: DataFrame, query_text: str, rows: DataFrame, row_text: str) -> DataFrame:
-    """Pairs whose row text has the query text in it, or all its tokens in order. Both are normalised, single-spaced.
+def token_block_join(queries: DataFrame, query_id: str, query_text: str, rows: DataFrame, row_id: str, row_text: str) -> DataFrame:
+    """(query_id, row_id) of rows whose text has the query text in it, or all its tokens in order.
 
-    Candidates share the query's rarest token, counted over all rows, so frequent words never open a block.
+    Both texts are normalised, single-spaced. Candidates share the query's rarest token, counted over all rows, so
+    frequent words never open a block. Tokens travel with ids only; texts join the candidate pairs in the end.
     """
-    tokens = rows.select("*", F.array_distinct(F.split(row_text, " ")).alias("__tokens"))
-    each = tokens.select(F.explode("__tokens").alias("__token"))
-    asked = queries.select("*", F.split(query_text, " ").alias("__query"))
-    words = asked.select(F.explode(F.array_distinct("__query")).alias("__token")).distinct()
-    counts = each.join(F.broadcast(words), "__token", "left_semi").groupBy("__token").count()
-    named = asked.select("*", F.explode(F.array_distinct("__query")).alias("__token")).join(counts, "__token", "left").fillna({"count": 0})
-    keep = [c for c in asked.columns if c != "__query"]
-    rarest = named.groupBy(*keep, "__query").agg(F.min_by("__token", F.struct("count", "__token")).alias("__token"))
-    blocked = tokens.withColumn("__token", F.explode("__tokens")).drop("__tokens")
-    pairs = rarest.join(blocked, "__token")
-    held = F.contains(F.col(row_text), F.col(query_text)) | tokens_in_order(F.col("__query"), F.split(row_text, " "))
-    return pairs.where(held).drop("__token", "__query")
+    asked = queries.select(F.col(query_id).alias("__q"), F.col(query_text).alias("__query"))
+    own = rows.select(F.col(row_id).alias("__r"), F.col(row_text).alias("__text"))
+    named = asked.select("__q", "__query", F.explode(F.array_distinct(F.split("__query", " "))).alias("__token"))
+    each = own.select("__r", F.explode(F.array_distinct(F.split("__text", " "))).alias("__token")).join(named.select("__token").distinct(), "__token", "left_semi")
+    counts = each.groupBy("__token").count()
+    rarest = named.join(counts, "__token", "left").fillna({"count": 0}).groupBy("__q", "__query").agg(F.min_by("__token", F.struct("count", "__token")).alias("__token"))
+    pairs = rarest.join(each, "__token").select("__q", "__query", "__r").distinct()
+    held = F.contains("__text", "__query") | tokens_in_order(F.split("__query", " "), F.split("__text", " "))
+    return pairs.join(own, "__r").where(held).select(F.col("__q").alias(query_id), F.col("__r").alias(row_id))
+
+
+#: Kinds of references between loaded tables: (key column of the child, table of the parent, its id column).
+REFERENCES = {
+    "property": ("property_source_record_key", "properties", "property_id"),
+    "parcel": ("parcel_source_record_key", "parcels", "parcel_id"),
+    "address": ("address_source_record_key", "addresses", "address_id"),
+    "person": ("person_source_record_key", "people", "person_id"),
+    "company": ("company_source_record_key", "companies", "company_id"),
+    "deed": ("deed_source_record_key", "deeds", "deed_id"),
+    "file": ("file_source_record_key", "files", "file_id"),
+    "layout": ("layout_source_record_key", "layouts", "layout_id"),
+    "property_improvement": ("property_improvement_source_record_key", "property_improvements", "property_improvement_id"),
+    "business_profile": ("business_reputation_profile_source_record_key", "business_reputation_profiles", "business_reputation_profile_id"),
+    "business_complaint": ("business_reputation_complaint_source_record_key", "business_reputation_complaints", "business_reputation_complaint_id"),
+    "business_registration": ("business_registration_source_record_key", "business_registrations", "business_registration_id"),
+}
+
+
+def resolve_references(child: DataFrame, parents: Mapping[str, DataFrame], missing: str = "omit") -> DataFrame:
+    """child with the id column of every kind of REFERENCES whose key column it has, looked up by source_record_key."""
+    for column, table, id_ in REFERENCES.values():
+        if column in child.columns and table in parents:
+            child = resolve_keys(child.drop(id_), parents[table], [(column, "source_record_key")], id_, id_, missing)
+    return child
+
+
+def resolve_or_alternate(child: DataFrame, parent: DataFrame, key: tuple[str, str], alternate: Sequence[tuple[str, str]], take: str, into: str, missing: str = "omit") -> DataFrame:
+    """resolve_keys by `key`; rows whose key is null (not those that find nothing) go by the alternate columns instead."""
+    by_key = child.where(F.col(key[0]).isNotNull())
+    by_other = child.where(F.col(key[0]).isNull())
+    ranked = Window.partitionBy(*[p for _, p in alternate]).orderBy(take)
+    one = parent.withColumn("__n", F.row_number().over(ranked)).where("__n = 1").drop("__n")
+    return resolve_keys(by_key, parent, [key], take, into, missing).unionByName(resolve_keys(by_other, one, alternate, take, into, missing))
+
+
+def join_update(target: DataFrame, source: DataFrame, target_keys: Sequence[Column], source_key: Column, take: Sequence[str], literals: Mapping[str, str] = {}) -> DataFrame:
+    """target with the columns `take` of the source row that any of its keys names, and the literals; rows without one stay.
+
+    Adds matched, and changed: whether any of these columns is distinct from before. Of several source rows of one key
+    the least (by `take`) counts; earlier target keys go first. One equi-join of exploded keys.
+    """
+    new = source.select(source_key.cast("string").alias("__key"), F.struct(*take).alias("__new")).where("__key is not null").groupBy("__key").agg(F.min("__new").alias("__new"))
+    rows = target.withColumn("__row", F.monotonically_increasing_id())
+    keys = F.filter(F.array(*[F.struct(F.lit(i).alias("no"), k.cast("string").alias("key")) for i, k in enumerate(target_keys)]), lambda k: k["key"].isNotNull())
+    hit = rows.select("__row", F.explode(keys).alias("__k")).select("__row", F.col("__k.no").alias("__no"), F.col("__k.key").alias("__key")).join(new, "__key")
+    best = hit.groupBy("__row").agg(F.min_by("__new", "__no").alias("__new"))
+    out = rows.join(best, "__row", "left").withColumn("matched", F.col("__new").isNotNull())
+    fresh = {**{c: F.col("__new")[c] for c in take}, **{c: F.lit(v) for c, v in literals.items()}}
+    differs = F.lit(False)
+    for c, v in fresh.items():
+        differs = differs | ~F.col(c).eqNullSafe(v)
+    out = out.withColumn("changed", F.col("matched") & differs)
+    return out.withColumns({c: F.when(F.col("matched"), v).otherwise(F.col(c)) for c, v in fresh.items()}).drop("__row", "__new")
+
+
+def address_candidates(rows: DataFrame, state: str | None = None, city: str | None = None, zip_prefix: str | None = None, most: int | None = None, order: Sequence[str] = ()) -> DataFrame:
+    """Rows that pass the optional tests: city holds the text, state equals it (both without regard to case), zip begins
+    with the first five digits; at most `most` of them, in order."""
+    if state:
+        rows = rows.where(F.upper("state") == state.strip().upper())
+    if city:
+        rows = rows.where(F.contains(F.upper("city"), F.lit(city.strip().upper())))
+    if zip_prefix:
+        rows = rows.where(F.startswith("zip", F.lit(re.sub(r"\D", "", zip_prefix)[:5])))
+    return rows.orderBy(*order).limit(most) if most is not None else rows

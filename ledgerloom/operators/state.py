@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import sort_key
+
 EVERYTHING = "__ALL__"
 
 
@@ -65,3 +67,53 @@ def layered(df: DataFrame, layers: Sequence[tuple[DataFrame, str | None, str]],
             df = df.join(layer.select(F.col(on).alias(key), F.col(value).alias(name)), key, "left")
         found.append(F.col(name))
     return df.withColumn(into, F.coalesce(*found)).drop(*[f"__layer{i}" for i in range(len(layers))])
+
+
+def delete_execution(links: DataFrame, execution_id: str) -> tuple[DataFrame, DataFrame]:
+    """(links that stay, hashes of the execution that no other one has) after an execution and its links are deleted."""
+    own = links.where(F.col("execution_id") == execution_id).select("error_hash").distinct()
+    stay = links.where(~F.col("execution_id").eqNullSafe(F.lit(execution_id)))
+    return stay, own.join(stay.select("error_hash").distinct(), "error_hash", "left_anti")
+
+
+def migrated(df: DataFrame, column: str, old: str, new: str) -> DataFrame:
+    """df with one value of a key column replaced, and changed; a second run changes nothing."""
+    hit = F.coalesce(F.col(column) == old, F.lit(False))
+    return df.withColumn("changed", hit).withColumn(column, F.when(hit, new).otherwise(F.col(column)))
+
+
+def sort_keys(df: DataFrame, count: str, status: str, kind: str) -> DataFrame:
+    """df with the keys that its counts derive: by count, by status and count, by kind and count."""
+    padded = sort_key(F.col(count))
+    return df.withColumn("count_key", padded).withColumn("status_key", F.concat_ws("#", F.upper(status), padded)).withColumn("kind_key", F.concat_ws("#", F.coalesce(kind, F.lit("unknown")), padded))
+
+
+def unrecoverable(links: DataFrame, execution_id: str | None = None, code: str | None = None) -> DataFrame:
+    """links with status maybeUnrecoverable, from `failed` only: of one code, or of an execution and of all codes that it has."""
+    if (execution_id is None) == (code is None):
+        raise ValueError("name an execution or a code")
+    if code is not None:
+        hit = F.col("error_code") == code
+        return links.withColumn("status", F.when(hit & (F.col("status") == "failed"), "maybeUnrecoverable").otherwise(F.col("status")))
+    own = links.where(F.col("execution_id") == execution_id).select("error_code").distinct().withColumn("__own", F.lit(True))
+    marked = links.join(own, "error_code", "left")
+    out = marked.withColumn("status", F.when(F.col("__own") & (F.col("status") == "failed"), "maybeUnrecoverable").otherwise(F.col("status")))
+    return out.select(*links.columns)
+
+
+def remaining(df: DataFrame, count: str) -> DataFrame:
+    """(kept rows with a fresh sort key) after a decrement: rows whose count has come to zero are gone."""
+    return df.where(F.col(count) > 0).withColumn("sort_key", sort_key(F.col(count)))
+
+
+def extremes(executions: DataFrame, count: str = "open_error_count", kind: str | None = None, status: str = "FAILED", least: bool = False) -> DataFrame:
+    """The one execution of a status (and of codes that begin with `kind`) with the most, or least, errors; ties by id."""
+    rows = executions.where(F.col("status") == status)
+    if kind is not None:
+        rows = rows.where(F.startswith("error_type", F.lit(kind)))
+    return rows.orderBy(F.asc(count) if least else F.desc(count), "execution_id").limit(1)
+
+
+def verified(rows: DataFrame, bad: Column) -> DataFrame:
+    """One row: how many rows still fail the test after a job, and whether none does."""
+    return rows.agg(F.count_if(bad).alias("left_over")).withColumn("clean", F.col("left_over") == 0)

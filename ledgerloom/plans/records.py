@@ -55,21 +55,29 @@ def prefix_semijoin(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def entity_graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = fixed_width.parse_lines(_lines(spark, sf_dir))
-    a = graph.addresses(fixed_width.role_addresses(e))
-    return a.select("unnormalized_address", "city_name", "state_code", "postal_code", "plus_four")
+    """Address vertices with their stable identifiers."""
+    return graph.vertices(fixed_width.parse_lines(_lines(spark, sf_dir)))["address"]
+
+
+def entity_graph_kinds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of vertices, of distinct identifiers and the least identifier of each kind."""
+    out = None
+    for kind, df in graph.vertices(fixed_width.parse_lines(_lines(spark, sf_dir))).items():
+        one = df.agg(F.lit(kind).alias("kind"), F.count("*").alias("n"), F.countDistinct("request_identifier").alias("n_ids"), F.min("request_identifier").alias("least_id"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def entity_graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = fixed_width.parse_lines(_lines(spark, sf_dir))
-    return graph.edges(e, fixed_width.role_addresses(e)).groupBy("relationship_type").agg(F.count("*").alias("n"), F.countDistinct("from_id").alias("n_from"))
+    """Every edge of the graph."""
+    return graph.edges(fixed_width.parse_lines(_lines(spark, sf_dir)))
 
 
 def token_subsequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items whose words all occur in order in a document, by the rarest word."""
     q = table(spark, sf_dir, "benchmark").select("item_id", text.registry_address("text").alias("query"))
     d = table(spark, sf_dir, "documents").select("doc_id", text.registry_address("text").alias("body"))
-    return joins.token_block_join(q, "query", d, "body").select("item_id", "doc_id")
+    return joins.token_block_join(q, "item_id", "query", d, "doc_id", "body")
 
 
 def name_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +205,7 @@ def catalog_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    fixed_width_roundtrip, prefix_semijoin, entity_graph_vertices, entity_graph_edges, token_subsequence, name_keys, address_keys, typed_values, orphan_customers, candidate_ranking,
+    fixed_width_roundtrip, prefix_semijoin, entity_graph_vertices, entity_graph_kinds, entity_graph_edges, token_subsequence, name_keys, address_keys, typed_values, orphan_customers, candidate_ranking,
     fk_resolution, any_key_link, any_key_anti, hash_guard_upsert, upsert_counters, keep_first, keep_best, chunk_batches, date_windows, date_bisect, union_by_name, set_difference, catalog_merge,
 )}
 
@@ -208,6 +216,13 @@ placed AS (SELECT k, 'principal' AS role, street || ' ' || city || ' FL ' || zip
     UNION ALL SELECT k, 'registered_agent', street || ' ' || city || ' FL ' || zip, city, zip FROM reg
     UNION ALL SELECT k, 'officer', street || ' ' || city || ' FL ' || zip, city, zip FROM reg)"""
 _NORM = r"trim(regexp_replace(replace(replace(upper({0}), 'NORTH', 'N'), 'STREET', 'ST'), '[^A-Z0-9]+', ' ', 'g'))"
+_PLACES = f"""pl AS (SELECT *, printf('P%09d', k) AS doc, 'registry:address:' || substr(sha256('["' || {_NORM.format("line")} || '","FL","' || zip || '","' || CASE WHEN role IN ('principal', 'mailing') THEN 'US' ELSE '' END || '"]'), 1, 24) AS place FROM placed)"""
+_EDGES = """r AS (SELECT *, 'registry:' || doc || ':business_registration' AS reg,
+    CASE role WHEN 'registered_agent' THEN 'registry:' || doc || ':party:registered_agent:' || substr(sha256('["Agent ' || k || '","P"]'), 1, 24) WHEN 'officer' THEN 'registry:' || doc || ':party:officer:1:' || substr(sha256('["Officer ' || k || '","PRES","P"]'), 1, 24)
+        ELSE 'registry:' || doc || ':business_registration_address:' || role END AS own FROM pl),
+e AS (SELECT DISTINCT 'company_has_business_registration' AS relationship_type, 'registry:' || doc || ':company' AS from_id, reg AS to_id FROM r
+    UNION ALL SELECT CASE WHEN role IN ('principal', 'mailing') THEN 'business_registration_has_address' ELSE 'business_registration_has_party' END, reg, own FROM r
+    UNION ALL SELECT CASE WHEN role IN ('principal', 'mailing') THEN 'business_registration_address_has_address' ELSE 'business_registration_party_has_address' END, own, place FROM r)"""
 _UPSERT = """t AS (SELECT o_orderkey AS k, sha256(printf('%.2f', o_totalprice)) AS h, o_custkey AS c, o_orderstatus AS st FROM orders WHERE o_orderkey % 3 <> 0),
 s AS (SELECT o_orderkey AS k, CASE WHEN o_orderkey % 5 = 0 THEN sha256(CAST(o_orderkey AS VARCHAR)) ELSE sha256(printf('%.2f', o_totalprice)) END AS h,
     CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS c FROM orders WHERE o_orderkey % 2 = 0),
@@ -223,11 +238,13 @@ ORACLE_SQL = {
         k % 4 = 0 AS more_than_six_officers, CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END AS n_reports, 1 AS n_officers, 'Officer ' || k AS officer, 1436 AS raw_record_length FROM reg""",
     "prefix_semijoin": f"""WITH {_REG}, p AS (SELECT DISTINCT substr(lpad(CAST(s_suppkey * 97 % 10000 AS VARCHAR), 4, '0'), 1, CAST(2 + s_suppkey % 3 AS INT)) AS prefix FROM supplier)
         SELECT printf('P%09d', k) AS document_number, role, zip, prefix AS matched_prefix FROM placed JOIN p ON starts_with(zip, prefix)""",
-    "entity_graph_vertices": f"""WITH {_REG} SELECT min(line) AS unnormalized_address, min(trim(regexp_replace(regexp_replace(replace(upper(city), '.', ''), '[^A-Z\\s\\-'']', ' ', 'g'), '\\s+', ' ', 'g'))) AS city_name,
-        'FL' AS state_code, min(substr(zip, 1, 5)) AS postal_code, min(CASE WHEN length(zip) >= 9 THEN substr(zip, 6, 4) END) AS plus_four
-        FROM placed GROUP BY {_NORM.format("line")}, zip, role IN ('principal', 'mailing')""",
-    "entity_graph_edges": f"""WITH {_REG} SELECT 'business_registration_has_' || role || '_address' AS relationship_type, count(*) AS n, count(DISTINCT k) AS n_from FROM placed GROUP BY 1
-        UNION ALL SELECT 'company_has_business_registration', count(*), count(*) FROM reg""",
+    "entity_graph_vertices": f"""WITH {_REG}, {_PLACES} SELECT place AS request_identifier, min(line) AS unnormalized_address, min(trim(regexp_replace(regexp_replace(replace(upper(city), '.', ''), '[^A-Z\\s\\-'']', ' ', 'g'), '\\s+', ' ', 'g'))) AS city_name,
+        'FL' AS state_code, min(substr(zip, 1, 5)) AS postal_code, min(CASE WHEN length(zip) >= 9 THEN substr(zip, 6, 4) END) AS plus_four FROM pl GROUP BY place""",
+    "entity_graph_kinds": f"""WITH {_REG}, {_PLACES}, {_EDGES}, v AS (SELECT 'company' AS kind, from_id AS id FROM e WHERE relationship_type LIKE 'company%' UNION ALL SELECT 'business_registration', to_id FROM e WHERE relationship_type LIKE 'company%'
+            UNION ALL SELECT 'business_registration_address', to_id FROM e WHERE relationship_type = 'business_registration_has_address' UNION ALL SELECT 'business_registration_party', to_id FROM e WHERE relationship_type = 'business_registration_has_party'
+            UNION ALL SELECT DISTINCT 'address', place FROM pl)
+        SELECT kind, count(*) AS n, count(DISTINCT id) AS n_ids, min(id) AS least_id FROM v GROUP BY kind""",
+    "entity_graph_edges": f"WITH {_REG}, {_PLACES}, {_EDGES} SELECT * FROM e",
     "name_keys": r"""SELECT p_partkey, trim(regexp_replace(upper(p_name || ' & Co., ' || p_type), '[^A-Z0-9]+', ' ', 'g')) AS name_key,
         regexp_replace(regexp_replace(lower(trim(p_name)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug,
         regexp_replace(p_brand || '-' || p_partkey, '\D', '', 'g') AS parcel_id, regexp_replace(upper(p_brand || '-' || p_partkey), '[^A-Z0-9]', '', 'g') AS search_key FROM part""",

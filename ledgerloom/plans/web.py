@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import rules, text
@@ -40,11 +40,11 @@ def url_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def section_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lines of conversation turns as numbered blocks with where the next one starts."""
+    """Non-blank lines of conversation turns as blocks: the line where each starts and where the next one does."""
     c = table(spark, sf_dir, "conversations")
-    lines = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
-    out = c.select("conv_id", "turn", F.posexplode(lines).alias("i", "line"), F.size(lines).alias("n"))
-    return out.groupBy("conv_id", "turn").agg(F.count("*").alias("blocks"), F.max(F.length("line")).cast("long").alias("longest"), F.min_by("line", "i").alias("first_line"))
+    lines = c.select("conv_id", "turn", F.size(F.split("text", "\n")).alias("n"), F.posexplode(F.split("text", "\n")).alias("start", "line")).where(F.trim("line") != "")
+    after = F.lead("start").over(Window.partitionBy("conv_id", "turn").orderBy("start"))
+    return lines.select("conv_id", "turn", "start", F.coalesce(after, "n").alias("next_start"), F.length("line").cast("long").alias("n_chars"))
 
 
 def label_value(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,10 +56,8 @@ def label_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical hash of events' JSON: key order and white space don't matter."""
-    e = table(spark, sf_dir, "events").where("event_id % 3 = 0")
-    k = F.get_json_object("props", "$.k")
-    return e.select("event_id", text.canonical_json_hash(F.concat(F.lit('{"z": [1, 2], "k": '), k, F.lit(', "a": {"y": 1, "b": null}}'))).alias("hash"))
+    """Canonical hash of every event's JSON: key order and white space don't matter."""
+    return table(spark, sf_dir, "events").select("event_id", text.canonical_json_hash(F.col("props")).alias("hash"))
 
 
 def field_map(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,10 +93,10 @@ ORACLE_SQL = {
         WHEN contains({_HOST}, 'x.com') OR contains({_HOST}, 'twitter') THEN 'TWITTER' ELSE 'WEBSITE' END AS kind, TRY_CAST(nullif(regexp_extract(url, '[?&]page=(\d+)', 1), '') AS INT) AS page_number,
         nullif(regexp_extract(url, '#(.*)$', 1), '') AS fragment, CASE WHEN url LIKE '%//blog.%' THEN 'blog' WHEN url LIKE '%//m.%' THEN 'mobile' WHEN url LIKE '%//www.%' THEN 'www' ELSE 'plain' END AS site,
         CASE WHEN page_id % 5 < 2 THEN 'reachable' WHEN page_id % 5 IN (2, 3) AND contains(lower(html), 'track(1') THEN 'challenge' ELSE 'unreachable' END AS reach FROM pages""",
-    "section_blocks": """WITH l AS (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS i FROM conversations)
-        SELECT conv_id, turn, count(*) AS blocks, CAST(max(length(line)) AS BIGINT) AS longest, arg_min(line, i) AS first_line FROM l WHERE trim(line) <> '' GROUP BY ALL""",
+    "section_blocks": """WITH l AS (SELECT conv_id, turn, len(string_split(text, chr(10))) AS n, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS start FROM conversations)
+        SELECT conv_id, turn, CAST(start AS INT) AS start, CAST(coalesce(lead(start) OVER (PARTITION BY conv_id, turn ORDER BY start), n) AS INT) AS next_start, CAST(length(line) AS BIGINT) AS n_chars FROM l WHERE trim(line) <> ''""",
     "label_value": "SELECT o_orderkey, o_orderstatus AS status, o_orderpriority AS priority, CAST(NULL AS VARCHAR) AS note, o_orderkey AS first_row, CAST(1345 AS BIGINT) AS total FROM orders",
-    "json_hash": """SELECT event_id, sha256('{"a":{"b":null,"y":1},"k":' || json_extract_string(props, '$.k') || ',"z":[1,2]}') AS hash FROM events WHERE event_id % 3 = 0""",
+    "json_hash": """SELECT event_id, sha256('{"k":' || json_extract_string(props, '$.k') || '}') AS hash FROM events""",
     "field_map": "SELECT p_partkey, unnest(['F01', 'F02', 'F07']) AS field, unnest([p_brand, p_type, CAST(p_size AS VARCHAR)]) AS value FROM part",
     "turn_summary": """SELECT conv_id, count(*) FILTER (role = 'user') AS user_turns, count(*) FILTER (role = 'assistant') AS assistant_turns, bool_and(length(text) > 0) AS all_text,
         bool_or(contains(text, '?')) AS any_mark FROM conversations GROUP BY conv_id""",

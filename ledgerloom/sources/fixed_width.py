@@ -50,9 +50,12 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     officers = []
     for i in range(OFFICERS):
         o = {n: field(v, FIRST_OFFICER + i * OFFICER_WIDTH + s, w) for n, s, w in OFFICER}
-        officers.append(
-            F.struct(F.lit(i + 1).alias("ordinal"), o["title"].alias("title"), o["type"].alias("type"), o["name"].alias("name"), _address(o["address"], none, o["city"], o["state"], o["zip"], none).alias("address"))
-        )
+        officers.append(F.struct(F.lit(i + 1).alias("ordinal"), *[o[n].alias(n) for n, _, _ in OFFICER]))
+    # only named officers get an address, which costs more than all their fields
+    named = F.transform(
+        F.filter(F.array(*officers), lambda o: o["name"].isNotNull()),
+        lambda o: F.struct(o["ordinal"].alias("ordinal"), o["title"].alias("title"), o["type"].alias("type"), o["name"].alias("name"), _address(o["address"], none, o["city"], o["state"], o["zip"], none).alias("address")),
+    )
     reports = F.array(*[F.struct(f[f"report_year{i}"].alias("year"), date(f[f"report_date{i}"]).alias("date")) for i in (1, 2, 3)])
     labels = F.create_map(*[F.lit(x) for pair in STATUS.items() for x in pair])
     return lines.select(
@@ -71,20 +74,22 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         f["state_country"].alias("state_country"),
         F.filter(reports, lambda r: r["year"].isNotNull()).alias("annual_reports"),
         F.struct(f["agent_name"].alias("name"), f["agent_type"].alias("type"), _address(f["agent_address"], none, f["agent_city"], f["agent_state"], f["agent_zip"], none).alias("address")).alias("registered_agent"),
-        F.filter(F.array(*officers), lambda o: o["name"].isNotNull()).alias("officers"),
+        named.alias("officers"),
         F.length(v).alias("raw_record_length"),
         f["document_number"].isNotNull().alias("valid"),
     )
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(value, source_file_name) of text files; zip archives go through zip_members."""
-    if path.lower().endswith(".zip"):
-        from .archives import zip_members
+def read_lines(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
+    """(source_file_name, line_no from 1, value) of the non-blank lines of text files or of zip archives' members.
+
+    kind is "text" or "zip"; without it the suffix .zip decides.
+    """
+    from .archives import text_lines, zip_lines
 
-        members = zip_members(spark, path)
-        return members.select(F.explode(F.split(F.col("content").cast("string"), "\r?\n")).alias("value"), F.col("member").alias("source_file_name")).where("value <> ''")
-    return spark.read.text(path).select("value", F.col("_metadata.file_name").alias("source_file_name"))
+    zipped = kind == "zip" or (kind is None and path.lower().endswith(".zip"))
+    lines = zip_lines(spark, path).withColumnRenamed("member", "source_file_name") if zipped else text_lines(spark, path).withColumn("source_file_name", F.element_at(F.split("path", "/"), -1))
+    return lines.select("source_file_name", "line_no", "value").where("value <> ''")
 
 
 def role_addresses(entities: DataFrame) -> DataFrame:

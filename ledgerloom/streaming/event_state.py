@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import aggregates
 from ..operators.upsert import TableSpec, upsert
 
 #: The event types that are routed; others go to quarantine.
@@ -31,30 +30,67 @@ def metric_buckets(events: DataFrame, ts: str = "ts", width: str = "5 minutes",
     return e.groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("bucket"), *by, "n")
 
 
-class ErrorState:
-    """Running (execution, code) totals in versioned Parquet below `folder`; fold() is a foreachBatch function.
+def error_totals(errors: DataFrame) -> DataFrame:
+    """Running (execution_id, code) totals of a stream of errors, for update or complete mode.
 
-    A batch that is delivered again is recognised by its number and changes nothing, so totals don't count twice.
+    Spark keeps the state of each key: occurrences, first_pos and the details of the latest position. A batch that is
+    delivered again counts once, which is what the checkpoint is for.
     """
+    return errors.groupBy("execution_id", "code").agg(F.count("*").alias("occurrences"), F.max_by("details", "pos").alias("details"), F.min("pos").alias("first_pos"))
 
-    def __init__(self, folder: str):
-        self.folder = folder
 
-    def _path(self, batch: int) -> str:
-        return f"{self.folder}/v{batch}"
+def execution_totals(errors: DataFrame) -> DataFrame:
+    """Running totals of each execution: occurrences, distinct codes (approximate), and the first code's type."""
+    return errors.groupBy("execution_id").agg(F.count("*").alias("total_occurrences"), F.approx_count_distinct("code", 0.01).alias("unique_errors"), F.min_by(F.substring("code", 1, 2), "pos").alias("error_type"))
 
-    def fold(self, errors: DataFrame, batch: int) -> None:
-        spark = errors.sparkSession
-        new = aggregates.error_occurrences(errors).withColumn("batch", F.lit(batch).cast("long"))
-        old = self.current(spark, batch - 1)
-        if old is not None:
-            new = old.unionByName(new).groupBy("execution_id", "code").agg(
-                F.sum("occurrences").alias("occurrences"), F.max_by("details", "batch").alias("details"), F.min("first_pos").alias("first_pos"), F.max("batch").alias("batch")
-            )
-        new.write.mode("overwrite").parquet(self._path(batch))
 
-    def current(self, spark: SparkSession, batch: int) -> DataFrame | None:
-        return spark.read.parquet(self._path(batch)) if batch >= 0 else None
+class Buckets:
+    """A table below `folder` in buckets of a hash of its keys; a batch rewrites the buckets that it touches.
+
+    Every bucket has its own versions, named by batch; a batch that comes again writes the same version again. The
+    version before the current one stays until the next batch of its bucket.
+    """
+
+    def __init__(self, folder: str, spec: TableSpec, n: int = 64):
+        self.folder, self.spec, self.n = folder, spec, n
+
+    def _versions(self, spark: SparkSession) -> dict[int, list[int]]:
+        """Versions of each bucket, ascending: n buckets at most, with two versions each."""
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        found: dict[int, list[int]] = {}
+        if store.exists(path):
+            for bucket in store.listStatus(path):
+                name = bucket.getPath().getName()
+                if name.startswith("bucket="):
+                    found[int(name[7:])] = sorted(int(v.getPath().getName()[8:]) for v in store.listStatus(bucket.getPath()) if store.exists(spark._jvm.org.apache.hadoop.fs.Path(v.getPath(), "_SUCCESS")))
+        return found
+
+    def table(self, spark: SparkSession, schema: str, before: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
+        """The latest version (before batch `before`) of all buckets or of some."""
+        paths = []
+        for bucket, versions in self._versions(spark).items():
+            good = [v for v in versions if before is None or v < before]
+            if good and (only is None or bucket in only):
+                paths.append(f"{self.folder}/bucket={bucket}/version={good[-1]}")
+        return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+
+    def apply(self, rows: DataFrame, batch: int) -> None:
+        """A foreachBatch function: upsert the batch (one row for each key) into the buckets that it touches."""
+        spark = rows.sparkSession
+        bucket = F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.n)).cast("int")
+        # a batch of a stateful stream is computed once: it is written first, and read from there
+        rows.withColumn("__bucket", bucket).write.mode("overwrite").parquet(f"{self.folder}/incoming")
+        staged = spark.read.parquet(f"{self.folder}/incoming")
+        touched = [r[0] for r in staged.select("__bucket").distinct().collect()]
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        before = self._versions(spark)
+        store = spark._jvm.org.apache.hadoop.fs.Path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        for b in touched:
+            new = upsert(self.table(spark, schema, batch, [b]), staged.where(F.col("__bucket") == b).drop("__bucket"), self.spec).drop("action")
+            new.write.mode("overwrite").parquet(f"{self.folder}/bucket={b}/version={batch}")
+            for v in [v for v in before.get(b, []) if v < batch][:-1]:
+                store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/bucket={b}/version={v}"), True)
 
 
 def removals(changes: DataFrame) -> DataFrame:
@@ -66,12 +102,29 @@ def removals(changes: DataFrame) -> DataFrame:
     return changes.where(ok).select("old.execution_id", "old.error_code", F.coalesce("old.occurrences", F.lit(1)).alias("occurrences"))
 
 
-def upserting(folder: str, spec: TableSpec) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch function that applies each batch to the table version before it and writes the next one."""
+def solved_transitions(changes: DataFrame) -> DataFrame:
+    """CDC rows (event_name, old struct, new struct) -> one row for each execution with a link that left `failed`.
+
+    Columns execution_id, solved and unrecoverable: how many links went to maybeSolved and to maybeUnrecoverable. An
+    execution comes once in a batch, so it restarts once.
+    """
+    moved = (F.col("event_name") == "MODIFY") & (F.col("new.entity_type") == "ExecutionError") & (F.col("old.status") == "failed") & F.col("new.status").isin("maybeSolved", "maybeUnrecoverable")
+    hit = changes.where(F.coalesce(moved & F.col("new.execution_id").isNotNull(), F.lit(False)))
+    return hit.groupBy(F.col("new.execution_id").alias("execution_id")).agg(F.count_if(F.col("new.status") == "maybeSolved").alias("solved"), F.count_if(F.col("new.status") == "maybeUnrecoverable").alias("unrecoverable"))
+
+
+#: States of a phase, in the order in which they count when their times are equal.
+PHASE_STATES = ["SCHEDULED", "IN_PROGRESS", "PARKED", "FAILED", "SUCCEEDED"]
+
+
+def phase_states(events: DataFrame, ts: str = "ts") -> DataFrame:
+    """(execution_id, phase, status, ts) -> the latest status of each phase and when; batch, or stream in update mode."""
+    rank = F.array_position(F.array(*[F.lit(x) for x in PHASE_STATES]), F.col("status"))
+    known = events.where(rank > 0)
+    return known.groupBy("execution_id", "phase").agg(F.max_by("status", F.struct(F.col(ts), rank)).alias("status"), F.max(ts).alias(ts), F.count("*").alias("n_events"))
 
-    def apply(batch_rows: DataFrame, batch: int) -> None:
-        spark = batch_rows.sparkSession
-        target = spark.read.parquet(f"{folder}/v{batch}")
-        upsert(target, batch_rows, spec).drop("action").write.mode("overwrite").parquet(f"{folder}/v{batch + 1}")
 
-    return apply
+def partial_failures(rows: DataFrame, message_id: str, bad: Column, reason: Column) -> tuple[DataFrame, DataFrame]:
+    """(rows to go on with, one row of message id and reason for each failed one), the second for a quarantine table."""
+    failed = F.coalesce(bad, F.lit(True))
+    return rows.where(~failed), rows.where(failed).select(F.col(message_id).alias("item_identifier"), reason.alias("reason"))

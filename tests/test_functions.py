@@ -50,3 +50,43 @@ def test_rules(spark):
     assert [r[0] for r in df.select(rules.external_link_kind(F.col("h"))).collect()] == ["TWITTER", "LINKEDIN", "WEBSITE"]
     df = spark.createDataFrame([(None,), ("mint",), ("x",)], "b string")
     assert [r[0] for r in df.select(rules.workflow_branch(F.col("b"))).collect()] == ["structured_archive", "mint", None]
+
+
+@pytest.mark.parametrize(
+    "line, want",
+    [
+        ("Mary Smith", [("person", "Mary", None, "Smith")]),
+        ("SMITH JOHN A & MARY ANN LEE", [("person", "JOHN", "A", "SMITH"), ("person", "MARY", "ANN LEE", "SMITH")]),
+        ("SMITH JOHN & JONES MARY ANN LEE and Bob", [("person", "JOHN", None, "SMITH"), ("person", "MARY", "ANN LEE", "JONES"), ("person", "Bob", None, "JONES")]),
+        ("DOE, JANE Q./ACME HOLDINGS LLC", [("person", "JANE", "Q", "DOE"), ("company", None, None, None)]),
+        ("ET AL and Solo", [("rejected", None, None, None), ("rejected", None, None, None)]),
+        ("Sandy Anderson & Rob R. Roe Jr", [("person", "Sandy", None, "Anderson"), ("person", "Rob", "R Roe", "Jr")]),
+        ("First Bank, N.A.", [("company", None, None, None)]), ("Cotton Patrick", [("person", "Cotton", None, "Patrick")]), (None, []),
+    ],
+)
+def test_owner_lines(spark, line, want):
+    from ledgerloom.functions import owners
+
+    rows = owners.owners(spark.createDataFrame([(1, line)], "k int, l string"), "l", ["k"]).orderBy("ordinal").collect()
+    assert [(r.kind, r.first_name, r.middle_name, r.last_name) for r in rows] == want
+
+
+def test_equal_owners_come_once(spark):
+    from ledgerloom.functions import owners
+
+    df = spark.createDataFrame([(1, "SMITH JOHN & Smith, John / ACME LLC & Acme LLC & X Y & ESTATE")], "k int, l string")
+    got = owners.owners(df, "l", ["k"], distinct=True).orderBy("ordinal").collect()
+    assert [(r.ordinal, r.kind) for r in got] == [(1, "person"), (3, "company"), (5, "person")]
+
+
+def test_permit_parsers(spark):
+    from ledgerloom.functions import permits
+
+    page = "Fees Outstanding: 3/7/2021 INV-1 $1,000.50 View Details " + "x " * 150 + "4/7/2021 INV-2 5 View Details Paid Fees 12/25/2020 P9 7.00 View Details"
+    c = F.lit(page)
+    rows = spark.range(1).select(permits.fees(c).alias("f")).first().f
+    assert [tuple(r) for r in rows] == [("2021-03-07", "INV-1", 1000.5, "OUTSTANDING"), ("2021-04-07", "INV-2", 5.0, "UNKNOWN"), ("2020-12-25", "P9", 7.0, "PAID_OR_DISCOUNTED")]
+    total = lambda a: spark.range(1).select(permits.fee_total(F.expr(a))).first()[0]
+    assert total("array(1.005D, null, 2D)") in (3.0, 3.01) and total("array(cast(null as double))") is None and total("cast(array() as array<double>)") is None
+    done = spark.range(1).select(permits.events(F.lit("Marked as  Approved on 1/2/2021 by Ann Lee\nDue on Review on 3/4/2021 by TBD\nnoise"))).first()[0]
+    assert [tuple(r) for r in done] == [("MARKED_AS", "Approved", "2021-01-02", "Ann Lee"), ("DUE_ON", "Review", "2021-03-04", "TBD")]
