@@ -107,6 +107,26 @@ def test_near_duplicates_on_documents(spark, sf):
     assert keep_one(docs, got).count() == len(set(of))
 
 
+def test_fingerprints_of_very_long_texts():
+    import numpy as np
+    import pyarrow as pa
+
+    from ledgerloom.llm.simhash import fingerprints, shingle_sets, shingle_sketches
+
+    words = [f"w{i * 7919 % 100003}" for i in range((1 << 20) + 5000)]
+    text = " ".join(words)
+    h = np.array([xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), 42) for i in range(len(words) - 2)], "<u8")
+    ones = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    want = sum(1 << b for b in range(64) if 2 * int(ones[b]) > len(h))
+    assert fingerprints(pa.array(["a", text, None]), 3).tolist()[1:] == [want, 0]
+    flat, n, digest = shingle_sets(pa.array([text, "a b c"]), 5)
+    assert n.tolist() == [len({tuple(words[i : i + 5]) for i in range(len(words) - 4)}), 1] and len(flat) == n.sum()
+    prints, _, _, _, again = shingle_sketches(pa.array([text, "a b c"]), 5, 6)
+    own = flat[: n[0]]
+    bits = np.unpackbits(own.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    assert int(prints[0, 0]) == sum(1 << b for b in range(64) if 2 * int(bits[b]) > len(own)) and again.tolist() == digest.tolist()
+
+
 def test_near_duplicates_edges(spark):
     docs = spark.createDataFrame(EDGE, "doc_id long, text string, fingerprint string")
     out = near_duplicates(docs).collect()
@@ -144,6 +164,15 @@ def test_links_connect_all_within_the_radius(spark, bits, paired):
     assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values()))
 
 
+def test_hot_keys_are_attached_by_broadcast(spark):
+    from ledgerloom.llm.cluster import attach
+
+    rows = spark.createDataFrame([(i, 1 if i < 500 else i) for i in range(600)], "id long, fp long")
+    labels = rows.groupBy("fp").agg(F.min("id").alias("label"), F.count("*").alias("copies"))
+    out = attach(rows, labels, "fp", "copies", hot=10)
+    assert {tuple(r) for r in out.select("id", "label").collect()} == {(i, 0 if i < 500 else i) for i in range(600)}
+
+
 def test_components_of_a_long_chain(spark):
     df = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1001), (5, None)], "a long, b long")
     got = dict(map(tuple, connected_components(df).collect()))
@@ -197,6 +226,25 @@ def test_similar_groups_edges(spark):
     assert {tuple(r) for r in both.collect()} == {(2, 1), (3, 1)} and keep_one(docs, both).count() == 4
 
 
+def test_large_groups_are_dealt_into_cells(spark, monkeypatch):
+    from ledgerloom.llm import simhash
+
+    monkeypatch.setattr(simhash, "BUCKET_ROWS", 20)
+    monkeypatch.setattr(simhash, "GROUP_ROWS", 10)
+    rnd = random.Random(5)
+    base = [f"w{i}" for i in range(120)]
+    texts = [edited(rnd, base, rnd.choice([1, 2, 3, 5])) for _ in range(150)] + [f"lone {i} words of its own here" for i in range(5)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    sets = [shingle_set(t) for t in texts]
+    root = list(range(len(texts)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if root[i] != root[j] and 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    assert dict(map(tuple, similar_groups(docs).collect())) == dict(enumerate(root))
+
+
 def edited(rnd, words, n):
     w = list(words)
     for i in rnd.sample(range(len(w)), n):

@@ -56,6 +56,42 @@ def test_toxicity_edges(spark):
     assert toxicity.toxicity(docs.limit(0), toxicity.train(docs, labels)).count() == 0
 
 
+def test_toxicity_leaves_neutral_mentions_alone(spark, big):
+    docs, labels = big
+    model = toxicity.train(docs, labels, where=~toxicity.held_out())
+    clean = docs.join(labels.where("toxic = 0"), "doc_id").where(toxicity.held_out()).select("doc_id", "text").limit(300).toPandas()
+    names = [n for group in toxicity.IDENTITY_TERMS.values() for n in group]
+    plain, named = [], []
+    for i, t in enumerate(clean.text):
+        words = t.split(" ")
+        plain.append(t)
+        named.append(" ".join([*words[:3], names[i % len(names)], *words[3:6], names[(i * 7) % len(names)], *words[6:]]))
+    table = model.table()
+    before, after = (toxicity.scores(model, pa.array(x), table) for x in (plain, named))
+    assert (after >= 0.3).mean() <= (before >= 0.3).mean() + 0.01
+
+
+def test_samples_are_bounded_and_settled(spark):
+    from ledgerloom.llm.folds import sample
+
+    docs = spark.createDataFrame([(1, "b"), (2, "x" * 50), (3, None)] + [(1, "a")] * 5000, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 1), (3, 1), (None, 1), (9, 0)], "doc_id long, toxic int")
+    one = [sample(docs.repartition(n), labels, "toxic", 10).to_pydict() for n in (2, 6)]
+    assert one[0] == one[1] and sorted(zip(one[0]["text"], one[0]["label"])) in ([("a", 1), ("x" * 50, 1)], [("b", 1), ("x" * 50, 1)])
+    assert sum(map(len, sample(docs, labels, "toxic", 10, most_bytes=20).to_pydict()["text"])) <= 20
+    assert sample(docs, labels.limit(0), "toxic", 10).num_rows == 0
+
+
+def test_language_of_clashing_columns_and_other_scripts(spark):
+    words = {"ru": "привет мир дом река улица город", "uk": "привіт світ дім ріка вулиця місто", "el": "καλημέρα κόσμε σπίτι ποτάμι δρόμος", "en": "hello world house river street town"}
+    rng = np.random.default_rng(0)
+    rows = [(i, " ".join(rng.choice(w.split(), 30)), k, "old", 7.0) for i, (k, w) in enumerate((k, w) for _ in range(60) for k, w in words.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, lang_pred string, score double")
+    net = langid.train(docs, where=F.col("doc_id") < 160)
+    out = langid.language(docs.where("doc_id >= 160"), net)
+    assert out.columns == ["doc_id", "text", "lang", "lang_pred", "score"] and out.where("lang = lang_pred").count() >= 0.95 * out.count() and out.where("score > 1").count() == 0
+
+
 def test_language_held_out(spark, big):
     docs, _ = big
     net = langid.train(docs, where=~langid.held_out())
@@ -113,6 +149,22 @@ def test_decision_list(spark):
     assert row.select(quality_rules.verdict(list(rule))).first()[0] is False and row.select(quality_rules.verdict([])).first()[0] is True
 
 
+def test_decision_list_held_out(spark, big):
+    docs, labels = big
+    stats = quality_rules.statistics(docs.select("doc_id", "text"))
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    rules = quality_rules.learn_from(stats, labels.where(fold != 0))
+    out = quality_rules.apply_rules(stats, rules).join(labels.where(fold == 0), "doc_id").where("not base_failed").toPandas()
+    bad = out.quality == 0
+    assert (~out.kept)[bad].mean() > 0.9 and (~out.kept)[~bad].mean() < 0.01
+
+
+def test_statistics_of_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", True), (1, "a b", "x", True), (None, None, None, None)], "doc_id long, text string, n_words string, kept boolean")
+    out = quality_rules.apply_rules(quality_rules.statistics(docs), [])
+    assert sorted((r.doc_id or 0, r.n_words, r.kept) for r in out.collect()) == [(0, 0, False), (1, 2, False), (1, 2, False)] and out.columns.count("n_words") == 1
+
+
 def test_min_cost_flow():
     flow = reshard.min_cost_flow([5, 3], [4, 4], lambda i, j: [[0, 3], [1, 1]][i][j])
     assert sum(v for (i, _), v in flow.items() if i == 0) == 5 and sum(flow.values()) == 8

@@ -1,5 +1,7 @@
 """The corpus pipeline stage by stage, and the driver's registry."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from ledgerloom.llm import langid, toxicity
 
@@ -44,6 +46,22 @@ def test_stages_of_nothing_and_nulls(spark):
         assert stage(spark, docs.limit(0), SF).count() == 0
 
 
+def test_stages_keep_clashing_columns_and_repeated_rows(spark, tmp_path):
+    names = ["score", "predicted", "lang_pred", "fp", "component_id", "copies", "group", "n_words", "kept_text", "removed", "__block"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(250)
+    odd = docs.unionByName(docs.limit(20)).withColumns({n: F.concat(F.lit(f"{n} of "), F.col("doc_id").cast("string")) for n in names})
+    odd.write.parquet(str(tmp_path / "docs"))
+    now = spark.read.parquet(str(tmp_path / "docs"))
+    columns = now.columns
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        before = now.count()
+        stage(spark, now, SF).write.parquet(str(tmp_path / name))
+        now = spark.read.parquet(str(tmp_path / name))
+        assert now.columns == columns and 0 < now.count() <= before
+        assert all(r[n] == f"{n} of {r.doc_id}" for r in now.limit(30).collect() for n in names)
+    assert now.count() == now.select("doc_id").distinct().count()
+
+
 def test_registry():
     import __spark_entry__
 
