@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions import rules, text
+from ..functions import pages, rules, text
 from .tables import table
 
 
@@ -77,12 +77,47 @@ def turn_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (html_to_text, page_links, page_links_most, url_classify, section_blocks, label_value, json_hash, field_map, turn_summary)}
+def profile_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles that pages list, from links made of each page's own ones."""
+    p = table(spark, sf_dir, "pages")
+    found = F.regexp_extract_all("html", F.lit(r'<a\s+href="/([^"/]*)"'), F.lit(1))
+    link = lambda name, i: F.struct(F.concat(F.when(i % 3 == 2, F.lit("https://other.example.org/profile/")).otherwise(F.lit("https://www.bbb.org/us/profile/")), name, F.when(i % 2 == 0, "/complaints?x=1").otherwise("/#top")).alias("href"), name.alias("text"))
+    return pages.listings(p.select("page_id", F.transform(found, link).alias("links")), "page_id", "links")
+
+
+def page_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small values read from texts made of parts: currency, names, units, cost cards, tax years, counties, page kinds."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    price = F.format_string("%.2f", "p_retailprice")
+    card = F.array(F.lit("Land  Value"), F.lit("x"), F.concat(F.lit("$"), price), F.when(k % 2 == 0, "7").otherwise("n/a"), F.lit("MARKET VALUE"), F.lit("99"))
+    options = F.array(F.struct(F.lit("Tax 2020 roll").alias("text"), F.lit("").alias("value"), (k % 3 == 1).alias("selected")), F.struct(F.lit("roll").alias("text"), F.lit("/x?TaxYear=2019").alias("value"), (k % 3 == 0).alias("selected")))
+    body = F.when(k % 4 == 0, "Loading chunk 12 failed").when(k % 4 == 1, "We are UNABLE to proceed").when(k % 4 == 2, "Just a moment...").otherwise("fine")
+    return p.select(
+        "p_partkey", pages.currency(F.concat(F.lit(" $ "), price, F.lit(" each"))).alias("currency"), pages.capitalised(F.col("p_type")).alias("name"), pages.unit_bucket(F.when(k % 5 > 0, F.col("p_size") / 2)).alias("units"),
+        pages.cost_value(card, "LAND VALUE").alias("land"), pages.cost_value(card, "SALES APPROACH VALUE").alias("sales"), pages.tax_year(options).alias("tax_year"),
+        pages.county_of_request(F.concat(F.lit('{"entry_http_request":{"multiValueQueryString":{"App":["'), "p_brand", F.lit('CountyFL"]}}}'))).alias("county"),
+        pages.is_error_page(F.lit(""), body).alias("error"), pages.is_unavailable_detail(body).alias("unavailable"), pages.is_challenge(F.lit(None).cast("string"), body).alias("challenge"), F.array_join(pages.portal_candidates(F.concat(F.lit("Cape "), "p_brand")), " ").alias("candidates"),
+    )
+
+
+QUERIES = {f.__name__: f for f in (profile_listings, page_values, html_to_text, page_links, page_links_most, url_classify, section_blocks, label_value, json_hash, field_map, turn_summary)}
 
 _LINKS = """lk AS (SELECT page_id, regexp_extract_all(html, '<a\\s+href="([^"]*)"', 1) AS h FROM pages),
 d AS (SELECT page_id, href, min(i) AS i FROM (SELECT page_id, unnest(h) AS href, unnest(range(len(h))) AS i FROM lk) GROUP BY ALL)"""
 _HOST = r"lower(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1))"
+_BRAND = "lower(regexp_replace(p_brand, '[^A-Za-z0-9]+', '-', 'g'))"
+_BARE = "lower(regexp_replace(p_brand, '[^A-Za-z0-9]+', '', 'g'))"
 ORACLE_SQL = {
+    "profile_listings": r"""WITH l AS (SELECT page_id, regexp_extract_all(html, '<a\s+href="/([^"/]*)"', 1) AS h FROM pages), e AS (SELECT page_id, unnest(h) AS name, unnest(range(len(h))) AS i FROM l),
+        f AS (SELECT page_id, 'https://www.bbb.org/us/profile' || CASE WHEN name = '' THEN '' ELSE '/' || name END AS profile_url, min(i) AS i, arg_min(name, i) AS link_text FROM e WHERE i % 3 <> 2 GROUP BY 1, 2)
+        SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY i) AS ordinal, profile_url, link_text FROM f""",
+    "page_values": f"""SELECT p_partkey, round(p_retailprice, 2) AS currency, upper(left(p_type, 1)) || lower(substr(p_type, 2)) AS name,
+        CASE WHEN p_partkey % 5 = 0 OR p_size / 2 = 1 THEN 'One' WHEN p_size / 2 = 2 THEN 'Two' WHEN p_size / 2 = 3 THEN 'Three' WHEN p_size / 2 = 4 THEN 'Four' WHEN p_size / 2 BETWEEN 2 AND 4 THEN 'TwoToFour' WHEN p_size / 2 BETWEEN 1 AND 4 THEN 'OneToFour' END AS units,
+        CASE WHEN p_partkey % 2 = 0 THEN 7.0 ELSE CAST(printf('%.2f', p_retailprice) AS DOUBLE) END AS land, CAST(NULL AS DOUBLE) AS sales, CASE WHEN p_partkey % 3 = 0 THEN 2019 ELSE 2020 END AS tax_year, p_brand AS county,
+        p_partkey % 4 = 0 AS error, p_partkey % 4 = 1 AS unavailable, p_partkey % 4 = 2 AS challenge,
+        'https://cape' || {_BARE} || '-egov.aspgov.com/Click2GovBP/ https://cape-' || {_BRAND} || '-egov.aspgov.com/Click2GovBP/ https://permit-planner.cape' || {_BARE} || '.org/ https://permit-planner.cape' || {_BARE} || '.gov/ https://www.cape' || {_BARE}
+            || '.gov/ https://www.cape' || {_BARE} || '.org/ https://cape' || {_BARE} || '.gov/ https://cape' || {_BARE} || 'fl.gov/ https://www.cape' || {_BARE} || '.us/' AS candidates FROM part""",
     "html_to_text": r"""WITH t AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script.*?</script>', ' ', 'g'), '(?is)<style.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g') AS x FROM pages),
         b AS (SELECT page_id, trim(regexp_replace(x, '[\s\x0B\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+', ' ', 'g')) AS body FROM t)
         SELECT page_id, CAST(length(body) AS BIGINT) AS n_chars, sha256(body) AS body_sha256 FROM b""",

@@ -13,6 +13,7 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
