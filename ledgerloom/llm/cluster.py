@@ -45,6 +45,12 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffles and checkpoints that nothing refers to any more; it goes by garbage
+    collections of the driver, which iterations over small tables hardly cause."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_bytes(docs: DataFrame, text: str = "text") -> int:
     """UTF-8 bytes of all texts, by one aggregate; sizes blocks and files in proportion to the input."""
     return docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cluster import cut
+from .cluster import cut, release_shuffles
 
 
 def _stars(links: DataFrame, larger: bool) -> DataFrame:
@@ -34,4 +34,5 @@ def connected_components(links: DataFrame, most_steps: int = 60) -> DataFrame:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = state
         now = cut(_stars(_stars(now, True), False))
+        release_shuffles(links.sparkSession)
     raise RuntimeError(f"components did not settle in {most_steps} rounds")

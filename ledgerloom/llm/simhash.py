@@ -363,6 +363,11 @@ def similar_groups(docs: DataFrame, words_per_shingle: int = 5, similarity: floa
     least one of a group that has others. Other columns are not read; repeated rows all come back. An empty table gives
     an empty result.
     """
+    return _labelled(*_set_links(docs, words_per_shingle, similarity, anchors, id_col, text)).select(F.col("id").alias(id_col), "component_id")
+
+
+def _set_links(docs: DataFrame, words_per_shingle: int, similarity: float, anchors: int, id_col: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (id, fp) with fp a digest of their set, one row (fp, least, copies, ..) for each set, and links of nodes."""
     wide = widest_distance(similarity)
     words = [f"w{i}" for i in range(SKETCH_WORDS)]
     kind = docs.schema[id_col].dataType.simpleString()
@@ -425,7 +430,7 @@ def similar_groups(docs: DataFrame, words_per_shingle: int = 5, similarity: floa
     groups = celled(member.join(distinct.select("fp", "least", *columns), "fp"), "root", "fp", GROUP_ROWS)
     rows = groups.join(again.dropDuplicates(["fp"]), "fp").select("root", "cell", "fp", "least", *columns, "shingles")
     found = rows.repartition(n_parts, "root", "cell").sortWithinPartitions("root", "cell", "fp").mapInArrow(exact, f"a_id {kind}, b_id {kind}, a_fp long, b_fp long")
-    return _labelled(prints, distinct, found.select(node("a_id", "a_fp").alias("a"), node("b_id", "b_fp").alias("b"))).select(F.col("id").alias(id_col), "component_id")
+    return prints, distinct, found.select(node("a_id", "a_fp").alias("a"), node("b_id", "b_fp").alias("b"))
 
 
 def _labelled(prints: DataFrame, distinct: DataFrame, links_: DataFrame) -> DataFrame:
@@ -453,9 +458,20 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, bits: int = 2,
     fingerprint 0; a very long text is hashed piece by piece. A null id never is the least id of a component that has others. Repeated rows all come back. Other
     columns are not read. An empty table gives an empty result.
     """
+    return _labelled(*_print_links(docs, words_per_shingle, bits, id_col, text)).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _print_links(docs: DataFrame, words_per_shingle: int, bits: int, id_col: str, text: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (id, fp), one row (fp, least, copies) for each fingerprint, and links of nodes."""
     prints = cut(simhash(docs, words_per_shingle, id_col, text))
     distinct = cut(prints.groupBy("fp").agg(F.min("id").alias("least"), F.count("*").alias("copies")))
-    return _labelled(prints, distinct, links(distinct, bits)).select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints, distinct, links(distinct, bits)
+
+
+def _id_links(prints: DataFrame, distinct: DataFrame, links_: DataFrame) -> DataFrame:
+    """(a, b) links between ids: those of equal fingerprints to their least one, and those between fingerprints."""
+    own = attach(prints.select("id", "fp"), distinct.where("copies > 1").select("fp", "least", "copies"), "fp", "copies")
+    return own.where("id <> least").select(F.col("id").alias("a"), F.col("least").alias("b")).unionByName(links_.select(F.col("a.id").alias("a"), F.col("b.id").alias("b")))
 
 
 def keep_one(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -473,7 +489,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text") ->
     """
     whole = F.xxhash64(*[F.col(f"`{c}`") for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))])
     keyed = docs.withColumn("__text", F.md5(F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")))).withColumn("__row", F.concat("__text", F.hex(whole)))
-    groups = merged(near_duplicates(keyed, id_col="__text", text=text), similar_groups(keyed, id_col="__text", text=text), "__text")
+    both = _id_links(*_print_links(keyed, 3, 2, "__text", text)).unionByName(_id_links(*_set_links(keyed, 5, 0.8, 6, "__text", text)))
+    groups = connected_components(both).select(F.col("node").alias("__text"), F.col("root").alias("component_id"))
     rows = keyed.groupBy("__text", "__row").agg(F.min(F.col(f"`{id_col}`")).alias("id"), F.count("*").alias("copies"))
     member = cut(rows.join(groups, "__text", "left").withColumn("group", F.coalesce("component_id", "__text")).select("group", "__row", "id", "copies"))
     best = member.groupBy("group").agg(F.min(F.struct(F.isnull("id").alias("without"), "id", "__row")).alias("best")).select(F.col("best.__row").alias("__row"))
