@@ -120,5 +120,5 @@ def report_lines(report: DataFrame) -> DataFrame:
     """(line): one row of a success report as text, counties in order, steps by falling count, then by name."""
     steps = F.array_sort(F.collect_list(F.when(F.col("step").isNotNull(), F.struct((-F.col("n")).alias("less"), F.col("step").alias("step"), F.col("n").alias("n")))))
     out = report.groupBy("county", "succeeded", "failed", "success_rate").agg(F.array_join(F.transform(steps, lambda s: F.format_string("%s=%d", s["step"], s["n"])), ", ").alias("steps"))
-    rate = F.coalesce(F.format_string("%.1f%%", "success_rate"), F.lit("n/a"))
+    rate = F.when(F.col("success_rate").isNull(), "n/a").otherwise(F.format_string("%.1f%%", "success_rate"))
     return out.select("county", F.concat_ws(" | ", "county", F.concat(F.lit("ok "), F.col("succeeded").cast("string")), F.concat(F.lit("failed "), F.col("failed").cast("string")), rate, F.nullif("steps", F.lit(""))).alias("line"))
