@@ -198,7 +198,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, d
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer, drops_space)
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 2 << 20):
             ids, counts = own.encode(batch.column(1))
             n = counts + 1
             stop = np.cumsum(n)

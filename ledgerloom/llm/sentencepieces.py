@@ -238,7 +238,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _encoder(model)
-        for batch in small_batches(batches, text):
+        for batch in small_batches(batches, text, 3 << 20):
             ids, counts = own.encode(batch.column(at))
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in keep), lists], names=[*(names[i] for i in keep), "ids"])

@@ -112,7 +112,7 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end_id: int, d
         def line() -> pa.RecordBatch:
             return pa.RecordBatch.from_pylist([{"file_no": (part << 24) + n, "path": file.name, "n_docs": file.n_docs, "n_sequences": file.n_sequences, "n_tokens": file.n_tokens}], schema=pa.schema(fields))
 
-        for batch in small_batches(batches, "text"):
+        for batch in small_batches(batches, "text", 3 << 20):
             ids, counts = own.encode(batch.column(1))
             stop = np.cumsum(counts + 1)
             flat = np.full(int(stop[-1]), end_id, kind.to_pandas_dtype())

@@ -16,8 +16,8 @@ import pyarrow as pa
 from .textblocks import LOWER, SPACE, TextBlock, U, ragged, span_hash
 
 #: Units that one worker remembers; beyond it the memory starts anew, which costs time only.
-REMEMBERED = 400_000
-REMEMBERED_BYTES = 8 << 20
+REMEMBERED = 1_200_000
+REMEMBERED_BYTES = 24 << 20
 PLAIN = np.zeros(256, bool)
 PLAIN[[*range(9, 14), *range(32, 127), *range(0x80, 0xC0), 0xC3]] = True
 LETTER = np.zeros(256, bool)
