@@ -50,6 +50,8 @@ class Pieces:
                 self.ids[piece] = (i, model.get_score(i))
                 self.raw.append(piece.replace(SPACE_MARK, " ").encode())
         self.longest = max(map(len, self.ids), default=1)
+        #: Endings of pieces: a text that is none of them ends no longer piece either.
+        self.endings = {p[i:] for p in self.ids for i in range(len(p))}
         self.unknown_score = min((s for _, s in self.ids.values()), default=0.0) - UNKNOWN_COST
         self.sizes = np.array([len(b) for b in self.raw])
         self.at = np.cumsum(self.sizes) - self.sizes
@@ -91,7 +93,7 @@ class StreamingViterbi:
         return out
 
     def _extend(self, bit: str) -> None:
-        get, longest, unknown = self.pieces.ids.get, self.pieces.longest, self.pieces.unknown_score
+        get, longest, unknown, endings = self.pieces.ids.get, self.pieces.longest, self.pieces.unknown_score, self.pieces.endings
         begin = len(self.text)
         self.text += bit
         text, score, back = self.text, self.score, self.back
@@ -102,7 +104,10 @@ class StreamingViterbi:
             else:
                 best, path = score[end - 1] + hit[1], (end - 1, hit[0])
             for start in range(end - 2, max(-1, end - 1 - longest), -1):
-                hit = get(text[start:end])
+                part = text[start:end]
+                if part not in endings:
+                    break
+                hit = get(part)
                 if hit is not None and score[start] + hit[1] > best:
                     best, path = score[start] + hit[1], (start, hit[0])
             score.append(best)
