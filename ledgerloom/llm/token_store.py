@@ -4,7 +4,7 @@ The ids of all documents, each followed by an end id, form one stream in ascendi
 into ranges of ids; each task writes its range as a stream of batches into one file after another, so that neither long
 texts nor neighbouring ids need memory. A file's part of the stream is cut into sequences of `length` ids. Columns of a
 file, one row for each sequence: ids (fixed-size list of uint16, or uint32 for tokenizers of more than 65,536 ids), mask
-(fixed-size list of uint8, 0 on the padding of a file's last sequence), doc_id and doc_end (the documents that end in
+(fixed-size list of booleans, one bit each, false on the padding of a file's last sequence), doc_id and doc_end (the documents that end in
 the sequence, and the places after their last ids). Every batch but a file's last has ROWS sequences, so sequence i is
 row i % ROWS of batch i // ROWS, and a memory-mapped reader reaches its ids and mask without decoding or copying.
 """
@@ -45,7 +45,7 @@ class SequenceFile:
         self.name, self.path = name, posixpath.join(root, name)
         self.mine = f"{self.path}.{uuid.uuid4().hex}"
         self.length, self.kind = length, kind
-        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.uint8(), length)), ("doc_id", pa.list_(id_kind)), ("doc_end", pa.list_(pa.int32()))])
+        self.schema = pa.schema([("ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length)), ("doc_id", pa.list_(id_kind)), ("doc_end", pa.list_(pa.int32()))])
         self.out = self.store.open_output_stream(self.mine)
         self.writer = pa.ipc.new_file(self.out, self.schema)
         self.ids = np.zeros(0, kind.to_pandas_dtype())
@@ -76,7 +76,7 @@ class SequenceFile:
         offsets = pa.array(np.searchsorted(row, np.arange(n + 1)).astype(np.int32))
         columns = [
             pa.FixedSizeListArray.from_arrays(pa.array(own, self.kind), self.length),
-            pa.FixedSizeListArray.from_arrays(pa.array(mask), self.length),
+            pa.FixedSizeListArray.from_arrays(pa.Array.from_buffers(pa.bool_(), size, [None, pa.py_buffer(np.packbits(mask, bitorder="little"))]), self.length),
             pa.ListArray.from_arrays(offsets, self.doc_ids[:upto]),
             pa.ListArray.from_arrays(offsets, pa.array((ends - row * self.length).astype(np.int32))),
         ]
@@ -101,6 +101,8 @@ def write_sequences(docs: DataFrame, folder: str, tokenizer: str, end_id: int, d
     other names before they take the final ones. Other columns are not read. An empty table gives no file and an empty
     manifest.
     """
+    if length % 8:
+        raise ValueError("a sequence's length must be a multiple of 8")
     spark = carried(docs).sparkSession
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,11 +147,12 @@ def open_file(folder: str, path: str) -> tuple[pa.ipc.RecordBatchFileReader, obj
 
 
 def sequence(reader: pa.ipc.RecordBatchFileReader, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, mask) of sequence i of a file, both views of the file's bytes."""
+    """(ids, mask) of sequence i of a file, both views of the file's bytes; the mask has eight sequence places in a byte,
+    the first one in its lowest bit."""
     batch = reader.get_batch(i // ROWS)
     length = batch.schema.field("ids").type.list_size
     at = (i % ROWS) * length
-    return batch.column(0).values.to_numpy()[at : at + length], batch.column(1).values.to_numpy()[at : at + length]
+    return batch.column(0).values.to_numpy()[at : at + length], np.frombuffer(batch.column(1).values.buffers()[1], np.uint8)[at // 8 : (at + length) // 8]
 
 
 def read_documents(spark: SparkSession, folder: str, id_kind: str = "bigint") -> DataFrame:
@@ -167,7 +170,7 @@ def read_documents(spark: SparkSession, folder: str, id_kind: str = "bigint") ->
                 for i in range(reader.num_record_batches):
                     rows = reader.get_batch(i)
                     length = rows.schema.field("ids").type.list_size
-                    real = rows.column(1).values.to_numpy().view(bool)
+                    real = rows.column(1).values.to_numpy(zero_copy_only=False)
                     ids = np.concatenate([head, rows.column(0).values.to_numpy()[real].astype("<u4")])
                     seq = np.repeat(np.arange(rows.num_rows), rows.column(3).value_lengths().to_numpy())
                     ends = rows.column(3).values.to_numpy() + seq * length + len(head)
