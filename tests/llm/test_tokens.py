@@ -57,8 +57,8 @@ def test_token_files_round_trip(spark, tmp_path):
         reader, source = token_store.open_file(str(tmp_path), row.path)
         for i in range(row.n_sequences):
             ids, mask = token_store.sequence(reader, i)
-            assert len(ids) == len(mask) == 64 and not ids.flags.owndata and not mask.flags.owndata
-            got += ids[mask.astype(bool)].tolist()
+            assert len(ids) == 8 * len(mask) == 64 and not ids.flags.owndata and not mask.flags.owndata
+            got += ids[np.unpackbits(mask, bitorder="little").astype(bool)].tolist()
     assert got == stream
 
 
