@@ -111,6 +111,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language(docs.select("doc_id", "text"), net).select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op11_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Score and decision for every document; labels of fold 2 of 4 are never learned from."""
+    from .subwords import held_out, quality, train
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"), where=~held_out())
+    return quality(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -124,6 +133,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_multi_index_hashing,
         op9_best_fit_packing,
         op10_language_id,
+        op11_subword_quality,
     )
 }
 
