@@ -120,6 +120,13 @@ def op11_subword_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(docs, model).select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the prefix trie of all rebuilt conversations."""
+    from .prefix_trie import trie_nodes
+
+    return trie_nodes(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -134,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_best_fit_packing,
         op10_language_id,
         op11_subword_quality,
+        op12_conversation_trie,
     )
 }
 
@@ -152,4 +160,41 @@ ORACLE_SQL: dict[str, str] = {
             sha256(array_to_string(CASE WHEN n IS NULL THEN w
                 ELSE list_transform(list_filter(list_zip(w, range(1, len(w) + 1)), lambda z: NOT list_contains(ps, z[2])), lambda z: z[1]) END, ' ')) AS kept_sha256
         FROM words LEFT JOIN lost USING (doc_id)""",
+    # crc32 is a fold over bits; turns of equal number go by the words and digest of their text and role
+    "op12_conversation_trie": r"""
+        WITH turns AS (
+            SELECT conv_id, turn, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+                sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))[1:32] AS id
+            FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, words, id) - 1 AS i, words, id FROM turns),
+        convs AS (
+            SELECT c AS conv_id, c - c % 20 AS base,
+                xor(list_reduce(list_transform(range(1, strlen(c::VARCHAR) + 1), lambda p: ascii(substr(c::VARCHAR, p, 1))::BIGINT),
+                    lambda a, b: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)), 4294967295), 4294967295) % 4 AS h
+            FROM (SELECT DISTINCT conv_id AS c FROM turns)),
+        rebuilt AS (
+            SELECT convs.conv_id, 0 AS part, i, words, id FROM convs JOIN own ON own.conv_id = base AND i < h
+            UNION ALL SELECT convs.conv_id, 1, i, words, id FROM convs JOIN own ON own.conv_id = convs.conv_id AND i >= h),
+        seqs AS (
+            SELECT convs.conv_id, coalesce(list(id ORDER BY part, i) FILTER (id IS NOT NULL), []) AS ids, coalesce(list(words ORDER BY part, i) FILTER (id IS NOT NULL), []) AS words
+            FROM convs LEFT JOIN rebuilt USING (conv_id) GROUP BY convs.conv_id),
+        steps AS (SELECT conv_id, ids, words, unnest(range(0, len(ids) + 1)) AS d FROM seqs),
+        paths AS (
+            SELECT conv_id, d, sha256(array_to_string(ids[1:d], '')) AS node, CASE WHEN d > 0 THEN sha256(array_to_string(ids[1:d - 1], '')) END AS up,
+                CASE WHEN d > 0 THEN words[d] ELSE 0 END AS words, d = len(ids) AS last FROM steps),
+        nodes AS (
+            SELECT node, d, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n, min(words) AS words,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+            FROM paths GROUP BY node, d),
+        kids AS (SELECT up, d - 1 AS d, count(*) AS n FROM nodes WHERE d > 0 GROUP BY up, d),
+        sums AS (
+            SELECT p.node, p.d, sum(CASE WHEN k.n IS NULL THEN 1 ELSE 0 END) AS leaves, sum((nodes.n - 1) * nodes.words) AS saved
+            FROM nodes LEFT JOIN kids k ON k.up = nodes.node AND k.d = nodes.d
+            JOIN paths p ON p.conv_id = nodes.conv_id AND p.d <= nodes.d GROUP BY p.node, p.d)
+        SELECT nodes.conv_id, nodes.d::BIGINT AS depth, above.conv_id AS parent_conv_id, nodes.n AS n_convs, coalesce(kids.n, 0)::BIGINT AS n_children,
+            sums.leaves::BIGINT AS n_leaves, sums.saved::BIGINT AS saved_tokens, nodes.ends_sha256
+        FROM nodes JOIN sums ON sums.node = nodes.node AND sums.d = nodes.d
+        LEFT JOIN kids ON kids.up = nodes.node AND kids.d = nodes.d
+        LEFT JOIN nodes above ON above.node = nodes.up AND above.d = nodes.d - 1""",
 }
