@@ -51,8 +51,10 @@ def sample(docs: DataFrame, rows: DataFrame, label: str, most: int, id_col: str
     """
     ids = rows.where(F.col(label).isNotNull()).groupBy(F.col(f"`{id_col}`").alias("__id")).agg(F.max(F.col(f"`{label}`")).alias("label")).withColumn("rank", F.xxhash64("__id"))
     first = ids.orderBy("rank", "__id").limit(most)
-    turn = F.row_number().over(Window.partitionBy("label").orderBy("rank", "__id"))
-    of_each = ids.withColumn("turn", turn).where(F.col("turn") <= each).orderBy("turn", "rank", "__id").limit(most).drop("turn")
+    of_each = ids.withColumn("part", F.pmod("rank", F.lit(64)))
+    for keys in (("label", "part"), ("label",)):  # a label of most rows is cut down in parts first
+        of_each = of_each.withColumn("turn", F.row_number().over(Window.partitionBy(*keys).orderBy("rank", "__id"))).where(F.col("turn") <= each)
+    of_each = of_each.orderBy("turn", "rank", "__id").limit(most).drop("turn", "part")
     few = first.union(of_each).distinct()
     own = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text}`").cast("string").alias("text")).where("text is not null").join(F.broadcast(few), "__id")
     one = own.groupBy("__id", "label", "rank").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("t"))

@@ -127,6 +127,13 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_nodes(table(spark, sf_dir, "conversations"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    from .ranked_search import search
+
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -142,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language_id,
         op11_subword_quality,
         op12_conversation_trie,
+        op13_ranked_search,
     )
 }
 
@@ -197,4 +205,19 @@ ORACLE_SQL: dict[str, str] = {
         FROM nodes JOIN sums ON sums.node = nodes.node AND sums.d = nodes.d
         LEFT JOIN kids ON kids.up = nodes.node AND kids.d = nodes.d
         LEFT JOIN nodes above ON above.node = nodes.up AND above.d = nodes.d - 1""",
+    "op13_ranked_search": r"""
+        WITH words AS (
+            SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ws
+            FROM documents),
+        stats AS (SELECT count(*) AS docs, sum(len(ws))::BIGINT AS len FROM words WHERE len(ws) > 0),
+        tfs AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ws) AS n, unnest(ws) AS term FROM words) GROUP BY doc_id, n, term),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+            FROM benchmark),
+        weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tfs, stats GROUP BY term, docs),
+        scored AS (
+            SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + ((90 * n * docs) // stats.len)))))::BIGINT AS score
+            FROM asked JOIN tfs USING (term) JOIN weights USING (term), stats GROUP BY item_id, doc_id)
+        SELECT item_id, rank::INTEGER AS rank, doc_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0) WHERE rank <= 10""",
 }
