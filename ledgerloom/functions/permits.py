@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .profiles import let
 from .text import collapse, integer, lenient_date, name_key, number, string
 
 #: Words that mark a company when among the first three of a name.
@@ -15,26 +16,17 @@ PERSON_SUFFIXES = ["JR", "SR", "II", "III", "IV", "V"]
 LICENCES = ["Certified General Cntr", "General Contractor", "Certified Electrical Cntr", "Certified Electrical Cont", "Certified Outdoor Sign Spec", "Sign Erection Electrical", "Sign Contr-Limited", "Air Cond & Heating Class A", "Air Cond & Heating Class B", "Building Contractor", "Cement Mason", "Master Electrician"]
 #: Page labels that follow a status without a boundary of its own.
 AFTER_STATUS = ["Click here for more information", "Create a New Collection", "Add to Existing Collection", "Record Info", "Record Details", "Processing Status", "Related Records", "Work Location"]
-#: Parts of page rows.
-DAY = r"\d{1,2}/\d{1,2}/\d{4}"
-MONEY = r"\$?(\d[\d,]*(?:\.\d+)?)"
-GAP = r"\s+"
-STREET_START = "(?:" + "|".join([r"P\.?O\.?\s+BOX", r"\d{1,6}"]) + ")"
-STATE_ZIP = r"(?:FLORIDA|FL)\b,?\s*\d{5}(?:-\d{4})?"
-LICENCE_NUMBER = "(?:" + "|".join([r"[A-Z]{1,5}\s*[0-9A-Z-]+", r"\d{3,}"]) + ")"
-LICENCE = "(?i)" + GAP.join([rf"\b({'|'.join(LICENCES)})", f"({LICENCE_NUMBER})"]) + rf"(?:{GAP}INACTIVE)?\b"
-ADDRESS = rf"(?i)^(.*?)({STREET_START}{GAP}.+?,\s*{STATE_ZIP})"
-FEE = "(?i)" + GAP.join([f"({DAY})", "([0-9A-Z-]+)", MONEY, "View Details"])
 #: Headings of fee lists and what they say of the fees below, the stronger ones first.
 FEE_HEADINGS = [("paid / discounted", "PAID_OR_DISCOUNTED"), ("paid fees", "PAID_OR_DISCOUNTED"), ("outstanding", "OUTSTANDING")]
 #: Fixed value: how many characters before a fee its heading may stand.
 HEADING_REACH = 240
-#: Results of inspections.
+#: Results of inspections, longer ones first.
 RESULTS = ["Partial Pass", "Pass", "Fail", "Cancelled", "Canceled"]
-INSPECTION = "(?i)" + GAP.join([f"({'|'.join(RESULTS)})", "([0-9A-Za-z]+)", r"([^()]+?)", r"\((\d+)\)", "Result by:", "(.+?)", "on", f"({DAY})"])
 #: What may precede an event of a processing history.
 EVENT_KINDS = ["Marked as", "Assigned to", "Due on"]
-EVENT = "(?i)" + GAP.join([f"({'|'.join(EVENT_KINDS)})", r"(.+?)", "on", f"({DAY})", "by", r"([^\n]+?)(?=\s*(?:\n|$))"])
+#: Labels of telephone numbers, and names of the state in addresses.
+PHONE_LABELS = ["Primary Phone:", "Alternate Phone:", "Fax:"]
+STATES = ["FL", "FLORIDA"]
 STATUS_WIDTH = 256
 
 
@@ -45,6 +37,26 @@ def status(c: Column) -> Column:
     return F.nullif(F.rtrim(F.substring(F.trim(text), 1, STATUS_WIDTH)), F.lit(""))
 
 
+def _words(c: Column) -> Column:
+    return F.filter(F.split(collapse(c), " "), lambda w: w != "")
+
+
+def _first(items: Column, test) -> Column:
+    """Place (from 0) of the first item for which test(item, place) holds; null without one."""
+    return F.get(F.filter(F.transform(items, lambda x, i: F.when(F.coalesce(test(x, i), F.lit(False)), i)), lambda i: i.isNotNull()), F.lit(0))
+
+
+def _is_day(word: Column) -> Column:
+    """Whether a word is a date with slashes, as pages write it."""
+    parts = F.split(word, "/")
+    return (F.size(parts) == 3) & F.forall(parts, lambda p: (p != "") & (F.translate(p, "0123456789", "") == "")) & F.length(F.get(parts, F.lit(2))).eqNullSafe(F.lit(4))
+
+
+def _is_phrase(words: Column, at: Column, phrase: str) -> Column:
+    """Whether words from place `at` on are the phrase, in any case."""
+    return F.lower(F.array_join(F.slice(words, at + 1, len(phrase.split(" "))), " ")) == phrase.lower()
+
+
 def _tokens(c: Column) -> Column:
     return F.filter(F.split(collapse(F.regexp_replace(c, r"[.,]", " ")), " "), lambda t: t != "")
 
@@ -55,7 +67,10 @@ def _phrase(tokens: Column) -> Column:
 
 def contractor(c: Column) -> Column:
     """struct(person, company): all company if one of the first three words says so, else leading words of a person."""
-    t = _tokens(c)
+    return let(_tokens(c), _contractor)
+
+
+def _contractor(t: Column) -> Column:
     is_company = F.exists(F.slice(t, 1, 3), lambda w: F.upper(w).isin(*COMPANY_WORDS))
     named = F.when(F.length(F.get(t, F.lit(1))) == 1, 3).otherwise(2)
     named = F.when(F.upper(F.get(t, named)).isin(*PERSON_SUFFIXES), named + 1).otherwise(named)
@@ -65,7 +80,10 @@ def contractor(c: Column) -> Column:
 
 def person_name(c: Column) -> Column:
     """struct(first, middle, last, suffix) of a name in natural order."""
-    all_ = _tokens(c)
+    return let(_tokens(c), _person_name)
+
+
+def _person_name(all_: Column) -> Column:
     last_word = F.get(all_, F.size(all_) - 1)
     suffix = F.when(F.upper(last_word).isin(*PERSON_SUFFIXES), last_word)
     t = F.when(suffix.isNull(), all_).otherwise(F.slice(all_, F.lit(1), F.greatest(F.size(all_) - 1, F.lit(0))))
@@ -81,46 +99,104 @@ def canonical_company(c: Column) -> Column:
 
 
 def licence(c: Column) -> Column:
-    """struct(kind, number, before) of the last licence in a text; null without one."""
-    found = F.regexp_extract_all(c, F.lit(LICENCE), F.lit(0))
-    last = F.get(found, F.size(found) - 1)
-    head = F.regexp_extract(c, r"(?s)^(.*)" + LICENCE.replace("(?i)", "(?i:") + ")", 1)
-    return F.when(
-        F.size(found) > 0,
-        F.struct(F.regexp_extract(last, LICENCE, 1).alias("kind"), collapse(F.regexp_extract(last, LICENCE, 2)).alias("number"), F.trim(head).alias("before")),
-    )
+    """struct(kind, number, before) of the last kind of licence with a number after it; null without one.
+
+    A number is a word with a digit, or a few letters and the word after them. Kinds and numbers come as the text has them.
+    """
+
+    def numbered_at(words: Column, at: Column) -> Column:
+        word, after = F.get(words, at), F.get(words, at + 1)
+        letters = (F.length(word) <= 5) & (F.translate(F.upper(word), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "") == "")
+        own = F.translate(word, "0123456789", "") != word
+        own = own & (F.translate(F.upper(word), "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-", "") == "") & ((F.length(word) >= 3) | (F.translate(F.substring(word, 1, 1), "0123456789", "") != ""))
+        return F.when(own, word).when(letters & (F.translate(after, "0123456789-", "") == ""), F.concat_ws(" ", word, after))
+
+    def read(words: Column) -> Column:
+        def hit(i: Column) -> Column:
+            found = [F.when(_is_phrase(words, i, kind), F.struct(i.alias("at"), F.array_join(F.slice(words, i + 1, n), " ").alias("kind"), numbered_at(words, i + n).alias("number"))) for kind in LICENCES for n in [len(kind.split(" "))]]
+            return F.coalesce(*found)
+
+        last = F.get(F.reverse(F.filter(F.transform(words, lambda _, i: hit(i)), lambda h: h["number"].isNotNull())), F.lit(0))
+        return F.when(last.isNotNull(), F.struct(last["kind"].alias("kind"), last["number"].alias("number"), F.array_join(F.slice(words, F.lit(1), last["at"]), " ").alias("before")))
+
+    return let(_words(c), read)
 
 
 def without_phones(c: Column) -> Column:
-    return collapse(F.regexp_replace(c, r"(?i)\b(?:Primary Phone|Alternate Phone|Fax):\s*[0-9().\-\s]+", " "))
+    """A text without labelled telephone numbers: each label goes, and the words of digits and brackets after it."""
+    mark = "\x01"
+    text = c
+    for label in PHONE_LABELS:
+        text = F.regexp_replace(text, rf"(?i)\b{label}", f" {mark} ")
+
+    def step(state: Column, word: Column) -> Column:
+        label, number_ = word == mark, F.translate(word, "0123456789().-", "") == ""
+        return F.struct(F.when(label | (state["skips"] & number_), state["kept"]).otherwise(F.concat(state["kept"], F.array(word))).alias("kept"), (label | (state["skips"] & number_)).alias("skips"))
+
+    start = F.struct(F.array().cast("array<string>").alias("kept"), F.lit(False).alias("skips"))
+    return F.aggregate(_words(text), start, step, lambda state: F.array_join(state["kept"], " "))
 
 
 def split_address(c: Column) -> Column:
-    """struct(prefix, address): the address starts at a house number or box and ends with the ZIP."""
-    has = c.rlike(ADDRESS)
-    return F.struct(collapse(F.when(has, F.regexp_extract(c, ADDRESS, 1)).otherwise(c)).alias("prefix"), F.when(has, F.nullif(collapse(F.regexp_extract(c, ADDRESS, 2)), F.lit(""))).alias("address"))
+    """struct(prefix, address): the address starts at a house number or box and ends with the ZIP behind a state that a
+    comma precedes; without such an end all is prefix."""
+
+    def read(words: Column) -> Column:
+        bare = F.transform(words, lambda w: F.upper(F.rtrim(F.translate(w, ",", " "))))
+        zip_ = lambda w: F.regexp_extract(w, r"^\d{5}(?:-\d{4})?", 0)
+
+        def ends(w: Column, i: Column) -> Column:
+            state, before = F.get(words, i - 1), F.get(words, i - 2)
+            own = F.rtrim(F.translate(state, ",", " "))
+            last = F.upper(F.element_at(F.split(own, " "), -1))
+            return (zip_(w) != "") & last.isin(*STATES) & (F.contains(own, F.lit(" ")) | F.endswith(before, F.lit(",")))
+
+        def starts(w: Column, i: Column) -> Column:
+            box = F.translate(F.upper(w), ".", "").eqNullSafe(F.lit("PO")) & F.get(bare, i + 1).eqNullSafe(F.lit("BOX"))
+            return ((F.length(w) <= 6) & (F.translate(w, "0123456789", "") == "")) | box
+
+        end = _first(words, lambda w, i: F.when(i >= 2, ends(w, i)))
+        start = _first(words, starts)
+        return let(F.struct(start.alias("start"), end.alias("end")), lambda p: F.when(
+            p["start"] < p["end"] - 1,
+            F.struct(F.array_join(F.slice(words, F.lit(1), p["start"]), " ").alias("prefix"), F.concat_ws(" ", F.array_join(F.slice(words, p["start"] + 1, p["end"] - p["start"]), " "), zip_(F.get(words, p["end"]))).alias("address")),
+        ).otherwise(F.struct(F.array_join(words, " ").alias("prefix"), F.lit(None).cast("string").alias("address"))))
+
+    return F.when(c.isNull(), F.struct(F.lit(None).cast("string").alias("prefix"), F.lit(None).cast("string").alias("address"))).otherwise(let(_words(c), read))
 
 
 def numbered(c: Column) -> Column:
     """Blocks of a text in the form 1) .. 2) .., without their numbers."""
-    return F.filter(F.transform(F.regexp_extract_all(c, F.lit(r"(?:^|\s)\d+\)\s+(.+?)(?=\s+\d+\)\s+|$)"), F.lit(1)), F.trim), lambda b: b != "")
+    pieces = F.split(c, r"(?:^|\s)\d+\)\s")
+    return F.filter(F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), F.trim), lambda b: b != "")
 
 
 def fees(c: Column) -> Column:
-    """array<struct(paid_on, invoice, amount, status)>: the status is the strongest heading shortly before a row."""
-    rows = F.regexp_extract_all(c, F.lit(FEE), F.lit(0))
-    between = F.split(c, FEE)  # the text before each row, and what follows the last one
-
-    def step(state: Column, pair: Column) -> Column:
-        near = F.right(F.concat(state["seen"], pair["gap"]), F.lit(HEADING_REACH))
-        kind = F.coalesce(*[F.when(F.contains(F.lower(near), F.lit(h)), F.lit(status_)) for h, status_ in FEE_HEADINGS], F.lit("UNKNOWN"))
-        paid, invoice, amount = (F.regexp_extract(pair["row"], FEE, i) for i in (1, 2, 3))
-        one = F.struct(lenient_date(paid).alias("paid_on"), invoice.alias("invoice"), number(amount).alias("amount"), kind.alias("status"))
-        return F.struct(F.concat(near, pair["row"]).alias("seen"), F.concat(state["rows"], F.array(one)).alias("rows"))
-
-    pairs = F.zip_with(F.slice(between, F.lit(1), F.size(rows)), rows, lambda gap, row: F.struct(gap.alias("gap"), row.alias("row")))
+    """array<struct(paid_on, invoice, amount, status)>: the status is the strongest heading shortly before a row.
+
+    A row is what stands before "View Details": a day, an invoice and an amount, each a word.
+    """
+    pieces = F.split(c, r"(?i)\bview\s+details")
+
+    def read(piece: Column) -> Column:
+        def of(words: Column) -> Column:
+            day, invoice, amount = (F.get(words, F.size(words) - k) for k in (3, 2, 1))
+            ok = _is_day(day) & (F.translate(F.upper(invoice), "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-", "") == "") & number(amount).isNotNull()
+            return F.when(F.coalesce(ok, F.lit(False)), F.struct(lenient_date(day).alias("paid_on"), invoice.alias("invoice"), number(amount).alias("amount"), F.length(F.concat_ws(" ", day, invoice, amount)).alias("width")))
+
+        return F.struct(piece.alias("text"), let(_words(piece), of).alias("fee"))
+
+    def step(state: Column, part: Column) -> Column:
+        fee = part["fee"]
+        seen = F.right(F.concat(state["seen"], part["text"]), F.coalesce(fee["width"], F.lit(0)) + HEADING_REACH)
+        near = F.lower(F.substring(seen, F.lit(1), F.length(seen) - F.coalesce(fee["width"], F.lit(0))))
+        kind = F.coalesce(*[F.when(F.contains(near, F.lit(h)), F.lit(status_)) for h, status_ in FEE_HEADINGS], F.lit("UNKNOWN"))
+        one = F.struct(fee["paid_on"].alias("paid_on"), fee["invoice"].alias("invoice"), fee["amount"].alias("amount"), kind.alias("status"))
+        return F.struct(F.concat(seen, F.lit(" View Details")).alias("seen"), F.when(fee.isNull(), state["rows"]).otherwise(F.concat(state["rows"], F.array(one))).alias("rows"))
+
+    parts = F.transform(F.slice(pieces, F.lit(1), F.size(pieces) - 1), read)  # the last piece precedes no row
     empty = F.array().cast("array<struct<paid_on:string,invoice:string,amount:double,status:string>>")
-    return F.aggregate(pairs, F.struct(F.lit("").alias("seen"), empty.alias("rows")), step, lambda s: s["rows"])
+    return F.when(c.isNotNull(), F.aggregate(parts, F.struct(F.lit("").alias("seen"), empty.alias("rows")), step, lambda s: s["rows"]))
 
 
 def fee_total(amounts: Column) -> Column:
@@ -130,21 +206,55 @@ def fee_total(amounts: Column) -> Column:
 
 
 def events(c: Column) -> Column:
-    """array<struct(kind, status, day, actor)> of a processing history."""
-    rows = F.regexp_extract_all(c, F.lit(EVENT), F.lit(0))
-    return F.transform(rows, lambda r: F.struct(
-        F.regexp_replace(F.upper(F.regexp_extract(r, EVENT, 1)), r"\s+", "_").alias("kind"), collapse(F.regexp_extract(r, EVENT, 2)).alias("status"), lenient_date(F.regexp_extract(r, EVENT, 3)).alias("day"), collapse(F.regexp_extract(r, EVENT, 4)).alias("actor")
-    ))
+    """array<struct(kind, status, day, actor)> of a processing history, one event a line: kind, status, "on" a day "by" whom."""
+
+    def read(line: Column) -> Column:
+        def of(words: Column) -> Column:
+            kind = lambda i: F.coalesce(*[F.when(_is_phrase(words, i, k), F.lit(k)) for k in EVENT_KINDS])
+            start = _first(words, lambda _, i: kind(i).isNotNull())
+            end = _first(words, lambda w, i: (i > start + 2) & (F.lower(w) == "on") & _is_day(F.get(words, i + 1)) & (F.lower(F.get(words, i + 2)) == "by") & (F.size(words) > i + 3))
+            return let(F.struct(start.alias("start"), end.alias("end")), lambda p: F.when(p["end"].isNotNull(), F.struct(
+                F.replace(F.upper(kind(p["start"])), F.lit(" "), F.lit("_")).alias("kind"), F.array_join(F.slice(words, p["start"] + 3, p["end"] - p["start"] - 2), " ").alias("status"),
+                lenient_date(F.get(words, p["end"] + 1)).alias("day"), F.array_join(F.slice(words, p["end"] + 4, F.size(words)), " ").alias("actor"),
+            )))
+
+        return let(_words(line), of)
+
+    return F.filter(F.transform(F.split(c, "\n"), read), lambda e: e.isNotNull())
 
 
 def inspections(c: Column) -> Column:
-    """array<struct(result, code, type, identifier, inspector, day)> of the section of completed inspections."""
+    """array<struct(result, code, type, identifier, inspector, day)> of the section of completed inspections.
+
+    The section is cut at "Result by:": to the left of a cut stand the result, code, type and number in brackets, to the
+    right the inspector, "on" and the day, and then the next row.
+    """
     start = F.position(F.lit("Completed ("), c)
     end = F.when(start > 0, F.position(F.lit("Digital Projects"), F.substring(c, start, F.length(c))))
     section = F.when(start > 0, F.substring(c, start, F.when(end > 1, end - 1).otherwise(F.lit(4000)))).otherwise(F.lit(""))
-    rows = F.regexp_extract_all(section, F.lit(INSPECTION), F.lit(0))
-    names = ["result", "code", "type", "identifier", "inspector", "day"]
-    return F.transform(rows, lambda r: F.struct(*[collapse(F.regexp_extract(r, INSPECTION, i + 1)).alias(n) for i, n in enumerate(names)]))
+    pieces = F.transform(F.split(section, r"(?i)result\s+by:"), _words)
+
+    def left(words: Column) -> Column:
+        own = F.slice(words, F.lit(1), F.size(words) - 1)
+        bracket = F.coalesce(F.array_max(F.transform(own, lambda w, i: F.when(F.contains(w, F.lit("(")) | F.contains(w, F.lit(")")), i))), F.lit(-1))
+        number_ = F.regexp_extract(F.get(words, F.size(words) - 1), r"^\((\d+)\)$", 1)
+        result = lambda i: F.coalesce(*[F.when(_is_phrase(own, i, r), F.lit(len(r.split(" ")))) for r in RESULTS])
+        at = _first(own, lambda _, i: (i > bracket) & (i + result(i) + 1 < F.size(own)))
+        return F.when(number_ != "", let(at, lambda i: F.when(i.isNotNull(), F.struct(
+            F.array_join(F.slice(own, i + 1, result(i)), " ").alias("result"), F.get(own, i + result(i)).alias("code"), F.array_join(F.slice(own, i + result(i) + 2, F.size(own)), " ").alias("type"), number_.alias("identifier"),
+        ))))
+
+    def right(words: Column) -> Column:
+        at = _first(words, lambda w, i: (i > 0) & (F.lower(w) == "on") & _is_day(F.get(words, i + 1)))
+        return let(at, lambda i: F.struct(F.array_join(F.slice(words, F.lit(1), i), " ").alias("inspector"), F.get(words, i + 1).alias("day"), F.slice(words, i + 3, F.size(words)).alias("rest")))
+
+    def rows(ps: Column) -> Column:
+        sides = F.transform(ps, lambda w, i: F.struct(F.when(i == 0, w).otherwise(F.coalesce(right(w)["rest"], w)).alias("left"), right(w).alias("right")))
+        return let(sides, lambda ss: F.transform(F.slice(ss, F.lit(1), F.size(ss) - 1), lambda s, i: let(F.struct(left(s["left"]).alias("a"), F.get(ss, i + 1)["right"].alias("b")), lambda x: F.when(
+            x["a"].isNotNull() & x["b"]["day"].isNotNull(), F.struct(*[x["a"][n].alias(n) for n in ("result", "code", "type", "identifier")], *[x["b"][n].alias(n) for n in ("inspector", "day")]))
+        )))
+
+    return F.filter(let(pieces, rows), lambda r: r.isNotNull())
 
 
 def banner(c: Column) -> Column:

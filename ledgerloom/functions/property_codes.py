@@ -42,16 +42,40 @@ DEED_CODES = [
     ("10", "Correction Deed"), ("15", "Personal Representative Deed"), ("16", "Trustee's Deed"), ("17", "Tax Deed"), ("18", "Sheriff's Deed"), ("19", "Administrator's Deed"), ("20", "Guardian's Deed"),
     ("13", "Warranty Deed"), ("05", "Warranty Deed"), ("04", "Warranty Deed"), ("03", "Warranty Deed"), ("02", "Warranty Deed"), ("01", "Warranty Deed"),
 ]
-#: Fixed values: (deed type, letters that may occur in the text without its spaces and marks; & joins what must all occur,
-#: ! what may not), in order.
+#: Fixed values: (deed type, alternatives): an alternative holds if all texts of its first tuple, and none of its second,
+#: occur in the letters and digits of the stated type, in order.
 DEED_LETTERS = [
-    ("Special Warranty Deed", "SPECIAL&WARRANTY SWD SPWD SPECWARR"), ("Warranty Deed", "WD WARRANTY WAR&DEED&!SPECIAL"), ("Quitclaim Deed", "QUIT QCD QC"), ("Grant Deed", "GRANT GD"), ("Bargain and Sale Deed", "BARGAIN BSD"),
-    ("Lady Bird Deed", "LADY LBD ENHANCEDLIFEESTATE"), ("Transfer on Death Deed", "TRANSFER TOD"), ("Sheriff's Deed", "SHERIFF&!SPECIAL SHD&!SPECIAL SHRF&!SPECIAL SD&!SPECIAL"), ("Tax Deed", "TAX TX"),
-    ("Trustee's Deed", "TRUSTEE TRD TR&DEED&!TAX"), ("Personal Representative Deed", "PERSONAL REPRESENTATIVE PRD PERSREP"), ("Correction Deed", "CORR CD"), ("Deed in Lieu of Foreclosure", "DIL DEED&LIEU"),
-    ("Life Estate Deed", "LIFE&ESTATE LED"), ("Joint Tenancy Deed", "JOINT&TENANCY JTD"), ("Tenancy in Common Deed", "TENANCY&COMMON TIC"), ("Community Property Deed", "COMMUNITY&PROPERTY"), ("Gift Deed", "GIFT GFD"),
-    ("Interspousal Transfer Deed", "INTERSPOUSAL ITD"), ("Wild Deed", "WILD"), ("Special Master's Deed", "SPECIAL&MASTER SMD SPM"), ("Court Order Deed", "COURT&ORDER COD"), ("Contract for Deed", "CONTRACT CFD AGREEMENTFORDEED"),
-    ("Quiet Title Deed", "QUIET&TITLE QTD"), ("Administrator's Deed", "AD"), ("Guardian's Deed", "GUARDIAN GRDN GDN"), ("Receiver's Deed", "RECEIVER RCV REC"), ("Right of Way Deed", "RIGHT&WAY ROW"),
-    ("Vacation of Plat Deed", "VACATION&PLAT VOP VAC"), ("Assignment of Contract", "ASSIGNMENT AOC"), ("Release of Contract", "RELEASE ROC"),
+    ("Special Warranty Deed", [(("SPECIAL", "WARRANTY"), ()), (("SWD",), ()), (("SPWD",), ()), (("SPECWARR",), ())]),
+    ("Warranty Deed", [(("WD",), ()), (("WARRANTY",), ()), (("WAR", "DEED"), ("SPECIAL",))]),
+    ("Quitclaim Deed", [(("QUIT",), ()), (("QCD",), ()), (("QC",), ())]),
+    ("Grant Deed", [(("GRANT",), ()), (("GD",), ())]),
+    ("Bargain and Sale Deed", [(("BARGAIN",), ()), (("BSD",), ())]),
+    ("Lady Bird Deed", [(("LADY",), ()), (("LBD",), ()), (("ENHANCEDLIFEESTATE",), ())]),
+    ("Transfer on Death Deed", [(("TRANSFER",), ()), (("TOD",), ())]),
+    ("Sheriff's Deed", [(("SHERIFF",), ("SPECIAL",)), (("SHD",), ("SPECIAL",)), (("SHRF",), ("SPECIAL",)), (("SD",), ("SPECIAL",))]),
+    ("Tax Deed", [(("TAX",), ()), (("TX",), ())]),
+    ("Trustee's Deed", [(("TRUSTEE",), ()), (("TRD",), ()), (("TR", "DEED"), ("TAX",))]),
+    ("Personal Representative Deed", [(("PERSONAL",), ()), (("REPRESENTATIVE",), ()), (("PRD",), ()), (("PERSREP",), ())]),
+    ("Correction Deed", [(("CORR",), ()), (("CD",), ())]),
+    ("Deed in Lieu of Foreclosure", [(("DIL",), ()), (("DEED", "LIEU"), ())]),
+    ("Life Estate Deed", [(("LIFE", "ESTATE"), ()), (("LED",), ())]),
+    ("Joint Tenancy Deed", [(("JOINT", "TENANCY"), ()), (("JTD",), ())]),
+    ("Tenancy in Common Deed", [(("TENANCY", "COMMON"), ()), (("TIC",), ())]),
+    ("Community Property Deed", [(("COMMUNITY", "PROPERTY"), ())]),
+    ("Gift Deed", [(("GIFT",), ()), (("GFD",), ())]),
+    ("Interspousal Transfer Deed", [(("INTERSPOUSAL",), ()), (("ITD",), ())]),
+    ("Wild Deed", [(("WILD",), ())]),
+    ("Special Master's Deed", [(("SPECIAL", "MASTER"), ()), (("SMD",), ()), (("SPM",), ())]),
+    ("Court Order Deed", [(("COURT", "ORDER"), ()), (("COD",), ())]),
+    ("Contract for Deed", [(("CONTRACT",), ()), (("CFD",), ()), (("AGREEMENTFORDEED",), ())]),
+    ("Quiet Title Deed", [(("QUIET", "TITLE"), ()), (("QTD",), ())]),
+    ("Administrator's Deed", [(("AD",), ())]),
+    ("Guardian's Deed", [(("GUARDIAN",), ()), (("GRDN",), ()), (("GDN",), ())]),
+    ("Receiver's Deed", [(("RECEIVER",), ()), (("RCV",), ()), (("REC",), ())]),
+    ("Right of Way Deed", [(("RIGHT", "WAY"), ()), (("ROW",), ())]),
+    ("Vacation of Plat Deed", [(("VACATION", "PLAT"), ()), (("VOP",), ()), (("VAC",), ())]),
+    ("Assignment of Contract", [(("ASSIGNMENT",), ()), (("AOC",), ())]),
+    ("Release of Contract", [(("RELEASE",), ()), (("ROC",), ())]),
 ]
 #: Names that a text may be a part of, or have as a part, after the letters have said nothing.
 DEED_NAMES = [
@@ -111,7 +135,7 @@ def deed_type(c: Column) -> Column:
     nothing = ~named.rlike("[a-zA-Z]") | low.isin("n/a", "na") | _any([F.contains(low, F.lit(t)) for t in NO_DEED]) | F.upper(text).rlike(r"^XX(\.?$| )")
     tests = []
     for value, some in DEED_LETTERS:
-        tests.append((value, _any([_all([~F.contains(letters, F.lit(t[1:])) if t.startswith("!") else F.contains(letters, F.lit(t)) for t in one.split("&")]) for one in some.split(" ")])))
+        tests.append((value, _any([_all([F.contains(letters, F.lit(t)) for t in every] + [~F.contains(letters, F.lit(t)) for t in none]) for every, none in some])))
     tests += [(value, _any([F.contains(low, F.lit(n)) | F.contains(F.lit(n), low) for n in names])) for value, names in DEED_NAMES]
     odd = F.upper(text).rlike(r"^XX(\.?$| )")
     return F.coalesce(F.when(odd, "Miscellaneous"), by_code, F.when(nothing, "Miscellaneous"), first_match(tests), F.lit("Miscellaneous"))

@@ -88,17 +88,22 @@ def sort_keys(df: DataFrame, count: str, status: str, kind: str) -> DataFrame:
     return df.withColumn("count_key", padded).withColumn("status_key", F.concat_ws("#", F.upper(status), padded)).withColumn("kind_key", F.concat_ws("#", F.coalesce(kind, F.lit("unknown")), padded))
 
 
-def unrecoverable(links: DataFrame, execution_id: str | None = None, code: str | None = None) -> DataFrame:
-    """links with status maybeUnrecoverable, from `failed` only: of one code, or of an execution and of all codes that it has."""
+def unrecoverable(executions: DataFrame, links: DataFrame, records: DataFrame, execution_id: str | None = None, code: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(executions, links, records) with status maybeUnrecoverable where one execution, or one code, is given up.
+
+    Of an execution: itself, its own links, and the records of its codes; links that other executions have to these codes
+    stay. Of a code: its links, the executions that have one, and its record. Without any link nothing changes.
+    """
     if (execution_id is None) == (code is None):
         raise ValueError("name an execution or a code")
-    if code is not None:
-        hit = F.col("error_code") == code
-        return links.withColumn("status", F.when(hit & (F.col("status") == "failed"), "maybeUnrecoverable").otherwise(F.col("status")))
-    own = links.where(F.col("execution_id") == execution_id).select("error_code").distinct().withColumn("__own", F.lit(True))
-    marked = links.join(own, "error_code", "left")
-    out = marked.withColumn("status", F.when(F.col("__own") & (F.col("status") == "failed"), "maybeUnrecoverable").otherwise(F.col("status")))
-    return out.select(*links.columns)
+    hit = F.col("execution_id") == execution_id if code is None else F.col("error_code") == code
+    own = links.where(hit)
+
+    def marked(df: DataFrame, key: str) -> DataFrame:
+        found = own.select(key).where(F.col(key).isNotNull()).distinct().withColumn("__own", F.lit(True))
+        return df.join(found, key, "left").withColumn("status", F.when(F.col("__own"), "maybeUnrecoverable").otherwise(F.col("status"))).select(*df.columns)
+
+    return marked(executions, "execution_id"), links.withColumn("status", F.when(hit, "maybeUnrecoverable").otherwise(F.col("status"))), marked(records, "error_code")
 
 
 def remaining(df: DataFrame, count: str) -> DataFrame:
@@ -107,11 +112,16 @@ def remaining(df: DataFrame, count: str) -> DataFrame:
 
 
 def extremes(executions: DataFrame, count: str = "open_error_count", kind: str | None = None, status: str = "FAILED", least: bool = False) -> DataFrame:
-    """The one execution of a status (and of codes that begin with `kind`) with the most, or least, errors; ties by id."""
-    rows = executions.where(F.col("status") == status)
+    """The one execution of a status (and of types that begin with `kind`) with the most, or least, errors.
+
+    It is the last, or first, in the order of count and id as texts: of equal counts the greatest id has the most, the
+    least id the least. Rows without a count or an id take no part.
+    """
+    rows = executions.where((F.col("status") == status) & F.col(count).isNotNull() & F.col("execution_id").isNotNull())
     if kind is not None:
         rows = rows.where(F.startswith("error_type", F.lit(kind)))
-    return rows.orderBy(F.asc(count) if least else F.desc(count), "execution_id").limit(1)
+    order = [F.col(count), F.col("execution_id").cast("string")]
+    return rows.orderBy(*[o.asc() if least else o.desc() for o in order]).limit(1)
 
 
 def verified(rows: DataFrame, bad: Column) -> DataFrame:

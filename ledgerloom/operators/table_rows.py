@@ -6,12 +6,13 @@ source keys that resolve_references() looks up, values holds the table's columns
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import permits
+from ..functions.profiles import let
 from ..functions.text import address_key, collapse, lenient_date, number, parcel_id, string, zip_of_address
 from .routing import dispatched
 
@@ -46,15 +47,15 @@ def professionals(c: Column) -> Column:
     every = F.filter(F.concat(F.array(first), more), lambda b: b.isNotNull())
 
     def parsed(block: Column, i: Column) -> Column:
-        bare = permits.without_phones(block)
-        licence = permits.licence(bare)
-        place = permits.split_address(F.coalesce(licence["before"], bare))
-        who = permits.contractor(place["prefix"])
-        return F.struct(
-            (i + 1).alias("ordinal"), block.alias("raw"), licence["kind"].alias("licence_kind"), licence["number"].alias("licence_number"), place["address"].alias("address"), who["person"].alias("person"), who["company"].alias("company"),
-            F.when(who["person"].isNotNull(), _entity_key("person", F.upper(who["person"]), licence["number"])).alias("person_key"), F.when(who["company"].isNotNull(), _entity_key("company", permits.canonical_company(who["company"]))).alias("company_key"),
-            F.when(place["address"].isNotNull(), _entity_key("address", address_key(place["address"]))).alias("address_key"),
-        )
+        def row(bare: Column, licence: Column, place: Column, who: Column) -> Column:
+            return F.struct(
+                (i + 1).alias("ordinal"), block.alias("raw"), licence["kind"].alias("licence_kind"), licence["number"].alias("licence_number"), place["address"].alias("address"), who["person"].alias("person"), who["company"].alias("company"),
+                F.when(who["person"].isNotNull(), _entity_key("person", F.upper(who["person"]), licence["number"])).alias("person_key"), F.when(who["company"].isNotNull(), _entity_key("company", permits.canonical_company(who["company"]))).alias("company_key"),
+                F.when(place["address"].isNotNull(), _entity_key("address", address_key(place["address"]))).alias("address_key"),
+            )
+
+        # each step's value is bound once: the parsers are large expressions
+        return let(permits.without_phones(block), lambda bare: let(permits.licence(bare), lambda licence: let(permits.split_address(F.coalesce(licence["before"], bare)), lambda place: let(permits.contractor(place["prefix"]), lambda who: row(bare, licence, place, who)))))
 
     return F.transform(every, parsed)
 
@@ -137,35 +138,36 @@ def _hashed(rows: DataFrame) -> DataFrame:
     return keyed.select("table_name", "source_record_key", F.sha2("text", 256).alias("source_record_hash"), "row.refs", "row.values")
 
 
-#: Columns that appraisal records hand to their tables (the first ones of each), and those that are numbers.
-APPRAISAL_COLUMNS: dict[str, Sequence[str]] = {
-    "properties": ["property_legal_description_text", "property_structure_built_year", "property_type", "livable_floor_area", "number_of_units", "subdivision"],
-    "taxes": ["tax_year", "property_assessed_value_amount", "property_market_value_amount", "property_building_amount", "property_land_amount", "property_taxable_value_amount"],
-    "sales_histories": ["ownership_transfer_date", "purchase_price_amount", "sale_type", "deed_book", "deed_page", "instrument_number"],
-    "property_improvements": ["permit_number", "improvement_type", "improvement_status", "improvement_action", "contractor_type", "permit_required", "completion_date"],
-    "structures": ["architectural_style_type", "attachment_type", "exterior_wall_material_primary", "roof_covering_material", "roof_material_type", "roof_design_type"],
-    "utilities": ["cooling_system_type", "heating_system_type", "heating_fuel_type", "public_utility_type", "sewer_type", "water_source_type", "plumbing_system_type"],
-    "property_valuations": ["valuation_date", "valuation_method_type", "confidence_score", "current_avm_value", "high_value", "low_value", "standard_deviation"],
-}
+#: What is said of appraisal files that can't be placed.
+NO_REQUEST = "appraisal record is missing request_identifier"
+IS_LINK = "relationship files are represented through direct foreign-key references"
 
 
-def appraisal_rows(records: DataFrame, request: str = "request_identifier", name: str = "file_name", body: str = "value", columns: Mapping[str, Sequence[str]] = APPRAISAL_COLUMNS) -> tuple[DataFrame, DataFrame]:
+def appraisal_rows(records: DataFrame, request: str = "request_identifier", name: str = "file_name", body: str = "value") -> tuple[DataFrame, DataFrame]:
     """(prepared rows, quarantined records) of the files of appraisal bundles.
 
-    A row's key is its bundle, table and file; it refers to its bundle's property. Tables without listed columns keep the
-    record as it is (column record). A tax record with a market value, or else an assessed one, also gives a valuation;
-    without either it gives none.
+    A record belongs to the bundle that its own request_identifier names, or else the column; without either, and if its
+    file only links others, it is quarantined. A row's key is its bundle, table and file; it refers to its bundle's
+    property. Its values are all fields of the record that aren't null or blank, nested ones as JSON, and source_payload,
+    the record as it is. A tax record with a market value, or else an assessed one, also gives a valuation; without
+    either it gives none.
     """
-    good, bad = dispatched(records, name, body)
-    stem = F.regexp_replace(F.element_at(F.split(F.col(name), "/"), -1), r"\.json$", "")
-    value = lambda c: string(F.get_json_object(body, f"$.{c}"))
-    key = F.concat_ws(":", F.lit("appraisal"), F.col(request), F.col("table_name"), stem)
+    short = F.element_at(F.split(F.col(name), "/"), -1)
+    is_link = F.startswith(short, F.lit("relationship_")) & F.startswith(F.coalesce(F.schema_of_variant(F.try_parse_json(F.col(body))), F.lit("")), F.lit("OBJECT"))
+    links = records.where(F.coalesce(is_link, F.lit(False))).withColumn("reason", F.lit(IS_LINK))
+    placed, bad = dispatched(records.where(~F.coalesce(is_link, F.lit(False))), name, body)
+    fields = F.map_filter(F.from_json(body, "map<string,string>"), lambda _, v: string(v).isNotNull())
+    placed = placed.withColumn("__fields", fields).withColumn("__owner", F.coalesce(string(F.try_element_at("__fields", F.lit("request_identifier"))), string(F.col(request))))
+    good, lost = placed.where("__owner is not null"), placed.where("__owner is null")
+    lost = lost.dropDuplicates([name, body]).select(*records.columns, F.lit(NO_REQUEST).alias("reason"))
+    value = lambda c: string(F.try_element_at("__fields", F.lit(c)))
+    stem = F.regexp_replace(short, r"\.json$", "")
+    key = F.concat_ws(":", F.lit("appraisal"), F.col("__owner"), F.col("table_name"), stem)
     current = F.coalesce(number(value("property_market_value_amount")), number(value("property_assessed_value_amount")))
     from_tax = (F.col("table_name") == "property_valuations") & F.startswith(stem, F.lit("tax_"))
-    values = F.when(from_tax, _map({"current_avm_value": current, "valuation_method_type": F.lit("county_assessed"), "valuation_date": F.concat(value("tax_year"), F.lit("-01-01"))}))
-    for table, names in columns.items():
-        values = values.when(F.col("table_name") == table, _map({c: value(c) for c in names}))
-    values = values.otherwise(_map({"record": F.to_json(F.try_parse_json(F.col(body)))}))
-    parent = F.when(F.col("table_name") != "properties", F.concat_ws(":", F.lit("appraisal"), F.col(request), F.lit("properties"), F.lit("property")))
+    valued = _map({"current_avm_value": current, "valuation_method_type": F.lit("county_assessed"), "valuation_date": F.concat(value("tax_year"), F.lit("-01-01"))})
+    whole = F.map_concat(F.map_filter("__fields", lambda k, _: k != "source_payload"), _map({"source_payload": F.to_json(F.try_parse_json(F.col(body)))}))
+    parent = F.when(F.col("table_name") != "properties", F.concat_ws(":", F.lit("appraisal"), F.col("__owner"), F.lit("properties"), F.lit("property")))
     kept = good.where(~from_tax | current.isNotNull())
-    return _hashed(kept.select("table_name", key.alias("source_record_key"), _map({"property_source_record_key": parent}).alias("refs"), values.alias("values"))), bad
+    rows = kept.select("table_name", key.alias("source_record_key"), _map({"property_source_record_key": parent}).alias("refs"), F.when(from_tax, valued).otherwise(whole).alias("values"))
+    return _hashed(rows), bad.unionByName(links).unionByName(lost)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, dedupe, upsert
+from ..operators import aggregates, dedupe, state, upsert
 from .tables import table
 
 
@@ -120,7 +120,30 @@ def mark_unrecoverable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hit.select("execution_id", "code", F.when(link, "maybeUnrecoverable").otherwise("failed").alias("link_status"), F.coalesce("hit", F.lit(False)).alias("code_marked"))
 
 
-QUERIES = {f.__name__: f for f in (error_occurrences, execution_error_stats, top_executions, top_error_codes, two_hop_resolution, cdc_decrement, in_progress_gauge, success_report, phase_metric_5m, phase_metric_30d, latest_phase_status, error_hash_dedupe, keep_last, cap_per_key, mark_unrecoverable)}
+def unrecoverable_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Executions, links and code records after execution 1 is given up, and then code 00042; others share its codes."""
+    occ = error_occurrences(spark, sf_dir)
+    links = occ.select("execution_id", F.col("code").alias("error_code"), F.when(F.col("occurrences") > 1, "maybeSolved").otherwise("failed").alias("status"))
+    executions = aggregates.execution_stats(occ).select("execution_id", F.lit("failed").alias("status"))
+    records = aggregates.code_totals(occ).select(F.col("code").alias("error_code"), F.lit("failed").alias("status"))
+    tables = state.unrecoverable(*state.unrecoverable(executions, links, records, execution_id="1"), code="00042")
+    named = zip(("execution", "link", "record"), tables)
+    out = [df.select(F.lit(kind).alias("kind"), *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in (("execution_id", "long"), ("error_code", "string"))], "status") for kind, df in named]
+    return out[0].union(out[1]).union(out[2])
+
+
+def extreme_executions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Executions with the most and the least unique errors, of all and of a type; many have equal counts."""
+    e = execution_error_stats(spark, sf_dir).select("execution_id", "error_type", F.col("unique_errors").alias("open_error_count"), F.when(F.col("execution_id") % 7 == 0, "RESOLVED").otherwise("FAILED").alias("status"))
+    asked = [("most", {}), ("least", {"least": True}), ("most of 00", {"kind": "00"}), ("least of 000", {"kind": "000", "least": True})]
+    out = None
+    for name, how in asked:
+        one = state.extremes(e, **how).select(F.lit(name).alias("asked"), "execution_id", "open_error_count")
+        out = one if out is None else out.union(one)
+    return out
+
+
+QUERIES = {f.__name__: f for f in (error_occurrences, execution_error_stats, top_executions, top_error_codes, two_hop_resolution, cdc_decrement, in_progress_gauge, success_report, phase_metric_5m, phase_metric_30d, latest_phase_status, error_hash_dedupe, keep_last, cap_per_key, mark_unrecoverable, unrecoverable_tables, extreme_executions)}
 
 _STATS = ERRORS_SQL + """, stats AS (SELECT execution_id, CAST(sum(occurrences) AS BIGINT) AS total_occurrences, count(*) AS unique_errors,
     substr(arg_min(code, first_pos), 1, 2) AS error_type, printf('%010d', count(*)) AS sort_key FROM occ GROUP BY execution_id)"""
@@ -153,4 +176,11 @@ ORACLE_SQL = {
         count(*) OVER (PARTITION BY user_id, event_type) AS n FROM events) WHERE r <= 5""",
     "mark_unrecoverable": f"""WITH {ERRORS_SQL} SELECT execution_id, code, CASE WHEN execution_id = 1 OR code = '00042' THEN 'maybeUnrecoverable' ELSE 'failed' END AS link_status,
         code = '00042' OR code IN (SELECT code FROM occ WHERE execution_id = 1) AS code_marked FROM occ""",
+    "unrecoverable_tables": f"""WITH {ERRORS_SQL}, hit AS (SELECT execution_id, code FROM occ WHERE execution_id = 1 OR code = '00042')
+        SELECT 'execution' AS kind, execution_id, NULL AS error_code, CASE WHEN execution_id = 1 OR execution_id IN (SELECT execution_id FROM hit WHERE code = '00042') THEN 'maybeUnrecoverable' ELSE 'failed' END AS status FROM (SELECT DISTINCT execution_id FROM occ)
+        UNION ALL SELECT 'link', execution_id, code, CASE WHEN execution_id = 1 OR code = '00042' THEN 'maybeUnrecoverable' WHEN occurrences > 1 THEN 'maybeSolved' ELSE 'failed' END FROM occ
+        UNION ALL SELECT 'record', NULL, code, CASE WHEN code IN (SELECT code FROM hit) THEN 'maybeUnrecoverable' ELSE 'failed' END FROM (SELECT DISTINCT code FROM occ)""",
+    "extreme_executions": f"""WITH {_STATS}, f AS (SELECT CAST(execution_id AS VARCHAR) AS id, execution_id, error_type, unique_errors AS n FROM stats WHERE execution_id % 7 <> 0)
+        SELECT 'most' AS asked, execution_id, n AS open_error_count FROM (SELECT * FROM f ORDER BY n DESC, id DESC LIMIT 1) UNION ALL SELECT 'least', execution_id, n FROM (SELECT * FROM f ORDER BY n, id LIMIT 1)
+        UNION ALL SELECT 'most of 00', execution_id, n FROM (SELECT * FROM f WHERE error_type = '00' ORDER BY n DESC, id DESC LIMIT 1)""",
 }

@@ -251,7 +251,7 @@ def _texts(c: str, rules) -> str:
 
 def _deed_sql() -> str:
     codes = " ".join(f"WHEN list_contains(codes, {_q(c)}) THEN {_q(v)}" for c, v in property_codes.DEED_CODES)
-    letters = " ".join("WHEN " + " OR ".join("(" + " AND ".join(f"NOT contains(letters, {_q(t[1:])})" if t[0] == "!" else f"contains(letters, {_q(t)})" for t in one.split("&")) + ")" for one in some.split(" ")) + f" THEN {_q(v)}" for v, some in property_codes.DEED_LETTERS)
+    letters = " ".join("WHEN " + " OR ".join("(" + " AND ".join([f"contains(letters, {_q(t)})" for t in every] + [f"NOT contains(letters, {_q(t)})" for t in no]) + ")" for every, no in some) + f" THEN {_q(v)}" for v, some in property_codes.DEED_LETTERS)
     names = " ".join("WHEN " + " OR ".join(f"contains(low, {_q(n)}) OR contains({_q(n)}, low)" for n in some) + f" THEN {_q(v)}" for v, some in property_codes.DEED_NAMES)
     none = " OR ".join(f"contains(low, {_q(t)})" for t in property_codes.NO_DEED)
     return rf"""WITH t AS (SELECT o_orderkey, o_orderdate, {_pick(DEEDS, "o_orderkey")} AS s FROM orders),

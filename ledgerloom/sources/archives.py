@@ -18,8 +18,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LINES = 10_000
-#: The most part files of one manifest read.
-MOST_PARTS = 100_000
 
 
 def _open(path: str):
@@ -105,27 +103,49 @@ def zip_json(spark: SparkSession, path: str, pattern: str = "data/*.json") -> Da
     return _files(spark, path).mapInArrow(run, "archive string, member string, ordinal long, value string")
 
 
-def manifest_parts(spark: SparkSession, manifests: str) -> list[str]:
-    """Part files that manifests list in `chunks`, themselves or through the summary that they name in `summary`."""
+def manifest_parts(spark: SparkSession, manifests: str) -> DataFrame:
+    """(path) of the part files that manifests list in `chunks`, themselves or through the summaries that they name in
+    `summary`, each once. Summaries are read by tasks; the driver sees no list."""
     listed = spark.read.json(manifests, schema="chunks array<string>, summary string", multiLine=True)
-    named = [r[0] for r in listed.where("summary is not null").select("summary").distinct().limit(MOST_PARTS).collect()]
-    if named:
-        listed = listed.unionByName(spark.read.json(named, schema="chunks array<string>, summary string", multiLine=True))
-    return [r[0] for r in listed.select(F.explode("chunks").alias("p")).distinct().orderBy("p").limit(MOST_PARTS).collect()]
+
+    def summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for name in rows.column(0).to_pylist():
+                with _open(name if "://" in name else f"file://{name}") as f:
+                    body = json.loads(f.read().decode())
+                found = [c for c in (body.get("chunks") or [] if isinstance(body, dict) else []) if isinstance(c, str)]
+                yield pa.RecordBatch.from_arrays([pa.array(found, pa.string())], names=["path"])
+
+    named = listed.where("summary is not null").select("summary").distinct().repartition("summary")
+    own = listed.select(F.explode("chunks").alias("path"))
+    return own.union(named.mapInArrow(summaries, "path string")).where("path is not null").distinct()
 
 
 def jsonl_of_manifests(spark: SparkSession, manifests: str, schema: str, most: int | None = None, required: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of the JSONL parts that manifests name (at most `most` of them), with corrupt and valid.
+    """Rows of the JSONL parts that manifests name (the first `most` of them by name), with corrupt, valid and truncated.
 
-    corrupt holds the text of rows that don't parse; valid is false for them and for rows without a required column.
+    corrupt holds the text of rows that don't parse; valid is false for them and for rows without a required column;
+    truncated says whether parts were left out. Parts are opened by the tasks that read them, however many there are.
     """
     paths = manifest_parts(spark, manifests)
-    raw = spark.read.text(paths[:most]) if paths else spark.createDataFrame([], "value string")
+    more = F.lit(False)
+    if most is not None:
+        more = F.lit(paths.limit(most + 1).count() > most)
+        paths = paths.orderBy("path").limit(most)
+
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in batches:
+            for name in rows.column(0).to_pylist():
+                with _open(name if "://" in name else f"file://{name}") as f:
+                    for batch in _numbered(io.TextIOWrapper(f, "utf-8", "replace"), [], ["line_no", "value"]):
+                        yield batch.select(["value"])
+
+    raw = paths.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "path").mapInArrow(lines, "value string").where("value <> ''")
     parsed = raw.select(F.from_json("value", f"{schema}, corrupt string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "corrupt"}).alias("r")).select("r.*")
     valid: Column = F.col("corrupt").isNull()
     for c in required:
         valid = valid & F.col(c).isNotNull()
-    return parsed.withColumn("valid", valid)
+    return parsed.withColumn("valid", valid).withColumn("truncated", more)
 
 
 def seed_rows(rows: DataFrame, number: str, start: int, most: int) -> tuple[DataFrame, DataFrame]:

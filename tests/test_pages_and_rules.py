@@ -55,16 +55,22 @@ def test_complaints_and_reviews(spark):
 
 
 def test_state_of_errors(spark):
-    links = spark.createDataFrame([("e1", "c1", "failed"), ("e1", "c2", "maybeSolved"), ("e2", "c1", "failed"), ("e2", "c3", "failed")], "execution_id string, error_code string, status string")
-    by_execution = {(r.execution_id, r.error_code): r.status for r in state.unrecoverable(links, execution_id="e1").collect()}
-    assert by_execution == {("e1", "c1"): "maybeUnrecoverable", ("e1", "c2"): "maybeSolved", ("e2", "c1"): "maybeUnrecoverable", ("e2", "c3"): "failed"}
-    assert state.unrecoverable(links, code="c3").where("status = 'maybeUnrecoverable'").count() == 1
+    links = spark.createDataFrame([("e1", "c1", "failed"), ("e1", "c2", "maybeSolved"), ("e2", "c1", "failed"), ("e2", "c3", "failed"), (None, "c1", "failed")], "execution_id string, error_code string, status string")
+    executions = spark.createDataFrame([("e1", "failed", 1), ("e2", "failed", 2), (None, "failed", 3)], "execution_id string, status string, n int")
+    records = spark.createDataFrame([("c1", "failed"), ("c2", "failed"), ("c3", "failed"), (None, "failed")], "error_code string, status string")
+    given_up = lambda df, *keys: {tuple(r[k] for k in keys) for r in df.where("status = 'maybeUnrecoverable'").collect()}
+    e, k, r = state.unrecoverable(executions, links, records, execution_id="e1")
+    assert given_up(e, "execution_id") == {("e1",)} and given_up(k, "execution_id", "error_code") == {("e1", "c1"), ("e1", "c2")} and given_up(r, "error_code") == {("c1",), ("c2",)}
+    assert e.columns == executions.columns and (e.count(), k.count(), r.count()) == (3, 5, 4)
+    e, k, r = state.unrecoverable(executions, links, records, code="c1")
+    assert given_up(e, "execution_id") == {("e1",), ("e2",)} and given_up(k, "execution_id", "error_code") == {("e1", "c1"), ("e2", "c1"), (None, "c1")} and given_up(r, "error_code") == {("c1",)}
+    assert all(not given_up(df, "status") for df in state.unrecoverable(executions, links, records, execution_id="e9"))
     with pytest.raises(ValueError):
-        state.unrecoverable(links)
-    e = spark.createDataFrame([("a", 3, "10", "FAILED"), ("b", 9, "20", "FAILED"), ("c", 9, "10", "FAILED"), ("d", 99, "10", "DONE"), ("z", 0, "10", "FAILED")], "execution_id string, open_error_count int, error_type string, status string")
-    assert [state.extremes(e, **k).first().execution_id for k in ({}, {"kind": "1"}, {"least": True})] == ["b", "c", "z"]
-    assert sorted(r.sort_key for r in state.remaining(e, "open_error_count").where("status = 'FAILED'").collect()) == ["0000000003", "0000000009", "0000000009"]
-    assert tuple(state.verified(e, F.col("open_error_count") > 50).first()) == (1, False)
+        state.unrecoverable(executions, links, records)
+    e = spark.createDataFrame([("a", 3, "10", "FAILED"), ("b", 9, "20", "FAILED"), ("c", 9, "10", "FAILED"), ("d", 99, "10", "DONE"), ("z", 0, "10", "FAILED"), ("y", 0, "20", "FAILED"), ("x", None, "10", "FAILED"), (None, 99, "10", "FAILED")], "execution_id string, open_error_count int, error_type string, status string")
+    assert [state.extremes(e, **k).first().execution_id for k in ({}, {"kind": "1"}, {"least": True})] == ["c", "c", "y"]
+    assert sorted(r.sort_key for r in state.remaining(e, "open_error_count").where("status = 'FAILED'").collect()) == ["0000000003", "0000000009", "0000000009", "0000000099"]
+    assert tuple(state.verified(e, F.col("open_error_count") > 50).first()) == (2, False)
 
 
 def test_reports_and_queues(spark):
@@ -89,3 +95,45 @@ def test_routing_and_rows(spark):
 @pytest.mark.parametrize("value, want", [("12 Main St Unit 4", "12 MAIN ST"), ("12 Main#5 x", "12 MAIN"), ("12 Main # 5", "12 MAIN # 5"), (None, None)])
 def test_address_base(spark, value, want):
     assert one(spark, value, text.address_base) == want
+
+
+def test_reviews_keep_what_isnt_theirs(spark):
+    page = "Reviews\nReview from Al\nDate: 1/2/2024\n2 stars\nOthers give 1 stars but I give all 5 stars.\ndate: it was late\nBye\nCustomer Review\n4.5 out of 5 stars stellar\nReview from\n"
+    got = one(spark, page, profiles.reviews)
+    assert [(r.ordinal, r.day, r.rating, r.reviewer, r.body) for r in got] == [(1, "1/2/2024", 2.0, "Al", "Others give 1 stars but I give all 5 stars.\ndate: it was late\nBye"), (2, None, 4.5, None, "stellar\nReview from")]
+    assert one(spark, None, profiles.reviews) == [] and one(spark, "", profiles.reviews) == []
+    assert one(spark, "a\nTM\nFor Consumers\nb", profiles.truncated) == "a" and one(spark, "a\nX is BBB Accredited.\n\n This business has committed to\nb", profiles.truncated) == "a" and one(spark, "a BBB Business Profiles are provided b", profiles.truncated) == "a"
+
+
+def test_objects_of_any_depth(spark):
+    deep = '{"@type":"Leaf","name":"x"}'
+    for k in range(12):
+        deep = f'[{{"@type":"T{k}","@graph":[{deep}, 5]}}]'
+    html = f'<script type="application/ld+json">{deep}</script><script type="application/ld+json">{{bad</script><script type="application/ld+json">{{"a":NaN}}</script>'
+    df = spark.createDataFrame([(html,), (None,), ("no",)], "c string").select(F.transform(profiles.json_ld(F.col("c")), lambda o: F.try_variant_get(o, '$["@type"]', "string")).alias("t"))
+    assert [r.t for r in df.collect()] == [[f"T{k}" for k in range(11, -1, -1)] + ["Leaf"], None, []]
+
+
+def test_appraisal_bundles_stay_apart(spark):
+    rows = [(None, "property.json", '{"request_identifier":"A","zoning":"R1","n":2}'), (None, "property.json", '{"request_identifier":"B","zoning":{"x":1}}'), ("C", "b/property.json", '{"zoning":null}'), (None, "property.json", "{}"), ("C", "relationship_x.json", "{}"), ("C", "tax_1.json", '{"request_identifier":" ","tax_year":2024}'), ("C", "odd.json", "{}"), ("C", "property.json", "[]")]
+    good, bad = table_rows.appraisal_rows(spark.createDataFrame(rows, "request_identifier string, file_name string, value string"))
+    got = {r.source_record_key: r["values"] for r in good.collect()}
+    assert set(got) == {"appraisal:A:properties:property", "appraisal:B:properties:property", "appraisal:C:properties:property", "appraisal:C:taxes:tax_1"}
+    assert got["appraisal:A:properties:property"]["zoning"] == "R1" and got["appraisal:B:properties:property"]["zoning"] == '{"x":1}' and "zoning" not in got["appraisal:C:properties:property"] and got["appraisal:A:properties:property"]["source_payload"]
+    assert sorted(r.reason for r in bad.collect()) == sorted([table_rows.NO_REQUEST, table_rows.IS_LINK, "no table for odd.json", "not a JSON object"])
+
+
+def test_parsers_of_permit_texts(spark):
+    from ledgerloom.functions import permits
+
+    f = one(spark, "A General Contractor none Certified Electrical Cntr EC 1234 then general contractor CGC123 INACTIVE", permits.licence)
+    assert (f.kind, f.number, f.before) == ("general contractor", "CGC123", "A General Contractor none Certified Electrical Cntr EC 1234 then")
+    assert one(spark, "General Contractor only", permits.licence) is None and one(spark, None, permits.licence) is None
+    place = lambda t: tuple(one(spark, t, permits.split_address))
+    assert place("ACME INC P.O. BOX 9, ESTERO,FL 33928-1234 x") == ("ACME INC", "P.O. BOX 9, ESTERO,FL 33928-1234")
+    assert place("JO 12 OAK ST, NAPLES, Florida, 34102.") == ("JO", "12 OAK ST, NAPLES, Florida, 34102") and place("JO 12 OAK FL 34102") == ("JO 12 OAK FL 34102", None) and place(None) == (None, None)
+    assert one(spark, "a Fax:239-1 2 b primary phone: (239) 555 c", permits.without_phones) == "a b c"
+    assert one(spark, "x 1) Al 2) Bo 3 Cy", permits.numbered) == ["Al", "Bo 3 Cy"]
+    text = "Completed (3) (x) Partial Pass B1 Roof Pass Check (7) Result by: Ann on Lee on 1/2/2021 Fail 2 Slab (8) Result by: Bo on 3/4/2021 Pass 3 No (nine) Result by: C on 1/1/2020"
+    assert [tuple(r) for r in one(spark, text, permits.inspections)] == [("Partial Pass", "B1", "Roof Pass Check", "7", "Ann on Lee", "1/2/2021"), ("Fail", "2", "Slab", "8", "Bo", "3/4/2021")]
+    assert one(spark, "paid fees 1/2/2020 A-1 $5 View Details 13 B View Details 2/3/2021 C 6.5 view details 9", permits.fees)[1].amount == 6.5 and one(spark, None, permits.fees) is None
