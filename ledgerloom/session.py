@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -37,3 +38,20 @@ def ship(spark: SparkSession) -> None:
             z.write(path, str(path.relative_to(root.parent)))
     sc.addPyFile(str(target))
     sc._ledgerloom_shipped = True
+
+
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A fresh path below spark.checkpoint.dir, removed when the driver ends; where that is unset, in a folder of our own,
+    which only a local master allows."""
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not root:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = tempfile.mkdtemp(prefix="spark-shared-", dir="/tmp")
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = sc._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(sc._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+    return path
