@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.snapshots import Snapshots
 from ..session import work_folder
+from ..streaming import running_totals
 from .tables import table
 
 
@@ -37,11 +38,29 @@ def atomic_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.join(F.broadcast(linked), ["table_name", "version"])
 
 
-QUERIES = {f.__name__: f for f in (atomic_load,)}
+def exact_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of all users' error events by a stream over the table: codes come again, and purchases remove a code."""
+    raw = spark.read.parquet(f"{sf_dir}/events.parquet")
+    e = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", 100).parquet(f"{sf_dir}/events.parque[t]")  # a pattern may name one file, too
+    code = F.format_string("%05d", F.get_json_object("props", "$.k").cast("int") % 20)
+    codes = F.when(F.get_json_object("props", "$.k").isNotNull(), F.when(F.col("event_id") % 3 == 0, F.array(code, code)).otherwise(F.array(code)))
+    kind = F.when(F.col("event_type") == "error", running_totals.ERROR).when(F.col("event_type") == "purchase", running_totals.REMOVED)
+    changes = e.select(F.col("user_id").cast("string").alias("execution_id"), F.col("event_id").cast("long").alias("pos"), kind.alias("kind"), codes.alias("codes")).where("kind is not null")
+    out = running_totals.run_to_end(spark, changes, work_folder(spark, "exact-totals"))
+    return out.where("n_events > 0")
+
+
+QUERIES = {f.__name__: f for f in (atomic_load, exact_totals)}
 ORACLE_SQL = {
     "atomic_load": """WITH o AS (SELECT o_custkey % 2 = 0 AS there, o_orderkey % 3 = 0 AS other FROM orders)
         SELECT 'properties' AS table_name, 1 AS version, count(*) AS attempted, count(*) AS changed, CAST(0 AS BIGINT) AS unchanged, count(*) AS total, CAST(0 AS BIGINT) AS resolved FROM customer WHERE c_custkey % 2 = 0
         UNION ALL SELECT 'properties', 2, count(*), count(*) FILTER (c_custkey % 2 <> 0), count(*) FILTER (c_custkey % 2 = 0), count(*), 0 FROM customer
         UNION ALL SELECT 'property_improvements', 1, count(*), count(*), 0, count(*), count(*) FILTER (there) FROM o
         UNION ALL SELECT 'property_improvements', 2, count(*), count(*) FILTER (NOT there OR other), count(*) FILTER (there AND NOT other), count(*), count(*) FROM o""",
+    "exact_totals": """WITH e AS (SELECT CAST(user_id AS VARCHAR) AS execution_id, event_id AS pos, event_type = 'error' AS is_error, lpad(CAST(CAST(json_extract_string(props, '$.k') AS INT) % 20 AS VARCHAR), 5, '0') AS code
+            FROM events WHERE event_type IN ('error', 'purchase') AND json_extract_string(props, '$.k') IS NOT NULL),
+        c AS (SELECT execution_id, code, arg_max(is_error, pos) AS is_open FROM e GROUP BY 1, 2 HAVING bool_or(is_error)),
+        u AS (SELECT execution_id, count(*) AS unique_errors, count(*) FILTER (is_open) AS open_errors FROM c GROUP BY 1)
+        SELECT execution_id, CAST(sum(CASE WHEN pos % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS total_occurrences, any_value(unique_errors) AS unique_errors, any_value(open_errors) AS open_errors, substr(arg_max(code, pos), 1, 2) AS error_type, count(*) AS n_events
+        FROM e JOIN u USING (execution_id) WHERE is_error GROUP BY 1""",
 }

@@ -39,32 +39,32 @@ def error_totals(errors: DataFrame) -> DataFrame:
     return errors.groupBy("execution_id", "code").agg(F.count("*").alias("occurrences"), F.max_by("details", "pos").alias("details"), F.min("pos").alias("first_pos"))
 
 
-def execution_totals(errors: DataFrame) -> DataFrame:
-    """Running totals of each execution: occurrences, distinct codes (approximate), and the first code's type."""
-    return errors.groupBy("execution_id").agg(F.count("*").alias("total_occurrences"), F.approx_count_distinct("code", 0.01).alias("unique_errors"), F.min_by(F.substring("code", 1, 2), "pos").alias("error_type"))
-
-
 class Buckets:
     """A table below `folder` in buckets of a hash of its keys; a batch rewrites the buckets that it touches.
 
-    Every bucket has its own versions, named by batch; a batch that comes again writes the same version again. The
-    version before the current one stays until the next batch of its bucket.
+    A batch is one version: one job writes all buckets that it touches, and they count together once it has succeeded. A
+    batch that comes again writes the same version again. Of a bucket the two latest versions stay.
     """
 
     def __init__(self, folder: str, spec: TableSpec, n: int = 64):
         self.folder, self.spec, self.n = folder, spec, n
 
     def _versions(self, spark: SparkSession) -> dict[int, list[int]]:
-        """Versions of each bucket, ascending: n buckets at most, with two versions each."""
-        path = spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        """Versions of each bucket, ascending: n buckets at most, with a few versions each."""
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        path = hadoop.Path(self.folder)
         store = path.getFileSystem(spark._jsc.hadoopConfiguration())
         found: dict[int, list[int]] = {}
-        if store.exists(path):
-            for bucket in store.listStatus(path):
-                name = bucket.getPath().getName()
-                if name.startswith("bucket="):
-                    found[int(name[7:])] = sorted(int(v.getPath().getName()[8:]) for v in store.listStatus(bucket.getPath()) if store.exists(spark._jvm.org.apache.hadoop.fs.Path(v.getPath(), "_SUCCESS")))
-        return found
+        for version in store.listStatus(path) if store.exists(path) else ():
+            name = version.getPath().getName()
+            if name.startswith("version=") and store.exists(hadoop.Path(version.getPath(), "_SUCCESS")):
+                for bucket in store.listStatus(version.getPath()):
+                    if bucket.getPath().getName().startswith("bucket="):
+                        found.setdefault(int(bucket.getPath().getName()[7:]), []).append(int(name[8:]))
+        return {b: sorted(v) for b, v in found.items()}
+
+    def _path(self, bucket: int, version: int) -> str:
+        return f"{self.folder}/version={version}/bucket={bucket}"
 
     def table(self, spark: SparkSession, schema: str, before: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
         """The latest version (before batch `before`) of all buckets or of some."""
@@ -72,25 +72,28 @@ class Buckets:
         for bucket, versions in self._versions(spark).items():
             good = [v for v in versions if before is None or v < before]
             if good and (only is None or bucket in only):
-                paths.append(f"{self.folder}/bucket={bucket}/version={good[-1]}")
+                paths.append(self._path(bucket, good[-1]))
         return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
     def apply(self, rows: DataFrame, batch: int) -> None:
-        """A foreachBatch function: upsert the batch (one row for each key) into the buckets that it touches."""
+        """A foreachBatch function: upsert the batch (one row for each key) into the buckets that it touches, by one job."""
         spark = rows.sparkSession
-        bucket = F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.n)).cast("int")
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
         # a batch of a stateful stream is computed once: it is written first, and read from there
-        rows.withColumn("__bucket", bucket).write.mode("overwrite").parquet(f"{self.folder}/incoming")
+        bucket = F.pmod(F.xxhash64(*self.spec.keys), F.lit(self.n)).cast("int")
+        rows.withColumn("bucket", bucket).write.mode("overwrite").parquet(f"{self.folder}/incoming")
         staged = spark.read.parquet(f"{self.folder}/incoming")
-        touched = [r[0] for r in staged.select("__bucket").distinct().collect()]
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields)
+        touched = [r[0] for r in staged.select("bucket").distinct().collect()]
+        if not touched:
+            return
         before = self._versions(spark)
-        store = spark._jvm.org.apache.hadoop.fs.Path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
+        new = upsert(self.table(spark, schema, batch, touched), staged.drop("bucket"), self.spec).drop("action")
+        new.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.folder}/version={batch}")
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        store = hadoop.Path(self.folder).getFileSystem(spark._jsc.hadoopConfiguration())
         for b in touched:
-            new = upsert(self.table(spark, schema, batch, [b]), staged.where(F.col("__bucket") == b).drop("__bucket"), self.spec).drop("action")
-            new.write.mode("overwrite").parquet(f"{self.folder}/bucket={b}/version={batch}")
             for v in [v for v in before.get(b, []) if v < batch][:-1]:
-                store.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/bucket={b}/version={v}"), True)
+                store.delete(hadoop.Path(self._path(b, v)), True)
 
 
 def removals(changes: DataFrame) -> DataFrame:
