@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.snapshots import Snapshots
 from ..session import work_folder
+from ..sources import seed_feed
 from ..streaming import running_totals
 from .tables import table
 
@@ -50,7 +51,26 @@ def exact_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.where("n_events > 0")
 
 
-QUERIES = {f.__name__: f for f in (atomic_load, exact_totals)}
+def seed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers written as a CSV seed and fed by its stored state in three batches and what is left: rows without a
+    positive balance are invalid, every tenth customer exists already. One row for each state."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", F.concat(F.lit("he said \"hi\",\n"), "c_name").alias("name"), "c_acctbal")
+    folder = work_folder(spark, "seed-scan")
+    c.repartitionByRange(3, "c_custkey").sortWithinPartitions("c_custkey").write.option("header", True).option("escape", '"').csv(f"{folder}/seed")
+    feed = seed_feed.SeedFeed(spark, f"{folder}/feed")
+    seed_feed.seed_rows(spark, f"{folder}/seed/part-*").write.parquet(f"{folder}/rows")  # numbered once for all steps
+    rows = spark.read.parquet(f"{folder}/rows")
+    known = c.where("c_custkey % 10 = 0").select(F.col("c_custkey").cast("string").alias("c_custkey"))
+    batch = c.count() // 4
+    states = []
+    while not states or not states[-1].exhausted:
+        states.append(feed.step(rows, batch, F.col("c_acctbal").cast("double") > 0, known, ("c_custkey",)))
+    out = spark.createDataFrame([(i, s.next_row, s.accepted, s.skipped_existing, s.skipped_invalid, s.exhausted) for i, s in enumerate(states, 1)], "step int, next_row long, accepted long, skipped_existing long, skipped_invalid long, exhausted boolean")
+    took = feed.accepted().agg(F.count("*").alias("rows"), F.countDistinct("row_no").alias("distinct_rows"), F.sum(F.length("name")).alias("name_chars"))
+    return out.crossJoin(F.broadcast(took))  # one row
+
+
+QUERIES = {f.__name__: f for f in (atomic_load, exact_totals, seed_scan)}
 ORACLE_SQL = {
     "atomic_load": """WITH o AS (SELECT o_custkey % 2 = 0 AS there, o_orderkey % 3 = 0 AS other FROM orders)
         SELECT 'properties' AS table_name, 1 AS version, count(*) AS attempted, count(*) AS changed, CAST(0 AS BIGINT) AS unchanged, count(*) AS total, CAST(0 AS BIGINT) AS resolved FROM customer WHERE c_custkey % 2 = 0
@@ -63,4 +83,10 @@ ORACLE_SQL = {
         u AS (SELECT execution_id, count(*) AS unique_errors, count(*) FILTER (is_open) AS open_errors FROM c GROUP BY 1)
         SELECT execution_id, CAST(sum(CASE WHEN pos % 3 = 0 THEN 2 ELSE 1 END) AS BIGINT) AS total_occurrences, any_value(unique_errors) AS unique_errors, any_value(open_errors) AS open_errors, substr(arg_max(code, pos), 1, 2) AS error_type, count(*) AS n_events
         FROM e JOIN u USING (execution_id) WHERE is_error GROUP BY 1""",
+    "seed_scan": """WITH c AS (SELECT row_number() OVER (ORDER BY c_custkey) AS r, CASE WHEN c_acctbal > 0 THEN CASE WHEN c_custkey % 10 = 0 THEN 'existing' ELSE 'accepted' END ELSE 'invalid' END AS kind, c_name FROM customer),
+        a AS (SELECT *, sum(CASE WHEN kind = 'accepted' THEN 1 ELSE 0 END) OVER (ORDER BY r) AS n, (SELECT count(*) // 4 FROM customer) AS batch FROM c),
+        s AS (SELECT n // batch AS step, min(r) AS last FROM a WHERE kind = 'accepted' AND n % batch = 0 GROUP BY 1 UNION ALL SELECT max(n) // max(batch) + 1, max(r) FROM a),
+        k AS (SELECT count(*) AS rows, CAST(sum(length(c_name) + 14) AS BIGINT) AS name_chars FROM c WHERE kind = 'accepted')
+        SELECT CAST(step AS INT) AS step, last + 1 AS next_row, count(*) FILTER (kind = 'accepted') AS accepted, count(*) FILTER (kind = 'existing') AS skipped_existing, count(*) FILTER (kind = 'invalid') AS skipped_invalid,
+        step = (SELECT max(step) FROM s) AS exhausted, any_value(k.rows) AS rows, any_value(k.rows) AS distinct_rows, any_value(k.name_chars) AS name_chars FROM s JOIN a ON r <= last, k GROUP BY step, last""",
 }

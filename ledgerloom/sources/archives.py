@@ -17,6 +17,8 @@ from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship
+
 LINES = 10_000
 
 
@@ -27,6 +29,7 @@ def _open(path: str):
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     """(path) of the files below a path, without their content, one task for each."""
+    ship(spark)
     found = spark.read.format("binaryFile").load(path).select("path")
     return found.repartition(max(1, int(spark.conf.get("spark.sql.shuffle.partitions"))), "path")
 
@@ -49,15 +52,10 @@ def _numbered(lines, keys: list[str], names: list[str]) -> Iterator[pa.RecordBat
 
 
 def text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(path, line_no from 1, value) of UTF-8 text files, each read by one task from its beginning."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in batches:
-            for name in rows.column(0).to_pylist():
-                with _open(name) as f:
-                    yield from _numbered(io.TextIOWrapper(f, "utf-8", "replace"), [name], ["path", "line_no", "value"])
+    """(path, line_no from 1, value) of UTF-8 text files; a large file is read in ranges by many tasks."""
+    from .splits import lines
 
-    return _files(spark, path).mapInArrow(run, "path string, line_no long, value string")
+    return lines(spark, path).select("path", "line_no", "value")
 
 
 def zip_names(spark: SparkSession, path: str, pattern: str | tuple[str, ...] = ("*.txt", "*.dat", "*.csv", "*.json")) -> DataFrame:
