@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,6 +44,11 @@ def _hashed(text: pa.ChunkedArray, width: int, check: bool = False):
     return block, words, at, mix(h), second
 
 
+def block_number(n: int) -> Column:
+    """Block of a row by its place in its partition, so that equal rows spread, too."""
+    return F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(n)).cast("int")
+
+
 def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> DataFrame:
     """docs with n_words, n_removed, removed (intervals of word numbers, end excluded) and kept_text added.
 
@@ -52,16 +57,14 @@ def dedup_substrings(docs: DataFrame, width: int = 35, text: str = "text") -> Da
     on the input. kept_text holds the rest, joined by one space.
 
     Null and empty texts have no words and an empty kept_text. Texts below `width` words keep all; a very long text is
-    part of one block. Repeated rows are copies of each other; the rows of one input partition that agree in all columns
-    share a block. Other columns pass through; an input column named like an added one is replaced. An empty table gives
+    part of one block. Repeated rows are copies of each other, dealt into blocks one by one. Other columns pass through; an input column named like an added one is replaced. An empty table gives
     an empty result. docs must come from stored rows or a shuffle, whose partitions are the same when a task is retried.
     """
     base = without(carried(docs), "n_words", "n_removed", "removed", "kept_text", "__block")
     spark = docs.sparkSession
     n_blocks, n_parts = parts(spark, text_bytes(docs, text), BLOCK_BYTES), int(spark.conf.get("spark.sql.shuffle.partitions"))
     bits = max(RANGE_BITS, (4 * n_parts - 1).bit_length())
-    whole = F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c, kind in base.dtypes if not kind.startswith(("map", "variant"))])
-    dealt = base.withColumn("__block", F.pmod(whole, F.lit(n_blocks)).cast("int")).repartition(max(n_blocks, n_parts), "__block")
+    dealt = base.withColumn("__block", block_number(n_blocks)).repartition(max(n_blocks, n_parts), "__block")
 
     def send(key, table):
         _, _, _, h, check = _hashed(table.column(text), width, True)

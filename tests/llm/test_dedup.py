@@ -269,3 +269,15 @@ def test_similar_groups_are_those_of_exact_similarity(spark, size, edits, copies
                 root = [new if r == old else r for r in root]
     got = dict(map(tuple, similar_groups(docs).collect()))
     assert len(set(root)) > 6 and got == dict(enumerate(root))
+
+
+def test_equal_rows_of_one_partition_spread(spark):
+    from ledgerloom.llm.substring_dedup import block_number, dedup_substrings
+
+    rows = spark.range(100_000).coalesce(1).select(F.lit(1).alias("doc_id"), F.lit("same").alias("text"))
+    sizes = [r["count"] for r in rows.groupBy(block_number(28).alias("b")).count().collect()]
+    assert len(sizes) == 28 and max(sizes) < 1.2 * 100_000 / 28
+    text = " ".join(f"w{i}" for i in range(50))
+    few = spark.range(3000).coalesce(1).select(F.lit(1).alias("doc_id"), F.lit(text).alias("text")).union(spark.createDataFrame([(2, "w0 " * 3 + "x")], "doc_id int, text string"))
+    got = {(r.doc_id, r.n_removed): r["count"] for r in dedup_substrings(few).groupBy("doc_id", "n_removed").count().collect()}
+    assert got == {(1, 50): 3000, (2, 0): 1}
