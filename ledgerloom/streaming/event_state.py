@@ -96,6 +96,34 @@ class Buckets:
                 store.delete(hadoop.Path(self._path(b, v)), True)
 
 
+class Outbox:
+    """Executions that a stream has set going again, each once, however often a batch or a change is delivered.
+
+    Below `folder`, `seen` is a bucketed table of the executions and the batch that first named them, and
+    `emitted/batch=<n>` what batch n put out. What a batch puts out depends on the batches before it only, so a batch that
+    comes again puts out the same and replaces what it wrote.
+    """
+
+    def __init__(self, folder: str, key: str = "execution_id", n: int = 64):
+        self.folder, self.key = folder.rstrip("/"), key
+        self.seen = Buckets(f"{self.folder}/seen", TableSpec((key,), None), n)
+
+    def apply(self, rows: DataFrame, batch: int) -> None:
+        """A foreachBatch function: put out the rows (one for each key) whose key no earlier batch has put out."""
+        spark = rows.sparkSession
+        kind = dict(rows.dtypes)[self.key]
+        before = self.seen.table(spark, f"`{self.key}` {kind}, batch long", batch)
+        fresh = rows.where(F.col(self.key).isNotNull()).join(before.select(self.key), self.key, "left_anti")
+        path = f"{self.folder}/emitted/batch={batch}"
+        fresh.write.mode("overwrite").parquet(path)
+        out = spark.read.schema(fresh.schema).parquet(path).select(self.key, F.lit(batch).cast("long").alias("batch"))
+        self.seen.apply(out, batch)
+
+    def emitted(self, spark: SparkSession, schema: str) -> DataFrame:
+        """Everything that was put out, with its batch."""
+        return spark.read.schema(f"{schema}, batch long").option("basePath", f"{self.folder}/emitted").parquet(f"{self.folder}/emitted/batch=*")
+
+
 def removals(changes: DataFrame) -> DataFrame:
     """CDC rows (event_name, old struct) -> (execution_id, error_code, occurrences) of removed links.
 
