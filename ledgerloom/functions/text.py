@@ -115,11 +115,15 @@ def address_key(c: Column) -> Column:
 
 
 def registry_address(c: Column) -> Column:
-    """Key for matching registry addresses; null counts as empty. Words are replaced before punctuation goes."""
-    short = F.create_map(*[F.lit(x) for pair in REGISTRY_WORDS.items() for x in pair])
-    words = F.transform(F.split(F.upper(F.coalesce(c, F.lit(""))), "[^A-Z0-9_]+"), lambda w: F.coalesce(F.try_element_at(short, w), w))
-    joined = F.trim(F.array_join(words, " "))
-    return F.when(F.contains(joined, F.lit("_")), F.trim(F.regexp_replace(joined, "[_ ]+", " "))).otherwise(joined)
+    """Key for matching registry addresses; null counts as empty. Words are replaced before punctuation goes.
+
+    Two spaces stand between words while they are replaced, so that neighbours don't share one; no function here needs a
+    lambda, so all of it is compiled.
+    """
+    text = F.concat(F.lit(" "), F.regexp_replace(F.upper(F.coalesce(c, F.lit(""))), "[^A-Z0-9_]+", "  "), F.lit(" "))
+    for word, short in REGISTRY_WORDS.items():
+        text = F.replace(text, F.lit(f" {word} "), F.lit(f" {short} "))
+    return F.trim(F.regexp_replace(text, "[_ ]+", " "))
 
 
 def city_name(c: Column) -> Column:

@@ -38,27 +38,33 @@ def _named(address: Column) -> Column:
     return address["single_line"].isNotNull()
 
 
+def _registration_addresses() -> Column:
+    """array of an entity's principal and mailing address, those that it has."""
+    doc = F.col("document_number")
+    rows = F.array(*[F.struct(_id(doc, "business_registration_address", role.lower()).alias("request_identifier"), F.lit(role).alias("address_role"), F.col(f"{name}_address").alias("address")) for name, role in REGISTRATION_ROLES.items()])
+    return F.filter(rows, lambda r: _named(r["address"]))
+
+
+def _parties() -> Column:
+    """array of an entity's registered agent and officers, those with a name."""
+    doc, blank, none, agent = F.col("document_number"), F.lit(""), F.lit(None).cast("string"), F.col("registered_agent")
+    fields = lambda own, role, name, kind, title, ordinal, address: F.struct(own.alias("request_identifier"), F.lit(role).alias("party_role"), name.alias("name"), kind.alias("party_type_code"), title.alias("title"), ordinal.cast("int").alias("officer_ordinal"), address.alias("address"))
+    agent_id = _id(doc, "party", "registered_agent", short_hash(agent["name"], F.coalesce(agent["type"], blank)))
+    own = F.array(fields(agent_id, "REGISTERED_AGENT", agent["name"], agent["type"], none, F.lit(None), agent["address"]))
+    officer_id = lambda o: _id(doc, "party", "officer", o["ordinal"].cast("string"), short_hash(o["name"], F.coalesce(o["title"], blank), F.coalesce(o["type"], blank)))
+    officers = F.transform("officers", lambda o: fields(officer_id(o), "OFFICER", o["name"], o["type"], o["title"], o["ordinal"], o["address"]))
+    return F.filter(F.concat(own, officers), lambda p: p["name"].isNotNull())
+
+
 def registration_addresses(entities: DataFrame) -> DataFrame:
     """The principal and the mailing address of each registration, as vertices between it and the address itself."""
-    rows = F.array(*[F.struct(F.lit(role).alias("role"), F.col(f"{name}_address").alias("address")) for name, role in REGISTRATION_ROLES.items()])
-    each = entities.select("document_number", F.explode(F.filter(rows, lambda r: _named(r["address"]))).alias("r"))
-    doc = F.col("document_number")
-    return each.select(_id(doc, "business_registration_address", F.lower("r.role")).alias("request_identifier"), "document_number", F.col("r.role").alias("address_role"), F.col("r.address").alias("address"))
+    return entities.select("document_number", F.explode(_registration_addresses()).alias("r")).select("r.request_identifier", "document_number", "r.address_role", "r.address")
 
 
 def parties(entities: DataFrame) -> DataFrame:
     """The registered agent and the officers that have a name; identifiers hash what tells equal roles apart."""
-    doc, blank = F.col("document_number"), F.lit("")
-    agent = F.col("registered_agent")
-    fields = lambda role, name, kind, title, ordinal, address: F.struct(F.lit(role).alias("party_role"), name.alias("name"), kind.alias("party_type_code"), title.alias("title"), ordinal.cast("int").alias("officer_ordinal"), address.alias("address"))
-    none = F.lit(None).cast("string")
-    own = F.array(fields("REGISTERED_AGENT", agent["name"], agent["type"], none, F.lit(None), agent["address"]))
-    officers = F.transform("officers", lambda o: fields("OFFICER", o["name"], o["type"], o["title"], o["ordinal"], o["address"]))
-    each = entities.select("document_number", F.explode(F.filter(F.concat(own, officers), lambda p: p["name"].isNotNull())).alias("p")).select("document_number", "p.*")
-    kind = F.coalesce("party_type_code", blank)
-    agent_id = _id(doc, "party", "registered_agent", short_hash(F.col("name"), kind))
-    officer_id = _id(doc, "party", "officer", F.col("officer_ordinal").cast("string"), short_hash(F.col("name"), F.coalesce("title", blank), kind))
-    return each.select(F.when(F.col("party_role") == "OFFICER", officer_id).otherwise(agent_id).alias("request_identifier"), *each.columns)
+    each = entities.select("document_number", F.explode(_parties()).alias("p"))
+    return each.select("p.request_identifier", "document_number", *[f"p.{c}" for c in ("party_role", "name", "party_type_code", "title", "officer_ordinal", "address")])
 
 
 def addresses(placed: DataFrame) -> DataFrame:
@@ -79,17 +85,20 @@ def vertices(entities: DataFrame) -> dict[str, DataFrame]:
 
 
 def edges(entities: DataFrame) -> DataFrame:
-    """(relationship_type, from_id, to_id): company to registration, on to its addresses and parties, and to their places."""
+    """(relationship_type, from_id, to_id): company to registration, on to its addresses and parties, and to their places.
+
+    Entities are read once: each becomes an array of all its edges."""
     doc = F.col("document_number")
     registration = _id(doc, "business_registration")
-    ra, p = registration_addresses(entities), parties(entities)
-    edge = lambda df, kind, a, b: df.select(F.lit(kind).alias("relationship_type"), a.alias("from_id"), b.alias("to_id"))
-    own, place = F.col("request_identifier"), address_id(F.col("address"))
-    parts = [
-        edge(entities, "company_has_business_registration", _id(doc, "company"), registration), edge(ra, "business_registration_has_address", registration, own), edge(ra, "business_registration_address_has_address", own, place),
-        edge(p, "business_registration_has_party", registration, own), edge(p.where(_named(F.col("address"))), "business_registration_party_has_address", own, place),
-    ]
-    out = parts[0]
-    for e in parts[1:]:
-        out = out.unionByName(e)
-    return out
+    edge = lambda kind, a, b: F.struct(F.lit(kind).alias("relationship_type"), a.alias("from_id"), b.alias("to_id"))
+    own = F.array(edge("company_has_business_registration", _id(doc, "company"), registration))
+    # an address's identifier is worked out once for each row that has it
+    placed = lambda rows: F.transform(rows, lambda r: F.struct(r["request_identifier"].alias("id"), F.when(_named(r["address"]), address_id(r["address"])).alias("place")))
+    out = entities.select(doc.alias("document_number"), own.alias("own"), placed(_registration_addresses()).alias("ra"), placed(_parties()).alias("p"))
+    kinds = [("ra", "business_registration_has_address", "business_registration_address_has_address"), ("p", "business_registration_has_party", "business_registration_party_has_address")]
+
+    def of(column: str, has: str, at: str) -> list[Column]:
+        return [F.transform(column, lambda r: edge(has, registration, r["id"])), F.transform(F.filter(column, lambda r: r["place"].isNotNull()), lambda r: edge(at, r["id"], r["place"]))]
+
+    every = F.concat(F.col("own"), *[part for kind in kinds for part in of(*kind)])
+    return out.select(F.explode(every).alias("e")).select("e.*")

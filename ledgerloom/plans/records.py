@@ -14,8 +14,8 @@ CITIES = ["Fort Myers", "St. Cape", "Estero", "Naples*1", "Lehigh  Acres"]
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A fixed-width registry line for every customer."""
-    c = table(spark, sf_dir, "customer")
+    """A fixed-width registry line for every customer; a line weighs far more than its customer, so they are dealt out."""
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_custkey")
     k = F.col("c_custkey")
     city = F.element_at(F.array(*map(F.lit, CITIES)), (k % 5 + 1).cast("int"))
     zip_ = F.format_string("%05d", k * 37 % 100000)

@@ -19,6 +19,8 @@ HEADER = [
 #: An officer's fields from the start of its group; six groups follow each other.
 OFFICER = [("title", 0, 4), ("type", 4, 1), ("name", 5, 42), ("address", 47, 42), ("city", 89, 28), ("state", 117, 2), ("zip", 119, 9)]
 FIRST_OFFICER, OFFICER_WIDTH, OFFICERS = 669, 128, 6
+#: Characters of a piece of the header, and how many more it has for a field that begins in it.
+PIECE, MARGIN = 64, 192
 #: Labels of status codes.
 STATUS = {"A": "ACTIVE", "I": "INACTIVE"}
 
@@ -40,8 +42,18 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
     Three addresses, up to six officers (those with a name) and three yearly reports are nested. Short lines give nulls.
     """
+    # the fields first, each once; what is made of them refers to columns
+    keep = [c for c in lines.columns if c != value]
     v = F.col(value)
-    f = {n: field(v, s, w) for n, s, w in HEADER}
+    # characters are counted from the start of a text, so a line is cut into pieces before it is cut into fields
+    ends = [*range(1, FIRST_OFFICER, PIECE), FIRST_OFFICER]
+    pieces = [F.substring(v, a, b - a + MARGIN).alias(f"__h{k}") for k, (a, b) in enumerate(zip(ends[:-1], ends[1:]))]
+    pieces += [F.substring(v, FIRST_OFFICER + i * OFFICER_WIDTH, OFFICER_WIDTH).alias(f"__o{i}") for i in range(OFFICERS)]
+    held = lines.select(*keep, *pieces, F.length(v).alias("__length"))
+    cut = [field(F.col(f"__h{(s - 1) // PIECE}"), (s - 1) % PIECE + 1, w).alias(f"__{n}") for n, s, w in HEADER]
+    cut += [field(F.col(f"__o{i}"), s + 1, w).alias(f"__o{i}_{n}") for i in range(OFFICERS) for n, s, w in OFFICER]
+    fields = held.select(*keep, *cut, "__length")
+    f = {n: F.col(f"__{n}") for n, _, _ in HEADER}
     none = F.lit(None).cast("string")
 
     def date(c: Column) -> Column:
@@ -49,17 +61,13 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
 
     officers = []
     for i in range(OFFICERS):
-        o = {n: field(v, FIRST_OFFICER + i * OFFICER_WIDTH + s, w) for n, s, w in OFFICER}
-        officers.append(F.struct(F.lit(i + 1).alias("ordinal"), *[o[n].alias(n) for n, _, _ in OFFICER]))
-    # only named officers get an address, which costs more than all their fields
-    named = F.transform(
-        F.filter(F.array(*officers), lambda o: o["name"].isNotNull()),
-        lambda o: F.struct(o["ordinal"].alias("ordinal"), o["title"].alias("title"), o["type"].alias("type"), o["name"].alias("name"), _address(o["address"], none, o["city"], o["state"], o["zip"], none).alias("address")),
-    )
+        o = {n: F.col(f"__o{i}_{n}") for n, _, _ in OFFICER}
+        # only named officers get an address, which costs more than all their fields
+        officers.append(F.when(o["name"].isNotNull(), F.struct(F.lit(i + 1).alias("ordinal"), *[o[n].alias(n) for n in ("title", "type", "name")], _address(o["address"], none, o["city"], o["state"], o["zip"], none).alias("address"))))
     reports = F.array(*[F.struct(f[f"report_year{i}"].alias("year"), date(f[f"report_date{i}"]).alias("date")) for i in (1, 2, 3)])
     labels = F.create_map(*[F.lit(x) for pair in STATUS.items() for x in pair])
-    return lines.select(
-        *[c for c in lines.columns if c != value],
+    return fields.select(
+        *keep,
         f["document_number"].alias("document_number"),
         f["entity_name"].alias("entity_name"),
         f["status_code"].alias("status_code"),
@@ -74,8 +82,8 @@ def parse_lines(lines: DataFrame, value: str = "value") -> DataFrame:
         f["state_country"].alias("state_country"),
         F.filter(reports, lambda r: r["year"].isNotNull()).alias("annual_reports"),
         F.struct(f["agent_name"].alias("name"), f["agent_type"].alias("type"), _address(f["agent_address"], none, f["agent_city"], f["agent_state"], f["agent_zip"], none).alias("address")).alias("registered_agent"),
-        named.alias("officers"),
-        F.length(v).alias("raw_record_length"),
+        F.filter(F.array(*officers), lambda o: o.isNotNull()).alias("officers"),
+        F.col("__length").alias("raw_record_length"),
         f["document_number"].isNotNull().alias("valid"),
     )
 
