@@ -117,24 +117,30 @@ def resolve_or_alternate(child: DataFrame, parent: DataFrame, key: tuple[str, st
     return resolve_keys(by_key, parent, [key], take, into, missing).unionByName(resolve_keys(by_other, one, alternate, take, into, missing))
 
 
-def join_update(target: DataFrame, source: DataFrame, target_keys: Sequence[Column], source_key: Column, take: Sequence[str], literals: Mapping[str, str] = {}) -> DataFrame:
+def join_update(target: DataFrame, source: DataFrame, target_keys: Sequence[Column], source_key: Column, take: Sequence[str], literals: Mapping[str, str] = {}, row_id: Sequence[str] = ()) -> DataFrame:
     """target with the columns `take` of the source row that any of its keys names, and the literals; rows without one stay.
 
-    Adds matched, and changed: whether any of these columns is distinct from before. Of several source rows of one key
+    row_id names the columns that tell target rows apart; without them each key is joined on its own. Adds matched, and changed: whether any of these columns is distinct from before. Of several source rows of one key
     the least (by `take`) counts; earlier target keys go first. One equi-join of exploded keys.
     """
     new = source.select(source_key.cast("string").alias("__key"), F.struct(*take).alias("__new")).where("__key is not null").groupBy("__key").agg(F.min("__new").alias("__new"))
-    rows = target.withColumn("__row", F.monotonically_increasing_id())
-    keys = F.filter(F.array(*[F.struct(F.lit(i).alias("no"), k.cast("string").alias("key")) for i, k in enumerate(target_keys)]), lambda k: k["key"].isNotNull())
-    hit = rows.select("__row", F.explode(keys).alias("__k")).select("__row", F.col("__k.no").alias("__no"), F.col("__k.key").alias("__key")).join(new, "__key")
-    best = hit.groupBy("__row").agg(F.min_by("__new", "__no").alias("__new"))
-    out = rows.join(best, "__row", "left").withColumn("matched", F.col("__new").isNotNull())
+    if row_id:
+        keys = F.filter(F.array(*[F.struct(F.lit(i).alias("no"), k.cast("string").alias("key")) for i, k in enumerate(target_keys)]), lambda k: k["key"].isNotNull())
+        hit = target.select(*row_id, F.explode(keys).alias("__k")).select(*row_id, F.col("__k.no").alias("__no"), F.col("__k.key").alias("__key")).join(new, "__key")
+        best = hit.groupBy(*row_id).agg(F.min_by("__new", "__no").alias("__new"))
+        out = target.join(best, list(row_id), "left").select(*target.columns, "__new")
+    else:
+        out = target.select(*target.columns, *[k.cast("string").alias(f"__k{i}") for i, k in enumerate(target_keys)])
+        for i in range(len(target_keys)):
+            out = out.join(new.select(F.col("__key").alias(f"__k{i}"), F.col("__new").alias(f"__new{i}")), f"__k{i}", "left")
+        out = out.select(*target.columns, F.coalesce(*[F.col(f"__new{i}") for i in range(len(target_keys))]).alias("__new"))
+    out = out.withColumn("matched", F.col("__new").isNotNull())
     fresh = {**{c: F.col("__new")[c] for c in take}, **{c: F.lit(v) for c, v in literals.items()}}
     differs = F.lit(False)
     for c, v in fresh.items():
         differs = differs | ~F.col(c).eqNullSafe(v)
     out = out.withColumn("changed", F.col("matched") & differs)
-    return out.withColumns({c: F.when(F.col("matched"), v).otherwise(F.col(c)) for c, v in fresh.items()}).drop("__row", "__new")
+    return out.withColumns({c: F.when(F.col("matched"), v).otherwise(F.col(c)) for c, v in fresh.items()}).drop("__new")
 
 
 def address_candidates(rows: DataFrame, state: str | None = None, city: str | None = None, zip_prefix: str | None = None, most: int | None = None, order: Sequence[str] = ()) -> DataFrame:

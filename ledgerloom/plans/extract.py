@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import permits, profiles, property_codes, text, vendors
+from ..functions import permits, profile_record, profiles, property_codes, text, vendors
 from ..operators import aggregates, joins, routing, state
 from ..streaming import event_state
 from .tables import table
@@ -83,6 +83,29 @@ def profile_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("page_id", F.size("objects").alias("n_objects"), profiles.property_of(profiles.of_type(F.col("objects"), "Organization"), "name").alias("organization"), profiles.property_of(F.col("shop"), "name").alias("shop"), F.array_join(F.transform(areas, lambda a: F.concat_ws(":", a["name"], a["source"])), "|").alias("areas"))
 
 
+def profile_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A profile record from the objects, text and links written into every page: sources by precedence, children once."""
+    p = table(spark, sf_dir, "pages")
+    k = F.col("page_id")
+    key = k.cast("string")
+    t = lambda *x: F.concat(*[F.lit(v) if isinstance(v, str) else v for v in x])
+    business = t('<script type="application/ld+json">{"@type":"LocalBusiness"', F.when(k % 2 == 0, t(',"name":"Shop ', key, '"')).otherwise(""), ',"employee":[{"givenName":"Ann","familyName":"Lee ', key, '","jobTitle":"CEO"}],"logo":"l.png","image":["i.png","l.png"]}</script>')
+    said = F.when(k % 3 == 0, "Shop is BBB Accredited.").when(k % 3 == 1, "Not BBB Accredited").otherwise("-")
+    text_ = t("BUSINESS PROFILE\nRoofs\nSigned ", key, "\nA+\nRated by BBB\n", said, "\nAlternate Names:\nOld\nOlder\nBusiness Management:\nann lee ", key, ", ceo\nMr Bo, Boss\nAdditional Contact Information")
+    link = lambda href, label: F.struct(t(*href).alias("href"), t(*label).alias("text"))
+    links = F.array(link(["https://www.bbb.org/us/category/roofs?", key], ["Roofs"]), link(["https://www.bbb.org/us/category/roofs"], ["Roofing"]), link(["https://www.bbb.org/us/fl/profile/r/acme-0653-", key, "/addressId/7"], ["Branch"]), link(["https://a.example.org/", key], ["Visit Website"]))
+    none = F.lit(None).cast("string")
+    url = t("https://www.bbb.org/us/fl/profile/r/acme-0653-", key)
+    more = F.when(k % 4 == 0, "Reasons for BBB Rating\nold\nlarge\nBBB Business Profiles")
+    rows = p.select("page_id", profiles.json_ld(F.concat(business, "html")).alias("objects"), text_.alias("text"), links.alias("links"), url.alias("url"), more.alias("more"), F.when(k % 5 != 0, t("Listed ", key)).alias("listed"))
+    r = rows.select("page_id", profile_record.record(F.col("objects"), F.col("text"), F.col("links"), F.col("url"), F.col("listed"), none, none, F.col("more")).alias("r"))
+    names = lambda c, f: F.array_join(F.transform(c, f), "|")
+    return r.select(
+        "page_id", "r.name", "r.name_source", "r.accredited", "r.rating", "r.website", "r.business_id", names("r.contacts", lambda x: F.concat_ws(":", x["name"], x["title"], x["source"])).alias("contacts"), names("r.categories", lambda x: x["name"]).alias("categories"), names("r.images", lambda x: F.concat_ws(":", x["type"], x["url"])).alias("images"),
+        names("r.alternate_names", lambda x: x["name"]).alias("alternate_names"), F.size("r.locations").alias("n_locations"), F.size("r.rating_reasons").alias("n_reasons"), F.size("r.reviews").alias("n_reviews"),
+    )
+
+
 def review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews read back from a page text made of each conversation's turns."""
     c = table(spark, sf_dir, "conversations").where("text is not null")
@@ -158,7 +181,7 @@ def join_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers linked to parts by their key or its double; how many were matched and how many changed, by nation."""
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", F.when(F.col("c_custkey") % 4 == 0, F.col("c_custkey")).alias("part_id"), F.when(F.col("c_custkey") % 4 == 0, "high").alias("confidence"))
     p = table(spark, sf_dir, "part").where("p_partkey % 3 = 0").select(F.col("p_partkey").alias("part_id"))
-    out = joins.join_update(c, p, [F.col("c_custkey"), F.col("c_custkey") * 2], F.col("part_id"), ["part_id"], {"confidence": "high"})
+    out = joins.join_update(c, p, [F.col("c_custkey"), F.col("c_custkey") * 2], F.col("part_id"), ["part_id"], {"confidence": "high"}, row_id=["c_custkey"])
     return out.groupBy("c_nationkey").agg(F.count_if("matched").alias("matched"), F.count_if("changed").alias("changed"), F.sum("part_id").alias("sum_part_id"))
 
 
@@ -220,14 +243,14 @@ def text_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sale_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales and deeds of one part side by side by ordinal: returned and kept items."""
-    li = table(spark, sf_dir, "lineitem").where("l_linenumber <= 4")
+    li = table(spark, sf_dir, "lineitem")
     sales = li.where("l_returnflag = 'R'").groupBy("l_orderkey", F.col("l_linenumber").alias("ordinal")).agg(F.max("l_extendedprice").alias("price"))
     deeds = li.where("l_linestatus = 'F'").groupBy("l_orderkey", F.col("l_linenumber").alias("ordinal")).agg(F.max("l_partkey").alias("part"))
     return aggregates.aligned(("sale", sales), ("deed", deeds), keys=["l_orderkey"])
 
 
 QUERIES = {f.__name__: f for f in (
-    use_codes, deed_types, improvement_types, vendor_classes, verdict_summary, profile_objects, review_rows, profile_links, fee_totals, folder_flags, failed_total, phase_states, job_counters, unmatched_sources, queue_depths,
+    use_codes, deed_types, improvement_types, vendor_classes, verdict_summary, profile_objects, profile_records, review_rows, profile_links, fee_totals, folder_flags, failed_total, phase_states, job_counters, unmatched_sources, queue_depths,
     join_update, alternate_keys, routed_files, deleted_execution, state_keys, solved_transitions, text_keys, sale_alignment,
 )}
 
@@ -297,6 +320,9 @@ ORACLE_SQL = {
         CASE WHEN page_id % 2 = 0 THEN 'Estero:json_ld|Naples:json_ld|Bonita:visible_text' ELSE 'Naples:visible_text|Bonita:visible_text' END AS areas FROM pages""",
     "review_rows": r"""WITH c AS (SELECT conv_id, turn, role, regexp_replace(trim(regexp_replace(text, '\s+', ' ', 'g')), '(?i)date:|stars?|review', '_', 'g') AS body FROM conversations WHERE text IS NOT NULL)
         SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS INT) AS ordinal, '2024-01-' || lpad(CAST(turn % 28 + 1 AS VARCHAR), 2, '0') AS day, CAST(turn % 5 + 1 AS DOUBLE) AS rating, role AS reviewer, nullif(CAST(length(trim(body)) AS BIGINT), 0) AS n_chars FROM c""",
+    "profile_records": """SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'Shop ' || page_id WHEN page_id % 5 <> 0 THEN 'Listed ' || page_id ELSE 'Signed ' || page_id END AS name, CASE WHEN page_id % 2 = 0 THEN 'json_ld' WHEN page_id % 5 <> 0 THEN 'listing' ELSE 'visible_text' END AS name_source,
+        CASE page_id % 3 WHEN 0 THEN true WHEN 1 THEN false END AS accredited, 'A+' AS rating, 'https://a.example.org/' || page_id AS website, CAST(page_id AS VARCHAR) AS business_id, 'Ann Lee ' || page_id || ':CEO:json_ld|Mr Bo:Boss:visible_text' AS contacts, 'Roofing' AS categories, 'IMAGE:l.png|IMAGE:i.png' AS images,
+        'Old|Older' AS alternate_names, 1 AS n_locations, CASE WHEN page_id % 4 = 0 THEN 2 ELSE 0 END AS n_reasons, 0 AS n_reviews FROM pages""",
     "profile_links": """SELECT page_id, 'acme-roofing' AS slug, CAST(page_id AS VARCHAR) AS business, CASE WHEN page_id % 2 = 0 THEN '77' END AS address_id,
         CASE page_id % 3 WHEN 0 THEN 'APPRAISAL_PHOTO' WHEN 1 THEN 'APPRAISAL_FLOOR_PLAN' END AS kind, CASE page_id % 3 WHEN 0 THEN 'photo:' || page_id WHEN 1 THEN 'floorplan:' || page_id || ':unknown:2:current' END AS identity,
         CASE WHEN page_id % 3 = 0 THEN 400 END AS width, CASE WHEN page_id % 4 = 0 THEN '.png' WHEN page_id % 3 = 2 THEN '.pdf' ELSE '.aspx' END AS extension FROM pages""",
@@ -330,6 +356,6 @@ ORACLE_SQL = {
         SELECT execution_id, count(*) FILTER (t = 'maybeSolved') AS solved, count(*) FILTER (t = 'maybeUnrecoverable') AS unrecoverable FROM c WHERE t LIKE 'maybe%' GROUP BY 1""",
     "text_keys": r"""SELECT c_custkey, c_custkey || ' HARBOR DR' || CASE c_custkey % 5 WHEN 2 THEN ' # 5' WHEN 3 THEN ' APARTMENT 3' ELSE '' END AS base, 'palm-beach-' || c_custkey AS county, CASE WHEN c_custkey % 3 = 0 THEN 'bucket-' || (c_custkey % 5) END AS bucket,
         CASE WHEN c_custkey % 3 = 0 THEN 'a/b/' || c_custkey END AS object, regexp_replace(c_name || ' a/b', '[^A-Za-z0-9._-]+', '_', 'g') AS store_key, '<a & ''b''> ' || c_name AS plain, c_name || ',"q ""x"", y",' || c_custkey AS csv FROM customer""",
-    "sale_alignment": """WITH li AS (SELECT * FROM lineitem WHERE l_linenumber <= 4), s AS (SELECT l_orderkey, l_linenumber AS ordinal, max(l_extendedprice) AS sale_price FROM li WHERE l_returnflag = 'R' GROUP BY 1, 2),
+    "sale_alignment": """WITH li AS (SELECT * FROM lineitem), s AS (SELECT l_orderkey, l_linenumber AS ordinal, max(l_extendedprice) AS sale_price FROM li WHERE l_returnflag = 'R' GROUP BY 1, 2),
         d AS (SELECT l_orderkey, l_linenumber AS ordinal, max(l_partkey) AS deed_part FROM li WHERE l_linestatus = 'F' GROUP BY 1, 2) SELECT l_orderkey, ordinal, sale_price, deed_part FROM s FULL JOIN d USING (l_orderkey, ordinal)""",
 }

@@ -130,10 +130,10 @@ def any_key_link(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def any_key_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers whose key or tenfold key isn't a part key or its half."""
-    c, p = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part").where("p_size < 20")
-    half = F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey").cast("double") / 2).cast("long")
-    return joins.any_key_semi(c, [F.col("c_custkey"), F.col("c_custkey") * 10], p, [F.col("p_partkey"), half], ["c_custkey"], anti=True).select("c_custkey")
+    """Customers whose key or tenfold key isn't three times a part's key or five times its half."""
+    c, p = table(spark, sf_dir, "customer"), table(spark, sf_dir, "part")
+    half = F.when(F.col("p_partkey") % 2 == 0, F.col("p_partkey").cast("double") / 2 * 5).cast("long")
+    return joins.any_key_semi(c, [F.col("c_custkey"), F.col("c_custkey") * 10], p, [F.col("p_partkey") * 3, half], ["c_custkey"], anti=True).select("c_custkey")
 
 
 def _versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -266,7 +266,7 @@ ORACLE_SQL = {
         WHEN CAST(regexp_replace(s_name, '\D', '', 'g') AS BIGINT) = CAST(regexp_replace(c_name, '\D', '', 'g') AS BIGINT) % 500 THEN 2 ELSE 3 END AS key_no
         FROM customer JOIN supplier ON s_suppkey = c_custkey * 2 OR CAST(regexp_replace(s_name, '\D', '', 'g') AS BIGINT) = CAST(regexp_replace(c_name, '\D', '', 'g') AS BIGINT) % 500 OR s_nationkey = c_nationkey)
         SELECT c_custkey, key_no, s_suppkey FROM j QUALIFY row_number() OVER (PARTITION BY c_custkey ORDER BY key_no, s_acctbal DESC, s_suppkey) = 1""",
-    "any_key_anti": """WITH w AS (SELECT p_partkey AS k FROM part WHERE p_size < 20 UNION SELECT p_partkey // 2 FROM part WHERE p_size < 20 AND p_partkey % 2 = 0)
+    "any_key_anti": """WITH w AS (SELECT p_partkey * 3 AS k FROM part UNION SELECT p_partkey // 2 * 5 FROM part WHERE p_partkey % 2 = 0)
         SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT k FROM w) AND c_custkey * 10 NOT IN (SELECT k FROM w)""",
     "hash_guard_upsert": f"WITH {_UPSERT} SELECT * FROM r",
     "upsert_counters": f"""WITH {_UPSERT} SELECT count(*) FILTER (action <> 'untouched') AS attempted, count(*) FILTER (action IN ('insert', 'update')) AS changed,

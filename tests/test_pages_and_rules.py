@@ -137,3 +137,22 @@ def test_parsers_of_permit_texts(spark):
     text = "Completed (3) (x) Partial Pass B1 Roof Pass Check (7) Result by: Ann on Lee on 1/2/2021 Fail 2 Slab (8) Result by: Bo on 3/4/2021 Pass 3 No (nine) Result by: C on 1/1/2020"
     assert [tuple(r) for r in one(spark, text, permits.inspections)] == [("Partial Pass", "B1", "Roof Pass Check", "7", "Ann on Lee", "1/2/2021"), ("Fail", "2", "Slab", "8", "Bo", "3/4/2021")]
     assert one(spark, "paid fees 1/2/2020 A-1 $5 View Details 13 B View Details 2/3/2021 C 6.5 view details 9", permits.fees)[1].amount == 6.5 and one(spark, None, permits.fees) is None
+
+
+def test_profile_records(spark):
+    from ledgerloom.functions import profile_record
+
+    none = F.lit(None).cast("string")
+    html = '<script type="application/ld+json">{"@type":"LocalBusiness","employee":{"name":":"},"image":{"contentUrl":"c.png"},"logo":5}</script>'
+    text_ = "x\nBBB Rating\nnr\nNot BBB Accredited\nPrincipal Contacts\nBo, Boss\nbo, BOSS\n\nCustomer Contacts\nBo, Boss\nSocial Media"
+    links = [("https://www.bbb.org/us/fl/profile/r/a-0653-1/addressId/7", " "), ("https://www.bbb.org/us/fl/profile/r/a-0653-1", "self"), ("https://fb.example.org", "x"), ("https://fb.example.org", "y")]
+    df = spark.createDataFrame([(html, text_, links), (None, None, None), ("", "", [])], "html string, text string, links array<struct<href:string,text:string>>")
+    reviews_ = F.lit("Reviews\nThis business has 3 reviews\nReview from Al\n5 stars\nFine\n")
+    got = [r.r for r in df.withColumn("o", profiles.json_ld(F.col("html"))).select(profile_record.record(F.col("o"), F.col("text"), F.col("links"), F.lit("https://www.bbb.org/us/fl/profile/r/a-0653-1"), none, reviews_, none, none).alias("r")).collect()]
+    r = got[0]
+    assert (r.name, r.name_source, r.rating, r.accredited) == (None, None, "nr", False)
+    assert [(c.name, c.title, c.role) for c in r.contacts] == [("Bo", "Boss", "PRINCIPAL"), ("Bo", "Boss", "CUSTOMER")]
+    assert [(i.type, i.url) for i in r.images] == [("IMAGE", "c.png")] and [x.name for x in r.locations] == [None] and [x.label for x in r.links] == ["y"]
+    assert [x.body for x in r.reviews] == ["Fine"] and (r.summary.reviews_total, r.summary.average) == (3, 5.0) and r.complaints == []
+    for r in got[1:]:
+        assert r.accredited is None and all(r[c] == [] for c in ("contacts", "categories", "locations", "images", "links", "alternate_names", "licences", "service_areas", "rating_reasons", "complaints"))
