@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .profiles import let
 from .rules import first_match
 
 #: Fixed values: (property type, texts of which one must occur, texts of which none may) of two counties' use descriptions.
@@ -126,19 +127,28 @@ def improvement_type(description: Column, context: Column | None = None) -> Colu
 
 def deed_type(c: Column) -> Column:
     """Normal name of a deed type: by sale code, then by letters, then by names; Miscellaneous if nothing says more."""
+
+    def forms(text: Column) -> Column:
+        codes = F.transform(F.filter(F.split(text, "[^0-9A-Za-z]+"), lambda t: t.rlike(r"^\d{1,2}$")), lambda t: F.lpad(t, 2, "0"))
+        coded = F.nullif(F.trim(F.regexp_extract(text, r"^\d+\s*[-–:/]\s*(.+)$", 1)), F.lit(""))
+        return let(F.coalesce(coded, text), lambda named: F.struct(
+            codes.alias("codes"), F.lower(named).alias("low"), F.regexp_replace(F.upper(named), "[^A-Z0-9]+", "").alias("letters"), named.rlike("[a-zA-Z]").alias("lettered"), F.upper(text).rlike(r"^XX(\.?$| )").alias("odd"),
+        ))
+
+    # every form is made once: more than a hundred tests look at them
     text = F.trim(F.regexp_replace(F.trim(c), r"\s+", " "))
-    codes = F.transform(F.filter(F.split(text, "[^0-9A-Za-z]+"), lambda t: t.rlike(r"^\d{1,2}$")), lambda t: F.lpad(t, 2, "0"))
-    by_code = first_match([(value, F.array_contains(codes, F.lit(code))) for code, value in DEED_CODES])
-    coded = F.nullif(F.trim(F.regexp_extract(text, r"^\d+\s*[-–:/]\s*(.+)$", 1)), F.lit(""))
-    named = F.coalesce(coded, text)
-    low, letters = F.lower(named), F.regexp_replace(F.upper(named), "[^A-Z0-9]+", "")
-    nothing = ~named.rlike("[a-zA-Z]") | low.isin("n/a", "na") | _any([F.contains(low, F.lit(t)) for t in NO_DEED]) | F.upper(text).rlike(r"^XX(\.?$| )")
+    return F.coalesce(let(let(text, forms), _deed_type), F.lit("Miscellaneous"))
+
+
+def _deed_type(t: Column) -> Column:
+    low, letters = t["low"], t["letters"]
+    by_code = [(value, F.array_contains(t["codes"], F.lit(code))) for code, value in DEED_CODES]
+    nothing = ~t["lettered"] | low.isin("n/a", "na") | _any([F.contains(low, F.lit(x)) for x in NO_DEED])
     tests = []
     for value, some in DEED_LETTERS:
-        tests.append((value, _any([_all([F.contains(letters, F.lit(t)) for t in every] + [~F.contains(letters, F.lit(t)) for t in none]) for every, none in some])))
+        tests.append((value, _any([_all([F.contains(letters, F.lit(x)) for x in every] + [~F.contains(letters, F.lit(x)) for x in none]) for every, none in some])))
     tests += [(value, _any([F.contains(low, F.lit(n)) | F.contains(F.lit(n), low) for n in names])) for value, names in DEED_NAMES]
-    odd = F.upper(text).rlike(r"^XX(\.?$| )")
-    return F.coalesce(F.when(odd, "Miscellaneous"), by_code, F.when(nothing, "Miscellaneous"), first_match(tests), F.lit("Miscellaneous"))
+    return first_match([("Miscellaneous", t["odd"]), *by_code, ("Miscellaneous", nothing), *tests])
 
 
 def record_type(number: Column) -> Column:
