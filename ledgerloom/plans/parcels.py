@@ -101,7 +101,7 @@ ORACLE_SQL = {
     "search_links": """WITH p AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN 2 WHEN 1 THEN 1 ELSE 0 END AS n_filtered, 'https://aca.example.org/Cap/CapDetail.aspx?id=' || page_id AS u FROM pages)
         SELECT page_id, n_filtered, 1 AS ordinal, 'ROF' || page_id AS record_number, u AS url, 'Issued' AS address, 'Issued' AS status, 'x' AS action FROM p
         UNION ALL SELECT page_id, n_filtered, 2, 'MEC' || page_id, u || 'b', '1 Oak St', 'Open', NULL FROM p UNION ALL SELECT page_id, n_filtered, 3, 'X', u || 'c', NULL, NULL, NULL FROM p""",
-    "permit_details": """SELECT page_id, 'ROF2024-' || lpad(CAST(page_id AS VARCHAR), 5, '0') AS record_number, 'Roof Permit' AS record_type, 'Issued' AS record_status, page_id || ' OAK ST' AS work_location, 'Ann Lee' AS applicant, 'New &amp; old' AS project_description, 'P' || page_id AS parcel_identifier,
+    "permit_details": """SELECT page_id, 'ROF2024-' || printf('%05d', page_id) AS record_number, 'Roof Permit' AS record_type, 'Issued' AS record_status, page_id || ' OAK ST' AS work_location, 'Ann Lee' AS applicant, 'New &amp; old' AS project_description, 'P' || page_id AS parcel_identifier,
         'Type=Re-Roof|Lot=Type B|Is this for Site Lighting?=No|Parcel Number=P' || page_id || '|Block=Lot 7' AS details, 'none yet' AS inspections, 'Roof' AS implied_type,
         'Record ROF' || page_id || chr(10) || 'Record Type: Roof' || chr(10) || 'Record Status: Open  Record Info' || CASE WHEN page_id % 2 = 0 THEN chr(10) || 'Work Location: 1 Elm' ELSE '' END || chr(10) || 'Accela detail capture status: unavailable_error_page' || chr(10) || 'Accela detail capture error: timeout' AS placeholder FROM pages""",
 }
