@@ -14,3 +14,19 @@ def test_deed_forms_are_made_once(spark):
     df = spark.createDataFrame([("QUIT CLAIM",), (None,), ("77 / Gift",), ("xx. other",), ("14",), ("K",)], "t string").select(deed_type(F.col("t")).alias("d"))
     assert [r[0] for r in df.collect()] == ["Quitclaim Deed", "Miscellaneous", "Gift Deed", "Miscellaneous", "Special Warranty Deed", "Miscellaneous"]
     assert uses(df, "regexp_replace") <= 4 and uses(df, "regexp_extract") <= 2
+
+
+def test_a_licence_is_looked_for_once(spark):
+    from ledgerloom.functions.permits import licence
+
+    text = "Bo 7 OAK General Contractor x general CONTRACTOR CGC12 Master Mason 9"
+    df = spark.createDataFrame([(text,), (None,), ("General",)], "t string").select(licence(F.col("t")).alias("x"))
+    assert [r[0] and tuple(r[0]) for r in df.collect()] == [("general CONTRACTOR", "CGC12", "Bo 7 OAK General Contractor x"), None, None]
+    assert uses(df, "array_join") <= 30
+
+
+def test_small_files_are_parsed_on_all_cores(spark, sf):
+    from ledgerloom.plans.tables import spread, table
+
+    df = table(spark, sf, "customer")
+    assert df.rdd.getNumPartitions() < 4 <= spread(df, "c_custkey").rdd.getNumPartitions()
