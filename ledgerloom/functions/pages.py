@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import vendors
+from .profiles import let
 from .rules import external_link_kind
 from .text import host, number, slug
 
@@ -107,9 +108,12 @@ def listings(pages: DataFrame, page: str, links: str) -> DataFrame:
 
 def portal_candidates(jurisdiction: Column) -> Column:
     """array of distinct addresses to try, in order."""
-    dashed = slug(jurisdiction)
-    name = F.translate(dashed, "-", "")
-    return F.array_distinct(F.array(*[F.replace(F.replace(F.lit(p), F.lit("{slug}"), dashed), F.lit("{name}"), name) for p in PORTALS]))
+
+    def filled(dashed: Column) -> Column:
+        name = F.translate(dashed, "-", "")
+        return F.array_distinct(F.array(*[F.replace(F.replace(F.lit(p), F.lit("{slug}"), dashed), F.lit("{name}"), name) for p in PORTALS]))
+
+    return let(slug(jurisdiction), filled)
 
 
 def discovered(tries: DataFrame, jurisdiction: str = "jurisdiction") -> DataFrame:
@@ -150,13 +154,15 @@ def county_of_request(record: Column) -> Column:
 def cost_value(lines: Column, label: str) -> Column:
     """The last number between a cost card's label and the next label; null without the label or a number."""
     is_label = lambda x: F.upper(F.regexp_replace(F.trim(x), r"\s+", " "))
-    known = F.transform(lines, is_label)
-    at = F.array_position(known, F.lit(label))
-    rest = F.slice(lines, at.cast("int") + 1, F.greatest(F.size(lines) - at.cast("int"), F.lit(0)))
-    later = F.transform(F.slice(known, at.cast("int") + 1, F.greatest(F.size(lines) - at.cast("int"), F.lit(0))), lambda x, i: F.when(x.isin(*COST_LABELS), i))
-    stop = F.coalesce(F.array_min(F.filter(later, lambda i: i.isNotNull())), F.size(rest))
-    numbers = F.filter(F.transform(F.slice(rest, F.lit(1), stop), number), lambda n: n.isNotNull())
-    return F.when(at > 0, F.get(numbers, F.size(numbers) - 1))
+
+    def value(known: Column, at: Column) -> Column:
+        n = F.greatest(F.size(lines) - at, F.lit(0))
+        later = F.transform(F.slice(known, at + 1, n), lambda x, i: F.when(x.isin(*COST_LABELS), i))
+        stop = F.coalesce(F.array_min(F.filter(later, lambda i: i.isNotNull())), n)
+        numbers = F.filter(F.transform(F.slice(lines, at + 1, stop), number), lambda n: n.isNotNull())
+        return F.when(at > 0, let(numbers, lambda x: F.get(x, F.size(x) - 1)))
+
+    return let(F.transform(lines, is_label), lambda known: let(F.array_position(known, F.lit(label)).cast("int"), lambda at: value(known, at)))
 
 
 def tax_year(options: Column) -> Column:

@@ -39,3 +39,12 @@ def test_an_owner_is_read_once(spark):
     got = [[(o["kind"], o["first_name"], o["last_name"], o["company"]) for o in r[0] or []] for r in df.collect()]
     assert got == [[("person", "JOHN", "SMITH", None), ("person", "MARY", "SMITH", None), ("company", None, None, "Acme LLC"), ("person", "X", "SMITH", None)], []]
     assert uses(df, "split") <= 12
+
+
+def test_cost_cards_and_portals_are_read_once(spark):
+    from ledgerloom.functions.pages import cost_value, portal_candidates
+
+    df = spark.createDataFrame([(["Land  Value", "x", "$3", "4", "MARKET VALUE", "9"], "A b"), (["x"], None), (None, "c")], "l array<string>, t string")
+    df = df.select(cost_value(F.col("l"), "LAND VALUE").alias("v"), F.element_at(portal_candidates(F.col("t")), 2).alias("p"))
+    assert [tuple(r) for r in df.collect()] == [(4.0, "https://a-b-egov.aspgov.com/Click2GovBP/"), (None, "https://permit-planner.unknown.org/"), (None, "https://permit-planner.c.org/")]
+    assert uses(df, "regexp_replace") <= 15
