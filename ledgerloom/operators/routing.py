@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import is_json_object
+
 #: Fixed values: (pattern of a file's name, tables that its record goes to) of extracted appraisal bundles, in order.
 APPRAISAL_FILES = [
     (r"^property_seed\.json$", ["parcels"]), (r"^property\.json$", ["properties"]), (r"^unnormalized_address\.json$", ["unnormalized_addresses"]), (r"^(address|mailing_address_\d+)\.json$", ["addresses"]),
@@ -45,9 +47,7 @@ def dispatched(records: DataFrame, name: str = "file_name", body: str = "value",
     """
     short = F.element_at(F.split(F.col(name), "/"), -1)
     tables = F.coalesce(*[F.when(short.rlike(pattern), F.array(*map(F.lit, to))) for pattern, to in routes])
-    parsed = F.try_parse_json(F.col(body))
-    fine = F.coalesce(F.startswith(F.schema_of_variant(parsed), F.lit("OBJECT")), F.lit(False))
-    marked = records.withColumn("__tables", tables).withColumn("__fine", fine)
+    marked = records.withColumn("__tables", tables).withColumn("__fine", is_json_object(F.col(body)))
     good = marked.where("__fine and __tables is not null").withColumn("table_name", F.explode("__tables")).drop("__tables", "__fine")
     reason = F.when(~F.col("__fine"), F.lit("not a JSON object")).otherwise(F.concat(F.lit("no table for "), F.coalesce(F.col(name), F.lit("null"))))
     return good, marked.where("not __fine or __tables is null").withColumn("reason", reason).drop("__tables", "__fine")

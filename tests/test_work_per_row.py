@@ -48,3 +48,15 @@ def test_cost_cards_and_portals_are_read_once(spark):
     df = df.select(cost_value(F.col("l"), "LAND VALUE").alias("v"), F.element_at(portal_candidates(F.col("t")), 2).alias("p"))
     assert [tuple(r) for r in df.collect()] == [(4.0, "https://a-b-egov.aspgov.com/Click2GovBP/"), (None, "https://permit-planner.unknown.org/"), (None, "https://permit-planner.c.org/")]
     assert uses(df, "regexp_replace") <= 15
+
+
+def test_json_objects_are_told_without_their_schema(spark):
+    from ledgerloom.functions.text import is_json_object
+    from ledgerloom.operators.table_rows import appraisal_rows, permit_rows
+
+    texts = ['{"a":1}', ' \n{"a":{}}', "[1]", "{bad", "5", '"{}"', "null", "", None, "{}"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [r[0] for r in df.select(is_json_object(F.col("t"))).collect()] == [True, True, False, False, False, False, False, False, False, True]
+    rows, skipped = permit_rows(df.select(F.col("t").alias("record"), F.lit("u").alias("artifact_uri")))
+    good, bad = appraisal_rows(df.select(F.lit("1").alias("request_identifier"), F.lit("property.json").alias("file_name"), F.col("t").alias("value")))
+    assert all(uses(x, "schema_of_variant") + uses(x, "schemaOfVariant") + uses(x, "schemaofvariant") == 0 for x in (rows, skipped, good, bad))
