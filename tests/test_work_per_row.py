@@ -60,3 +60,12 @@ def test_json_objects_are_told_without_their_schema(spark):
     rows, skipped = permit_rows(df.select(F.col("t").alias("record"), F.lit("u").alias("artifact_uri")))
     good, bad = appraisal_rows(df.select(F.lit("1").alias("request_identifier"), F.lit("property.json").alias("file_name"), F.col("t").alias("value")))
     assert all(uses(x, "schema_of_variant") + uses(x, "schemaOfVariant") + uses(x, "schemaofvariant") == 0 for x in (rows, skipped, good, bad))
+
+
+def test_query_tokens_are_made_once(spark):
+    from ledgerloom.functions.text import tokens_in_order
+
+    df = spark.createDataFrame([("a c", "a b c"), ("c a", "a b c"), ("a a", "a b"), ("a", "a")], "q string, t string")
+    df = df.select(tokens_in_order(F.split("q", " "), F.split("t", " ")).alias("x"))
+    assert [r[0] for r in df.collect()] == [True, False, False, True]
+    assert uses(df, "split") == 2
