@@ -20,6 +20,7 @@ from .joins import REFERENCES
 from .upsert import TableSpec, upsert
 
 ROWS = "id string, source_record_key string, source_record_hash string, refs map<string,string>, ids array<struct<name:string,id:string>>, values map<string,string>"
+KINDS = list(REFERENCES.values())
 SPEC = TableSpec(keys=("source_record_key",), derived=("ids",), keep=("id",))
 
 
@@ -53,7 +54,16 @@ class Snapshots:
     def table(self, name: str, version: int | None = None, schema: str = ROWS) -> DataFrame:
         """A table as of a version; empty where it has no rows yet."""
         path = self.tables(version)[1].get(name)
-        return self.spark.read.schema(schema).parquet(f"{self.folder}/{path}") if path else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{path}") if path else self.spark.createDataFrame([], schema).limit(0)  # known to be empty by plan: no join
+
+    def _keys(self, name: str, staged: Mapping[str, DataFrame], keyed: DataFrame, paths: Mapping[str, str]) -> DataFrame:
+        """(source_record_key, id, is_new) of a table as this load leaves it; where it isn't staged yet, a key may come twice."""
+        if name in staged:
+            return staged[name].select("source_record_key", "id", F.lit(False).alias("is_new"))
+        new = keyed.where(F.col("table_name") == name).select("source_record_key", "id", F.lit(True).alias("is_new"))
+        if name not in paths:
+            return new
+        return new.union(self.spark.read.schema(ROWS).parquet(f"{self.folder}/{paths[name]}").select("source_record_key", "id", F.lit(False)))
 
     def _publish(self, version: int, tables: Mapping[str, str]) -> None:
         """Version `version` by one rename; Conflict if it is there already."""
@@ -85,18 +95,11 @@ class Snapshots:
         name = f"data/{uuid.uuid4().hex}"
         staged: dict[str, DataFrame] = {}
         try:
-            others = rows.where(~F.col("table_name").isin(*order) | F.col("table_name").isNull()).select("table_name").distinct().limit(5).collect()
-            if others:
-                raise ValueError(f"rows of tables that have no place in the order: {[r[0] for r in others]}")
+            kinds = _kinds(rows, order, missing)
             keyed = rows.withColumn("id", F.substring(F.sha2(F.concat_ws("\n", "table_name", "source_record_key"), 256), 1, 24))
-            now = keyed.select("table_name", "source_record_key", "id")
-            for t, path in paths.items():
-                old = self.spark.read.schema(ROWS).parquet(f"{self.folder}/{path}").select(F.lit(t).alias("table_name"), "source_record_key", "id")
-                now = now.union(old)
-            keyed = _resolved(keyed, now.distinct(), missing)
             counts = []
             for t in order:
-                own = keyed.where(F.col("table_name") == t).select(*[c.split(" ")[0] for c in ROWS.split(", ")])
+                own = _resolved(keyed.where(F.col("table_name") == t), {i: self._keys(KINDS[i][1], staged, keyed, paths) for i in kinds[t]}, missing)
                 done = upsert(self.table(t, base), own, SPEC)
                 done.write.parquet(f"{self.folder}/{name}/{t}")
                 staged[t] = self.spark.read.parquet(f"{self.folder}/{name}/{t}")
@@ -130,17 +133,42 @@ class Snapshots:
         return len(gone)
 
 
-def _resolved(rows: DataFrame, known: DataFrame, missing: str) -> DataFrame:
-    """rows with ids: (id column, id) of each reference whose parent is known, sorted by name; one join for all kinds."""
-    kinds = F.create_map(*[F.lit(x) for column, table, _ in REFERENCES.values() for x in (column, table)])
-    names = F.create_map(*[F.lit(x) for column, _, id_ in REFERENCES.values() for x in (column, id_)])
-    asked = rows.select(F.col("table_name").alias("__table"), F.col("source_record_key").alias("__key"), F.explode("refs").alias("__column", "__parent"))
-    parents = known.select(F.col("table_name").alias("__of"), F.col("source_record_key").alias("__parent"), F.col("id").alias("__id"))
-    found = asked.withColumn("__of", F.try_element_at(kinds, F.col("__column"))).join(parents, ["__of", "__parent"], "left")
-    if missing == "throw":
-        found = found.withColumn("__id", F.when(F.col("__id").isNull(), F.raise_error(F.concat(F.lit("no parent for "), "__column", F.lit(": "), "__parent")).cast("string")).otherwise(F.col("__id")))
-    ids = found.where("__id is not null").groupBy("__table", "__key").agg(F.array_sort(F.collect_list(F.struct(F.try_element_at(names, F.col("__column")).alias("name"), F.col("__id").alias("id")))).alias("ids"))
-    if missing == "throw":  # every reference has to be looked at, whatever columns are asked for
-        ids = found.groupBy("__table", "__key").agg(F.array_sort(F.collect_list(F.struct(F.try_element_at(names, F.col("__column")).alias("name"), F.col("__id").alias("id")))).alias("ids"))
-    out = rows.join(ids, (F.col("table_name") == F.col("__table")) & (F.col("source_record_key") == F.col("__key")), "left").drop("__table", "__key")
-    return out.withColumn("ids", F.coalesce("ids", F.array().cast("array<struct<name:string,id:string>>")))
+def _kinds(rows: DataFrame, order: Sequence[str], missing: str) -> dict[str, list[int]]:
+    """Places in KINDS of the references that rows of each table have, ascending, by one pass; ValueError for rows that no
+    load can take. The driver gets a row for each table and kind, and a few of other tables."""
+    places = F.create_map(*[F.lit(x) for i, (column, _, _) in enumerate(KINDS) for x in (column, i)])
+    odd = ~F.col("table_name").isin(*order) | F.col("table_name").isNull()
+    seen = rows.select("table_name", odd.alias("odd"), F.explode_outer(F.map_keys("refs")).alias("column"))
+    kind = F.when(~F.col("odd") & F.col("column").isNotNull(), F.coalesce(F.try_element_at(places, F.col("column")), F.lit(-1)))
+    found = seen.select("odd", "table_name", kind.alias("kind")).distinct().orderBy(F.desc("odd")).limit(5 + (len(KINDS) + 2) * len(order)).collect()
+    others = [r["table_name"] for r in found if r["odd"]][:5]
+    if others:
+        raise ValueError(f"rows of tables that have no place in the order: {others}")
+    unknown = sorted({r["table_name"] for r in found if r["kind"] == -1})
+    if missing == "throw" and unknown:
+        raise ValueError(f"no parent for references of unknown kinds in {unknown}")
+    return {t: sorted(r["kind"] for r in found if r["table_name"] == t and r["kind"] not in (None, -1)) for t in order}
+
+
+def _resolved(rows: DataFrame, parents: Mapping[int, DataFrame], missing: str) -> DataFrame:
+    """Rows of one table with ids: (id column, id) of each reference whose parent is known, sorted by name; one join for
+    all kinds. parents has the keys of the table of each kind (by its place in KINDS) that the rows refer by."""
+    none = F.array().cast("array<struct<name:string,id:string>>")
+    ids = none
+    if parents:
+        places = F.create_map(*[F.lit(x) for i in parents for x in (KINDS[i][0], i)])
+        known = None
+        for i, keys in parents.items():
+            one = keys.select(F.lit(i).alias("__of"), F.col("source_record_key").alias("__parent"), "id", "is_new")
+            known = one if known is None else known.union(one)
+        known = known.groupBy("__of", "__parent").agg(F.min_by("id", "is_new").alias("__id"))
+        asked = rows.select("source_record_key", F.explode("refs").alias("__column", "__parent")).select("source_record_key", F.try_element_at(places, F.col("__column")).alias("__of"), "__parent").where("__of is not null")
+        found = asked.join(known, ["__of", "__parent"], "left" if missing == "throw" else "inner")
+        if missing == "throw":  # in the column that every kind looks at
+            columns = F.array(*[F.lit(column) for column, _, _ in KINDS])
+            found = found.withColumn("__of", F.when(F.col("__id").isNull(), F.raise_error(F.concat_ws("", F.lit("no parent for "), columns[F.col("__of")], F.lit(": "), "__parent")).cast("int")).otherwise(F.col("__of")))
+        # dealt by the key on which the rows and their target are joined, too
+        one = found.select("source_record_key", "__of", "__id").repartition("source_record_key").groupBy("source_record_key").agg(*[F.max(F.when(F.col("__of") == i, F.col("__id"))).alias(f"__{i}") for i in parents])
+        rows = rows.join(one, "source_record_key", "left")
+        ids = F.concat(*[F.when(F.col(f"__{i}").isNotNull(), F.array(F.struct(F.lit(KINDS[i][2]).alias("name"), F.col(f"__{i}").alias("id")))).otherwise(none) for i in sorted(parents, key=lambda i: KINDS[i][2])])
+    return rows.withColumn("ids", ids).select(*[c.split(" ")[0] for c in ROWS.split(", ")])
