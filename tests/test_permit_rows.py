@@ -24,3 +24,13 @@ def test_permits_without_a_number_have_hashes_of_their_own(spark):
     assert sorted(permits_) == ["permits:permit:id-1", "permits:permit:id-2"]
     assert len({hash_ for hash_, _, _ in permits_.values()}) == 2
     assert permits_["permits:permit:id-2"][2]["idempotency_key"] == "id-2" and permits_["permits:permit:id-2"][2]["request_identifier"] == "permits:permit:id-2"
+
+
+def test_inspections_are_read_to_the_end_of_the_text(spark):
+    row = "Pass 101 Final Roof ({}) Result by: Ann Lee on 01/02/2021 "
+    text = "x Completed (300) " + "".join(row.format(i) for i in range(300))
+    df = spark.createDataFrame([(text,), (text + "Digital Projects Fail 9 Other (300) Result by: Bo on 01/02/2021",), ("Digital Projects " + text,), ("Completed (1)Digital Projects",), ("none",), (None,)], "t string")
+    got = [[i["identifier"] for i in r[0] or []] for r in df.select(permits.inspections(F.col("t"))).collect()]
+    assert got == [[str(i) for i in range(300)]] * 3 + [[], [], []]
+    rows, _ = rows_of(spark, {"recordNumber": "A", "inspectionsRawText": text})
+    assert sum(table == "inspections" for table, _ in rows) == 300
