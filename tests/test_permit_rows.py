@@ -34,3 +34,23 @@ def test_inspections_are_read_to_the_end_of_the_text(spark):
     assert got == [[str(i) for i in range(300)]] * 3 + [[], [], []]
     rows, _ = rows_of(spark, {"recordNumber": "A", "inspectionsRawText": text})
     assert sum(table == "inspections" for table, _ in rows) == 300
+
+
+def test_a_text_of_professionals_is_parsed_once_and_shared_names_are_told_apart(spark):
+    licensed = "Bo Roe SUNSHINE ROOFING 7 MAIN ST, ESTERO, FL, 33928 Primary Phone: 239 General Contractor CGC1"
+    one = {"licensedProfessional": licensed, "inspectionsRawText": "Completed (2) Pass 2 B (5) Result by: Al on 01/02/2021 Pass 1 A (5) Result by: Al on 01/02/2021"}
+    records = [one | {"recordNumber": "A", "applicant": "Zoe"}, one | {"recordNumber": "B"}, one | {"recordNumber": " A ", "applicant": "Ann"}, one, "[]", {"recordNumber": "C"}]
+    got, reasons = rows_of(spark, *records)
+    assert reasons == ["neither recordNumber nor idempotencyKey", "not a JSON object"]
+    assert sorted(key.split(":")[2] for table, key in got if table == "property_improvements") == ["A", "B", "C"]
+    assert got["permit_contacts", "permits:permit:A:contact:applicant"][2]["raw_name"] == "Ann"
+    assert [got["inspections", f"permits:permit:{x}:inspection:5"][2]["inspection_code"] for x in "AB"] == ["1", "1"]
+    assert sorted(table for table, key in got if not key.startswith("permits:permit:")) == ["addresses", "companies", "people"]
+    company = next(key for table, key in got if table == "companies")
+    assert got["property_improvements", "permits:permit:B"][1] == {"company_source_record_key": company} and got["property_improvements", "permits:permit:C"][1] == {}
+    df = spark.createDataFrame([(json.dumps(r), "u") for r in records[:2]], "record string, artifact_uri string")
+    rows, skipped = table_rows.permit_rows(df)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Primary Phone") == 0 and plan.count("from_json(StructField(recordNumber") == 1
+    plan = skipped._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(StructField(recordNumber") == 1
